@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.llm import chat, licenses, mixing, warc
+from spanforge.llm import chat, decontaminate, licenses, mixing, tokens, warc
 from spanforge.session import table
 
 
@@ -14,12 +14,21 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = warc.write_archive(table(spark, sf_dir, "pages"))
     records = warc.read_archive(spark, path)
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
@@ -39,7 +48,9 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_mixing": op3_mixing,
+    "op4_decontaminate": op4_decontaminate,
     "op5_warc": op5_warc,
+    "op6_tokens": op6_tokens,
     "op8_chat": op8_chat,
     "op10_licenses": op10_licenses,
 }
@@ -78,6 +89,29 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
 FROM placed
 """
 
+OP4_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM benchmark),
+spans AS (SELECT item_id, words, least(13, len(words)) AS n FROM items WHERE len(words) > 0),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(words[i:i + n - 1], ' ') AS gram
+  FROM (SELECT item_id, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM spans)),
+sizes AS (SELECT DISTINCT n FROM windows),
+places AS (SELECT row, words, n, unnest(range(1, len(words) - n + 2)) AS i FROM docs, sizes WHERE len(words) >= n),
+grams AS (SELECT row, n, i, array_to_string(words[i:i + n - 1], ' ') AS gram FROM places),
+hits AS (SELECT row, item_id, g.n, i FROM grams g JOIN windows w ON g.n = w.n AND g.gram = w.gram),
+covered AS (SELECT row, count(DISTINCT place) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS place FROM hits) GROUP BY row),
+found AS (SELECT row, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT row, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY row)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM docs LEFT JOIN covered USING (row) LEFT JOIN found USING (row)
+"""
+
 OP5_SQL = r"""
 WITH records AS (
   SELECT page_id, CAST(octet_length(encode(coalesce(html, ''))) AS BIGINT) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
@@ -139,4 +173,4 @@ FROM cut LEFT JOIN base USING (row) LEFT JOIN found USING (row)
 """
 
 
-ORACLE_SQL = {"op3_mixing": OP3_SQL, "op5_warc": OP5_SQL, "op8_chat": OP8_SQL, "op10_licenses": _op10_sql()}
+ORACLE_SQL = {"op3_mixing": OP3_SQL, "op4_decontaminate": OP4_SQL, "op5_warc": OP5_SQL, "op8_chat": OP8_SQL, "op10_licenses": _op10_sql()}
