@@ -79,9 +79,11 @@ def best_paths(messages: DataFrame, paths: int | None = 1) -> DataFrame:
         leaves = leaves.filter(F.col("path") <= paths)
     members = leaves.select("tree", "path", "node_id", F.lit(0).cast("bigint").alias("from_leaf"), "path_score")
     for k in reversed(range(len(levels))):
-        step = levels[k].filter("up IS NOT NULL").select("tree", "node_id", "up")
-        above = members.join(step, ["tree", "node_id"]).select("tree", "path", F.col("up").alias("node_id"), (F.col("from_leaf") + 2**k).alias("from_leaf"), "path_score")
-        members = members.unionByName(above)
+        # a member stays, and its ancestor 2^k above joins it
+        here = F.struct(F.col("node_id").alias("to"), F.lit(0).cast("bigint").alias("by"))
+        above = F.struct(F.col("up").alias("to"), F.lit(2**k).cast("bigint").alias("by"))
+        step = levels[k].select("tree", "node_id", F.explode(F.filter(F.array(here, above), lambda x: x["to"].isNotNull())).alias("step"))
+        members = members.join(step, ["tree", "node_id"]).select("tree", "path", F.col("step.to").alias("node_id"), (F.col("from_leaf") + F.col("step.by")).alias("from_leaf"), "path_score")
     return members
 
 
