@@ -70,14 +70,23 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
     vocab = F.array(*map(F.lit, vocabulary))
     lower = ascii_lower(F.coalesce("text", F.lit("")))
 
-    near = "|".join("(?<![^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F])" + GAP.join(p.split()) + "(?![^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F])" for p, _ in phrases)
+    def near(text: Column) -> Column:
+        """Whether a text holds the words of a phrase at all; the places are looked for only there."""
+        out = F.lit(False)
+        for phrase, _ in phrases:
+            every = F.lit(True)
+            for word in sorted(phrase.split(), key=len, reverse=True):
+                every = every & F.contains(text, F.lit(word))
+            out = out | every
+        return out
+
     nowhere = F.array().cast("array<struct<at:int,label:string>>")
 
     def of_words(text: Column) -> Column:
         def inner(parts: Column) -> Column:
             lead = F.when(F.get(parts, F.lit(0)) == "", 1).otherwise(0)
             trail = F.when((F.size(parts) > 1) & (F.element_at(parts, -1) == ""), 1).otherwise(0)
-            base = F.when(text.rlike(near), F.concat(*[_places(parts, p, label) for p, label in phrases])).otherwise(nowhere)
+            base = F.when(near(text), F.concat(*[_places(parts, p, label) for p, label in phrases])).otherwise(nowhere)
             return F.struct(
                 (F.size(parts) - lead - trail).cast("bigint").alias("n_words"), lead.alias("lead"),
                 F.array_intersect(parts, vocab).alias("tokens"), base.alias("base"),
