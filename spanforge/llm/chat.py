@@ -57,20 +57,19 @@ def best_paths(messages: DataFrame, paths: int | None = 1) -> DataFrame:
     known = nodes.select("tree", F.col("node_id").alias("parent_id"), F.lit(True).alias("known"))
     nodes = cut(nodes.join(known, ["tree", "parent_id"], "left").withColumn("parent_id", F.when(F.col("known"), F.col("parent_id"))).drop("known"))
 
-    # level k: the ancestor 2^k above, and the score summed over the nodes up to there
-    level = nodes.select("tree", "node_id", F.col("parent_id").alias("up"), F.col("score").alias("total"), F.lit(1).alias("depth"))
-    levels = []
+    # level k: the ancestor 2^k above, and the score summed over the nodes up to there; a node
+    # that has reached its root takes no part in further joins
+    level = cut(nodes.select("tree", "node_id", F.col("parent_id").alias("up"), F.col("score").alias("total"), F.lit(1).alias("depth")))
+    rooted, levels = level.filter("up IS NULL"), []
     largest = nodes.groupBy("tree").count().agg(F.max("count")).head()[0] or 0
-    for _ in range(max(1, int(largest).bit_length())):
-        levels.append(level)
-        far = level.select("tree", F.col("node_id").alias("up"), F.col("up").alias("next_up"), F.col("total").alias("more"), F.col("depth").alias("deeper"))
-        level = level.join(far, ["tree", "up"], "left").select(
-            "tree", "node_id", F.col("next_up").alias("up"), (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"), (F.col("depth") + F.coalesce("deeper", F.lit(0))).alias("depth"),
-        )
-        level = cut(level)
-        if level.filter("up IS NOT NULL").isEmpty():
+    for _ in range(int(largest).bit_length()):
+        level = level.filter("up IS NOT NULL")
+        if level.isEmpty():
             break
-    rooted = level.filter("up IS NULL")
+        levels.append(level)
+        far = level.unionByName(rooted).select("tree", F.col("node_id").alias("up"), F.col("up").alias("next_up"), F.col("total").alias("more"), F.col("depth").alias("deeper"))
+        level = cut(level.join(far, ["tree", "up"]).select("tree", "node_id", F.col("next_up").alias("up"), (F.col("total") + F.col("more")).alias("total"), (F.col("depth") + F.col("deeper")).alias("depth")))
+        rooted = rooted.unionByName(level.filter("up IS NULL"))
 
     leaves = rooted.join(nodes.select("tree", F.col("parent_id").alias("node_id")).distinct(), ["tree", "node_id"], "left_anti")
     rank = F.row_number().over(Window.partitionBy("tree").orderBy(F.col("total").desc(), "node_id"))
@@ -80,10 +79,11 @@ def best_paths(messages: DataFrame, paths: int | None = 1) -> DataFrame:
     members = leaves.select("tree", "path", "node_id", F.lit(0).cast("bigint").alias("from_leaf"), "path_score")
     for k in reversed(range(len(levels))):
         # a member stays, and its ancestor 2^k above joins it
+        step = levels[k].select("tree", "node_id", "up")
         here = F.struct(F.col("node_id").alias("to"), F.lit(0).cast("bigint").alias("by"))
         above = F.struct(F.col("up").alias("to"), F.lit(2**k).cast("bigint").alias("by"))
-        step = levels[k].select("tree", "node_id", F.explode(F.filter(F.array(here, above), lambda x: x["to"].isNotNull())).alias("step"))
-        members = members.join(step, ["tree", "node_id"]).select("tree", "path", F.col("step.to").alias("node_id"), (F.col("from_leaf") + F.col("step.by")).alias("from_leaf"), "path_score")
+        both = F.filter(F.array(here, above), lambda x: x["to"].isNotNull())
+        members = members.join(step, ["tree", "node_id"], "left").withColumn("step", F.explode(both)).select("tree", "path", F.col("step.to").alias("node_id"), (F.col("from_leaf") + F.col("step.by")).alias("from_leaf"), "path_score")
     return members
 
 
