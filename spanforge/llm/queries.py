@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.llm import chat, decontaminate, licenses, mixing, tokens, warc
+from spanforge.llm import chat, decontaminate, licenses, mixing, ngram_join, tokens, warc
 from spanforge.session import table
 
 
@@ -42,6 +42,10 @@ def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES = {
     "op5_warc": op5_warc,
     "op6_tokens": op6_tokens,
     "op8_chat": op8_chat,
+    "op9_ngram_join": op9_ngram_join,
     "op10_licenses": op10_licenses,
 }
 
