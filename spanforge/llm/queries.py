@@ -5,10 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.llm import chat, decontaminate, licenses, mixing, ngram_join, tokens, warc
+from spanforge.llm import chat, decontaminate, licenses, mixing, ngram_join, substrings, tokens, warc
 from spanforge.session import table
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that lose a repeated passage, and those that keep it."""
+    found = substrings.find_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "removed_words", F.size("spans").cast("bigint").alias("n_spans"), "spans", "kept_doc_ids")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -51,6 +57,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_substrings": op2_substrings,
     "op3_mixing": op3_mixing,
     "op4_decontaminate": op4_decontaminate,
     "op5_warc": op5_warc,
