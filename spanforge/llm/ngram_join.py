@@ -12,8 +12,8 @@ are used: tokens by how many texts have them, tokens by hash upwards, and by has
    with none; the others, live ones, post the rest of their prefix, rarest first. Equal sets are
    one from here on.
 3. Sets under a token pair up: all of a short posting list, and every set of a long one with a
-   few hubs, so that a group of n copies makes a multiple of n pairs. Pairs whose sizes fit and
-   that share prefix tokens under the second and third order too are verified on whole sets.
+   few hubs, so that a group of n copies makes a multiple of n pairs. Pairs whose sizes and
+   token parities fit and that share prefix tokens under the second and third order too are verified on whole sets.
 4. Where a long list still holds several components, its sets post again under a first order of
    all their tokens, and each set outside a list's main component pairs with all of it.
 Components are those of the verified links; copies follow their set.
@@ -39,6 +39,8 @@ from spanforge.session import cut
 #: One row of a posting list pairs with all others up to this length, beyond it with hubs.
 SHORT = 48
 HUBS = 3
+#: Parities of a set's tokens by 512 hash classes, as longs. Two sets differ in one token at least for each parity that differs.
+BITS = [f"b{i}" for i in range(8)]
 #: Ids in a set that tasks may hold: 8 bytes each.
 HELD_IDS = 1_000_000
 
@@ -71,12 +73,19 @@ def _posted(made: np.ndarray, bounds: np.ndarray, percent: int, region: float) -
     return np.minimum(np.maximum(below[bounds[1:]] - below[bounds[:-1]], prefix(n, percent)), n)
 
 
+def _parities(made: np.ndarray, bounds: np.ndarray) -> list[pa.Array]:
+    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    odd = np.bincount(row * 512 + (made >> np.uint64(20) & np.uint64(511)).astype(np.int64), minlength=512 * (len(bounds) - 1)) & 1
+    packed = np.packbits(odd.astype(np.uint8).reshape(-1, 512), axis=1).view(np.int64).reshape(-1, 8)
+    return [pa.array(np.ascontiguousarray(packed[:, i])) for i in range(8)]
+
+
 def _sizes(k: int, percent: int, region: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
             made, bounds, digest = token_sets(part, k)
             posted = _posted(made, bounds, percent, region)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(posted, pa.int64()), pa.array(digest.view(np.int64))], names=["doc_id", "n", "posted", "node"])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(posted, pa.int64()), pa.array(digest.view(np.int64)), *_parities(made, bounds)], names=["doc_id", "n", "posted", "node", *BITS])
 
     return run
 
@@ -124,38 +133,40 @@ def _prefixes(tokens: DataFrame, sizes: DataFrame, percent: int, region: float)
     return live.select("node", "n", F.explode(F.slice("shared", F.lit(1), F.col("room"))).alias("x")).select("node", "n", F.col("x.token").alias("token"))
 
 
-def _fits(percent: int, a: str = "a_n", b: str = "b_n"):
-    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+def _fits(percent: int):
+    """Whether sizes and parities of columns a and b, structs (node, n, b0, ...), allow the threshold."""
+    apart = sum((F.bit_count(F.col(f"a.{x}").bitwiseXOR(F.col(f"b.{x}"))) for x in BITS[1:]), F.bit_count(F.col(f"a.{BITS[0]}").bitwiseXOR(F.col(f"b.{BITS[0]}"))))
+    near = (100 - percent) * (F.col("a.n") + F.col("b.n")) >= (100 + percent) * apart
+    return (100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")) & near
 
 
-def _pair(a: str = "a", b: str = "b") -> list:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
+def _pairs(joined: DataFrame) -> DataFrame:
+    return joined.select(F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"))
 
 
-def _first_pairs(posts: DataFrame, percent: int) -> DataFrame:
-    """Pairs of short lists, and of long ones with their hubs."""
-    member = F.struct("node", "n")
-    hubs = F.array(*[F.min_by(member, F.xxhash64("node", F.lit(i))) for i in range(HUBS)])
+def _first_pairs(posts: DataFrame, sizes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of short lists, and of long ones with their hubs; and the rows of long lists."""
+    hubs = F.array(*[F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(HUBS)])
     lists = posts.groupBy("token").agg(F.count("*").alias("length"), hubs.alias("hubs")).filter("length > 1")
     rows = cut(posts.join(lists, "token"))
-    short = rows.filter(F.col("length") <= SHORT)
-    left = short.select("token", F.col("node").alias("a"), F.col("n").alias("a_n"))
-    right = short.select("token", F.col("node").alias("b"), F.col("n").alias("b_n"))
-    near = left.join(right, "token").filter(F.col("a") < F.col("b")).filter(_fits(percent)).select("a", "b")
-    far = rows.filter(F.col("length") > SHORT).select(F.col("node").alias("a"), F.col("n").alias("a_n"), F.explode("hubs").alias("hub"))
-    far = far.select("a", "a_n", F.col("hub.node").alias("b"), F.col("hub.n").alias("b_n")).filter("a <> b").filter(_fits(percent)).select(*_pair())
-    return cut(near.unionByName(far).distinct()), rows.filter(F.col("length") > SHORT).select("token", "node", "n")
+    long = rows.filter(F.col("length") > SHORT)
+    short = rows.filter(F.col("length") <= SHORT).join(sizes.select("node", *BITS), "node").select("token", F.struct("node", "n", *BITS).alias("a"))
+    near = short.join(short.withColumnRenamed("a", "b"), "token").filter(F.col("a.node") < F.col("b.node")).filter(_fits(percent))
+    ends = sizes.select(F.struct("node", "n", *BITS).alias("x"))
+    far = long.select(F.col("node").alias("left"), F.explode("hubs").alias("right")).filter("left <> right").distinct()
+    far = far.join(ends.withColumnRenamed("x", "a"), F.col("left") == F.col("a.node")).join(ends.withColumnRenamed("x", "b"), F.col("right") == F.col("b.node")).filter(_fits(percent))
+    return cut(_pairs(near).unionByName(_pairs(far)).distinct()), long.select("token", "node", "n")
 
 
-def _late_pairs(posts: DataFrame, components: DataFrame, percent: int) -> DataFrame:
+def _late_pairs(posts: DataFrame, sizes: DataFrame, components: DataFrame, percent: int) -> DataFrame:
     """Pairs of different components under a token, each with one side outside the token's main component."""
     placed = posts.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    sizes = placed.groupBy("token", "component").agg(F.count("*").alias("c"))
-    main = sizes.groupBy("token").agg(F.max_by("component", "c").alias("main"), F.count("*").alias("parts")).filter("parts > 1").select("token", "main")
-    placed = cut(placed.join(main, "token"))
-    left = placed.filter("component <> main").select("token", F.col("node").alias("a"), F.col("n").alias("a_n"), F.col("component").alias("a_c"))
-    right = placed.select("token", F.col("node").alias("b"), F.col("n").alias("b_n"), F.col("component").alias("b_c"))
-    return cut(left.join(right, "token").filter("a_c <> b_c").filter(_fits(percent)).select(*_pair()).distinct())
+    counts = placed.groupBy("token", "component").agg(F.count("*").alias("c"))
+    main = counts.groupBy("token").agg(F.max_by("component", "c").alias("main"), F.count("*").alias("parts")).filter("parts > 1").select("token", "main")
+    placed = cut(placed.join(main, "token").join(sizes.select("node", *BITS), "node").select("token", "component", "main", F.struct("node", "n", *BITS).alias("a")))
+    left = placed.filter("component <> main").select("token", "a", F.col("component").alias("a_part"))
+    right = placed.select("token", F.col("a").alias("b"), F.col("component").alias("b_part"))
+    return cut(_pairs(left.join(right, "token").filter("a_part <> b_part").filter(_fits(percent))).distinct())
 
 
 def _sets(docs: DataFrame, sizes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
@@ -215,12 +226,12 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, region: float = 0.2) -> DataFrame:
     """docs(doc_id, text) as doc_id, n_shingles, component_id; one row for each row."""
     light = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = cut(light.mapInArrow(_sizes(k, percent, region), "doc_id long, n long, posted long, node long"))
-    sizes = cut(rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("posted").alias("posted")))
+    rows = cut(light.mapInArrow(_sizes(k, percent, region), "doc_id long, n long, posted long, node long, " + ", ".join(f"{x} long" for x in BITS)))
+    sizes = cut(rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("posted").alias("posted"), *[F.min(x).alias(x) for x in BITS]))
 
     tokens = light.mapInArrow(_low_tokens(k, percent, region), "node long, token long")
     posts = cut(_prefixes(tokens, sizes.select("node", "n", "posted"), percent, region))
-    pairs, long = _first_pairs(posts, percent)
+    pairs, long = _first_pairs(posts, sizes, percent)
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(long.select("node"))
     sets = _sets(light, sizes, named, k)
     links = _linked(pairs, sets, percent)
@@ -232,7 +243,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, region: f
     if not again.isEmpty():
         every = sets.join(again, "node").mapInArrow(_all_tokens, "node long, token long")
         own = sizes.join(again, "node").select("node", "n", F.col("n").alias("posted"))
-        more = _linked(_late_pairs(cut(_prefixes(every, own, percent, 1.0)), components, percent), sets, percent)
+        more = _linked(_late_pairs(cut(_prefixes(every, own, percent, 1.0)), sizes, components, percent), sets, percent)
         if not more.isEmpty():
             components = connected_components(links.unionByName(more))
 
