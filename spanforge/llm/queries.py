@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.llm import chat, decontaminate, licenses, mixing, ngram_join, substrings, tokens, warc
+from spanforge.llm import ann, chat, decontaminate, licenses, mixing, ngram_join, substrings, tokens, toxicity, warc
 from spanforge.session import table
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The documents that lose a repeated passage, and those that keep it."""
     found = substrings.find_repeats(table(spark, sf_dir, "documents"))
@@ -35,6 +39,10 @@ def op6_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(table(spark, sf_dir, "documents"))
 
 
+def op7_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op8_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = "</s>[INST] ok [/INST]"
     extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
@@ -57,11 +65,13 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_substrings": op2_substrings,
     "op3_mixing": op3_mixing,
     "op4_decontaminate": op4_decontaminate,
     "op5_warc": op5_warc,
     "op6_tokens": op6_tokens,
+    "op7_ann": op7_ann,
     "op8_chat": op8_chat,
     "op9_ngram_join": op9_ngram_join,
     "op10_licenses": op10_licenses,
