@@ -11,18 +11,20 @@ from spanforge.session import cut
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """edges as node, component: the smallest node that can be reached, itself included.
 
-    Each round takes the smallest label among a node's neighbours, then the label of that label,
-    so long chains shrink by powers of two. Minima are summed up before each shuffle.
+    Each round gives every node the smallest of its neighbours and itself, then that one's own,
+    and goes on with the edges between what is left: those inside a component are gone, so the
+    rounds' sizes fall and long chains shrink by powers of two.
     """
     pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
-    both = cut(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
-    labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label")))
-    while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
-        hooked = labels.join(near, "node", "left").select("node", F.col("label").alias("old"), F.least("label", F.coalesce("near", "label")).alias("label"))
-        roots = labels.select(F.col("node").alias("label"), F.col("label").alias("root"))
-        jumped = hooked.join(roots, "label", "left").select("node", "old", F.least("label", F.coalesce("root", "label")).alias("label"))
-        jumped = cut(jumped)
-        labels = jumped.select("node", "label")
-        if jumped.filter("label <> old").isEmpty():
-            return labels.select("node", F.col("label").alias("component"))
+    left = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    labels = cut(left.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node")))
+    left = left.filter("a <> b")
+    while not left.isEmpty():
+        both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        near = cut(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("low")))
+        onward = near.select(F.col("node").alias("low"), F.col("low").alias("lower"))
+        step = cut(near.join(onward, "low").select("node", F.col("lower").alias("to")))
+        labels = cut(labels.join(step.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("to", "component").alias("component")))
+        moved = left.join(step.select(F.col("node").alias("a"), F.col("to").alias("x")), "a").join(step.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
+        left = cut(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    return labels
