@@ -5,26 +5,41 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.session import cut
+from spanforge.session import cut, remove_table, written
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """edges as node, component: the smallest node that can be reached, itself included.
 
-    Each round gives every node the smallest of its neighbours and itself, then that one's own,
-    and goes on with the edges between what is left: those inside a component are gone, so the
-    rounds' sizes fall and long chains shrink by powers of two.
+    Each round points every node at the smallest of its neighbours and itself, follows the
+    pointers by doubling until they rest, and goes on with the edges between what is left: those
+    inside a component are gone, so the rounds' sizes fall. Rounds are written tables, which carry
+    no plan on; one that has been used is deleted.
     """
+    old: list[str] = []
+
+    def step(df: DataFrame) -> DataFrame:
+        out, path = written(df, "components")
+        old.append(path)
+        return out
+
     pairs = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a IS NOT NULL AND b IS NOT NULL")
-    left = cut(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    labels = cut(left.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node")))
+    left = step(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    labels = step(left.select(F.explode(F.array("a", "b")).alias("node")).distinct().withColumn("component", F.col("node")))
     left = left.filter("a <> b")
     while not left.isEmpty():
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        near = cut(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("low")))
-        onward = near.select(F.col("node").alias("low"), F.col("low").alias("lower"))
-        step = cut(near.join(onward, "low").select("node", F.col("lower").alias("to")))
-        labels = cut(labels.join(step.withColumnRenamed("node", "component"), "component", "left").select("node", F.coalesce("to", "component").alias("component")))
-        moved = left.join(step.select(F.col("node").alias("a"), F.col("to").alias("x")), "a").join(step.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
-        left = cut(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        to = step(both.groupBy("a").agg(F.min("b").alias("low")).select(F.col("a").alias("node"), F.least("a", "low").alias("to"), F.lit(True).alias("moved")))
+        while not to.filter("moved AND node <> to").isEmpty():
+            onward = to.select(F.col("node").alias("to"), F.col("to").alias("next"))
+            to = step(to.join(onward, "to").select("node", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")))
+        labels = step(labels.join(to.select(F.col("node").alias("component"), "to"), "component", "left").select("node", F.coalesce("to", "component").alias("component")))
+        moved = left.join(to.select(F.col("node").alias("a"), F.col("to").alias("x")), "a").join(to.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
+        left = step(moved.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+        for path in old[:-2]:
+            remove_table(edges.sparkSession, path)
+        del old[:-2]
+    labels = cut(labels)
+    for path in old:
+        remove_table(edges.sparkSession, path)
     return labels

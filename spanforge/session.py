@@ -61,3 +61,16 @@ def let(value: Column, body) -> Column:
     element; a lambda's own variable isn't.
     """
     return F.transform(F.array(value), body)[0]
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """df written in the shared folder and read again, and where; such a table carries no plan on."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def remove_table(spark: SparkSession, path: str) -> None:
+    """Delete a table that ``written`` made."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
