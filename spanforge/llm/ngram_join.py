@@ -15,7 +15,8 @@ are used: tokens by how many texts have them, tokens by hash upwards, and by has
    few hubs, so that a group of n copies makes a multiple of n pairs. Pairs whose sizes and
    token parities fit and that share prefix tokens under the second and third order too are verified on whole sets.
 4. Where a long list still holds several components, its sets post again under a first order of
-   all their tokens, and each set outside a list's main component pairs with all of it.
+   all their tokens, pair with hubs of that order, and then each set outside a list's main
+   component pairs with all of it that is in another component.
 Components are those of the verified links; copies follow their set.
 
 Edge cases: null texts and texts without words have no shingles and link with nothing; rows that
@@ -118,7 +119,7 @@ def _all_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _prefixes(tokens: DataFrame, sizes: DataFrame, percent: int, region: float) -> DataFrame:
-    """node, n, token: the tokens of each set's prefix under the first order that another set has too.
+    """node, n, room, token: the tokens of each set's prefix under the first order that another set has too.
 
     tokens(node, token): the posted ones; sizes(node, n, posted). Tokens below region come first,
     of these the lone ones, then by texts, then by hash. Lone ones only take up room.
@@ -130,7 +131,7 @@ def _prefixes(tokens: DataFrame, sizes: DataFrame, percent: int, region: float)
     ranked = tokens.join(shared, "token").groupBy("node").agg(F.array_sort(F.collect_set(place)).alias("shared")).join(sizes, "node")
     room = (F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1 - (F.col("posted") - F.size("shared"))).cast("int")
     live = ranked.withColumn("room", room).filter("room > 0")
-    return live.select("node", "n", F.explode(F.slice("shared", F.lit(1), F.col("room"))).alias("x")).select("node", "n", F.col("x.token").alias("token"))
+    return live.select("node", "n", "room", F.explode(F.slice("shared", F.lit(1), F.col("room"))).alias("x")).select("node", "n", "room", F.col("x.token").alias("token"))
 
 
 def _fits(percent: int):
@@ -146,16 +147,25 @@ def _pairs(joined: DataFrame) -> DataFrame:
 
 def _first_pairs(posts: DataFrame, sizes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of short lists, and of long ones with their hubs; and the rows of long lists."""
-    hubs = F.array(*[F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(HUBS)])
-    lists = posts.groupBy("token").agg(F.count("*").alias("length"), hubs.alias("hubs")).filter("length > 1")
+    lists = posts.groupBy("token").agg(F.count("*").alias("length"), _hubs().alias("hubs")).filter("length > 1")
     rows = cut(posts.join(lists, "token"))
     long = rows.filter(F.col("length") > SHORT)
     short = rows.filter(F.col("length") <= SHORT).join(sizes.select("node", *BITS), "node").select("token", F.struct("node", "n", *BITS).alias("a"))
     near = short.join(short.withColumnRenamed("a", "b"), "token").filter(F.col("a.node") < F.col("b.node")).filter(_fits(percent))
+    return cut(_pairs(near).unionByName(_star(long, sizes, percent)).distinct()), long.select("token", "node", "n")
+
+
+def _hubs():
+    """Of a token's sets the one with most room, which has the fewest tokens of its own, and some by hash."""
+    return F.array(F.max_by("node", F.struct("room", "node")), *[F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(1, HUBS)])
+
+
+def _star(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of rows(node, hubs) with their hubs that fit."""
     ends = sizes.select(F.struct("node", "n", *BITS).alias("x"))
-    far = long.select(F.col("node").alias("left"), F.explode("hubs").alias("right")).filter("left <> right").distinct()
-    far = far.join(ends.withColumnRenamed("x", "a"), F.col("left") == F.col("a.node")).join(ends.withColumnRenamed("x", "b"), F.col("right") == F.col("b.node")).filter(_fits(percent))
-    return cut(_pairs(near).unionByName(_pairs(far)).distinct()), long.select("token", "node", "n")
+    far = rows.select(F.col("node").alias("left"), F.explode("hubs").alias("right")).filter("left <> right").distinct()
+    far = far.join(ends.withColumnRenamed("x", "a"), F.col("left") == F.col("a.node")).join(ends.withColumnRenamed("x", "b"), F.col("right") == F.col("b.node"))
+    return _pairs(far.filter(_fits(percent)))
 
 
 def _late_pairs(posts: DataFrame, sizes: DataFrame, components: DataFrame, percent: int) -> DataFrame:
@@ -243,7 +253,13 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, region: f
     if not again.isEmpty():
         every = sets.join(again, "node").mapInArrow(_all_tokens, "node long, token long")
         own = sizes.join(again, "node").select("node", "n", F.col("n").alias("posted"))
-        more = _linked(_late_pairs(cut(_prefixes(every, own, percent, 1.0)), sizes, components, percent), sets, percent)
+        posts = cut(_prefixes(every, own, percent, 1.0))
+        lists = posts.groupBy("token").agg(F.count("*").alias("length"), _hubs().alias("hubs")).filter("length > 1")
+        # first with hubs again, now by all tokens, so that few sets are left outside main components
+        star = _linked(cut(_star(posts.join(lists, "token"), sizes, percent).distinct()), sets, percent)
+        links = links.unionByName(star)
+        components = connected_components(links)
+        more = _linked(_late_pairs(posts, sizes, components, percent), sets, percent)
         if not more.isEmpty():
             components = connected_components(links.unionByName(more))
 
