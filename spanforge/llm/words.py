@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 _M = np.uint64(0xFFFFFFFFFFFFFFFF)
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -40,7 +41,7 @@ _powers: dict[str, np.ndarray] = {}
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the hash's base and of its inverse."""
     if not _powers or len(_powers["up"]) < n:
-        size = max(n, 1 << 20)
+        size = max(n, 1 << 19)
         inverse = pow(_BASE, -1, 1 << 64)
         for name, base in (("up", _BASE), ("down", inverse)):
             steps = np.full(size, base, dtype=np.uint64)
@@ -124,10 +125,11 @@ def shingles(words: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray,
     return mix64(total), out
 
 
-def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+def pieces(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = 600_000) -> Iterator[pa.RecordBatch]:
     """Parts of the batches with about ``most`` bytes of text each; a longer text is a part of its own."""
     for batch in batches:
-        size = Texts(batch.column(text)).offsets
+        length = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy().astype(np.int64)
+        size = np.concatenate([[0], np.cumsum(length)])
         at = 0
         while at < batch.num_rows:
             to = max(at + 1, int(np.searchsorted(size, size[at] + most, side="right")) - 1)
