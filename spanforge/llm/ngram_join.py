@@ -233,8 +233,13 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return cut(first.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
-def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, region: float = 0.2) -> DataFrame:
-    """docs(doc_id, text) as doc_id, n_shingles, component_id; one row for each row."""
+def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, region: float | None = None) -> DataFrame:
+    """docs(doc_id, text) as doc_id, n_shingles, component_id; one row for each row.
+
+    region: the share of the hash range whose tokens are counted; by default four thirds of a
+    prefix, so that a text of which a quarter of them are its own alone is left out.
+    """
+    region = (100 - percent) / 75 if region is None else region
     light = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     rows = cut(light.mapInArrow(_sizes(k, percent, region), "doc_id long, n long, posted long, node long, " + ", ".join(f"{x} long" for x in BITS)))
     sizes = cut(rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("posted").alias("posted"), *[F.min(x).alias(x) for x in BITS]))
