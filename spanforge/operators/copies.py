@@ -11,10 +11,12 @@ from spanforge.operators.intervals import coverage_fraction, overlap_join
 
 MAX_GAP = 20_000
 MEMBER = ["tool", "family"]
+#: A total order of a member's hits: those that share start and ord go by end, then strand.
+ORDER = ["chrom", "s", "ord", "e", "strand"]
 
 
 def _gaps(hits: DataFrame) -> DataFrame:
-    by = Window.partitionBy(*MEMBER).orderBy("chrom", "s", "ord")
+    by = Window.partitionBy(*MEMBER).orderBy(*ORDER)
     rows = hits.withColumn("gap", F.col("s") - F.lag("e").over(by)).withColumn("before", F.lag("e").over(by))
     same = (F.lag("chrom").over(by) == F.col("chrom")) & (F.lag("strand").over(by) == F.col("strand"))
     return rows.withColumn("joins", F.coalesce(same & F.col("gap").between(0, MAX_GAP), F.lit(False)))
@@ -23,8 +25,9 @@ def _gaps(hits: DataFrame) -> DataFrame:
 def merge_copies(hits: DataFrame, gap_aware: bool = False, veto: float = 0.5) -> DataFrame:
     """Consecutive hits of a member on one chromosome and strand within MAX_GAP as one copy.
 
-    A hit that overlaps or lies inside the one before doesn't join it. gap_aware: a gap of which
-    other tools' hits cover more than ``veto`` stays open; only gaps that would close are probed.
+    A hit that overlaps or lies inside the one before doesn't join it; hits that share start and
+    ord go by end, then strand. gap_aware: a gap of which other tools' hits cover more than
+    ``veto`` stays open; only gaps that would close are probed.
     """
     rows = _gaps(hits)
     if gap_aware:
@@ -33,7 +36,7 @@ def merge_copies(hits: DataFrame, gap_aware: bool = False, veto: float = 0.5) ->
         foreign = hits.select("tool", "chrom", "s", "e").join(tools, F.col("tool") != F.col("own")).select(F.col("own").alias("tool"), "chrom", "s", "e")
         covered = coverage_fraction(probes, foreign, ["tool", "chrom"], "ord").filter(F.col("covered") > veto).select(F.col("ord"), F.lit(True).alias("vetoed"))
         rows = rows.join(covered, "ord", "left").withColumn("joins", F.col("joins") & F.col("vetoed").isNull())
-    by = Window.partitionBy(*MEMBER).orderBy("chrom", "s", "ord").rowsBetween(Window.unboundedPreceding, 0)
+    by = Window.partitionBy(*MEMBER).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("block", F.sum(F.when(F.col("joins"), 0).otherwise(1)).over(by))
     return _reduce(rows, "block").drop("block")
 
@@ -46,7 +49,7 @@ def hit_id_copies(hits: DataFrame) -> DataFrame:
 def _reduce(rows: DataFrame, block: str) -> DataFrame:
     piece = F.struct("s", "ord", "e")
     return rows.groupBy(*MEMBER, "chrom", block).agg(
-        F.min("s").alias("start"), F.max("e").alias("end"), F.min_by("strand", F.struct("s", "ord")).alias("strand"), F.count("*").alias("n_fragments"),
+        F.min("s").alias("start"), F.max("e").alias("end"), F.min_by("strand", F.struct("s", "ord", "e", "strand")).alias("strand"), F.count("*").alias("n_fragments"),
         F.round(F.avg("div"), 6).alias("div"), F.min("cons_start").alias("cons_start"), F.max("cons_end").alias("cons_end"), F.max("cons_len").alias("cons_len"),
         F.transform(F.array_sort(F.collect_list(piece)), lambda x: F.struct(x["s"].alias("start"), x["e"].alias("end"))).alias("fragments"),
     )

@@ -192,11 +192,11 @@ def cluster_gates(spark, sf_dir):
 GAP_SQL = DEMO_SQL + """,
 gapped AS (
   SELECT *, s - lag(e) OVER w AS gap, lag(e) OVER w AS before, lag(chrom) OVER w = chrom AND lag(strand) OVER w = strand AND s - lag(e) OVER w BETWEEN 0 AND 20000 AS joins
-  FROM hits WINDOW w AS (PARTITION BY tool, family ORDER BY chrom, s, ord))"""
+  FROM hits WINDOW w AS (PARTITION BY tool, family ORDER BY chrom, s, ord, e, strand))"""
 REDUCE_SQL = """,
-blocks AS (SELECT *, sum(CASE WHEN coalesce(joins, false) THEN 0 ELSE 1 END) OVER (PARTITION BY tool, family ORDER BY chrom, s, ord ROWS UNBOUNDED PRECEDING) AS block FROM gapped),
+blocks AS (SELECT *, sum(CASE WHEN coalesce(joins, false) THEN 0 ELSE 1 END) OVER (PARTITION BY tool, family ORDER BY chrom, s, ord, e, strand ROWS UNBOUNDED PRECEDING) AS block FROM gapped),
 copies AS (
-  SELECT tool, family, chrom, min(s) AS "start", max(e) AS "end", arg_min(strand, ord) AS strand, count(*) AS n_fragments, round(avg(div), 6) AS div,
+  SELECT tool, family, chrom, min(s) AS "start", max(e) AS "end", arg_min(strand, row(s, ord, e, strand)) AS strand, count(*) AS n_fragments, round(avg(div), 6) AS div,
          min(cons_start) AS cons_start, max(cons_end) AS cons_end, max(cons_len) AS cons_len, list(e ORDER BY s, ord) AS ends, list(s ORDER BY s, ord) AS starts
   FROM blocks GROUP BY tool, family, chrom, block)"""
 VETO_SQL = GAP_SQL.replace("gapped AS (", "gapped0 AS (") + """,
@@ -226,7 +226,7 @@ def gap_aware_merge(spark, sf_dir):
 
 
 @query("WITH " + DEMO_SQL + """
-SELECT tool, family, chrom, hit_id, min(s) AS "start", max(e) AS "end", arg_min(strand, row(s, ord)) AS strand, count(*) AS n_fragments FROM hits WHERE hit_id IS NOT NULL GROUP BY tool, family, chrom, hit_id""")
+SELECT tool, family, chrom, hit_id, min(s) AS "start", max(e) AS "end", arg_min(strand, row(s, ord, e, strand)) AS strand, count(*) AS n_fragments FROM hits WHERE hit_id IS NOT NULL GROUP BY tool, family, chrom, hit_id""")
 def hit_id_group(spark, sf_dir):
     return copies.hit_id_copies(demo_hits(spark, sf_dir)).select("tool", "family", "chrom", "hit_id", "start", "end", "strand", "n_fragments")
 

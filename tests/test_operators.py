@@ -56,6 +56,14 @@ def test_merge_gap_limit_and_overlap(spark):
     assert copies.merge_copies(hits(spark, [("c", 0, 500, "+"), ("c", 10, 20, "+")])).count() == 2
 
 
+@pytest.mark.parametrize("gap_aware", [False, True])
+def test_merge_orders_ties_by_end_and_strand(spark, gap_aware):
+    rows = [("t", "f", "c", 100, 150, "+", 1.0, 7, None, None, None, None), ("t", "f", "c", 100, 300, "-", 1.0, 7, None, None, None, None), ("t", "f", "c", 310, 400, "-", 1.0, 8, None, None, None, None)]
+    for given in (rows, rows[::-1], [rows[1], rows[0], rows[2]]):
+        got = copies.merge_copies(spark.createDataFrame(given, HIT), gap_aware).collect()
+        assert sorted((r.start, r.end, r.strand, r.n_fragments) for r in got) == [(100, 150, "+", 1), (100, 400, "-", 2)]
+
+
 def test_gap_veto(spark):
     own = hits(spark, [("c", 0, 100, "+"), ("c", 150, 250, "+"), ("c", 250, 350, "+")])
     other = spark.createDataFrame([("u", "g", "c", 103, 149, "+", 1.0, 99, None, None, None, None)], HIT)
