@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanforge.session import cut
+
 #: Complements (fixed values): each letter and what stands against it.
 LETTERS = "ACGTRYKMSWBDHVNacgtrykmswbdhvn"
 OPPOSITE = "TGCAYRMKSWVHDBNtgcayrmkswvhdbn"
@@ -71,6 +76,64 @@ def occupancy(cells: DataFrame) -> DataFrame:
     return both.withColumn("cover", cover).drop("d").withColumn("occ", F.coalesce(F.try_divide("bases", "cover"), F.lit(0.0)))
 
 
+def _clean(rows: DataFrame) -> DataFrame:
+    """rows(seq) in upper case with all gap letters as -; a null sequence is empty."""
+    return rows.withColumn("seq", F.translate(F.upper(F.coalesce("seq", F.lit(""))), "._~", "---"))
+
+
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a partition's clean rows(aln_id, seq), by column: bases, and the steps of the rows' spans. Column -1 has the number of rows."""
+    held: dict[str | None, np.ndarray] = {}
+    number: Counter = Counter()
+    for batch in batches:
+        for aln, seq in zip(batch.column("aln_id").to_pylist(), batch.column("seq").to_pylist(), strict=True):
+            number[aln] += 1
+            own = held.get(aln)
+            if own is None or own.shape[1] <= len(seq):
+                wider = np.zeros((6, 2 * len(seq) + 2), np.int64)
+                if own is not None:
+                    wider[:, : own.shape[1]] = own
+                own = held[aln] = wider
+            letters = np.frombuffer(seq.encode("utf-32-le"), np.uint32)
+            n, filled = len(letters), letters != ord("-")
+            for i, base in enumerate("ACGT"):
+                own[i, :n] += letters == ord(base)
+            own[4, :n] += filled
+            at = np.flatnonzero(filled)
+            if len(at):
+                own[5, at[0]] += 1
+                own[5, at[-1] + 1] -= 1
+    for aln, own in held.items():
+        at = np.flatnonzero(own.any(axis=0))
+        columns = [np.append(at, -1).astype(np.int32), *(np.append(x[at], number[aln] if i == 4 else 0) for i, x in enumerate(own))]
+        for k in range(0, len(at) + 1, 10_000):
+            part = [x[k : k + 10_000] for x in columns]
+            yield pa.RecordBatch.from_arrays([pa.array([aln] * len(part[0]), pa.string()), *map(pa.array, part)], names=["aln_id", "col", *"acgt", "bases", "step"])
+
+
+def _tallied(clean: DataFrame) -> DataFrame:
+    """aln_id, col, a, c, g, t, bases, step over all rows; column -1 has the number of rows as bases."""
+    parts = clean.select(F.col("aln_id").cast("string").alias("aln_id"), "seq").mapInArrow(_tally, "aln_id string, col int, a long, c long, g long, t long, bases long, step long")
+    return parts.groupBy("aln_id", "col").agg(*[F.sum(x).alias(x) for x in (*"acgt", "bases", "step")])
+
+
+def row_occupancy(rows: DataFrame) -> DataFrame:
+    """``occupancy`` of ``alignment_cells(rows)``, counted by whole rows; no cell becomes a row of its own."""
+    clean = _clean(rows.select("aln_id", "row_id", "seq"))
+    counts = _tallied(clean).filter("col >= 0").drop("step")
+    lo = (F.char_length("seq") - F.char_length(F.ltrim("seq", F.lit("-")))).alias("lo")
+    hi = (F.char_length(F.rtrim("seq", F.lit("-"))) - 1).alias("hi")
+    spans = clean.select("aln_id", "row_id", lo, hi).filter("hi >= lo").groupBy("aln_id", "row_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    ends = spans.select("aln_id", F.explode(F.array(F.struct(F.col("lo").alias("col"), F.lit(1).alias("d")), F.struct((F.col("hi") + 1).alias("col"), F.lit(-1).alias("d")))).alias("x"))
+    steps = ends.groupBy("aln_id", "x.col").agg(F.sum("x.d").alias("d"))
+    # columns of gaps alone have counts of 0
+    width = clean.groupBy("aln_id").agg(F.max(F.char_length("seq")).alias("width")).filter("width > 0")
+    every = width.select("aln_id", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("col"))
+    both = every.join(counts, ["aln_id", "col"], "left").join(steps, ["aln_id", "col"], "left").na.fill(0, [*"acgt", "bases", "d"])
+    cover = F.sum("d").over(Window.partitionBy("aln_id").orderBy("col").rowsBetween(Window.unboundedPreceding, 0))
+    return both.withColumn("cover", cover).drop("d").withColumn("occ", F.coalesce(F.try_divide("bases", "cover"), F.lit(0.0)))
+
+
 def called(columns: DataFrame, n_rows: DataFrame, min_occ: float = 0.5, min_rows: int = 3) -> DataFrame:
     """Columns with match and call: the most frequent base, the code of tied ones, N where there is none."""
     joined = columns.join(n_rows, "aln_id")
@@ -89,42 +152,61 @@ def consensus(calls: DataFrame) -> DataFrame:
     return rows.select("aln_id", text(lambda x: F.when(x["match"], x["call"]).otherwise("")).alias("consensus"), text(lambda x: F.when(x["match"], x["call"]).otherwise(".")).alias("rf"), "first_match", "last_match")
 
 
+def _inside(rows: DataFrame, bounds: DataFrame) -> DataFrame:
+    """rows with their alignment's bounds, and inside: the bases they have there."""
+    own = bounds.withColumnRenamed("aln_id", "__aln")
+    joined = rows.join(own, F.col("aln_id").eqNullSafe(F.col("__aln"))).drop("__aln")
+    return joined.withColumn("inside", _bases(F.substring("seq", F.col("low") + 1, F.col("high") - F.col("low"))))
+
+
+def _bases(seq: Column) -> Column:
+    return F.char_length(F.replace(seq, F.lit("-"), F.lit("")))
+
+
+def _trim(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows cut to their bounds, without the columns in ``gone``; few at a time, as rows become as wide as the alignment."""
+    names = ["aln_id", "row_id", "seq", "start", "end", "strand"]
+    for batch in batches:
+        at = 0
+        while at < batch.num_rows:
+            out, made, first = [], 0, at
+            while at < batch.num_rows and made < 4_000_000:
+                seq, low, high, gone = (batch.column(c)[at].as_py() for c in ("seq", "low", "high", "gone"))
+                cells = np.frombuffer(seq[low:high].ljust(high - low, "-").encode("utf-32-le"), np.uint32)
+                out.append(np.delete(cells, gone).tobytes().decode("utf-32-le"))
+                made, at = made + len(out[-1]), at + 1
+            part = batch.slice(first, at - first)
+            yield pa.RecordBatch.from_arrays([pa.array(out, pa.string()) if c == "seq" else part.column(c) for c in names], names=names)
+
+
 def finalize(rows: DataFrame, min_occ: float = 0.5, min_rows: int = 3, min_bases: int = 30, rounds: int = 4) -> DataFrame:
     """rows(aln_id, row_id, seq, start, end, strand) trimmed to well-covered columns, short rows dropped, coordinates moved along.
 
-    An alignment is one sample of bounded size, so each is one group.
+    A round counts the columns of the kept rows, takes the first and last well-covered one as
+    bounds and keeps the rows with ``min_bases`` inside (with any base, where fewer than two have
+    so many). Between rounds only the bounds of each alignment are held. Rows end up as wide as
+    their alignment.
     """
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("row_id").reset_index(drop=True)
-        width = max(map(len, pdf.seq), default=0)
-        cells = np.array([list(s.upper().translate(str.maketrans("._~", "---")).ljust(width, "-")) for s in pdf.seq]) if width else np.full((len(pdf), 0), "-")
-        filled = cells != "-"
-        keep = np.ones(len(pdf), bool)
-        low, high = 0, width
-        for _ in range(rounds):
-            f = filled[keep]
-            some = f.any(axis=1)
-            first, last = f.argmax(axis=1), width - f[:, ::-1].argmax(axis=1)
-            span = (np.arange(width)[None] >= first[:, None]) & (np.arange(width)[None] < last[:, None]) & some[:, None]
-            cover = span.sum(axis=0)
-            well = (f.sum(axis=0) >= min_occ * np.maximum(cover, 1)) & (cover >= min(min_rows, len(f))) & (cover > 0)
-            at = np.flatnonzero(well)
-            low, high = (at[0], at[-1] + 1) if len(at) else (0, width)
-            inside = filled[:, low:high].sum(axis=1)
-            now = inside >= min_bases
-            if now.sum() < 2:
-                now = inside > 0
-            if (now == keep).all():
-                break
-            keep = now
-        left, right = filled[:, :low].sum(axis=1), filled[:, high:].sum(axis=1)
-        plus = pdf.strand.to_numpy() != "-"
-        pdf["start"] += np.where(plus, left, right)
-        pdf["end"] -= np.where(plus, right, left)
-        used = filled[keep][:, low:high].any(axis=0)
-        pdf["seq"] = ["".join(r[low:high][used]) for r in cells]
-        return pdf[keep]
-
-    schema = "aln_id string, row_id string, seq string, start long, end long, strand string"
-    return rows.select("aln_id", "row_id", "seq", "start", "end", "strand").groupBy("aln_id").applyInPandas(one, schema)
+    rows = cut(_clean(rows.select(F.col("aln_id").cast("string").alias("aln_id"), F.col("row_id").cast("string").alias("row_id"), "seq", F.col("start").cast("long").alias("start"), F.col("end").cast("long").alias("end"), "strand")))
+    sizes = cut(rows.groupBy("aln_id").agg(F.max(F.char_length("seq")).alias("width")))
+    bounds = sizes.select("aln_id", F.lit(0).alias("low"), F.col("width").alias("high"), F.lit(0).alias("least"))
+    by = Window.partitionBy("aln_id")
+    for _ in range(rounds):
+        columns = _tallied(_inside(rows, bounds).filter("inside >= least"))
+        cover = F.sum("step").over(by.orderBy("col").rowsBetween(Window.unboundedPreceding, 0))
+        columns = columns.withColumn("cover", cover).withColumn("n_kept", F.max(F.when(F.col("col") < 0, F.col("bases"))).over(by))
+        well = (F.col("col") >= 0) & (F.col("bases") >= min_occ * F.greatest("cover", F.lit(1))) & (F.col("cover") >= F.least(F.lit(min_rows), F.col("n_kept"))) & (F.col("cover") > 0)
+        found = columns.filter(well).groupBy(F.col("aln_id").alias("own")).agg(F.min("col").alias("first"), (F.max("col") + 1).alias("last"))
+        bounds = sizes.join(found, F.col("aln_id").eqNullSafe(F.col("own")), "left").select("aln_id", F.coalesce("first", F.lit(0)).alias("low"), F.coalesce("last", "width").alias("high"))
+        enough = _inside(rows, bounds).groupBy("aln_id", "low", "high").agg(F.count_if(F.col("inside") >= min_bases).alias("n"))
+        bounds = cut(enough.select("aln_id", "low", "high", F.when(F.col("n") < 2, 1).otherwise(min_bases).alias("least")))
+    kept = _inside(rows, bounds).filter("inside >= least")
+    used = _tallied(kept).filter("col >= 0 AND bases > 0").groupBy(F.col("aln_id").alias("own")).agg(F.collect_set("col").alias("used"))
+    every = F.when(F.col("high") > F.col("low"), F.sequence(F.col("low"), F.col("high") - 1)).otherwise(F.array().cast("array<int>"))
+    gone = F.transform(F.array_except(every, F.coalesce("used", F.array().cast("array<int>"))), lambda x: x - F.col("low"))
+    bounds = cut(bounds.join(used, F.col("aln_id").eqNullSafe(F.col("own")), "left").select("aln_id", "low", "high", "least", gone.alias("gone")))
+    kept = _inside(rows, bounds).filter("inside >= least")
+    left, right = _bases(F.expr("substring(seq, 1, low)")), _bases(F.expr("substring(seq, high + 1)"))
+    plus = F.coalesce(F.col("strand") != "-", F.lit(True))
+    moved = kept.withColumn("start", F.col("start") + F.when(plus, left).otherwise(right)).withColumn("end", F.col("end") - F.when(plus, right).otherwise(left))
+    return moved.select("aln_id", "row_id", "seq", "start", "end", "strand", "low", "high", "gone").mapInArrow(_trim, "aln_id string, row_id string, seq string, start long, end long, strand string")

@@ -68,20 +68,20 @@ calls AS (
 
 
 def _alignment(spark, sf_dir):
-    letters = F.translate(F.regexp_replace(F.substring("text", 1, 90), "[^a-z ]", ""), "abcdefghijklmnopqrstuvwxyz ", "acgtacgtaacgtacgtacgtacgan.")
-    rows = table(spark, sf_dir, "documents").filter("lang = 'en'")
+    """Whole texts of all documents, by source; letters beyond a-z and space are dropped."""
+    letters = F.translate(F.regexp_replace("text", "[^a-z ]", ""), "abcdefghijklmnopqrstuvwxyz ", "acgtacgtaacgtacgtacgtacgan.")
+    rows = table(spark, sf_dir, "documents")
     return rows.select(F.col("source").alias("aln_id"), F.col("doc_id").cast("string").alias("row_id"), F.concat(F.expr("repeat('-', CAST(doc_id % 4 AS INT))"), letters).alias("seq"), "doc_id")
 
 
 def _calls(spark, sf_dir):
     rows = _alignment(spark, sf_dir)
-    return sequences.called(sequences.occupancy(sequences.alignment_cells(rows)), rows.groupBy("aln_id").agg(F.count_distinct("row_id").alias("n_rows")))
+    return sequences.called(sequences.row_occupancy(rows), rows.groupBy("aln_id").agg(F.count_distinct("row_id").alias("n_rows")))
 
 
 @query("WITH " + ALN_SQL + " SELECT aln_id, CAST(col AS INTEGER) AS col, a, c, g, t, bases, cover, round(occ, 6) AS occ FROM tops")
 def msa_occupancy(spark, sf_dir):
-    cells = sequences.alignment_cells(_alignment(spark, sf_dir))
-    return sequences.occupancy(cells).withColumn("occ", F.round("occ", 6))
+    return sequences.row_occupancy(_alignment(spark, sf_dir)).withColumn("occ", F.round("occ", 6))
 
 
 @query("WITH " + ALN_SQL + """
