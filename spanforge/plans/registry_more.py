@@ -13,8 +13,9 @@ SEQ_SQL = """seqs AS (SELECT doc_id AS id, translate(regexp_replace(substr(text,
 
 
 def _seqs(spark, sf_dir):
-    letters = F.regexp_replace(F.substring("text", 1, 400), "[^a-z]", "")
-    return table(spark, sf_dir, "documents").filter("lang = 'en'").select(F.col("doc_id").alias("id"), F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "ACGTRACGTAACGTACGTACGTACGN").alias("seq"))
+    """Whole texts of all documents; letters beyond a-z are dropped."""
+    letters = F.regexp_replace("text", "[^a-z]", "")
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "ACGTRACGTAACGTACGTACGTACGN").alias("seq"))
 
 
 RC = "reverse(translate({0}, '" + sequences.LETTERS + "', '" + sequences.OPPOSITE + "'))"

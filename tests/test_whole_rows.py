@@ -86,3 +86,21 @@ def test_finalize_reads_whole_texts(spark, texts, folder):
         full = [(str(i), s, i * 1000, i * 1000 + len(s.replace("-", "")), "-" if i % 2 == 0 else "+") for i, s in rows]
         want |= {(source, *r) for r in plain_finalize(full)}
     assert {tuple(r) for r in registry.QUERIES["msa_finalize"](spark, folder).collect()} == want
+
+
+SEQ = str.maketrans("abcdefghijklmnopqrstuvwxyz", "ACGTRACGTAACGTACGTACGTACGN")
+AGAINST = str.maketrans("ACGTRN", "TGCAYN")
+
+
+def test_sequence_queries_read_whole_texts(spark, texts, folder):
+    repeats, pieces = {}, {}
+    for i, text, *_ in texts:
+        seq = "".join(c for c in text if "a" <= c <= "z").translate(SEQ)
+        rc = seq.translate(AGAINST)[::-1]
+        n = min(120, len(seq) // 2)
+        missed = np.cumsum([a != b for a, b in zip(seq[:n], rc[:n], strict=True)])
+        repeats[i] = tuple(int((missed <= t).sum()) for t in range(4))
+        piece = seq[max(i % 50 - 5, 0) : i % 50 + 60]
+        pieces[i] = piece.translate(AGAINST)[::-1] if i % 2 == 0 else piece
+    assert {r.id: (r.tir_0, r.tir_1, r.tir_2, r.tir_3) for r in registry.QUERIES["tir_scan"](spark, folder).collect()} == repeats
+    assert {r.id: r.seq for r in registry.QUERIES["revcomp_extract"](spark, folder).collect()} == pieces
