@@ -125,14 +125,14 @@ tiers AS (
 
 
 def _domains(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem").filter("l_linenumber = 1 AND l_partkey % 3 = 0")
+    rows = table(spark, sf_dir, "lineitem")
     profile = "CASE l_partkey % 7 WHEN 0 THEN 'RVT_1' WHEN 1 THEN 'rve' WHEN 2 THEN 'DDE_Tnp_4' WHEN 3 THEN 'gag_pre' WHEN 4 THEN 'zf-CCHC' WHEN 5 THEN 'Integrase_H2C2' ELSE 'PMD' END AS profile"
-    return analysis.domain_summary(rows.selectExpr("l_orderkey % 2000 AS seq", profile, "l_quantity / 50 AS hmm_cov"))
+    return analysis.domain_summary(rows.selectExpr("l_orderkey AS seq", profile, "l_quantity / 50 AS hmm_cov"))
 
 
 def _tiers(spark, sf_dir):
     kind = "CASE o_custkey % 6 WHEN 0 THEN 'SINE' WHEN 1 THEN 'LINE' WHEN 2 THEN 'LTR' WHEN 3 THEN 'TIR' WHEN 4 THEN 'Helitron/RC' ELSE 'x' END"
-    models = table(spark, sf_dir, "orders").filter("o_orderkey < 2000").selectExpr("o_orderkey AS seq", f"'repeat:TE:' || {kind} AS path", "CAST(floor(o_totalprice / 50) AS BIGINT) AS length", "o_custkey % 30 AS n_rows", "o_custkey % 12 AS depth")
+    models = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS seq", f"'repeat:TE:' || {kind} AS path", "CAST(floor(o_totalprice / 50) AS BIGINT) AS length", "o_custkey % 30 AS n_rows", "o_custkey % 12 AS depth")
     rows = models.join(_domains(spark, sf_dir), "seq", "left").na.fill({"n_dom": 0, "n_core": 0, "best_cov": 0.0}).withColumn("order_name", analysis.order_of_path(F.col("path")))
     return rows.withColumn("tier", analysis.tier(*[F.col(c) for c in ("order_name", "length", "n_dom", "n_core", "n_rows", "depth")]))
 
