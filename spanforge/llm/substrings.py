@@ -3,7 +3,10 @@
 A gear hash rolls over the last 16 bytes before each word. A word where it hits and where neither
 of the two words before was hit begins a chunk, so chunks have three words at least, about seven
 on average, and the same boundaries wherever a passage stands, whatever was inserted before it;
-chunks beyond 64 words are split by count. A chunk's digest is 64 bits over its words, white space
+chunks beyond 64 words are split by count. Where words repeat with a period of up to 32 for 20
+words and two periods at least, hits do too, and there may be no such word however long it goes on;
+such a passage begins and ends a chunk, and is split by whole periods of about 8 words from its
+first word on that begins the smallest rotation of the period. A chunk's digest is 64 bits over its words, white space
 aside. Of equal chunks that in the document with the smallest doc_id stays, and in one document
 the first. Consecutive repeats form a run; runs of ``min_words`` words, ``min_support`` of which
 have one and the same keeper, are cut, so that chance repeats of a few words stay.
@@ -27,6 +30,10 @@ from spanforge.llm.words import BYTE, DARK, Texts, Words, mix64, pieces
 
 WINDOW = 16
 LONGEST = 64
+#: Periods of words that are looked for, the fewest words of a periodic passage, and the least of its chunks.
+PERIODS = 32
+PERIODIC = 20
+PACE = 8
 _GEAR = (BYTE >> np.uint64(13)).astype(np.uint16)
 _STEP = 0xD1342543DE82EF95
 SPANS = "array<struct<start:long,end:long>>"
@@ -44,7 +51,26 @@ def gear(data: np.ndarray) -> np.ndarray:
     return h
 
 
-def chunks(words: Words, rate: float) -> tuple[np.ndarray, np.ndarray]:
+def periodic(hashes: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int, int]]:
+    """First word, end and period of the passages whose words repeat, the shortest period first; no two overlap."""
+    n, out = len(hashes), []
+    within = np.arange(n) - np.repeat(bounds[:-1], np.diff(bounds))
+    covered = np.zeros(n, bool)
+    for p in range(1, min(PERIODS, n - 1) + 1):
+        same = (hashes[p:] == hashes[:-p]) & (within[p:] >= p)
+        if out:
+            same &= ~(covered[p:] | covered[:-p])
+        edge = np.flatnonzero(np.diff(same, prepend=False, append=False))
+        first, end = edge[::2], edge[1::2] + p
+        for s, e in zip(first, end, strict=True) if len(first) and (end - first).max() >= PERIODIC else ():
+            s = max(s, out[-1][1]) if out and out[-1][2] == p else s
+            if e - s >= max(PERIODIC, 2 * p):
+                out.append((int(s), int(e), p))
+                covered[s:e] = True
+    return out
+
+
+def chunks(words: Words, hashes: np.ndarray, rate: float) -> tuple[np.ndarray, np.ndarray]:
     """First word and number of words of every chunk."""
     texts, n = words.texts, len(words)
     if not n:
@@ -55,6 +81,14 @@ def chunks(words: Words, rate: float) -> tuple[np.ndarray, np.ndarray]:
     begin = hit.copy()
     begin[1:] &= ~hit[:-1]
     begin[2:] &= ~hit[:-2]
+    for s, e, p in periodic(hashes, words.bounds):
+        # hits at its end are those of a whole period, whatever stands before it
+        if not begin[e - p : e].any():
+            lead = min(range(p), key=lambda j: tuple(hashes[s + j : s + j + p]))
+            begin[s:e] = False
+            begin[s] = True
+            begin[e : e + 1] = True
+            begin[s + lead : e : p * -(-PACE // p)] = True
     begin[words.bounds[:-1][words.counts > 0]] = True
     first = np.flatnonzero(begin)
     length = np.diff(np.append(first, n))
@@ -75,8 +109,9 @@ def _sums(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _chunked(part: pa.RecordBatch, rate: float) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Words, and of each chunk: row, first word in the row, words, digest; of each row a tag."""
     words = Words(Texts(part.column("text")), DARK)
-    at, length = chunks(words, rate)
-    total, down = _sums(words.hashes(lower=False))
+    hashes = words.hashes(lower=False)
+    at, length = chunks(words, hashes, rate)
+    total, down = _sums(hashes)
     digest = mix64((total[at + length] - total[at]) * down[at] + length.astype(np.uint64))
     row = np.searchsorted(words.bounds, at, side="right") - 1
     whole = mix64((total[words.bounds[1:]] - total[words.bounds[:-1]]) * down[words.bounds[:-1]])

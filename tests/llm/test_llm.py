@@ -128,6 +128,25 @@ def test_substrings_found_after_insertions(spark):
     assert all(passage not in cut[i] for i in found)
 
 
+def test_substrings_found_in_periodic_passages(spark):
+    rng = np.random.default_rng(6)
+    other = lambda n: " ".join(f"d{x}" for x in rng.integers(0, 10**6, n))
+    rows = []
+    for i in range(60):
+        # runs of one to five words, 60 words long, at another phase in the second text
+        words = [f"q{i}x{j}" for j in range(i % 5 + 1)] * 60
+        rows += [(2 * i + k, f"{other(40 + i)} {' '.join(words[3 * k : 3 * k + 60])} {other(30)}") for k in (0, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    repeats = substrings.find_repeats(docs)
+    found = {r.doc_id: r for r in repeats.collect()}
+    assert all(found[2 * i + 1].kept_doc_ids == [2 * i] and 40 <= found[2 * i + 1].removed_words <= 60 for i in range(60))
+    # what is cut is of the passage alone, and each passage stays in its first text
+    cut = {r.doc_id: r.text.split() for r in substrings.remove(docs, repeats).collect()}
+    for i, text in rows:
+        assert [w for w in cut[i] if w[0] == "d"] == [w for w in text.split() if w[0] == "d"]
+        assert i % 2 or {w for w in cut[i] if w[0] == "q"} == {w for w in text.split() if w[0] == "q"}
+
+
 def test_token_counts_match_library(spark):
     lib, public = pytest.importorskip("tokenizers"), pytest.importorskip("public_tokenizers")
     known = lib.Tokenizer.from_file(public.path("byte_bpe_50k.json"))
