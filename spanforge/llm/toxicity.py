@@ -34,7 +34,6 @@ ORDER = 8
 #: The orders that both classes share: continuation counts over all documents.
 SHARED = 3
 WINDOW = 8
-LONGEST = 40
 DISCOUNT = 0.75
 #: Counts that a context owes to its backoff beside what is discounted.
 OWED = 20.0
@@ -54,10 +53,10 @@ def distinct_words(part: pa.RecordBatch) -> tuple[Words, np.ndarray, np.ndarray]
 def letters(words: Words, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The chosen words' bytes between marks, one after the other, and the place of each start.
 
-    Of a word beyond LONGEST bytes the first LONGEST count.
+    Words are whole, as scripts without spaces have words of any length; ``pieces`` bounds their sum.
     """
     start = words.start[chosen]
-    size = np.minimum(words.end[chosen] - start, LONGEST)
+    size = words.end[chosen] - start
     at = np.concatenate([[0], np.cumsum(size + 2)])
     out = np.full(at[-1], END, np.uint64)
     out[at[:-1]] = START

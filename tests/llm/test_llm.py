@@ -221,6 +221,22 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean([r.predicted == (r.doc_id % 4 == 0) for r in held]) > 0.95
 
 
+def test_toxicity_scores_long_words_whole(spark):
+    rng = np.random.default_rng(7)
+    plain, bad = [f"{a}{b}" for a in "山川日月火" for b in "水木金土"], ["毒虫獣", "毒獣悪", "悪虫毒"]
+    rows, labels = [], []
+    for i in range(900):
+        # one word of over 300 bytes; what tells is beyond its first 100
+        w = list(rng.choice(plain, 60))
+        if toxic := i % 4 == 0:
+            for j in rng.integers(20, 60, 3):
+                w[j] = str(rng.choice(bad))
+        rows.append((i, "".join(w)))
+        labels.append((i, int(toxic)))
+    got = toxicity.score(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")).collect()
+    assert np.mean([r.predicted == (r.doc_id % 4 == 0) for r in got if r.held_out]) > 0.95
+
+
 def test_pipeline_stages(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     before = docs
