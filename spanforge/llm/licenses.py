@@ -1,7 +1,9 @@
 """License scans: phrases at their places, and templates found by an exact set-similarity join.
 
-A block is a line of a text. A template is found in a block that holds at least ``threshold`` of
-its distinct words. Words are ordered by how many documents have them, rarest first; with a
+A block is a line of a text or, for each template, a window of ``SPAN`` times its words, which goes on
+across line ends, so wrapped notices are found. Windows begin at each word of the template; no other
+window holds more of them. A template is found in a line or in one of its own windows that holds at
+least ``threshold`` of its distinct words. Words are ordered by how many documents have them, rarest first; with a
 template of n words, of which a block must have at least m, any such block has one of the
 template's first n - m + 1 words among its own first words but m - 1 (prefix filter), has m words
 of the templates at least (length filter), and from the first common word on both still hold m
@@ -22,6 +24,8 @@ from spanforge.session import cut, let
 
 #: What separates words once A-Z are in lower case.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Words of a window by words of its template, so that a notice with some words between its own is found.
+SPAN = 2
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 TEMPLATES = (
     ("apache", "licensed under the apache license version 2 0"),
@@ -65,6 +69,7 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
     that meets the threshold, else 0. phrases and templates are parameters, so their size is known.
     """
     sets = [(label, sorted(set(text.split()))) for label, text in templates]
+    spans = [SPAN * len(text.split()) for _, text in templates]
     need = [math.ceil(threshold * len(words) - 1e-9) for _, words in sets]
     vocabulary = sorted({w for _, words in sets for w in words})
     vocab = F.array(*map(F.lit, vocabulary))
@@ -100,12 +105,31 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
             out = out | (F.size(F.array_intersect(tokens, F.array(*map(F.lit, words)))) >= m)
         return out
 
+    no_blocks = F.array().cast("array<struct<own:int,block:array<string>>>")
+
+    def windows_of(t: int, parts: Column, own: Column) -> Column:
+        def window(hits: Column, hit: Column, i: Column) -> Column:
+            near = F.filter(F.slice(hits, i + 1, F.lit(spans[t])), lambda x: x["at"] < hit["at"] + spans[t])
+            return F.struct(F.lit(t).alias("own"), F.array_distinct(F.transform(near, lambda x: x["token"])).alias("block"))
+
+        placed = F.filter(F.transform(parts, lambda w, i: F.struct(i.alias("at"), w.alias("token"))), lambda x: F.array_contains(own, x["token"]))
+        return let(placed, lambda hits: F.array_distinct(F.filter(F.transform(hits, lambda hit, i: window(hits, hit, i)), lambda b: F.size(b["block"]) >= need[t])))
+
+    def windows(parts: Column, tokens: Column) -> Column:
+        """Of each template that the whole text could hold, the windows with enough of its words."""
+        out = []
+        for t, (_, words) in enumerate(sets):
+            own = F.array(*map(F.lit, words))
+            out.append(F.when(F.size(F.array_intersect(tokens, own)) >= need[t], windows_of(t, parts, own)).otherwise(no_blocks))
+        return F.concat(*out)
+
     def whole(text: Column) -> Column:
         def inner(found: Column) -> Column:
             blocks = F.transform(F.split(text, "\n"), lambda line: F.array_intersect(F.split(line, GAP), vocab))
             blocks = F.filter(blocks, lambda b: F.size(b) >= min(need))
-            none = F.array().cast("array<array<string>>")
-            return F.struct(found.alias("found"), F.when(enough(found["tokens"]), blocks).otherwise(none).alias("blocks"))
+            lines = F.transform(blocks, lambda b: F.struct(F.lit(-1).alias("own"), b.alias("block")))
+            every = F.concat(lines, let(F.split(text, GAP), lambda parts: windows(parts, found["tokens"])))
+            return F.struct(found.alias("found"), F.when(enough(found["tokens"]), every).otherwise(no_blocks).alias("blocks"))
 
         return let(of_words(text), inner)
 
@@ -130,11 +154,10 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
     spark = docs.sparkSession
     known = spark.createDataFrame(prefixes, "token string, template int, label string, t_pos int, t_size int, need int, t_words array<string>")
 
-    block = F.explode("blocks")
     ranked = F.array_sort(F.transform("block", lambda w: F.struct(rank[w].alias("rank"), w.alias("token"))))
-    blocks = light.filter(F.size("blocks") > 0).select("row", block.alias("block")).select("row", ranked.alias("ranked"), "block")
-    probes = blocks.select("row", "block", F.posexplode("ranked").alias("b_pos", "x")).select("row", "block", "b_pos", F.col("x.token").alias("token"))
-    pairs = probes.join(F.broadcast(known), "token")
+    blocks = light.filter(F.size("blocks") > 0).select("row", F.inline("blocks")).select("row", "own", ranked.alias("ranked"), "block")
+    probes = blocks.select("row", "own", "block", F.posexplode("ranked").alias("b_pos", "x")).select("row", "own", "block", "b_pos", F.col("x.token").alias("token"))
+    pairs = probes.join(F.broadcast(known), "token").filter("own IN (-1, template)")
     size = F.size("block")
     pairs = pairs.filter((size >= F.col("need")) & (F.col("b_pos") <= size - F.col("need")))
     pairs = pairs.filter(F.least(F.col("t_size") - F.col("t_pos"), size - F.col("b_pos")) >= F.col("need"))

@@ -183,6 +183,17 @@ def test_licenses(spark):
     assert got == {1: (1, 3, 3, "cc-by", "cc-by,cc-by-nc", 1.0), 2: (0, None, None, "", "", 0.0), 3: (0, None, None, "", "mit", 1.0), 4: (2, 0, 3, "reserved", "reserved", 1.0)}
 
 
+def test_licenses_wrapped_over_lines(spark):
+    bsd = licenses.TEMPLATES[1][1].split()
+    rows = [
+        (1, "intro\n# Licensed under the Apache License,\n# Version 2.0\nend"), (2, f"a b\n{' '.join(bsd[:8])}\n{' '.join(bsd[8:15])}\n\n{' '.join(bsd[15:])}"),
+        (3, "Released under the terms\nof the MIT license"), (4, "released\nunder\nthe\n" + "other " * 20 + "\nmit\nlicense"), (5, "released under mit\nlicense"),
+        (6, "Licensed under the Apache License,\n" + "x " * 5 + "Version 2.0"), (7, "the " * 5000 + "\nlicensed under the gnu lesser\ngeneral public license"),
+    ]
+    got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: ("apache", 1.0), 2: ("bsd", 1.0), 3: ("mit", 1.0), 4: ("", 0.0), 5: ("", 0.0), 6: ("apache", 1.0), 7: ("gpl,lgpl", 1.0)}
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(0)
     x = rng.standard_normal((1500, 16)).astype(np.float32)
