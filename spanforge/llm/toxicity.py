@@ -1,13 +1,15 @@
 """Toxicity by class-conditional Kneser-Ney models of the letters of words.
 
 Each word, between a start and an end mark, is a sequence of bytes. For the toxic and for the
-ordinary class a model of order ``ORDER`` is counted from labelled rows; a context that a class
-has seldom or never seen backs off to shorter ones, and the shortest to the continuation counts
-of all documents, which both classes share, so a rare expression tells nothing unless a class has
-seen its parts. A word's score is the difference of its log-likelihoods under the two models; a
-text's features are the mean over all its words, and the largest mean over a window of words and
-over a pair of them, all per word. A logistic curve fitted on labelled rows kept back from the
-models turns these into a score.
+ordinary class a model of order ``ORDER`` is counted from labelled rows: its highest order by how
+often a gram stands there, each lower one by continuation counts, that is by how many bytes come
+before a gram (a gram at a word's start has nothing before it and counts as often as it stands).
+A context that a class has seldom or never seen backs off to shorter ones, and the shortest to the
+continuation counts of all documents, which both classes share, so a rare expression tells nothing
+unless a class has seen its parts. A word's score is the difference of its log-likelihoods under
+the two models; a text's features are the mean over all its words, and the largest mean over a
+window of words and over a pair of them, all per word. A logistic curve fitted on labelled rows
+kept back from the models turns these into a score.
 
 Labels are learned from the ``most_rows`` rows of each class with the smallest hashes of doc_id,
 a documented bound; shared counts come from every document, and every text is scored whole.
@@ -25,10 +27,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanforge.llm.words import ALNUM, LOWER, Texts, Words, pieces
+from spanforge.session import cut
 
 ORDER = 8
 #: The orders that both classes share: continuation counts over all documents.
@@ -77,15 +81,26 @@ def grams(text: np.ndarray, at: np.ndarray, order: int) -> tuple[np.ndarray, np.
     return key, since >= order - 1
 
 
+#: Grams of each order that a task holds before it passes them on.
+HELD = 1_000_000
+COUNTED = "n int, key long, toxic long, ordinary long"
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """order, key, toxic, ordinary, shared: counts of a partition, merged every few parts."""
+    """n, key, toxic, ordinary: the classes' grams of ORDER and shorter ones at a word's start, and all grams of SHARED + 1."""
     held: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
     def merge(n: int, key: np.ndarray, counts: np.ndarray) -> None:
         if n in held:
             key, counts = np.concatenate([held[n][0], key]), np.concatenate([held[n][1], counts])
         unique, inverse = np.unique(key, return_inverse=True)
-        held[n] = unique, np.stack([np.bincount(inverse, counts[:, c], len(unique)) for c in range(3)], axis=1)
+        held[n] = unique, np.stack([np.bincount(inverse, counts[:, c], len(unique)) for c in range(2)], axis=1)
+
+    def passed(most: int) -> Iterator[pa.RecordBatch]:
+        for n in [n for n, (key, _) in held.items() if len(key) > most]:
+            key, counts = held.pop(n)
+            columns = [np.full(len(key), n, np.int32), key.view(np.int64), counts[:, 0].astype(np.int64), counts[:, 1].astype(np.int64)]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["n", "key", "toxic", "ordinary"])
 
     for part in pieces(batches):
         words, first, kind = distinct_words(part)
@@ -94,59 +109,68 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         text, at = letters(words, first)
         label = part.column("toxic").fill_null(2).to_numpy()[words.rows()]
         by = np.stack([np.bincount(kind[label == c], minlength=len(first)) for c in (1, 0)], axis=1).astype(float)
-        weight = np.repeat(by, np.diff(at), axis=0)
-        learned = weight.any(axis=1)
-        for n in range(2, ORDER + 1):
-            key, whole = grams(text, at, n)
-            if n <= SHARED + 1:
-                merge(n, key[whole], np.column_stack([weight[whole], np.ones(whole.sum())]))
-            elif (use := whole & learned).any():
-                merge(n, key[use], np.column_stack([weight[use], np.zeros(use.sum())]))
-    for n, (key, counts) in held.items():
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(key), n, np.int32)), pa.array(key.view(np.int64)), *(pa.array(counts[:, c].astype(np.int64)) for c in range(3))],
-            names=["n", "key", "toxic", "ordinary", "shared"],
-        )
+        learned = by.any(axis=1)
+        key, whole = grams(text, at, SHARED + 1)
+        merge(SHARED + 1, key[whole], np.zeros((whole.sum(), 2)))
+        for n in range(SHARED + 1, ORDER):
+            some = np.flatnonzero(learned & (np.diff(at) >= n))
+            key, _ = grams(text, at, n)
+            if len(some):
+                merge(n, key[at[some] + n - 1], by[some])
+        if learned.any():
+            key, whole = grams(text, at, ORDER)
+            whole &= np.repeat(learned, np.diff(at))
+            merge(ORDER, key[whole], np.repeat(by, np.diff(at), axis=0)[whole])
+        yield from passed(HELD)
+    yield from passed(0)
+
+
+def shared_base(counted: DataFrame) -> DataFrame:
+    """key, p: P(byte | the bytes before it) by continuation counts over all documents, of the grams that a class has seen."""
+    tail = F.col("key").bitwiseAND(F.lit((1 << 8 * SHARED) - 1))
+    kinds = counted.filter(f"n = {SHARED + 1}").groupBy(tail.alias("key")).agg(F.count("*").alias("before"))
+    context = Window.partitionBy(F.shiftright("key", 8))  # at most a row for each byte
+    total, follow = F.sum("before").over(context), F.count("*").over(context)
+    p = F.greatest(F.col("before") - DISCOUNT, F.lit(0.0)) / total + DISCOUNT * follow / total / 256
+    seen = counted.filter("toxic + ordinary > 0").select(tail.alias("key")).distinct()
+    return kinds.withColumn("p", p).join(seen, "key", "left_semi").select("key", "p")
 
 
 class Model:
     """Log-likelihood differences by gram, and differences of backoff weights by context."""
 
-    def __init__(self, counts: dict[int, tuple[np.ndarray, np.ndarray]]):
-        """counts: by order the sorted keys and their toxic, ordinary and shared counts."""
+    def __init__(self, seen: dict[int, tuple[np.ndarray, np.ndarray]], base: tuple[np.ndarray, np.ndarray]):
+        """seen: by order the sorted keys and their toxic and ordinary counts, of ORDER all and of lower ones those at a word's start.
+
+        base: sorted keys of SHARED bytes and their probabilities.
+        """
+        none = np.zeros(0, np.uint64), np.zeros((0, 2))
+        counts = {ORDER: seen.get(ORDER, none)}
+        for n in range(ORDER - 1, SHARED, -1):
+            key, c = counts[n + 1]
+            tail, place = np.unique(key & np.uint64((1 << 8 * n) - 1), return_inverse=True)
+            before = np.stack([np.bincount(place, c[:, i] > 0, len(tail)) for i in range(2)], axis=1)
+            first, often = seen.get(n, none)
+            key, c = np.concatenate([tail, first]), np.concatenate([before, often])
+            order = np.argsort(key)
+            counts[n] = key[order], c[order]
+
         self.gram: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         self.back: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        base = self._shared(counts)
         lower: dict[int, tuple[np.ndarray, np.ndarray]] = {}
         for n in range(SHARED + 1, ORDER + 1):
-            if n not in counts:
+            key, c = counts.pop(n)
+            if not len(key):
                 continue
-            key, c = counts[n]
-            keep = c[:, :2].any(axis=1)
-            key, c = key[keep], c[keep, :2]
             context, place = np.unique(key >> np.uint64(8), return_inverse=True)
             total = np.stack([np.bincount(place, c[:, i], len(context)) for i in range(2)], axis=1)
             kinds = np.stack([np.bincount(place, c[:, i] > 0, len(context)) for i in range(2)], axis=1)
             weight = (DISCOUNT * kinds + OWED) / (total + OWED)
-            tail = key & np.uint64((1 << 8 * (n - 1)) - 1)
-            below = self._below(tail, n - 1, lower, base)
-            p = np.maximum(c - DISCOUNT, 0) / (total[place] + OWED) + weight[place] * below
-            lower[n] = key, p
-            lower[-n] = context, weight
+            p = np.maximum(c - DISCOUNT, 0) / (total[place] + OWED) + weight[place] * self._below(key & np.uint64((1 << 8 * (n - 1)) - 1), n - 1, lower, base)
+            lower = {n: (key, p), -n: (context, weight)}
             self.gram[n] = key, (np.log(p[:, 0]) - np.log(p[:, 1])).astype(np.float32)
             self.back[n] = context, (np.log(weight[:, 0]) - np.log(weight[:, 1])).astype(np.float32)
 
-    @staticmethod
-    def _shared(counts):
-        """P(byte | the bytes before it) by continuation counts: how many bytes come before the gram."""
-        key, c = counts.get(SHARED + 1, (np.zeros(0, np.uint64), np.zeros((0, 3))))
-        tail, n = np.unique(key[c[:, 2] > 0] & np.uint64((1 << 8 * SHARED) - 1), return_counts=True)
-        context, place = np.unique(tail >> np.uint64(8), return_inverse=True)
-        total = np.bincount(place, n, len(context))
-        kinds = np.bincount(place, minlength=len(context))
-        p = np.maximum(n - DISCOUNT, 0) / total[place] + DISCOUNT * kinds[place] / total[place] / 256
-        return tail, p, context, DISCOUNT * kinds / np.maximum(total, 1) / 256
-
     @staticmethod
     def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(keys):
@@ -155,25 +179,10 @@ class Model:
         return at, keys[at] == wanted
 
     def _below(self, key: np.ndarray, n: int, lower: dict, base: tuple) -> np.ndarray:
-        """Both classes' probabilities of grams of order n."""
-        if n <= SHARED:
-            tail, p, context, rest = base
-            at, known = self._find(tail, key)
-            ctx, seen = self._find(context, key >> np.uint64(8))
-            fallback = np.where(seen, rest[ctx] if len(rest) else 0, 1 / 256)
-            value = np.where(known, p[at] if len(p) else 0, fallback)
-            return np.stack([value, value], axis=1)
-        if n not in lower:
-            return self._below(key & np.uint64((1 << 8 * (n - 1)) - 1), n - 1, lower, base)
-        keys, p = lower[n]
-        at, known = self._find(keys, key)
-        out = p[at].copy()
-        if not known.all():
-            rest = key[~known]
-            context, weight = lower[-n]
-            ctx, seen = self._find(context, rest >> np.uint64(8))
-            out[~known] = self._below(rest & np.uint64((1 << 8 * (n - 1)) - 1), n - 1, lower, base) * np.where(seen[:, None], weight[ctx], 1.0)
-        return out
+        """Both classes' probabilities of grams of order n, each of which some class has seen."""
+        keys, p = lower.get(n, base)
+        at, _ = self._find(keys, key)
+        return p[at] if n in lower else np.stack([p[at], p[at]], axis=1)
 
     def words(self, words: Words, first: np.ndarray) -> np.ndarray:
         """The difference of log-likelihoods of each chosen word."""
@@ -238,13 +247,15 @@ def _shape(x: np.ndarray) -> np.ndarray:
 
 
 class Scorer:
-    def __init__(self, model: Model | None, weights: np.ndarray | None, prior: float):
+    """Scores of Arrow batches; holds the models as a broadcast, which is sent once."""
+
+    def __init__(self, model: Broadcast | None, weights: np.ndarray | None, prior: float):
         self.model, self.weights, self.prior = model, weights, prior
 
     def score(self, part: pa.RecordBatch) -> np.ndarray:
         if self.model is None or self.weights is None:
             return np.full(part.num_rows, self.prior)
-        x = _shape(self.model.features(part))
+        x = _shape(self.model.value.features(part))
         return 1 / (1 + np.exp(-np.clip(np.column_stack([np.ones(len(x)), x]) @ self.weights, -30, 30)))
 
 
@@ -252,6 +263,27 @@ def held_out(doc_id):
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(3)) == 1
 
 
+def fit_models(texts: DataFrame, sampled: DataFrame) -> Model:
+    """The models of texts(own_id, text) by sampled(own_id, toxic, part), those of part 0 aside.
+
+    What comes to the driver is bounded by the sample: grams of its rows, and the shared
+    probabilities of their endings. The grams of all documents stay where they are.
+    """
+    joined = texts.join(F.broadcast(sampled), "own_id", "left").select("text", F.when(F.col("part") > 0, F.col("toxic")).alias("toxic"))
+    counted = cut(joined.mapInArrow(_count, COUNTED).groupBy("n", "key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")))
+    base = shared_base(counted).toArrow()
+    key, p = base.column("key").to_numpy().view(np.uint64), base.column("p").to_numpy()
+    order = np.argsort(key)
+    ends = key[order], p[order]
+    seen = {}
+    for n in range(SHARED + 1, ORDER + 1):
+        rows = counted.filter(F.col("n") == n).filter("toxic + ordinary > 0").select("key", "toxic", "ordinary").toArrow()
+        key = rows.column("key").to_numpy().view(np.uint64)
+        order = np.argsort(key)
+        seen[n] = key[order], np.stack([rows.column(c).to_numpy()[order] for c in ("toxic", "ordinary")], axis=1).astype(float)
+    return Model(seen, ends)
+
+
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = 4_000, keep_back: int = 5) -> Scorer:
     """A scorer from docs(doc_id, text) and labels(doc_id, toxic), held-out rows aside.
 
@@ -267,25 +299,11 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 4_000, keep_back:
         sample = some if sample is None else sample.unionByName(some)
     chosen = sample.select("doc_id", "toxic", F.pmod("hash", F.lit(keep_back)).alias("part")).toPandas()
     prior = float(chosen.toxic.mean()) if len(chosen) else 0.0
-    fitted = chosen[chosen.part > 0]
-    if fitted.toxic.nunique() < 2:
+    if chosen[chosen.part > 0].toxic.nunique() < 2:
         return Scorer(None, None, prior)
     sampled = spark.createDataFrame(chosen.rename(columns={"doc_id": "own_id"}), "own_id long, toxic int, part long")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("own_id"), "text")
-    joined = texts.join(F.broadcast(sampled), "own_id", "left").select("text", F.when(F.col("part") > 0, F.col("toxic")).alias("toxic"))
-    counted = joined.mapInArrow(_count, "n int, key long, toxic long, ordinary long, shared long").groupBy("n", "key").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"), F.sum("shared").alias("shared"))
-    # what is kept for classes is bounded by the sample; of shared counts only the shortest grams are
-    table = counted.filter(f"n = {SHARED + 1} OR n > {SHARED + 1} AND toxic + ordinary > 0").toArrow()
-    n, key = table.column("n").to_numpy(), table.column("key").to_numpy().view(np.uint64)
-    values = np.stack([table.column(c).to_numpy() for c in ("toxic", "ordinary", "shared")], axis=1).astype(float)
-    counts = {}
-    for order in np.unique(n):
-        at = np.flatnonzero(n == order)
-        at = at[np.argsort(key[at])]
-        counts[int(order)] = key[at], values[at]
-    model = Model(counts)
-
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast(fit_models(texts, sampled))
     names = [f"f{i}" for i in range(FEATURES)]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,18 +314,19 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 4_000, keep_back:
     # both parts are measured alike by rows the models haven't seen
     back = texts.join(F.broadcast(sampled.filter("part = 0")), "own_id").select("text", "toxic")
     rows = back.mapInArrow(measure, "toxic int, " + ", ".join(f"{x} double" for x in names)).toPandas().sort_values(["toxic", *names])
+    pa.default_memory_pool().release_unused()
     if rows.toxic.nunique() < 2:
         return Scorer(None, None, prior)
-    return Scorer(model, logistic(_shape(rows[names].to_numpy()), rows.toxic.to_numpy(float)), prior)
+    return Scorer(shared, logistic(_shape(rows[names].to_numpy()), rows.toxic.to_numpy(float)), prior)
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
     """docs as doc_id, held_out, score, predicted; one row for each row."""
-    scorer = docs.sparkSession.sparkContext.broadcast(train(docs, labels, **options))
+    scorer = train(docs, labels, **options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
-            s = scorer.value.score(part)
+            s = scorer.score(part)
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held_out"), pa.array(s), pa.array((s >= threshold).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), held_out(F.col("doc_id")).alias("held_out"), "text")
@@ -316,10 +335,10 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options)
 
 def remove(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, **options) -> DataFrame:
     """docs without those that score the threshold or more."""
-    scorer = docs.sparkSession.sparkContext.broadcast(train(docs, labels, **options))
+    scorer = train(docs, labels, **options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
-            yield part.filter(pa.array(scorer.value.score(part) < threshold))
+            yield part.filter(pa.array(scorer.score(part) < threshold))
 
     return docs.mapInArrow(run, docs.schema)
