@@ -38,7 +38,7 @@ DARK = ~((_byte == 32) | ((_byte >= 9) & (_byte <= 13)))
 _powers: dict[str, np.ndarray] = {}
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first n powers of the hash's base and of its inverse."""
     if not _powers or len(_powers["up"]) < n:
         size = max(n, 1 << 19)
@@ -103,7 +103,7 @@ class Words:
     def hashes(self, lower: bool = True) -> np.ndarray:
         """A 64-bit hash of each word's bytes, A-Z as a-z."""
         data = LOWER[self.texts.data] if lower else self.texts.data
-        up, down = _power(len(data) + 1)
+        up, down = powers(len(data) + 1)
         total = np.zeros(len(data) + 1, dtype=np.uint64)
         np.cumsum(BYTE[data] * up[:-1], out=total[1:])
         return mix64((total[self.end] - total[self.start]) * down[self.start])
