@@ -13,15 +13,18 @@ are used: tokens by how many texts have them, tokens by hash upwards, and by has
    one from here on.
 3. Sets under a token pair up: all of a short posting list, and every set of a long one with a
    few hubs, so that a group of n copies makes a multiple of n pairs. Pairs whose sizes and
-   token parities fit and that share prefix tokens under the second and third order too are verified on whole sets.
+   token parities fit get the prefixes of both sets under the second and third order by join; those
+   that share a token under each are verified on whole sets.
 4. Where a long list still holds several components, its sets post again under a first order of
    all their tokens, pair with hubs of that order, and then each set outside a list's main
    component pairs with all of it that is in another component.
 Components are those of the verified links; copies follow their set.
 
 Edge cases: null texts and texts without words have no shingles and link with nothing; rows that
-share a doc_id stay apart as texts but share what is linked to either; an empty table gives an
-empty result; further columns are left alone.
+share a doc_id stay apart as texts and may be in different components; an empty table gives an
+empty result; further columns are left alone. ``keep_one`` keeps one row of each component, that
+with the smallest doc_id (null last) and then the smallest hash of its text, whatever other rows
+share its doc_id; of repeated rows it keeps one; texts without words all stay.
 """
 
 from __future__ import annotations
@@ -86,7 +89,7 @@ def _sizes(k: int, percent: int, region: float):
         for part in pieces(batches):
             made, bounds, digest = token_sets(part, k)
             posted = _posted(made, bounds, percent, region)
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(np.diff(bounds), pa.int64()), pa.array(posted, pa.int64()), pa.array(digest.view(np.int64)), *_parities(made, bounds)], names=["doc_id", "n", "posted", "node", *BITS])
+            yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("text_hash"), pa.array(np.diff(bounds), pa.int64()), pa.array(posted, pa.int64()), pa.array(digest.view(np.int64)), *_parities(made, bounds)], names=["doc_id", "text_hash", "n", "posted", "node", *BITS])
 
     return run
 
@@ -179,10 +182,10 @@ def _late_pairs(posts: DataFrame, sizes: DataFrame, components: DataFrame, perce
     return cut(_pairs(left.join(right, "token").filter("a_part <> b_part").filter(_fits(percent))).distinct())
 
 
-def _sets(docs: DataFrame, sizes: DataFrame, wanted: DataFrame, k: int) -> DataFrame:
-    """node, tokens (bytes) of the wanted nodes, from the text with each one's smallest doc_id.
+def _sets(docs: DataFrame, sizes: DataFrame, wanted: DataFrame, k: int, percent: int) -> DataFrame:
+    """node, tokens (bytes), low and high (the prefixes by rising and by falling hash) of the wanted nodes, from the text with each one's smallest doc_id.
 
-    Up to HELD_IDS nodes are named to the tasks; more are found by a join.
+    Up to HELD_IDS nodes are named to the tasks; of more, their texts are found by a join.
     """
     named = wanted.select("node").distinct().join(sizes.select("node", "doc_id"), "node")
     held = named.limit(HELD_IDS + 1).count() <= HELD_IDS
@@ -193,6 +196,8 @@ def _sets(docs: DataFrame, sizes: DataFrame, wanted: DataFrame, k: int) -> DataF
         order = np.argsort(node)
         doc = rows.column("doc_id").fill_null(-(2**63)).to_numpy()
         index = docs.sparkSession.sparkContext.broadcast((node[order], doc[order]))
+    else:
+        docs = docs.join(named.select(F.col("doc_id").alias("own")).distinct(), F.col("doc_id").eqNullSafe(F.col("own")), "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
@@ -206,53 +211,61 @@ def _sets(docs: DataFrame, sizes: DataFrame, wanted: DataFrame, k: int) -> DataF
                 at = np.minimum(np.searchsorted(nodes, node), len(nodes) - 1)
                 keep &= (nodes[at] == node) & (docs_[at] == part.column("doc_id").fill_null(-(2**63)).to_numpy())
             for i in np.flatnonzero(keep):
-                yield pa.RecordBatch.from_arrays([pa.array(node[i : i + 1]), part.column("doc_id").slice(i, 1), pa.array([made[bounds[i] : bounds[i + 1]].tobytes()], pa.binary())], names=["node", "doc_id", "tokens"])
+                own = made[bounds[i] : bounds[i + 1]]
+                p = prefix(len(own), percent)
+                ends = [pa.array([x.view(np.int64)], pa.list_(pa.int64())) for x in (own[:p], own[-p:])]
+                yield pa.RecordBatch.from_arrays([pa.array(node[i : i + 1]), part.column("doc_id").slice(i, 1), pa.array([own.tobytes()], pa.binary()), *ends], names=["node", "doc_id", "tokens", "low", "high"])
 
-    found = docs.mapInArrow(run, "node long, doc_id long, tokens binary")
+    found = docs.mapInArrow(run, "node long, doc_id long, tokens binary, low array<long>, high array<long>")
     if not held:
         found = found.join(named.select("node", F.col("doc_id").alias("own")), "node").filter(F.col("doc_id").eqNullSafe(F.col("own")))
-    return cut(found.select("node", "tokens").dropDuplicates(["node"]))
+    return cut(found.select("node", "tokens", "low", "high").dropDuplicates(["node"]))
+
+
+def _candidates(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs that share prefix tokens by rising and by falling hash too."""
+    ends = {x: sets.select(F.col("node").alias(x), F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}")) for x in "ab"}
+    shares = F.arrays_overlap("low_a", "low_b") & F.arrays_overlap("high_a", "high_b")
+    return pairs.join(ends["a"], "a").join(ends["b"], "b").filter(shares).select("a", "b")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs that share prefix tokens by rising and by falling hash, and whose sets then meet the threshold."""
+    """The candidates among the pairs whose sets meet the threshold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
                 a, b = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
-                p, q = prefix(len(a), percent), prefix(len(b), percent)
-                if not len(np.intersect1d(a[:p], b[:q], True)) or not len(np.intersect1d(a[-p:], b[-q:], True)):
-                    continue
                 both = len(np.intersect1d(a, b, True))
                 keep[i] = 100 * both >= percent * (len(a) + len(b) - both)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
-    first = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
+    near = cut(_candidates(pairs, sets))
+    first = near.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
     return cut(first.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
-def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, region: float | None = None) -> DataFrame:
-    """docs(doc_id, text) as doc_id, n_shingles, component_id; one row for each row.
+def components(docs: DataFrame, k: int, percent: int, region: float | None = None) -> DataFrame:
+    """docs(doc_id, text) as doc_id, text_hash, n, and least: the component's smallest (none, doc_id, text_hash), null without words; one row for each row.
 
     region: the share of the hash range whose tokens are counted; by default four thirds of a
     prefix, so that a text of which a quarter of them are its own alone is left out.
     """
     region = (100 - percent) / 75 if region is None else region
-    light = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    rows = cut(light.mapInArrow(_sizes(k, percent, region), "doc_id long, n long, posted long, node long, " + ", ".join(f"{x} long" for x in BITS)))
-    sizes = cut(rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min("n").alias("n"), F.min("posted").alias("posted"), *[F.min(x).alias(x) for x in BITS]))
+    light = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"))
+    rows = cut(light.mapInArrow(_sizes(k, percent, region), "doc_id long, text_hash long, n long, posted long, node long, " + ", ".join(f"{x} long" for x in BITS)))
+    sizes = cut(rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"), F.min("n").alias("n"), F.min("posted").alias("posted"), *[F.min(x).alias(x) for x in BITS]))
 
     tokens = light.mapInArrow(_low_tokens(k, percent, region), "node long, token long")
     posts = cut(_prefixes(tokens, sizes.select("node", "n", "posted"), percent, region))
     pairs, long = _first_pairs(posts, sizes, percent)
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(long.select("node"))
-    sets = _sets(light, sizes, named, k)
+    sets = _sets(light.drop("text_hash"), sizes, named, k, percent)
     links = _linked(pairs, sets, percent)
-    components = connected_components(links)
+    placed = connected_components(links)
 
-    mixed = long.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = long.join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
     mixed = mixed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
     again = cut(long.join(mixed.select("token"), "token").select("node").distinct())
     if not again.isEmpty():
@@ -263,18 +276,31 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, region: f
         # first with hubs again, now by all tokens, so that few sets are left outside main components
         star = _linked(cut(_star(posts.join(lists, "token"), sizes, percent).distinct()), sets, percent)
         links = links.unionByName(star)
-        components = connected_components(links)
-        more = _linked(_late_pairs(posts, sizes, components, percent), sets, percent)
+        placed = connected_components(links)
+        more = _linked(_late_pairs(posts, sizes, placed, percent), sets, percent)
         if not more.isEmpty():
-            components = connected_components(links.unionByName(more))
+            placed = connected_components(links.unionByName(more))
 
-    joined = sizes.select("node", "doc_id").join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    named = joined.join(joined.groupBy("component").agg(F.min("doc_id").alias("component_id")), "component").select("node", "component_id")
-    out = rows.join(named, "node", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    joined = sizes.select("node", "first").join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = joined.join(joined.groupBy("component").agg(F.min("first").alias("least")), "component").select("node", "least")
+    return rows.select("doc_id", "text_hash", "n", "node").join(named, "node", "left").drop("node")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """docs with one document of each component: that with the smallest doc_id, texts without words all."""
-    gone = jaccard_components(docs, **options).filter("doc_id <> component_id").select(F.col("doc_id").alias("__doc")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("__doc"), "left_anti")
+def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85, region: float | None = None) -> DataFrame:
+    """docs(doc_id, text) as doc_id, n_shingles, component_id (the smallest doc_id that links reach); one row for each row."""
+    rows = components(docs, k, percent, region)
+    return rows.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least.doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
+
+
+def keep_one(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
+    """docs with one row of each component, and all rows without words."""
+    rows = components(docs, k, percent).filter("n > 0")
+    stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
+    keys = cut(rows.groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), stays.alias("__stays")).agg((F.count("*") > 1).alias("__many")))
+    own = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash"))
+    left = docs.join(keys.filter("NOT __stays"), own, "left_anti")
+    repeated = keys.filter("__stays AND __many").select("__doc", "__hash")
+    if repeated.isEmpty():
+        return left
+    once = left.join(repeated, own).dropDuplicates(["__doc", "__hash"]).select(docs.columns)
+    return left.join(repeated, own, "left_anti").unionByName(once)
