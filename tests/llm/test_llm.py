@@ -7,6 +7,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,6 +73,57 @@ def test_decontaminate_blocks_agree(spark):
         assert sorted(r.doc_id for r in decontaminate.remove(docs, bench, block_bytes=size).collect()) == [2, 4]
 
 
+def plain_scan(text, items, window=13):
+    """covered places, items, and the length of the longest match that holds a window, by comparing everything."""
+    cut = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t or "")
+    words, hit, found, longest = cut(text), set(), set(), 0
+    for name, item in items:
+        own = cut(item)
+        need = min(window, len(own))
+        for i in range(len(words)):
+            for j in range(len(own)):
+                n = 0
+                while i + n < len(words) and j + n < len(own) and words[i + n] == own[j + n]:
+                    n += 1
+                if need and n >= need:
+                    hit |= set(range(i, i + n))
+                    found.add(str(name))
+                    longest = max(longest, n)
+    return len(words), len(hit), sorted(found), longest
+
+
+@pytest.mark.parametrize("block_bytes", [100_000, 400, 60])
+def test_decontaminate_against_brute_force(spark, block_bytes):
+    rng = np.random.default_rng(8)
+    draw = lambda n, kinds: [str(x) for x in rng.choice([f"w{i}" for i in range(kinds)], n)]
+    side = [draw(13, 500), draw(13, 500)]
+    items = [(0, " ".join(side[0])), (1, " ".join(side[1])), (2, "same " * 40), (3, " ".join(draw(30, 3))), (4, "one two"), (5, ""), (6, None), (7, " ".join(draw(20, 60))), (7, "two"), (8, "same " * 14)]
+    texts = [" ".join(side[0] + side[1]), "same " * 60, "", None, "one two three", items[7][1] + " tail"]
+    for _ in range(30):
+        own = draw(25, 3)
+        for _, t in (items[i] for i in rng.integers(0, len(items), 2)):
+            words = (t or "").split()
+            a = int(rng.integers(0, max(1, len(words))))
+            own[5:5] = words[a : a + int(rng.integers(1, 30))]
+        texts.append(" ".join(own))
+    docs = spark.createDataFrame([(i // 2 if i % 5 else None, t, "x", i) for i, t in enumerate(texts)], "doc_id long, text string, __found string, row int")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.scan(docs, bench, block_bytes=block_bytes).select("n_words", "n_hit", "items", "longest").collect()
+    want = [plain_scan(t, items) for t in texts]
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+    kept = decontaminate.remove(docs, bench, block_bytes=block_bytes)
+    assert kept.columns == docs.columns
+    # rows, not ids, are kept or dropped
+    assert sorted(r.row for r in kept.collect()) == [i for i, (n, hit, *_) in enumerate(want) if not (hit and 20 * hit >= n)]
+
+
+def test_decontaminate_gives_places(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f x c d e f g")], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, "z c d e f g"), (6, "b c d")], "item_id long, text string")
+    row = decontaminate.scan(docs, bench, window=3).head()
+    assert [tuple(m) for m in row.matches] == [(1, 3, "6", 0), (2, 4, "5", 1), (7, 5, "5", 1)] and row.longest == 5
+
+
 def test_suffix_array_orders_suffixes():
     rng = np.random.default_rng(1)
     text = np.concatenate([rng.integers(0, 3, 300), np.zeros(40, np.int64)])
@@ -99,9 +151,10 @@ def brute_components(texts, k, percent):
     return {i: (len(sets[i]), part[i]) for i in texts}
 
 
-@pytest.mark.parametrize("short", [2, 48])
-def test_jaccard_components(spark, monkeypatch, short):
+@pytest.mark.parametrize(("short", "held", "k", "percent"), [(2, 10**6, 4, 85), (48, 0, 4, 85), (2, 0, 5, 80)])
+def test_jaccard_components(spark, monkeypatch, short, held, k, percent):
     monkeypatch.setattr(ngram_join, "SHORT", short)
+    monkeypatch.setattr(ngram_join, "HELD_IDS", held)
     rng = np.random.default_rng(3)
     base = [f"v{i}" for i in rng.integers(0, 500, 120)]
     texts = {0: None, 1: "", 2: "a b", 3: "A  B"}
@@ -112,7 +165,17 @@ def test_jaccard_components(spark, monkeypatch, short):
         texts[i] = " ".join(w)
     texts[40] = texts[5]
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs).collect()} == brute_components(texts, 4, 85)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs, k, percent).collect()} == brute_components(texts, k, percent)
+
+
+def test_keep_one_decides_by_row(spark):
+    same, other = "one two three four five six seven", "quite another text that links with nothing else here"
+    rows = [(1, same, "a"), (1, same, "b"), (2, same, "c"), (2, other, "d"), (None, same, "e"), (None, "null ids alone in a group", "f"), (None, "null ids alone in a group", "g"), (5, "", "h"), (5, None, "i")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, node string")
+    kept = ngram_join.keep_one(docs, 5, 80)
+    assert kept.columns == docs.columns
+    got = sorted(r.node for r in kept.collect())
+    assert got[0] in "ab" and got[1] == "d" and got[2] in "fg" and got[3:] == ["h", "i"]
 
 
 def test_substrings_found_after_insertions(spark):
@@ -215,6 +278,110 @@ def test_neighbours(spark):
     assert [(r.rank, r.vec_id) for r in ann.nearest(few).orderBy("rank").collect()] == [(1, 1), (2, 2)]
 
 
+def test_neighbours_of_clustered_vectors_need_few_candidates(spark):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((400, 32))[rng.integers(0, 400, 20_000)] + 0.15 * rng.standard_normal((20_000, 32))
+    df = spark.createDataFrame(pa.table({"vec_id": pa.array(np.arange(len(x))), "embedding": pa.array(list(x), pa.list_(pa.float64()))}))
+    got = {}
+    for r in ann.nearest(df, every=400).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    asked = np.arange(0, len(x), 400)
+    d = np.sqrt(((x[asked][:, None] - x[None]) ** 2).sum(2))
+    best = np.argsort(np.where(np.arange(len(x))[None] == asked[:, None], np.inf, d), axis=1)[:, :10]
+    assert np.mean([len(got[q] & set(b)) / 10 for q, b in zip(asked, best, strict=True)]) >= 0.9
+    index = df.select(F.col("vec_id").alias("node"), "embedding")
+    hashing = ann.fitted(index, len(x), 10, 8, 2048)
+    own, seen = hashing.own(x), hashing.visited(x[asked])
+    assert np.mean([np.any([np.isin(own[:, t], v[t]) for t in range(8)], axis=0).mean() for v in seen]) < 0.05
+
+
+def test_neighbours_in_blocks_of_queries_and_the_exact_way(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.standard_normal((300, 8)), 50 + 30 * rng.standard_normal((12, 8))])
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2))
+    monkeypatch.setattr(ann, "ASKED", 16)
+    monkeypatch.setattr(ann, "BLOCK", 40)
+    # cells so narrow that they hold the queries alone
+    monkeypatch.setattr(ann, "fitted", lambda index, n, k, tables, sample: ann.Hashing(8, tables, 8, 1e-3, 1))
+    got = {}
+    for r in ann.nearest(df, every=1).collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    want = {i: [int(j) for j in np.lexsort((np.arange(len(x)), row)) if j != i][:10] for i, row in enumerate(d)}
+    assert {q: [v for _, v in sorted(rows)] for q, rows in got.items()} == want
+
+
+def plain_kneser_ney(words, order, shared, discount, owed, rows):
+    """Log-likelihood difference of each word in ``words`` by dictionaries of counts; rows: (words, label or None)."""
+    from collections import defaultdict
+
+    mark = lambda w: bytes([1]) + w.encode() + bytes([2])
+    every = {mark(w) for ws, _ in rows for w in ws}
+    raw = [defaultdict(int), defaultdict(int)]
+    for ws, label in rows:
+        for w in ws:
+            if label in (0, 1):
+                t = mark(w)
+                for n in range(shared + 1, order + 1):
+                    for i in range(len(t) - n + 1):
+                        raw[1 - label][t[i : i + n]] += 1
+
+    def count(c, g):
+        if len(g) == order or g[0] == 1:
+            return raw[c][g]
+        return sum(raw[c][bytes([b]) + g] > 0 for b in range(1, 256))
+
+    fours = {t[i : i + shared + 1] for t in every for i in range(len(t) - shared)}
+    before = defaultdict(int)
+    for g in fours:
+        before[g[1:]] += 1
+
+    def base(g):
+        follow = [v for k, v in before.items() if k[:-1] == g[:-1]]
+        return max(before[g] - discount, 0) / sum(follow) + discount * len(follow) / sum(follow) / 256
+
+    seen = lambda g: any(count(c, g) for c in (0, 1))
+
+    def p(c, g):
+        if len(g) == shared:
+            return base(g)
+        follow = [count(c, g[:-1] + bytes([b])) for b in range(1, 256)]
+        total, kinds = sum(follow), sum(f > 0 for f in follow)
+        return max(count(c, g) - discount, 0) / (total + owed) + (discount * kinds + owed) / (total + owed) * p(c, g[1:])
+
+    def ratio(g):
+        """The difference at the longest seen gram, and of backoff weights above it."""
+        if len(g) == shared:
+            return 0.0
+        if seen(g):
+            return math.log(p(0, g)) - math.log(p(1, g))
+        weight = []
+        for c in (0, 1):
+            follow = [count(c, g[:-1] + bytes([b])) for b in range(1, 256)]
+            weight.append((discount * sum(f > 0 for f in follow) + owed) / (sum(follow) + owed))
+        return math.log(weight[0]) - math.log(weight[1]) + ratio(g[1:])
+
+    out = []
+    for w in words:
+        t = mark(w)
+        out.append(sum(ratio(t[max(0, i + 1 - order) : i + 1]) for i in range(shared, len(t))))
+    return out
+
+
+def test_toxicity_models_against_dictionaries(spark):
+    rng = np.random.default_rng(4)
+    kinds = ["ab", "abc", "banana", "bandana", "cabana", "abracadabra", "cab", "bac", "q", "nabab"]
+    rows = [([str(w) for w in rng.choice(kinds, 6)], (1, 0, None)[i % 3]) for i in range(24)]
+    texts = spark.createDataFrame([(i, " ".join(ws)) for i, (ws, _) in enumerate(rows)], "own_id long, text string")
+    sampled = spark.createDataFrame([(i, label, 1) for i, (_, label) in enumerate(rows) if label is not None], "own_id long, toxic int, part long")
+    model = toxicity.fit_models(texts, sampled)
+    asked = [*kinds, "banabra", "xyzzy", "bananabandana"]
+    words, first, kind = toxicity.distinct_words(pa.RecordBatch.from_arrays([pa.array([" ".join(asked)])], names=["text"]))
+    got = model.words(words, first)[kind]
+    want = plain_kneser_ney(asked, toxicity.ORDER, toxicity.SHARED, toxicity.DISCOUNT, toxicity.OWED, rows)
+    assert np.allclose(got, want, atol=1e-4)
+
+
 def test_toxicity_on_held_out_rows(spark):
     rng = np.random.default_rng(2)
     plain, bad = [f"{a}{b}" for a in ("ka", "lo", "mi", "re", "su") for b in ("ta", "ne", "li", "po")], ["grobnik", "grobnax", "vlurth"]
