@@ -7,26 +7,51 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Profile names by kind, the first that fits (fixed patterns).
-DOMAIN_KINDS = (("RT", r"(?i)RVT|^RT|reverse_transcript"), ("transposase", r"(?i)transposase|^Tnp|DDE"), ("integrase", r"(?i)integrase|^rve"))
-#: Orders by classification path, the first that fits (fixed patterns).
-ORDERS = ("SINE", "LINE", "PLE", "DIRS", "LTR", "RC", "TIR")
-#: Length floors of a whole element by order (fixed values).
-FLOORS = {"LTR": 4000, "DIRS": 4000, "LINE": 2500, "RC": 3000, "TIR": 1100, "PLE": 1200}
+#: Core profiles by kind, the first kind of which a pattern is found in the name (fixed values).
+DOMAIN_KINDS = {
+    "RT": (r"RVT_\d+$", r"RVT_N$", r"Pao_retrotransp$", r"RT_RNaseH", r"Exo_endo_phos", r"TERT$", r"RVP", r"Peptidase_A17$"),
+    "transposase": (
+        r"DDE_Tnp_", r"DDE_\d+$", r"Transposase_(?!22$)\d+$", r"Dimer_Tnp_hAT$", r"DBD_Tnp_", r"MULE$", r"Mutator", r"Plant_tran$", r"Tnp_P_element",
+        r"HTH_Tnp_Tc3_", r"HTH_Tnp_Tc5$", r"Transp_Tc5_C$", r"HTH_Tnp_4$", r"HTH_48$", r"zf-Tnp_2$", r"Helitron_like_N$", r"Rol_Rep_N$", r"Replitron_HUH$", r"Rep_3$",
+    ),
+    "integrase": (r"^rve", r"Integrase_H2C2$", r"IN_DBD_C$"),
+}
+#: Orders by classification path or TP, the first that is found (fixed values).
+ORDERS = (("SINE", "SINE"), ("LINE", "LINE"), ("PLE", "PLE|Penelope"), ("DIRS", "DIRS"), ("LTR", "LTR"), ("RC", r"Helitron|RC\b|Rolling"), ("TIR", "TIR|DNA"))
+#: Length floors of a whole element by order, the cap of short ones, and what a consensus asks for (fixed values).
+FLOORS = {"LTR": 4000, "DIRS": 4000, "LINE": 2500, "RC": 3000, "DNA": 1100, "TIR": 1100, "PLE": 1200, "Helitron": 3000}
 SINE_CAP = 700
+MIN_COVERAGE = 0.5
+MIN_ROWS = 10
+MIN_DEPTH = 5
+#: Names of tiers (fixed values).
+TIERS = {
+    "A": "A - autonomous (core domain + class size)",
+    "B thin": "B - core domain, alignment too thin to trust",
+    "B short": "B - core domain, short for class",
+    "C": "C - accessory domain only (likely truncated)",
+    "D": "D - oversized for class, no core domain (suspect chimera/rDNA)",
+    "E": "E - non-autonomous at expected size (SINE)",
+    "F": "F - too short for class (MITE/fragment scale)",
+}
 
 
 def domain_kind(profile: Column) -> Column:
-    out = F.when(profile.rlike(DOMAIN_KINDS[0][1]), DOMAIN_KINDS[0][0])
-    for kind, pattern in DOMAIN_KINDS[1:]:
-        out = out.when(profile.rlike(pattern), kind)
-    return out.otherwise("other")
-
-
-def order_of_path(path: Column) -> Column:
-    out = F.when(path.rlike("(?i)" + ORDERS[0]), ORDERS[0])
-    for name in ORDERS[1:]:
-        out = out.when(path.rlike("(?i)" + name), name)
+    """RT, transposase or integrase for a core domain, else null."""
+    out = None
+    for kind, patterns in DOMAIN_KINDS.items():
+        found = profile.rlike("|".join(f"(?:{x})" for x in patterns))
+        out = F.when(found, kind) if out is None else out.when(found, kind)
+    return out
+
+
+def order_of_path(path: Column, tp: Column | None = None) -> Column:
+    """The order that a path or its TP names; Unknown if none does."""
+    text = F.concat_ws("|", F.coalesce(path, F.lit("")), F.coalesce(tp, F.lit("")) if tp is not None else F.lit(""))
+    out = None
+    for name, pattern in ORDERS:
+        found = text.rlike(f"(?i){pattern}")
+        out = F.when(found, name) if out is None else out.when(found, name)
     return out.otherwise("Unknown")
 
 
@@ -36,37 +61,39 @@ def path_order(path: Column) -> Column:
     return F.coalesce(F.get(parts, F.lit(3)), F.get(parts, F.lit(1)), F.lit("repeat"))
 
 
-def domain_summary(hits: DataFrame) -> DataFrame:
-    """hits(seq, profile, hmm_cov): profiles by number and name, core kinds, best coverage."""
-    kind = domain_kind(F.col("profile"))
-    rows = hits.withColumn("kind", kind)
-    core = F.when(F.col("kind") != "other", F.col("profile"))
+def domain_summary(hits: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
+    """hits(seq, profile, hmm_cov): profiles by number and name, core ones that cover enough of their profile, best coverage."""
+    rows = hits.withColumn("kind", F.when(F.col("hmm_cov") >= min_coverage, domain_kind(F.col("profile"))))
+    core = F.when(F.col("kind").isNotNull(), F.col("profile"))
+    names = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ";")
     return rows.groupBy("seq").agg(
         F.count_distinct("profile").alias("n_dom"), F.array_join(F.slice(F.array_sort(F.collect_set("profile")), 1, 12), ";").alias("domains"),
-        F.count_distinct(core).alias("n_core"), F.array_join(F.array_sort(F.collect_set(F.when(F.col("kind") != "other", F.col("kind")))), ";").alias("core_kinds"), F.max("hmm_cov").alias("best_cov"),
+        F.count_distinct(core).alias("n_core"), names("kind").alias("core_kinds"), names(core).alias("core_domains"), F.max("hmm_cov").alias("best_cov"),
     )
 
 
 def parse_domain_table(lines: DataFrame) -> DataFrame:
-    """Whitespace-separated domain hits (value) by position; rows that are too short or not numbers are left out."""
+    """Whitespace-separated domain hits (value) by position, behind a column of hit ids; rows that are too short or not numbers are left out."""
     parts = F.split(F.trim("value"), r"\s+")
     number = lambda i, t: F.get(parts, F.lit(i)).try_cast(t)
     rows = lines.filter(~F.col("value").startswith("#")).select(
-        F.get(parts, F.lit(0)).alias("seq"), F.get(parts, F.lit(2)).alias("profile"), number(4, "int").alias("hmm_len"), number(5, "int").alias("hmm_from"), number(6, "int").alias("hmm_to"), number(10, "double").alias("evalue"), F.size(parts).alias("n"),
+        F.get(parts, F.lit(1)).alias("seq"), F.get(parts, F.lit(3)).alias("profile"), number(5, "int").alias("hmm_len"), number(6, "int").alias("hmm_from"), number(7, "int").alias("hmm_to"), number(11, "double").alias("evalue"), F.size(parts).alias("n"),
     )
     rows = rows.filter("n >= 12").dropna(subset=["hmm_len", "hmm_from", "hmm_to", "evalue"])
     return rows.drop("n").withColumn("hmm_cov", F.try_divide(F.abs(F.col("hmm_to") - F.col("hmm_from")) + 1, F.col("hmm_len")))
 
 
 def tier(order: Column, length: Column, n_dom: Column, n_core: Column, n_rows: Column, depth: Column) -> Column:
-    """A to F: whole with core domains, thin or short ones, other domains, length alone, short repeats, the rest."""
+    """The tier's name, A to F; what is missing counts as 0."""
     floor = F.create_map(*[F.lit(x) for kv in FLOORS.items() for x in kv])[order]
     whole = F.coalesce(length >= floor, F.lit(False))
-    thin = (n_rows < 10) | (depth < 5)
-    return (
+    n_dom, n_core, n_rows, depth = (F.coalesce(c, F.lit(0)) for c in (n_dom, n_core, n_rows, depth))
+    thin = (n_rows < MIN_ROWS) | (depth < MIN_DEPTH)
+    name = (
         F.when(order == "SINE", F.when(length > SINE_CAP, "D").otherwise("E"))
-        .when((n_core > 0) & whole, F.when(thin, "B").otherwise("A")).when(n_core > 0, "B").when(n_dom > 0, "C").when(whole, "D").otherwise("F")
+        .when((n_core > 0) & whole, F.when(thin, "B thin").otherwise("A")).when(n_core > 0, "B short").when(n_dom > 0, "C").when(whole, "D").otherwise("F")
     )
+    return F.create_map(*[F.lit(x) for kv in TIERS.items() for x in kv])[name]
 
 
 def triage(codes: DataFrame) -> DataFrame:
@@ -74,11 +101,11 @@ def triage(codes: DataFrame) -> DataFrame:
     return codes.groupBy("severity", "code").agg(F.count_distinct("packet").alias("packets"), F.count("*").alias("total"))
 
 
-def round_robin(rows: DataFrame, want: Column | int, stratum: list[str], draw: Column, key: str) -> DataFrame:
+def round_robin(rows: DataFrame, want: int, stratum: list[str], draw: Column, key: str) -> DataFrame:
     """``want`` rows dealt from strata in turn: each stratum numbered by draw, then by (number, stratum)."""
     number = F.row_number().over(Window.partitionBy(*stratum).orderBy(draw, key))
-    place = F.row_number().over(Window.orderBy("number", *stratum))
-    return rows.withColumn("number", number).withColumn("place", place).filter(F.col("place") <= want).drop("place")
+    # a row that is dealt has a number of ``want`` at most, so the rest need not be ordered
+    return rows.withColumn("number", number).filter(F.col("number") <= want).orderBy("number", *stratum).limit(want)
 
 
 def average_rank(value: str, by: list[str]) -> Column:
@@ -115,31 +142,6 @@ def permutation_p(rows: DataFrame, by: str, x: str, y: str, rounds: int = 200, s
     return rows.select(by, x, y).dropna().groupBy(by).applyInPandas(one, f"{by} {dict(rows.dtypes)[by]}, rho double, p double")
 
 
-def phase_enrichment(rows: DataFrame, by: list[str], factors: tuple[float, ...], bins: int = 10) -> DataFrame:
-    """rows(by, x, cons_len): for each factor k the share of x at multiples of cons_len / k, against an even spread.
-
-    enrichment = hits of the first phase bin over n / bins, z of the same, and occupancy of
-    places within 5 % of a period around a boundary inside.
-    """
-    k = F.explode(F.array(*map(F.lit, factors)))
-    laid = rows.select(*by, "x", "cons_len", k.alias("k")).withColumn("period", F.col("cons_len") / F.col("k"))
-    phase = F.pmod(F.pmod(F.col("x").cast("double"), F.col("period")) / F.col("period") + 0.5 / bins, F.lit(1.0))
-    off = F.abs(F.col("x") - F.round(F.col("x") / F.col("period")) * F.col("period")) <= 0.05 * F.col("period")
-    counted = laid.withColumn("first", (F.floor(phase * bins) == 0).cast("int")).withColumn("near", off.cast("int"))
-    out = counted.groupBy(*by, "k").agg(F.count("*").alias("n"), F.sum("first").alias("hits"), F.avg("near").alias("occupancy"))
-    even = F.col("n") / bins
-    return out.withColumn("enrichment", F.col("hits") / even).withColumn("z", (F.col("hits") - even) / F.sqrt(even * (1 - 1 / bins)))
-
-
-def overassembly(phases: DataFrame, by: list[str], figures: DataFrame, min_rho: float = 0.7, max_rho: float = 1.3, min_enrichment: float = 1.5, min_z: float = 5.0) -> DataFrame:
-    """The largest (enrichment, k, rho, z) of each family that meets all conditions, with rho = median length * k / consensus length."""
-    rho = F.col("median_len") * F.col("k") / F.col("cons_len")
-    rows = phases.join(figures, by).withColumn("rho", rho)
-    good = rows.filter(F.col("rho").between(min_rho, max_rho) & (F.col("enrichment") >= min_enrichment) & (F.col("z") >= min_z) & (F.round("full_fraction", 4) < 0.02))
-    best = good.groupBy(*by).agg(F.max(F.struct("enrichment", "k", "rho", "z")).alias("b"))
-    return best.select(*by, F.col("b.k").alias("k"), F.round("b.enrichment", 6).alias("enrichment"), F.round("b.rho", 6).alias("rho"), F.round("b.z", 6).alias("z"))
-
-
 def vocabulary_check(mapping: DataFrame, vocabulary: DataFrame, used: DataFrame) -> DataFrame:
     """Each path as mapped, accepted, used, and its status; a name that only begins like an accepted one isn't accepted."""
     flag = lambda df, name: df.select("path").filter("path IS NOT NULL").distinct().withColumn(name, F.lit(True))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanforge.functions.graph import connected_components
-from spanforge.operators.intervals import coverage_fraction, overlap_join
+from spanforge.operators.intervals import islands, modal_over_span, overlap_join, paint
 
 MAX_GAP = 20_000
 MEMBER = ["tool", "family"]
@@ -16,40 +16,61 @@ ORDER = ["chrom", "s", "ord", "e", "strand"]
 
 
 def _gaps(hits: DataFrame) -> DataFrame:
-    by = Window.partitionBy(*MEMBER).orderBy(*ORDER)
+    by = Window.partitionBy(*MEMBER, "chrom").orderBy(*ORDER)
     rows = hits.withColumn("gap", F.col("s") - F.lag("e").over(by)).withColumn("before", F.lag("e").over(by))
-    same = (F.lag("chrom").over(by) == F.col("chrom")) & (F.lag("strand").over(by) == F.col("strand"))
+    same = F.lag("strand").over(by) == F.col("strand")
     return rows.withColumn("joins", F.coalesce(same & F.col("gap").between(0, MAX_GAP), F.lit(False)))
 
 
-def merge_copies(hits: DataFrame, gap_aware: bool = False, veto: float = 0.5) -> DataFrame:
+def foreign_cover(probes: DataFrame, hits: DataFrame, row: str) -> DataFrame:
+    """probes(row, cluster, chrom, s, e) with covered: the share of its bases under hits(cluster, chrom, s, e) of any other cluster.
+
+    Each gap meets the hits in it, and their pieces are united gap by gap; no set of foreign hits
+    is made for each cluster.
+    """
+    others = hits.select("chrom", F.col("s").alias("s2"), F.col("e").alias("e2"), F.col("cluster").alias("other"))
+    inside = overlap_join(probes.select(row, "cluster", "chrom", "s", "e").filter("e > s"), others, ["chrom"]).filter("cluster <> other")
+    pieces = inside.select(row, F.greatest("s", "s2").alias("s"), F.least("e", "e2").alias("e"))
+    bp = islands(pieces, [row]).groupBy(row).agg(F.sum(F.col("e") - F.col("s")).alias("bp"))
+    return probes.join(bp, row, "left").withColumn("covered", F.coalesce(F.try_divide(F.col("bp"), F.col("e") - F.col("s")), F.lit(0.0))).drop("bp")
+
+
+def merge_copies(hits: DataFrame, gap_aware: bool = False, veto: float = 0.5, cluster: Column | None = None) -> DataFrame:
     """Consecutive hits of a member on one chromosome and strand within MAX_GAP as one copy.
 
     A hit that overlaps or lies inside the one before doesn't join it; hits that share start and
-    ord go by end, then strand. gap_aware: a gap of which other tools' hits cover more than
-    ``veto`` stays open; only gaps that would close are probed.
+    ord go by end, then strand. gap_aware: a gap of which hits of families outside the member's
+    cluster, of its own tool too, cover more than ``veto`` stays open; only gaps that would close
+    are probed. cluster: each hit's; by default, and where it is null, a family is its own.
     """
     rows = _gaps(hits)
     if gap_aware:
-        probes = rows.filter("joins AND gap > 0").select("ord", "tool", "chrom", F.col("before").alias("s"), F.col("s").alias("e"))
-        tools = hits.select(F.col("tool").alias("own")).distinct()
-        foreign = hits.select("tool", "chrom", "s", "e").join(tools, F.col("tool") != F.col("own")).select(F.col("own").alias("tool"), "chrom", "s", "e")
-        covered = coverage_fraction(probes, foreign, ["tool", "chrom"], "ord").filter(F.col("covered") > veto).select(F.col("ord"), F.lit(True).alias("vetoed"))
+        alone = F.concat_ws(":", *MEMBER)
+        named = alone if cluster is None else F.coalesce(cluster.cast("string"), alone)
+        probes = rows.filter("joins AND gap > 0").select("ord", named.alias("cluster"), "chrom", F.col("before").alias("s"), F.col("s").alias("e"))
+        covered = foreign_cover(probes, hits.withColumn("cluster", named), "ord").filter(F.col("covered") > veto).select(F.col("ord"), F.lit(True).alias("vetoed"))
         rows = rows.join(covered, "ord", "left").withColumn("joins", F.col("joins") & F.col("vetoed").isNull())
-    by = Window.partitionBy(*MEMBER).orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    by = Window.partitionBy(*MEMBER, "chrom").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("block", F.sum(F.when(F.col("joins"), 0).otherwise(1)).over(by))
     return _reduce(rows, "block").drop("block")
 
 
 def hit_id_copies(hits: DataFrame) -> DataFrame:
-    """Hits of a member that share a hit_id and chromosome as one copy; null ids are left out."""
-    return _reduce(hits.filter("hit_id IS NOT NULL"), "hit_id")
+    """Hits of a member that share a hit_id as one copy, on the chromosome of its first; null ids are left out.
+
+    A member none of whose hits has an id is merged by its gaps instead.
+    """
+    named = hits.withColumn("ids", F.count("hit_id").over(Window.partitionBy(*MEMBER)))
+    by_gap = merge_copies(named.filter("ids = 0").drop("ids")).withColumn("hit_id", F.lit(None).cast("string"))
+    by_id = _reduce(named.filter("hit_id IS NOT NULL").drop("ids"), "hit_id", ())
+    return by_id.unionByName(by_gap)
 
 
-def _reduce(rows: DataFrame, block: str) -> DataFrame:
+def _reduce(rows: DataFrame, block: str, keys: tuple[str, ...] = ("chrom",)) -> DataFrame:
     piece = F.struct("s", "ord", "e")
-    return rows.groupBy(*MEMBER, "chrom", block).agg(
-        F.min("s").alias("start"), F.max("e").alias("end"), F.min_by("strand", F.struct("s", "ord", "e", "strand")).alias("strand"), F.count("*").alias("n_fragments"),
+    chrom = [] if keys else [F.min_by("chrom", F.struct("s", "ord", "e", "strand")).alias("chrom")]
+    return rows.groupBy(*MEMBER, *keys, block).agg(
+        *chrom, F.min("s").alias("start"), F.max("e").alias("end"), F.min_by("strand", F.struct("s", "ord", "e", "strand")).alias("strand"), F.count("*").alias("n_fragments"),
         F.round(F.avg("div"), 6).alias("div"), F.min("cons_start").alias("cons_start"), F.max("cons_end").alias("cons_end"), F.max("cons_len").alias("cons_len"),
         F.transform(F.array_sort(F.collect_list(piece)), lambda x: F.struct(x["s"].alias("start"), x["e"].alias("end"))).alias("fragments"),
     )
@@ -88,20 +109,36 @@ def cap_widest_gap(copies: DataFrame, ratio: float = 1.5) -> DataFrame:
 
 def cap_greedy(copies: DataFrame, length: Column, ratio: float = 1.5) -> DataFrame:
     """Copies re-cut from left to right: a piece closes before the fragment that would take it beyond ratio * length."""
-    cap = ratio * length
-    empty = F.expr("CAST(array() AS array<struct<start:bigint,end:bigint,n:bigint>>)")
+    kind = "struct<start:bigint,end:bigint,n:bigint>"
+    # closed pieces apart from the open one, so a fragment that fits copies no list
+    empty = F.expr(f"named_struct('closed', CAST(array() AS array<{kind}>), 'open', CAST(NULL AS {kind}))")
 
     def step(acc: Column, x: Column) -> Column:
-        last = F.element_at(acc, -1)
-        fits = (F.size(acc) > 0) & (x["end"] - last["start"] <= F.col("cap"))
+        last = acc["open"]
+        fits = F.coalesce(x["end"] - last["start"] <= F.col("cap"), F.lit(False))
         grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"), (last["n"] + 1).alias("n"))
         fresh = F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(1).cast("bigint").alias("n"))
-        return F.when(fits, F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))).otherwise(F.concat(acc, F.array(fresh)))
+        closed = F.when(fits | last.isNull(), acc["closed"]).otherwise(F.concat(acc["closed"], F.array(last)))
+        return F.struct(closed.alias("closed"), F.when(fits, grown).otherwise(fresh).alias("open"))
 
-    pieces = copies.withColumn("cap", cap).withColumn("piece", F.explode(F.aggregate("fragments", empty, step)))
+    every = F.aggregate("fragments", empty, step, lambda acc: F.concat(acc["closed"], F.array(acc["open"])))
+    pieces = copies.withColumn("cap", ratio * length).filter(F.size("fragments") > 0).withColumn("piece", F.explode(every))
     return pieces.select(*MEMBER, "chrom", F.col("piece.start").alias("start"), F.col("piece.end").alias("end"), F.col("piece.n").alias("n_fragments"))
 
 
+def inherited_lengths(bare: DataFrame, hits: DataFrame, lengths: DataFrame, row: str) -> DataFrame:
+    """bare(row, chrom, s, e) with cons_len: the length of clustermates that owns most of its bases, the smallest on ties.
+
+    lengths(tool, family, cons_len): of mates that have one. Where mates overlap, the one with more
+    hits owns a base, of equal ones the later name.
+    """
+    counted = hits.groupBy(*MEMBER).agg(F.count("*").alias("n_hits"))
+    known = lengths.filter("cons_len > 0").join(counted, MEMBER)
+    rows = hits.select(*MEMBER, "chrom", "s", "e").join(known, MEMBER)
+    painted = paint(rows, ["chrom"], "cons_len", F.struct("n_hits", F.concat_ws(":", *MEMBER)))
+    return modal_over_span(bare, painted, ["chrom"], row, "cons_len")
+
+
 def near_full(length: Column, edge: int = 20, share: float = 0.8, span_only: bool = False) -> Column:
     """Whether cons_start and cons_end take in nearly all of the consensus; missing figures say no."""
     span = F.try_divide(F.col("cons_end") - F.col("cons_start"), length) >= share

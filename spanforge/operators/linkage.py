@@ -12,6 +12,10 @@ from spanforge.functions.graph import connected_components
 from spanforge.operators.intervals import overlap_join, paint, point_join
 
 
+#: Classification paths that don't vote (fixed values).
+VAGUE_PATHS = ["", "repeat", "repeat:TE"]
+
+
 def footprints(painted: DataFrame) -> DataFrame:
     return painted.groupBy("tool", "family").agg(F.sum(F.col("e") - F.col("s")).cast("bigint").alias("footprint"))
 
@@ -40,13 +44,33 @@ def coannotation(hits: DataFrame) -> DataFrame:
     return found.join(total, ["tool", "family"]).withColumn("fraction", F.col("n_inside") / F.col("n_copies"))
 
 
+def with_copy_weight(edges_: DataFrame, hits: DataFrame) -> DataFrame:
+    """edges with w_copy: the larger of both ways' shares of hits whose midpoint the other family has painted, 0 if none has."""
+    share = coannotation(hits).select(F.expr("tool || ':' || family").alias("a"), F.expr("other_tool || ':' || other_family").alias("b"), "fraction")
+    there = edges_.join(share.withColumnRenamed("fraction", "there"), ["a", "b"], "left")
+    back = share.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("fraction").alias("back"))
+    both = there.join(back, ["a", "b"], "left")
+    return both.withColumn("w_copy", F.greatest(F.coalesce("there", F.lit(0.0)), F.coalesce("back", F.lit(0.0)))).drop("there", "back")
+
+
+def with_evidence(members: DataFrame, evidence: DataFrame) -> DataFrame:
+    """members with their evidence, null where there is none; a member that evidence holds twice is an error."""
+    own = [c for c in evidence.columns if c != "member"]
+    once = evidence.groupBy("member").agg(F.count("*").alias("n"), *[F.first(c).alias(c) for c in own])
+    checked = once.select("member", *[F.when(F.col("n") == 1, F.col(c)).otherwise(F.raise_error(F.lit("evidence holds a member twice"))).alias(c) for c in own])
+    return members.join(checked, "member", "left")
+
+
 def both_ways(edges_: DataFrame) -> DataFrame:
     other = edges_.select(F.col("b").alias("a"), F.col("a").alias("b"), "w_bp")
     return edges_.select("a", "b", "w_bp").unionByName(other)
 
 
 def mutual_best(edges_: DataFrame) -> DataFrame:
-    """Edges that are the best of both ends among edges to the other end's tool; ties go to the smaller name."""
+    """Edges that are the best of both ends among edges to the other end's tool.
+
+    Of edges that weigh the same the one to the smaller name counts, at any order of rows.
+    """
     rows = both_ways(edges_)
     rank = F.row_number().over(Window.partitionBy("a", F.split("b", ":", 2)[0]).orderBy(F.col("w_bp").desc(), "b"))
     best = rows.withColumn("rank", rank).filter("rank = 1").select("a", "b")
@@ -143,11 +167,13 @@ def weighted_vote(members: DataFrame, abstain: list[str]) -> DataFrame:
 
 
 def gates(members: DataFrame, votes: DataFrame) -> DataFrame:
-    """Six gates on each cluster; a missing figure fails the gates on figures. evidence columns may be null."""
-    bp = F.coalesce("genomic_bp", F.lit(0.0)) + 1
+    """Six gates on each cluster; a missing figure fails the gates on figures. evidence columns may be null.
+
+    The tandem share is that of all bases: a member without a fraction adds bases and no tandem ones.
+    """
     figures = members.groupBy("cluster_key").agg(
         F.coalesce(F.sum("n_full_len"), F.lit(0.0)).alias("pooled_full_len"), F.coalesce(F.bool_or(F.col("cov") >= 0.999), F.lit(False)).alias("deep"),
-        F.try_divide(F.sum(F.col("frac_tandem") * bp), F.sum(F.when(F.col("frac_tandem").isNotNull(), bp))).alias("tandem"),
+        F.when(F.sum("genomic_bp") > 0, F.coalesce(F.sum(F.col("frac_tandem") * F.col("genomic_bp")), F.lit(0.0)) / F.sum("genomic_bp")).alias("tandem"),
         F.median("div_median").alias("div"), F.count_distinct("tool").alias("n_tools"), F.count("*").alias("n_members"),
     )
     rows = figures.join(votes, "cluster_key", "left")

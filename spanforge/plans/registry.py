@@ -68,7 +68,7 @@ clusters AS (
 EVIDENCE_SQL = """,
 evidence AS (
   SELECT tool, family, tool || ':' || family AS member, CAST(count(*) FILTER (e - s >= 490) AS DOUBLE) AS n_full_len, CAST(sum(e - s) AS DOUBLE) AS genomic_bp,
-         CASE WHEN family IN ('F3', 'F6', 'F9') THEN 1.0 ELSE 0.5 END AS cov, median(div) * 4 AS div_median, avg(CASE WHEN strand = '-' THEN 0.5 ELSE 0.0 END) AS frac_tandem,
+         CASE WHEN family IN ('F3', 'F6', 'F9') THEN 1.0 ELSE 0.5 END AS cov, median(div) * 4 AS div_median, CASE WHEN family IN ('F7', 'F8', 'F14') THEN NULL ELSE avg(CASE WHEN strand = '-' THEN 0.5 ELSE 0.0 END) END AS frac_tandem,
          CASE WHEN family IN ('F1', 'F2') THEN 'repeat' WHEN family = 'F5' THEN NULL WHEN CAST(substr(family, 2) AS INTEGER) % 2 = 0 THEN 'LTR' ELSE 'TIR' END AS vote
   FROM hits GROUP BY tool, family),
 few AS (SELECT 'k' || (CAST(substr(family, 2) AS INTEGER) % 6) AS cluster_key, * FROM evidence)"""
@@ -86,6 +86,7 @@ def _evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.median("div") * 4).alias("div_median"), F.avg(F.when(F.col("strand") == "-", 0.5).otherwise(0.0)).alias("frac_tandem"),
     )
     cov = F.when(F.col("family").isin("F3", "F6", "F9"), 1.0).otherwise(0.5)
+    rows = rows.withColumn("frac_tandem", F.when(~F.col("family").isin("F7", "F8", "F14"), F.col("frac_tandem")))
     return rows.withColumn("member", F.concat_ws(":", "tool", "family")).withColumn("cov", cov).withColumn("vote", vote).withColumn("cluster_key", F.concat(F.lit("k"), number % 6))
 
 
@@ -175,7 +176,7 @@ def weighted_vote(spark, sf_dir):
 cast_votes AS (SELECT cluster_key, vote, sum(coalesce(genomic_bp, 0) + 1) AS w, min(member) AS first FROM few WHERE vote IS NOT NULL AND vote <> 'repeat' GROUP BY ALL),
 won AS (SELECT *, row_number() OVER (PARTITION BY cluster_key ORDER BY w DESC, first) AS r, w / sum(w) OVER (PARTITION BY cluster_key) AS share FROM cast_votes),
 figures AS (
-  SELECT cluster_key, sum(n_full_len) AS full_len, bool_or(cov >= 0.999) AS deep, sum(frac_tandem * (genomic_bp + 1)) / sum(genomic_bp + 1) AS tandem,
+  SELECT cluster_key, sum(n_full_len) AS full_len, bool_or(cov >= 0.999) AS deep, coalesce(sum(frac_tandem * genomic_bp), 0) / sum(genomic_bp) AS tandem,
          median(div_median) AS div, count(DISTINCT tool) AS n_tools, count(*) AS n_members FROM few GROUP BY cluster_key),
 tested AS (
   SELECT f.*, vote AS winner, share, full_len >= 5 AS g1, deep AS g2, coalesce(share >= 0.667, false) AS g3, coalesce(tandem <= 0.30, false) AS g4, coalesce(div <= 25, false) AS g5, n_tools >= 2 AS g6
@@ -187,6 +188,35 @@ def cluster_gates(spark, sf_dir):
     return linkage.gates(rows, linkage.weighted_vote(rows.withColumn("weight", F.col("genomic_bp")), ["repeat"]))
 
 
+@query("WITH " + EDGE_SQL + """,
+mids AS (SELECT tool, family, chrom, (s + e) // 2 AS mid FROM hits),
+inside AS (
+  SELECT m.tool || ':' || m.family AS a, p.tool || ':' || p.family AS b, count(*) AS n
+  FROM mids m JOIN paint_bins p ON p.chrom = m.chrom AND p.bin = m.mid // 512 AND p.s <= m.mid AND m.mid < p.e AND p.tool <> m.tool GROUP BY ALL),
+total AS (SELECT tool || ':' || family AS a, count(*) AS n_copies FROM hits GROUP BY ALL),
+shares AS (SELECT a, b, n / n_copies AS share FROM inside JOIN total USING (a))
+SELECT e.a, e.b, joint_bp, round(w_bp, 6) AS w_bp, round(greatest(coalesce(x.share, 0), coalesce(y.share, 0)), 6) AS w_copy
+FROM edges e LEFT JOIN shares x ON x.a = e.a AND x.b = e.b LEFT JOIN shares y ON y.a = e.b AND y.b = e.a""")
+def edge_copy_weights(spark, sf_dir):
+    rows = linkage.with_copy_weight(_edges(spark, sf_dir), demo_hits(spark, sf_dir))
+    return rows.select("a", "b", "joint_bp", *[F.round(c, 6).alias(c) for c in ("w_bp", "w_copy")])
+
+
+@query("WITH " + DEMO_SQL + EVIDENCE_SQL + """,
+paths AS (SELECT member, cluster_key, genomic_bp, CASE CAST(substr(family, 2) AS INTEGER) % 5 WHEN 0 THEN 'repeat:TE:ClassI:LTR' WHEN 1 THEN 'repeat:TE' WHEN 2 THEN '' WHEN 3 THEN 'repeat:TE:ClassII:TIR:hAT' END AS path FROM few),
+given AS (SELECT member, genomic_bp FROM evidence WHERE family <> 'F9'),
+weighed AS (SELECT p.cluster_key, p.member, path, g.genomic_bp FROM paths p LEFT JOIN given g USING (member)),
+votes AS (SELECT cluster_key, path, sum(coalesce(genomic_bp, 0) + 1) AS w, min(member) AS first FROM weighed WHERE path IS NOT NULL AND path NOT IN ('', 'repeat', 'repeat:TE') GROUP BY ALL),
+won AS (SELECT *, row_number() OVER (PARTITION BY cluster_key ORDER BY w DESC, first) AS r, w / sum(w) OVER (PARTITION BY cluster_key) AS share FROM votes)
+SELECT k.cluster_key, path AS winner, round(share, 6) AS share FROM (SELECT DISTINCT cluster_key FROM few) k LEFT JOIN won ON won.cluster_key = k.cluster_key AND r = 1""")
+def path_vote(spark, sf_dir):
+    path = "CASE CAST(substr(family, 2) AS INT) % 5 WHEN 0 THEN 'repeat:TE:ClassI:LTR' WHEN 1 THEN 'repeat:TE' WHEN 2 THEN '' WHEN 3 THEN 'repeat:TE:ClassII:TIR:hAT' END"
+    rows = _evidence(spark, sf_dir)
+    members = rows.select("cluster_key", "member", F.expr(path).alias("vote"))
+    joined = linkage.with_evidence(members, rows.filter("family <> 'F9'").select("member", F.col("genomic_bp").alias("weight")))
+    return linkage.weighted_vote(joined, linkage.VAGUE_PATHS).withColumn("share", F.round("share", 6))
+
+
 # Copies --------------------------------------------------------------------------------------------
 
 GAP_SQL = DEMO_SQL + """,
@@ -199,17 +229,17 @@ copies AS (
   SELECT tool, family, chrom, min(s) AS "start", max(e) AS "end", arg_min(strand, row(s, ord, e, strand)) AS strand, count(*) AS n_fragments, round(avg(div), 6) AS div,
          min(cons_start) AS cons_start, max(cons_end) AS cons_end, max(cons_len) AS cons_len, list(e ORDER BY s, ord) AS ends, list(s ORDER BY s, ord) AS starts
   FROM blocks GROUP BY tool, family, chrom, block)"""
-VETO_SQL = GAP_SQL.replace("gapped AS (", "gapped0 AS (") + """,
-tools AS (SELECT DISTINCT tool AS own FROM hits),
-foreign_hits AS (SELECT own AS tool, chrom, s, e FROM hits JOIN tools ON own <> tool),
-marked AS (SELECT *, CASE WHEN max(e) OVER (PARTITION BY tool, chrom ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= s THEN 0 ELSE 1 END AS new FROM foreign_hits),
-runs AS (SELECT *, sum(new) OVER (PARTITION BY tool, chrom ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS run FROM marked),
-unions AS (SELECT tool, chrom, min(s) AS s, max(e) AS e FROM runs GROUP BY tool, chrom, run),
-union_bins AS (SELECT *, unnest(range(s // 1024, (e - 1) // 1024 + 1)) AS bin FROM unions),
-probes AS (SELECT ord, tool, chrom, before AS s, s AS e, unnest(range(before // 1024, (s - 1) // 1024 + 1)) AS bin FROM gapped0 WHERE joins AND gap > 0),
-covered AS (
-  SELECT p.ord, sum(least(p.e, u.e) - greatest(p.s, u.s)) / max(p.e - p.s) AS part FROM probes p JOIN union_bins u ON u.tool = p.tool AND u.chrom = p.chrom AND u.bin = p.bin
-   AND u.s < p.e AND p.s < u.e AND p.bin = greatest(p.s // 1024, u.s // 1024) GROUP BY p.ord),
+#: The demo clusters: families of all tools whose number leaves the same rest.
+CLUSTER = "CAST(substr(family, 2) AS INT) % 6"
+VETO_SQL = GAP_SQL.replace("gapped AS (", "gapped0 AS (") + f""",
+named AS (SELECT chrom, s, e, {CLUSTER} AS cluster, unnest(range(s // 1024, (e - 1) // 1024 + 1)) AS bin FROM hits),
+probes AS (SELECT ord, {CLUSTER} AS cluster, chrom, before AS s, s AS e, unnest(range(before // 1024, (s - 1) // 1024 + 1)) AS bin FROM gapped0 WHERE joins AND gap > 0),
+pieces AS (
+  SELECT p.ord, greatest(p.s, n.s) AS s, least(p.e, n.e) AS e, p.e - p.s AS gap
+  FROM probes p JOIN named n ON n.chrom = p.chrom AND n.bin = p.bin AND n.cluster <> p.cluster AND n.s < p.e AND p.s < n.e AND p.bin = greatest(p.s // 1024, n.s // 1024)),
+marked AS (SELECT *, CASE WHEN max(e) OVER (PARTITION BY ord ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= s THEN 0 ELSE 1 END AS new FROM pieces),
+runs AS (SELECT *, sum(new) OVER (PARTITION BY ord ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS run FROM marked),
+covered AS (SELECT ord, sum(bp) / max(gap) AS part FROM (SELECT ord, run, max(e) - min(s) AS bp, max(gap) AS gap FROM runs GROUP BY ord, run) GROUP BY ord),
 gapped AS (SELECT g.* REPLACE (coalesce(joins, false) AND coalesce(part, 0) <= 0.5 AS joins) FROM gapped0 g LEFT JOIN covered c ON c.ord = g.ord)"""
 COPY_COLUMNS = ["tool", "family", "chrom", "start", "end", "strand", "n_fragments", "div", "cons_start", "cons_end"]
 COPY_SELECT = ' SELECT tool, family, chrom, "start", "end", strand, n_fragments, div, cons_start, cons_end FROM copies'
@@ -222,11 +252,11 @@ def merge_always(spark, sf_dir):
 
 @query("WITH " + VETO_SQL + REDUCE_SQL + COPY_SELECT)
 def gap_aware_merge(spark, sf_dir):
-    return copies.merge_copies(demo_hits(spark, sf_dir), gap_aware=True).select(COPY_COLUMNS)
+    return copies.merge_copies(demo_hits(spark, sf_dir), gap_aware=True, cluster=F.expr(CLUSTER)).select(COPY_COLUMNS)
 
 
 @query("WITH " + DEMO_SQL + """
-SELECT tool, family, chrom, hit_id, min(s) AS "start", max(e) AS "end", arg_min(strand, row(s, ord, e, strand)) AS strand, count(*) AS n_fragments FROM hits WHERE hit_id IS NOT NULL GROUP BY tool, family, chrom, hit_id""")
+SELECT tool, family, arg_min(chrom, row(s, ord, e, strand)) AS chrom, hit_id, min(s) AS "start", max(e) AS "end", arg_min(strand, row(s, ord, e, strand)) AS strand, count(*) AS n_fragments FROM hits WHERE hit_id IS NOT NULL GROUP BY tool, family, hit_id""")
 def hit_id_group(spark, sf_dir):
     return copies.hit_id_copies(demo_hits(spark, sf_dir)).select("tool", "family", "chrom", "hit_id", "start", "end", "strand", "n_fragments")
 
@@ -259,7 +289,7 @@ FROM (SELECT '{mode}' AS mode, *, coalesce(cons_start <= 20 AND cons_end >= cons
 @query("SELECT * FROM (WITH " + GAP_SQL + REDUCE_SQL + MODES_SQL.replace("{mode}", "always") + ") UNION ALL SELECT * FROM (WITH " + VETO_SQL + REDUCE_SQL + MODES_SQL.replace("{mode}", "gap_aware") + ")")
 def merge_mode_comparison(spark, sf_dir):
     hits = demo_hits(spark, sf_dir)
-    both = copies.merge_copies(hits).withColumn("mode", F.lit("always")).unionByName(copies.merge_copies(hits, True).withColumn("mode", F.lit("gap_aware")))
+    both = copies.merge_copies(hits).withColumn("mode", F.lit("always")).unionByName(copies.merge_copies(hits, True, cluster=F.expr(CLUSTER)).withColumn("mode", F.lit("gap_aware")))
     span = F.col("end") - F.col("start")
     full = copies.near_full(F.col("cons_len"))
     over = F.coalesce((span > 1.5 * F.col("cons_len")), F.lit(False)).cast("double")
@@ -296,11 +326,14 @@ def deconvolution(spark, sf_dir):
 
 
 @query("WITH " + DEMO_SQL + """,
-known AS (SELECT tool, family, chrom, s, e, cons_len, ord FROM hits WHERE tool = 'A'),
+counted AS (SELECT family, cons_len, count(*) AS n FROM hits WHERE tool = 'A' GROUP BY ALL),
+lengths AS (SELECT family, cons_len FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY n DESC, cons_len) AS r FROM counted) WHERE r = 1),
+sizes AS (SELECT family, count(*) AS n_hits FROM hits WHERE tool = 'A' GROUP BY family),
+known AS (SELECT chrom, s, e, l.cons_len, row(n_hits, 'A:' || family) AS rank FROM hits JOIN lengths l USING (family) JOIN sizes USING (family) WHERE tool = 'A'),
 points AS (SELECT DISTINCT chrom, s AS x FROM known UNION SELECT DISTINCT chrom, e FROM known),
 cells AS (SELECT chrom, x AS s, lead(x) OVER (PARTITION BY chrom ORDER BY x) AS e FROM points),
 bins AS (SELECT *, unnest(range(s // 512, (e - 1) // 512 + 1)) AS bin FROM known),
-painted AS (SELECT c.chrom, c.s, c.e, arg_max(k.cons_len, k.ord) AS cons_len FROM cells c JOIN bins k ON k.chrom = c.chrom AND k.bin = c.s // 512 AND k.s <= c.s AND k.e >= c.e GROUP BY ALL),
+painted AS (SELECT c.chrom, c.s, c.e, arg_max(k.cons_len, k.rank) AS cons_len FROM cells c JOIN bins k ON k.chrom = c.chrom AND k.bin = c.s // 512 AND k.s <= c.s AND k.e >= c.e GROUP BY ALL),
 paint_bins AS (SELECT *, unnest(range(s // 512, (e - 1) // 512 + 1)) AS bin FROM painted),
 bare AS (SELECT ord, chrom, s, e, unnest(range(s // 512, (e - 1) // 512 + 1)) AS bin FROM hits WHERE tool = 'R'),
 inside AS (SELECT b.ord, p.cons_len, sum(least(b.e, p.e) - greatest(b.s, p.s)) AS bp FROM bare b JOIN paint_bins p ON p.chrom = b.chrom AND p.bin = b.bin AND p.s < b.e AND b.s < p.e AND b.bin = greatest(p.s // 512, b.s // 512) GROUP BY ALL),
@@ -308,9 +341,10 @@ best AS (SELECT ord, cons_len FROM (SELECT *, row_number() OVER (PARTITION BY or
 SELECT h.ord, best.cons_len, CASE WHEN best.cons_len IS NULL THEN 'none' ELSE 'clustermate' END AS source FROM hits h LEFT JOIN best USING (ord) WHERE h.tool = 'R'""")
 def inherited_length(spark, sf_dir):
     hits = demo_hits(spark, sf_dir)
-    painted = intervals.paint(hits.filter("tool = 'A'"), ["chrom"], "cons_len", F.col("ord"))
+    mates = hits.filter("tool = 'A'")
+    lengths = mates.groupBy("tool", "family").agg(F.mode("cons_len", True).alias("cons_len"))
     bare = hits.filter("tool = 'R'").select("ord", "chrom", "s", "e")
-    return intervals.modal_over_span(bare, painted, ["chrom"], "ord", "cons_len").select("ord", "cons_len", F.when(F.col("cons_len").isNull(), "none").otherwise("clustermate").alias("source"))
+    return copies.inherited_lengths(bare, mates, lengths, "ord").select("ord", "cons_len", F.when(F.col("cons_len").isNull(), "none").otherwise("clustermate").alias("source"))
 
 
 COPY_ROWS_SQL = DEMO_SQL + """,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from spanforge.operators import analysis, copies, sequences
@@ -9,7 +10,7 @@ from spanforge.plans.registry import DEMO_SQL, query
 from spanforge.session import table
 from spanforge.sources.hits import demo_hits
 
-SEQ_SQL = """seqs AS (SELECT doc_id AS id, translate(regexp_replace(substr(text, 1, 400), '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTRACGTAACGTACGTACGTACGN') AS seq FROM documents WHERE lang = 'en')"""
+SEQ_SQL = """seqs AS (SELECT doc_id AS id, translate(regexp_replace(text, '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTRACGTAACGTACGTACGTACGN') AS seq FROM documents)"""
 
 
 def _seqs(spark, sf_dir):
@@ -53,8 +54,8 @@ def tir_scan(spark, sf_dir):
 
 ALN_SQL = """rows AS (
   SELECT source AS aln_id, CAST(doc_id AS VARCHAR) AS row_id,
-         repeat('-', CAST(doc_id % 4 AS INTEGER)) || translate(regexp_replace(substr(text, 1, 90), '[^a-z ]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz ', 'acgtacgtaacgtacgtacgtacgan.') AS seq
-  FROM documents WHERE lang = 'en'),
+         repeat('-', CAST(doc_id % 4 AS INTEGER)) || translate(regexp_replace(text, '[^a-z ]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz ', 'acgtacgtaacgtacgtacgtacgan.') AS seq
+  FROM documents),
 cells AS (SELECT aln_id, row_id, i - 1 AS col, translate(upper(seq[i]), '._~', '---') AS base FROM (SELECT *, unnest(range(1, length(seq) + 1)) AS i FROM rows)),
 spans AS (SELECT aln_id, row_id, min(col) AS lo, max(col) AS hi FROM cells WHERE base <> '-' GROUP BY ALL),
 counts AS (SELECT aln_id, col, count(*) FILTER (base = 'A') AS a, count(*) FILTER (base = 'C') AS c, count(*) FILTER (base = 'G') AS g, count(*) FILTER (base = 'T') AS t, count(*) FILTER (base <> '-') AS bases FROM cells GROUP BY ALL),
@@ -105,35 +106,50 @@ def msa_finalize(spark, sf_dir):
     return sequences.finalize(rows)
 
 
-DOMAIN_SQL = """domains AS (
-  SELECT l_orderkey % 2000 AS seq, CASE l_partkey % 7 WHEN 0 THEN 'RVT_1' WHEN 1 THEN 'rve' WHEN 2 THEN 'DDE_Tnp_4' WHEN 3 THEN 'gag_pre' WHEN 4 THEN 'zf-CCHC' WHEN 5 THEN 'Integrase_H2C2' ELSE 'PMD' END AS profile, l_quantity / 50 AS hmm_cov
-  FROM lineitem WHERE l_linenumber = 1 AND l_partkey % 3 = 0),
-kinds AS (SELECT *, CASE WHEN regexp_matches(profile, '(?i)RVT|^RT|reverse_transcript') THEN 'RT' WHEN regexp_matches(profile, '(?i)transposase|^Tnp|DDE') THEN 'transposase' WHEN regexp_matches(profile, '(?i)integrase|^rve') THEN 'integrase' ELSE 'other' END AS kind FROM domains),
+PROFILES = ["RVT_1", "rve", "DDE_Tnp_4", "gag_pre", "zf-CCHC", "Integrase_H2C2", "PMD", "Transposase_22", "Transposase_21", "RVP_2", "HTH_Tnp_Tc3_1", "Helitron_like_N", "Pao_retrotransp", "MULE", "Rep_3", "HTH_48", "IN_DBD_C"]
+PATHS = ["SINE", "LINE", "LTR", "DNA/hAT", "Helitron", "Rolling", "RC", "Penelope", "DIRS", "source", "x"]
+LISTS = {name: "['" + "', '".join(values) + "']" for name, values in (("profiles", PROFILES), ("paths", PATHS))}
+#: The lookahead of one pattern, which this SQL's expressions lack, in two steps.
+KIND_SQL = "CASE " + " ".join(
+    "WHEN " + " OR ".join("(regexp_matches(profile, 'Transposase_\\d+$') AND NOT regexp_matches(profile, 'Transposase_22$'))" if "(?!" in x else f"regexp_matches(profile, '{x}')" for x in patterns) + f" THEN '{kind}'"
+    for kind, patterns in analysis.DOMAIN_KINDS.items()
+) + " END"
+ORDER_SQL = "CASE " + " ".join(f"WHEN regexp_matches(path || '|' || coalesce(tp, ''), '(?i){pattern}') THEN '{name}'" for name, pattern in analysis.ORDERS) + " ELSE 'Unknown' END"
+DOMAIN_SQL = f"""domains AS (SELECT l_orderkey AS seq, ({LISTS["profiles"]})[l_partkey % {len(PROFILES)} + 1] AS profile, l_quantity / 50 AS hmm_cov FROM lineitem),
+kinds AS (SELECT *, CASE WHEN hmm_cov >= 0.5 THEN {KIND_SQL} END AS kind FROM domains),
 summary AS (
-  SELECT seq, count(DISTINCT profile) AS n_dom, array_to_string(list_sort(list(DISTINCT profile))[1:12], ';') AS domains, count(DISTINCT CASE WHEN kind <> 'other' THEN profile END) AS n_core,
-         coalesce(array_to_string(list_sort(list(DISTINCT kind) FILTER (kind <> 'other')), ';'), '') AS core_kinds, max(hmm_cov) AS best_cov FROM kinds GROUP BY seq),
+  SELECT seq, count(DISTINCT profile) AS n_dom, array_to_string(list_sort(list(DISTINCT profile))[1:12], ';') AS domains, count(DISTINCT profile) FILTER (kind IS NOT NULL) AS n_core,
+         coalesce(array_to_string(list_sort(list(DISTINCT kind) FILTER (kind IS NOT NULL)), ';'), '') AS core_kinds,
+         coalesce(array_to_string(list_sort(list(DISTINCT profile) FILTER (kind IS NOT NULL)), ';'), '') AS core_domains, max(hmm_cov) AS best_cov FROM kinds GROUP BY seq),
 models AS (
-  SELECT o_orderkey AS seq, 'repeat:TE:' || CASE o_custkey % 6 WHEN 0 THEN 'SINE' WHEN 1 THEN 'LINE' WHEN 2 THEN 'LTR' WHEN 3 THEN 'TIR' WHEN 4 THEN 'Helitron/RC' ELSE 'x' END AS path,
-         CAST(floor(o_totalprice / 50) AS BIGINT) AS length, o_custkey % 30 AS n_rows, o_custkey % 12 AS depth FROM orders WHERE o_orderkey < 2000),
-joined AS (SELECT m.*, coalesce(n_dom, 0) AS n_dom, coalesce(n_core, 0) AS n_core, coalesce(best_cov, 0.0) AS best_cov,
-  CASE WHEN regexp_matches(path, '(?i)SINE') THEN 'SINE' WHEN regexp_matches(path, '(?i)LINE') THEN 'LINE' WHEN regexp_matches(path, '(?i)PLE') THEN 'PLE' WHEN regexp_matches(path, '(?i)DIRS') THEN 'DIRS' WHEN regexp_matches(path, '(?i)LTR') THEN 'LTR' WHEN regexp_matches(path, '(?i)RC') THEN 'RC' WHEN regexp_matches(path, '(?i)TIR') THEN 'TIR' ELSE 'Unknown' END AS order_name
-  FROM models m LEFT JOIN summary USING (seq)),
-floors AS (SELECT *, CASE order_name WHEN 'LTR' THEN 4000 WHEN 'DIRS' THEN 4000 WHEN 'LINE' THEN 2500 WHEN 'RC' THEN 3000 WHEN 'TIR' THEN 1100 WHEN 'PLE' THEN 1200 END AS floor_len FROM joined),
+  SELECT o_orderkey AS seq, 'repeat:TE:' || ({LISTS["paths"]})[o_custkey % {len(PATHS)} + 1] AS path, CASE WHEN o_orderkey % 5 = 0 THEN 'Interspersed;TIR' END AS tp,
+         CAST(floor(o_totalprice / 50) AS BIGINT) AS length, CASE WHEN o_custkey % 7 > 0 THEN o_custkey % 30 END AS n_rows, CASE WHEN o_orderkey % 9 > 0 THEN o_orderkey % 12 END AS depth, o_orderkey % 50 AS n_full FROM orders),
+joined AS (SELECT m.*, coalesce(n_dom, 0) AS n_dom, coalesce(n_core, 0) AS n_core, coalesce(best_cov, 0.0) AS best_cov, {ORDER_SQL} AS order_name FROM models m LEFT JOIN summary USING (seq)),
+floors AS (SELECT *, CASE order_name WHEN 'LTR' THEN 4000 WHEN 'DIRS' THEN 4000 WHEN 'LINE' THEN 2500 WHEN 'RC' THEN 3000 WHEN 'TIR' THEN 1100 WHEN 'PLE' THEN 1200 END AS floor_len,
+  coalesce(n_rows, 0) < 10 OR coalesce(depth, 0) < 5 AS thin FROM joined),
 tiers AS (
-  SELECT *, CASE WHEN order_name = 'SINE' THEN CASE WHEN length > 700 THEN 'D' ELSE 'E' END WHEN n_core > 0 AND coalesce(length >= floor_len, false) THEN CASE WHEN n_rows < 10 OR depth < 5 THEN 'B' ELSE 'A' END
-            WHEN n_core > 0 THEN 'B' WHEN n_dom > 0 THEN 'C' WHEN coalesce(length >= floor_len, false) THEN 'D' ELSE 'F' END AS tier FROM floors)"""
+  SELECT *, CASE WHEN order_name = 'SINE' THEN CASE WHEN length > 700 THEN 'D - oversized for class, no core domain (suspect chimera/rDNA)' ELSE 'E - non-autonomous at expected size (SINE)' END
+    WHEN n_core > 0 AND coalesce(length >= floor_len, false) THEN CASE WHEN thin THEN 'B - core domain, alignment too thin to trust' ELSE 'A - autonomous (core domain + class size)' END
+    WHEN n_core > 0 THEN 'B - core domain, short for class' WHEN n_dom > 0 THEN 'C - accessory domain only (likely truncated)'
+    WHEN coalesce(length >= floor_len, false) THEN 'D - oversized for class, no core domain (suspect chimera/rDNA)' ELSE 'F - too short for class (MITE/fragment scale)' END AS tier FROM floors)"""
+
+
+def _pick(values, number):
+    return F.element_at(F.array(*map(F.lit, values)), (F.expr(number) % len(values) + 1).cast("int"))
 
 
 def _domains(spark, sf_dir):
-    rows = table(spark, sf_dir, "lineitem")
-    profile = "CASE l_partkey % 7 WHEN 0 THEN 'RVT_1' WHEN 1 THEN 'rve' WHEN 2 THEN 'DDE_Tnp_4' WHEN 3 THEN 'gag_pre' WHEN 4 THEN 'zf-CCHC' WHEN 5 THEN 'Integrase_H2C2' ELSE 'PMD' END AS profile"
-    return analysis.domain_summary(rows.selectExpr("l_orderkey AS seq", profile, "l_quantity / 50 AS hmm_cov"))
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("seq"), _pick(PROFILES, "l_partkey").alias("profile"), F.expr("l_quantity / 50").alias("hmm_cov"))
+    return analysis.domain_summary(rows)
 
 
 def _tiers(spark, sf_dir):
-    kind = "CASE o_custkey % 6 WHEN 0 THEN 'SINE' WHEN 1 THEN 'LINE' WHEN 2 THEN 'LTR' WHEN 3 THEN 'TIR' WHEN 4 THEN 'Helitron/RC' ELSE 'x' END"
-    models = table(spark, sf_dir, "orders").selectExpr("o_orderkey AS seq", f"'repeat:TE:' || {kind} AS path", "CAST(floor(o_totalprice / 50) AS BIGINT) AS length", "o_custkey % 30 AS n_rows", "o_custkey % 12 AS depth")
-    rows = models.join(_domains(spark, sf_dir), "seq", "left").na.fill({"n_dom": 0, "n_core": 0, "best_cov": 0.0}).withColumn("order_name", analysis.order_of_path(F.col("path")))
+    models = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("seq"), F.concat(F.lit("repeat:TE:"), _pick(PATHS, "o_custkey")).alias("path"), F.expr("CASE WHEN o_orderkey % 5 = 0 THEN 'Interspersed;TIR' END").alias("tp"),
+        F.expr("CAST(floor(o_totalprice / 50) AS BIGINT)").alias("length"), F.expr("CASE WHEN o_custkey % 7 > 0 THEN o_custkey % 30 END").alias("n_rows"),
+        F.expr("CASE WHEN o_orderkey % 9 > 0 THEN o_orderkey % 12 END").alias("depth"), F.expr("o_orderkey % 50").alias("n_full"),
+    )
+    rows = models.join(_domains(spark, sf_dir), "seq", "left").na.fill({"n_dom": 0, "n_core": 0, "best_cov": 0.0}).withColumn("order_name", analysis.order_of_path(F.col("path"), F.col("tp")))
     return rows.withColumn("tier", analysis.tier(*[F.col(c) for c in ("order_name", "length", "n_dom", "n_core", "n_rows", "depth")]))
 
 
@@ -147,13 +163,11 @@ def tier_assign(spark, sf_dir):
     return _tiers(spark, sf_dir).groupBy("order_name", "tier").agg(F.count("*").alias("n"), F.sum("length").alias("bp"))
 
 
-@query("WITH " + DOMAIN_SQL + " SELECT seq, n_core, best_cov, length, row_number() OVER (ORDER BY n_core DESC, best_cov DESC, length DESC, seq) AS place FROM tiers WHERE tier IN ('A', 'B') ORDER BY place LIMIT 50")
+@query("WITH " + DOMAIN_SQL + " SELECT seq, n_core, best_cov, n_full, length, row_number() OVER (ORDER BY n_core DESC, best_cov DESC, n_full DESC, length DESC, seq) AS place FROM tiers WHERE tier LIKE 'A%' ORDER BY place LIMIT 50")
 def tier_rank(spark, sf_dir):
-    order = [F.col("n_core").desc(), F.col("best_cov").desc(), F.col("length").desc(), F.col("seq")]
-    from pyspark.sql import Window
-
-    best = _tiers(spark, sf_dir).filter("tier IN ('A', 'B')").orderBy(*order).limit(50)
-    return best.select("seq", "n_core", "best_cov", "length", F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("place"))
+    order = [F.col("n_core").desc(), F.col("best_cov").desc(), F.col("n_full").desc(), F.col("length").desc(), F.col("seq")]
+    best = _tiers(spark, sf_dir).filter(F.col("tier").startswith("A")).orderBy(*order).limit(50)
+    return best.select("seq", "n_core", "best_cov", "n_full", "length", F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("place"))
 
 
 @query("""WITH codes AS (SELECT user_id % 40 AS packet, CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARN' ELSE 'INFO' END AS severity, 'E' || (event_id % 7) AS code FROM events)
@@ -207,37 +221,6 @@ def permutation_test(spark, sf_dir):
     return analysis.permutation_p(rows, "g", "x", "y")
 
 
-PHASE_SQL = DEMO_SQL + """,
-ends AS (SELECT tool, family, cons_end AS x, cons_len, unnest(CAST([2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0] AS DOUBLE[])) AS k FROM hits WHERE cons_end IS NOT NULL),
-laid AS (SELECT *, cons_len / k AS period FROM ends),
-counted AS (
-  SELECT tool, family, k, CASE WHEN floor((((x % period) / period + 0.05) % 1.0) * 10) = 0 THEN 1 ELSE 0 END AS first, CASE WHEN abs(x - round(x / period) * period) <= 0.05 * period THEN 1 ELSE 0 END AS near FROM laid),
-phases AS (SELECT tool, family, k, count(*) AS n, CAST(sum(first) AS BIGINT) AS hits, avg(near) AS occupancy, sum(first) / (count(*) / 10) AS enrichment, (sum(first) - count(*) / 10) / sqrt(count(*) / 10 * 0.9) AS z FROM counted GROUP BY ALL)"""
-
-
-def _phases(spark, sf_dir):
-    hits = demo_hits(spark, sf_dir).filter("cons_end IS NOT NULL")
-    return analysis.phase_enrichment(hits.select("tool", "family", F.col("cons_end").alias("x"), "cons_len"), ["tool", "family"], (2.0, 2.5, 3.0, 3.5, 4.0, 4.5, 5.0))
-
-
-@query("WITH " + PHASE_SQL + " SELECT tool, family, k, n, hits, round(occupancy, 6) AS occupancy, round(enrichment, 6) AS enrichment, round(z, 6) AS z FROM phases")
-def phase_enrichment(spark, sf_dir):
-    rows = _phases(spark, sf_dir)
-    return rows.select("tool", "family", "k", "n", "hits", *[F.round(c, 6).alias(c) for c in ("occupancy", "enrichment", "z")])
-
-
-@query("WITH " + PHASE_SQL + """,
-figures AS (SELECT tool, family, median(e - s) AS median_len, median(cons_len) AS cons_len, avg(CASE WHEN e - s >= 2 * cons_len THEN 1.0 ELSE 0.0 END) AS full_fraction FROM hits WHERE cons_end IS NOT NULL GROUP BY tool, family),
-good AS (SELECT p.*, median_len * k / cons_len AS rho FROM phases p JOIN figures USING (tool, family) WHERE median_len * k / cons_len BETWEEN 0.5 AND 9 AND enrichment >= 1.0 AND z >= 0.0 AND round(full_fraction, 4) < 0.02),
-best AS (SELECT *, row_number() OVER (PARTITION BY tool, family ORDER BY enrichment DESC, k DESC) AS r FROM good)
-SELECT tool, family, k, round(enrichment, 6) AS enrichment, round(rho, 6) AS rho, round(z, 6) AS z FROM best WHERE r = 1""")
-def overassembly_flags(spark, sf_dir):
-    hits = demo_hits(spark, sf_dir).filter("cons_end IS NOT NULL")
-    full = F.expr("CASE WHEN e - s >= 2 * cons_len THEN 1.0D ELSE 0.0D END")
-    figures = hits.groupBy("tool", "family").agg(F.median(F.expr("e - s")).alias("median_len"), F.median("cons_len").alias("cons_len"), F.avg(full).alias("full_fraction"))
-    return analysis.overassembly(_phases(spark, sf_dir), ["tool", "family"], figures, 0.5, 9.0, 1.0, 0.0)
-
-
 @query("""WITH mapping AS (SELECT DISTINCT 'p' || (p_size % 30) AS path FROM part), vocabulary AS (SELECT DISTINCT 'p' || (s_suppkey % 25) AS path FROM supplier), used AS (SELECT DISTINCT 'p' || (c_custkey % 40) AS path FROM customer),
 every AS (SELECT path FROM mapping UNION SELECT path FROM vocabulary UNION SELECT path FROM used),
 flags AS (SELECT path, path IN (SELECT path FROM mapping) AS mapped, path IN (SELECT path FROM vocabulary) AS accepted, path IN (SELECT path FROM used) AS used FROM every)
