@@ -32,6 +32,12 @@ def point_join(points: DataFrame, segments: DataFrame, keys: list[str], at: str,
     return a.join(binned(segments, "s2", "e2", width).drop("first_bin"), [*keys, "bin"]).filter(f"s2 <= {at} AND {at} < e2").drop("bin")
 
 
+def clipped(df: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Rows of known chromosomes with s and e inside sizes(chrom, size); what lies outside as a whole goes."""
+    inside = df.join(sizes.select("chrom", "size"), "chrom").withColumn("s", F.greatest("s", F.lit(0))).withColumn("e", F.least("e", "size"))
+    return inside.filter("e > s").drop("size")
+
+
 def elementary(df: DataFrame, keys: list[str]) -> DataFrame:
     """The pieces between neighbouring ends of intervals, by keys: seg_s, seg_e."""
     points = df.select(*keys, F.explode(F.array("s", "e")).alias("seg_s")).distinct()

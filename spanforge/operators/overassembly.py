@@ -174,5 +174,3 @@ def per_tool(records: DataFrame, untestable: DataFrame | None = None) -> DataFra
         return table
     zero = {"n_families_bed", "n_families_tested", "n_flagged", "modal_k", "n_multi_boundary", "n_confirmed"}
     return table.unionByName(untestable.select("tool", "status", *[(F.lit(0).cast("bigint") if c in zero else F.lit(None).cast("double")).alias(c) for c in table.columns[2:]]))
-
-

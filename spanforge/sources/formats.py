@@ -74,3 +74,88 @@ def lint_codes(lines: DataFrame) -> DataFrame:
     """packet, severity, code from a checker's lines (packet, value) such as ``ERROR [E12] text``."""
     found = lambda i: F.regexp_extract("value", r"^\s*(ERROR|WARN|INFO)\s+\[?([A-Z]+-?\d+)\]?", i)
     return lines.select("packet", found(1).alias("severity"), found(2).alias("code")).filter("code <> ''")
+
+
+def read_sizes(spark: SparkSession, path: str) -> DataFrame:
+    """chrom, size of a file of chromosome sizes."""
+    return spark.read.option("sep", "\t").schema("chrom string, size bigint").csv(path)
+
+
+def read_evidence(spark: SparkSession, path: str) -> DataFrame:
+    """member, n_full_len, genomic_bp, cov, div_median, frac_tandem of a Parquet table; a column that it lacks is null."""
+    raw = spark.read.parquet(path)
+    names = {"n_full_len": "n_full_len", "genomic_bp": "genomic_bp", "cov": "cov_ge3", "div_median": "div_median", "frac_tandem": "frac_tandemtool"}
+    own = [(F.col(old) if old in raw.columns else F.lit(None)).cast("double").alias(new) for new, old in names.items()]
+    return raw.select(F.concat_ws(":", "tool", "family").alias("member"), *own)
+
+
+def read_consensus(lines: DataFrame) -> DataFrame:
+    """kimura and seq of a consensus file's lines(value): the header's mean divergence, and what follows without gaps."""
+    header = F.regexp_extract("value", r"Avg Kimura = ([0-9.]+)", 1).try_cast("double")
+    body = F.when(~F.col("value").startswith(">") & ~F.col("value").startswith("#"), F.translate(F.trim("value"), ".-", ""))
+    rows = lines.withColumn("at", F.monotonically_increasing_id())
+    return rows.agg(F.max(header).alias("kimura"), F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", F.coalesce(body, F.lit("")).alias("b")))), lambda x: x["b"]), "").alias("seq"))
+
+
+def read_blast(spark: SparkSession, path: str, columns: str) -> DataFrame:
+    """Tabular alignments with the columns asked for."""
+    return spark.read.option("sep", "\t").schema(columns).csv(path)
+
+
+def read_mapping(spark: SparkSession, path: str) -> DataFrame:
+    """A map of classification paths under # comments and a header."""
+    return spark.read.option("sep", "\t").option("comment", "#").option("header", True).csv(path)
+
+
+def read_vocabulary(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+    """canonical_path of a vocabulary, and the version its comments name, or unknown."""
+    named = spark.read.text(path).select(F.regexp_extract("value", r"^#\s*vocabulary_version:\s*(.*?)\s*$", 1).alias("v")).filter("v <> ''").head()
+    paths = read_mapping(spark, path).select(F.trim("canonical_path").alias("canonical_path")).filter("canonical_path <> ''").distinct()
+    return paths, named[0] if named else "unknown"
+
+
+#: What is read of a packet; further parts are left alone.
+ENGINE = "struct<error:string,rebuilt_consensus_len:double,alignment_rows:bigint,median_depth:double,lint:struct<genome:struct<n_error:bigint,n_coord_warnings:bigint>,coord_check:struct<n_verified:bigint,n_rows:bigint>>>"
+PACKET = f"cluster_id bigint, cluster_key string, mode string, canonical_path string, tp string, tp_status string, n_loci bigint, n_loci_full bigint, modal_consensus_len double, model_index bigint, model_centre double, n_models bigint, error string, engines map<string,{ENGINE}>"
+
+
+def read_packets(spark: SparkSession, path: str) -> DataFrame:
+    """One row for each packet and engine of the JSON files under a path, whole clusters and models alike; those with errors, without engines or that can't be read are left out."""
+    raw = spark.read.schema(PACKET).option("multiLine", True).option("recursiveFileLookup", True).option("pathGlobFilter", "packet.json").json(path)
+    good = raw.filter("error IS NULL AND engines IS NOT NULL AND size(engines) > 0")
+    folder = F.regexp_extract(F.input_file_name(), r"/(model[^/]*)/packet\.json$", 1)
+    rows = good.withColumn("model_dir", folder).select(
+        "cluster_id", "cluster_key", "mode", "canonical_path", "tp", "tp_status", "n_loci", "n_loci_full", F.col("modal_consensus_len").alias("modal_cons"),
+        F.coalesce("model_index", F.lit(0)).alias("model_index"), "model_centre", F.coalesce("n_models", F.lit(1)).alias("n_models"), "model_dir", F.explode("engines").alias("engine", "x"),
+    )
+    depth = F.when(F.coalesce("canonical_path", F.lit("")) == "", 0).otherwise(F.size(F.split("canonical_path", ":")))
+    return rows.select(
+        *[c for c in rows.columns if c != "x"], depth.alias("path_depth"), F.col("x.error").alias("engine_error"), F.col("x.rebuilt_consensus_len").alias("cons"), F.col("x.alignment_rows").alias("rows"), F.col("x.median_depth").alias("depth"),
+        F.col("x.lint.genome.n_error").alias("lint_err"), F.col("x.lint.genome.n_coord_warnings").alias("coord_warn"), F.col("x.lint.coord_check.n_verified").alias("verified"), F.col("x.lint.coord_check.n_rows").alias("n_rows"),
+    )
+
+
+def write_edges(edges: DataFrame, path: str) -> None:
+    edges.write.mode("overwrite").parquet(path)
+
+
+def write_json(rows: DataFrame, path: str) -> None:
+    """A JSON object a line; nested columns stay nested."""
+    rows.write.mode("overwrite").json(path)
+
+
+def write_mapping(mapping: DataFrame, path: str, version: str, comments: tuple[str, ...] = ()) -> None:
+    """A map under comments that tell its version, when it was made (UTC) and what its columns are."""
+    columns = ["canonical_path", "tp", "scheme_version", "source_url", "status", "tp_long", "note"]
+    spark = mapping.sparkSession
+    made = spark.sql("SELECT date_format(to_utc_timestamp(current_timestamp(), current_timezone()), \"yyyy-MM-dd'T'HH:mm:ss'Z'\")").head()[0]
+    head = [f"#tp_map_version: {version}", f"#generated: {made}", *[f"# {c}" for c in comments], "\t".join(columns)]
+    body = mapping.select(F.lit(1).alias("part"), "canonical_path", F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]).alias("value"))
+    top = spark.createDataFrame([(0, str(i).zfill(6), line) for i, line in enumerate(head)], "part int, canonical_path string, value string")
+    # a map has a row for each path of a vocabulary; one file keeps the comments above them
+    top.unionByName(body).coalesce(1).sortWithinPartitions("part", "canonical_path").select("value").write.mode("overwrite").text(path)
+
+
+def write_coverage(used: DataFrame, path: str) -> None:
+    """scope, canonical_path, n, status in their order."""
+    used.select("scope", "canonical_path", "n", "status").orderBy("scope", "canonical_path").write.mode("overwrite").option("sep", "\t").option("header", True).csv(path)

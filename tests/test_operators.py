@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from spanforge.functions.graph import connected_components
-from spanforge.operators import analysis, copies, intervals, linkage, sequences
+from spanforge.operators import analysis, copies, intervals, linkage, overassembly, readback, reports, selection, sequences
 from spanforge.sources import formats
 from spanforge.sources.hits import read_annotations
 
@@ -160,14 +160,189 @@ def test_names_and_complement(spark):
 
 def test_tier_order(spark):
     rows = [("SINE", 900, 3, 3, 50, 9), ("SINE", 100, 0, 0, 50, 9), ("LTR", 5000, 1, 1, 50, 9), ("LTR", 5000, 1, 1, 5, 9), ("LTR", 10, 1, 1, 50, 9), ("LTR", 10, 1, 0, 50, 9), ("LTR", 5000, 0, 0, 50, 9), ("Unknown", 9000, 0, 0, 50, 9)]
+    rows += [("LTR", 5000, 1, 1, None, 9), ("LTR", 5000, 1, 1, 50, None), ("Helitron", 3000, 0, 0, 9, 9)]
     df = spark.createDataFrame(rows, "o string, l int, d int, c int, r int, p int")
-    assert [r[0] for r in df.select(analysis.tier(*map(F.col, "oldcrp"[0:1] + "ldcrp"))).collect()] == list("DEABBCDF")
+    got = [r[0] for r in df.select(analysis.tier(*map(F.col, "oldcrp"[0:1] + "ldcrp"))).collect()]
+    assert got == [analysis.TIERS[x] for x in ("D", "E", "A", "B thin", "B short", "C", "D", "F", "B thin", "B thin", "D")]
+
+
+@pytest.mark.parametrize(("path", "tp", "order"), [("repeat:TE:DNA/hAT", None, "TIR"), ("Helitron", None, "RC"), ("repeat:source", None, "Unknown"), ("x:RC", None, "RC"), ("Penelope", None, "PLE"), (None, "rolling", "RC"), ("LTR", "LINE", "LINE"), (None, None, "Unknown")])
+def test_order_of_path(spark, path, tp, order):
+    df = spark.createDataFrame([(path, tp)], "path string, tp string")
+    assert df.select(analysis.order_of_path(F.col("path"), F.col("tp"))).head()[0] == order
+
+
+@pytest.mark.parametrize(("name", "kind"), [("Transposase_22", None), ("Transposase_21", "transposase"), ("RVP_2", "RT"), ("HTH_Tnp_Tc3_1", "transposase"), ("Helitron_like_N", "transposase"), ("rve_3", "integrase"), ("Preve", None), ("RVT_1", "RT"), ("RVT_1x", None), ("gag_pre", None)])
+def test_domain_kinds(spark, name, kind):
+    assert spark.createDataFrame([(name,)], "p string").select(analysis.domain_kind(F.col("p"))).head()[0] == kind
 
 
 def test_domain_table(spark):
-    lines = ["# head", "s1 - RVT_1 - 100 11 60 0 0 0 1e-9 x", "s1 - short", "s1 - bad - x 1 2 0 0 0 1 x"]
+    lines = [
+        "# hit ID  target name         accession  query name           accession   hmm len  hmm from    hmm to   seq len  ali from    ali to    E-value  score  bias   PID  description of target",
+        "       1 c00264_single        -          RVT_1                PF00078.33      200         1       199       7735      4303      4782   2.3e-43  143.8   0.0 30.50 -",
+        "       6 c01141_single        -          RVT_1                PF00078.33      200       200         2       7065      3593      3111   6.7e-41  135.8   0.0 28.00 -",
+        "       7 c01141_single        -          rve", "       8 a - b c x 1 2 3 4 5 1e-3 1 0 1 -", "",
+    ]
     got = analysis.parse_domain_table(spark.createDataFrame([(x,) for x in lines], "value string")).collect()
-    assert [(r.profile, r.hmm_cov) for r in got] == [("RVT_1", 0.5)]
+    assert [(r.seq, r.profile, r.hmm_len, r.evalue, r.hmm_cov) for r in got] == [("c00264_single", "RVT_1", 200, 2.3e-43, 0.995), ("c01141_single", "RVT_1", 200, 6.7e-41, 0.995)]
+
+
+def test_core_domains_need_coverage(spark):
+    rows = [("a", "RVT_1", 0.4), ("a", "rve", 0.9), ("a", "gag", 1.0), ("b", "MULE", 0.49)]
+    got = {r.seq: (r.n_dom, r.n_core, r.core_kinds, r.core_domains, r.best_cov) for r in analysis.domain_summary(spark.createDataFrame(rows, "seq string, profile string, hmm_cov double")).collect()}
+    assert got == {"a": (3, 1, "integrase", "rve", 1.0), "b": (1, 0, "", "", 0.49)}
+
+
+def test_tandem_share_counts_all_bases(spark):
+    rows = [("k", "a", "t", 9.0, 100.0, 1.0, 1.0, 0.5), ("k", "b", "u", None, 900.0, None, 1.0, None), ("n", "c", "t", None, None, None, None, 0.1)]
+    members = spark.createDataFrame(rows, "cluster_key string, member string, tool string, n_full_len double, genomic_bp double, cov double, div_median double, frac_tandem double")
+    votes = spark.createDataFrame([("k", "LTR", 1.0), ("n", None, None)], "cluster_key string, winner string, share double")
+    got = {r.cluster_key: (r.tandem, r.g4, r.candidate) for r in linkage.gates(members, votes).collect()}
+    assert got == {"k": (0.05, True, True), "n": (None, False, False)}
+
+
+def test_evidence_joins_once(spark):
+    members = spark.createDataFrame([("k", "a"), ("k", "b")], "cluster_key string, member string")
+    evidence = spark.createDataFrame([("a", 5.0), ("z", 1.0)], "member string, genomic_bp double")
+    assert {r.member: r.genomic_bp for r in linkage.with_evidence(members, evidence).collect()} == {"a": 5.0, "b": None}
+    with pytest.raises(Exception, match="twice"):
+        linkage.with_evidence(members, evidence.unionByName(evidence)).collect()
+
+
+def test_gap_veto_asks_for_the_cluster(spark):
+    own = hits(spark, [("c", 0, 100, "+"), ("c", 150, 250, "+")])
+    between = lambda tool, family: spark.createDataFrame([(tool, family, "c", 103, 149, "+", 1.0, 99, None, None, None, None)], HIT)
+    mates = F.when(F.col("family").isin("f", "mate"), "k")
+    for tool, family, merged in (("u", "mate", 2), ("u", "g", 1), ("t", "g", 1), ("t", "mate", 2)):
+        made = copies.merge_copies(own.unionByName(between(tool, family)), gap_aware=True, cluster=mates)
+        assert made.filter("family = 'f'").agg(F.max("n_fragments")).head()[0] == merged, (tool, family)
+        plan = made._jdf.queryExecution().toString()
+        assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_hit_ids_over_chromosomes_and_members_without_any(spark):
+    rows = [("t", "f", "c2", 5, 9, "+", 1.0, 1, None, None, None, "h"), ("t", "f", "c1", 2, 4, "-", 1.0, 2, None, None, None, "h"), ("t", "f", "c1", 7, 8, "+", 1.0, 3, None, None, None, None)]
+    rows += [("u", "g", "c1", 0, 10, "+", 1.0, 4, None, None, None, None), ("u", "g", "c1", 20, 30, "+", 1.0, 5, None, None, None, None)]
+    got = sorted((r.tool, r.chrom, r.start, r.end, r.strand, r.n_fragments) for r in copies.hit_id_copies(spark.createDataFrame(rows, HIT)).collect())
+    assert got == [("t", "c1", 2, 9, "-", 2), ("u", "c1", 0, 30, "+", 2)]
+
+
+def test_mates_with_more_hits_paint_last(spark):
+    mate = lambda family, s, e, i: ("t", family, "c", s, e, "+", 1.0, i, None, None, None, None)
+    rows = [mate("many", 0, 100, 1), mate("many", 500, 600, 2), mate("few", 0, 100, 3)]
+    lengths = spark.createDataFrame([("t", "many", 264), ("t", "few", 764)], "tool string, family string, cons_len long")
+    bare = spark.createDataFrame([(1, "c", 0, 90), (2, "c", 200, 300)], "row long, chrom string, s long, e long")
+    assert {r.row: r.cons_len for r in copies.inherited_lengths(bare, spark.createDataFrame(rows, HIT), lengths, "row").collect()} == {1: 264, 2: None}
+
+
+def test_clipped_to_known_chromosomes(spark):
+    rows = spark.createDataFrame([("c", 5, 50), ("c", 40, 60), ("c", 60, 70), ("x", 0, 1)], "chrom string, s long, e long")
+    sizes = spark.createDataFrame([("c", 55)], "chrom string, size long")
+    assert sorted((r.s, r.e) for r in intervals.clipped(rows, sizes).collect()) == [(5, 50), (40, 55)]
+
+
+PHASE = "tool string, family string, repeat_start double, repeat_end double, repeat_left double, hit_len double"
+
+
+def test_overassembly_reasons_and_verdicts(spark):
+    array = [("t", "array", 1.0 + 200 * (i % 3), 200.0 * (i % 3 + 1), 600 - 200.0 * (i % 3 + 1), 200.0) for i in range(120)]
+    whole = [("t", "whole", 1.0 if i % 2 else 50.0 + i, 600.0 if i % 2 else 330.0 + i, 0.0 if i % 2 else 270.0 - i, 599.0) for i in range(160)]
+    short = [("t", "short", 1.0, 50.0, 30.0, 49.0)] * 60
+    few = [("t", "few", 1.0, 50.0, 300.0, 49.0)] * 49 + [("t", "few", None, 50.0, 300.0, 49.0)] * 20
+    ends = [("t", "ends", 1.0, 600.0, 0.0, 599.0)] * 60
+    loose = [("t", "loose", 1.0, 50.0, 300.0 + 9 * i, 49.0) for i in range(60)]
+    records = overassembly.family_records(spark.createDataFrame(array + whole + short + few + ends + loose, PHASE))
+    got = {r.family: r for r in records.collect()}
+    assert {f: r.reason for f, r in got.items()} == {
+        "array": "over_assembly", "whole": "consensus_length_is_realised", "short": "consensus_too_short", "few": "too_few_hits_with_cons_coords", "ends": "too_few_internal_endpoints", "loose": "consensus_length_inconsistent",
+    }
+    r = got["array"]
+    assert (r.k, r.unit_len, r.rho, r.boundary_occ, r.boundary_support, r.flag) == (3.0, 200.0, 1.0, "0.5;0.5", 2, True)
+    assert got["few"].n_hits == 69 and got["few"].cons_len is None
+
+    def verdict(clusters, lengths):
+        mates = records.filter("family = 'whole'").withColumn("cons_len", F.lit(lengths).cast("double"))
+        rows = records.filter("family = 'array'").unionByName(mates)
+        return {r.family: r.verdict for r in overassembly.verdicts(rows, spark.createDataFrame(clusters, "cluster_id int, tool string, family string")).collect()}["array"]
+
+    both = [(4, "t", "array"), (4, "t", "whole")]
+    assert verdict(both, 205.0) == "confirmed_over_assembly"
+    assert verdict(both, 590.0) == "suspect_coordinate_only"
+    assert verdict(both, None) == "suspect_no_mate_length"
+    assert verdict([(4, "t", "whole")], 205.0) == "suspect_no_cluster"
+    assert [r.family for r in overassembly.flag_order(records).limit(1).collect()] == ["array"]
+
+
+def test_quotas_by_depth(spark):
+    rows = [(i, "a:b:c" if i < 5 else "a:b:c:d" if i < 25 else "a", i % 3, "o") for i in range(60)]
+    df = spark.createDataFrame(rows, "cluster_id long, majority_path string, n_tools long, majority_order string")
+    got = selection.quota_select(df, 30, F.col("cluster_id")).groupBy("path_depth").count().collect()
+    assert {r.path_depth: r["count"] for r in got} == {3: 5, 4: 9, 1: 16}
+    assert selection.quota_select(df, 3, F.col("cluster_id")).count() == 3
+
+
+def test_models_fall_back_and_need_loci(spark):
+    modes = spark.createDataFrame([("k", 0, 100.0, 2, 2, "a", True), ("k", 1, 900.0, 3, 2, "a", True), ("one", 0, 50.0, 1, 1, "a", False), ("one", 1, 80.0, 4, 1, "a", False)], "key string, mode_index int, centre double, n_members long, n_tools long, tools string, credible boolean")
+    made = selection.models(modes, "key")
+    assert sorted((r.key, r["index"], r.centre, r.n_models) for r in made.collect()) == [("k", 0, 100.0, 2), ("k", 1, 900.0, 2), ("one", 0, 80.0, 1)]
+    loci = spark.createDataFrame([("k", 90), ("k", 120), ("k", 1000), ("k", 1400), ("one", 500)], "key string, span long")
+    got = {(r.key, r["index"]): (r.n_loci, r.n_over, r.error) for r in selection.fan_out(loci, made, "key").collect()}
+    assert got == {("k", 0): (2, 0, None), ("k", 1): (2, 1, "only 1 loci in this mode"), ("one", 0): (1, 1, None)}
+    df = spark.createDataFrame([("a", True), ("a", False), ("b", None)], "key string, known boolean")
+    assert sorted((r.key, r.known) for r in selection.measured_or_all(df, "key", F.col("known")).collect()) == [("a", True), ("b", None)]
+
+
+def test_rows_read_back(spark):
+    known = spark.createDataFrame([("a:c:11-60_+", "c", 10, 60, "+"), ("a:c:101-150_-", "c", 100, 150, "-")], "seq_id string, chrom string, start long, end long, strand string")
+    ids = ["a:c:11-60_+", "_R_a:c:11-60_+", "a:c:11-60_+:5-20_-", "a:c:101-150_-:5-20_+", "a:c:101-150_-:1-50_-", "nonsense", "other:5-20_+"]
+    got = {r.row_id: (r.start, r.end, r.strand) for r in readback.read_back(spark.createDataFrame([(x,) for x in ids], "row_id string"), known).collect()}
+    assert got == {
+        ids[0]: (10, 60, "+"), ids[1]: (10, 60, "-"), ids[2]: (14, 30, "-"), ids[3]: (130, 146, "-"), ids[4]: (100, 150, "+"), "nonsense": (None, None, None), "other:5-20_+": (None, None, None),
+    }
+
+
+def test_trimmed_columns_move_coordinates(spark):
+    rows = [("a", "p", "GG-ACGT-T", 100, 107, "+"), ("a", "m", "GGAAC-T-T", 200, 207, "-"), ("a", "e", "GG------T", 0, 3, "+")]
+    got = {r.row_id: (r.seq, r.start, r.end) for r in readback.trim_columns(spark.createDataFrame(rows, "aln_id string, row_id string, seq string, start long, end long, strand string"), F.lit(2), F.lit(8)).collect()}
+    assert got == {"p": ("-ACGT", 102, 106), "m": ("AAC-T", 201, 205)}
+
+
+def test_factor_verdicts(spark):
+    rows = [("s", 600, 301, 1, "plus", 200), ("w", 600, 301, 1, "plus", 100), ("n", 600, 301, 1, "minus", 300), ("n", 600, 599, 1, "plus", 300)]
+    got = {r.seq: (r.best_bp, r.best_offset, r.verdict) for r in reports.factor_support(spark.createDataFrame(rows, "seq string, len int, q_start int, s_start int, strand string, length int"), [2]).collect()}
+    assert got == {"s": (200, 300, "SUPPORTS k=2"), "w": (100, 300, "weak/partial support for k=2"), "n": (0, 0, "NO support for k=2")}
+
+
+def test_report_files(spark, tmp_path):
+    (tmp_path / "x.sizes").write_text("c1\t100\nc2\t50\n")
+    assert formats.read_sizes(spark, str(tmp_path / "x.sizes")).agg(F.sum("size")).head()[0] == 150
+    spark.createDataFrame([("t", "f", 5.0)], "tool string, family string, genomic_bp double").write.parquet(str(tmp_path / "e"))
+    r = formats.read_evidence(spark, str(tmp_path / "e")).head()
+    assert (r.member, r.genomic_bp, r.div_median) == ("t:f", 5.0, None)
+    (tmp_path / "v.tsv").write_text("# vocabulary_version: 7\ncanonical_path\tnote\na:b\tx\n \ty\n")
+    paths, version = formats.read_vocabulary(spark, str(tmp_path / "v.tsv"))
+    assert version == "7" and [r.canonical_path for r in paths.collect()] == ["a:b"]
+    lines = spark.createDataFrame([("# c",), ("rm_class\tdfam_lineage",), ("LINE/L1\troot;LINE",), ("alone",), ("",)], "value string")
+    assert {r.name for r in reports.accepted_names(lines).collect()} == {"LINE/L1", "root;LINE", "alone"}
+    assert [tuple(r) for r in reports.long_names(lines).collect()] == [("LINE/L1", "root;LINE")]
+    mapping = spark.createDataFrame([("b", "tp2", "1", "u", "exact", None, None), ("a", "tp1", "1", "u", "exact", "long", "n")], "canonical_path string, tp string, scheme_version string, source_url string, status string, tp_long string, note string")
+    formats.write_mapping(mapping, str(tmp_path / "map"), "3", ("made here",))
+    assert [r.canonical_path for r in formats.read_mapping(spark, str(tmp_path / "map")).collect()] == ["a", "b"]
+    text = next(p for p in (tmp_path / "map").iterdir() if p.name.startswith("part")).read_text()
+    assert text.startswith("#tp_map_version: 3\n#generated: 20") and "# made here\n" in text
+    for name, body in {"cluster_1/gap/packet.json": '{"cluster_id": 1, "mode": "gap", "canonical_path": "a:b", "engines": {"mafft": {"rebuilt_consensus_len": 90, "lint": {"genome": {"n_error": 2}}}, "refiner": {"error": "no"}}}', "cluster_1/gap/model0_90bp/packet.json": '{"cluster_id": 1, "model_index": 0, "n_models": 2, "engines": {"mafft": {}}}', "cluster_2/gap/packet.json": '{"cluster_id": 2, "error": "x"}', "cluster_3/gap/packet.json": "{broken"}.items():
+        path = tmp_path / "packets" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(body)
+    got = sorted((r.cluster_id, r.model_dir, r.engine, r.cons, r.lint_err, r.engine_error, r.path_depth) for r in formats.read_packets(spark, str(tmp_path / "packets")).collect())
+    assert got == [(1, "", "mafft", 90.0, 2, None, 2), (1, "", "refiner", None, None, "no", 2), (1, "model0_90bp", "mafft", None, None, None, 0)]
+    consensus = spark.createDataFrame([("# Avg Kimura = 12.5)",), (">c",), ("AC.G",), ("T-T",)], "value string").coalesce(1)
+    assert tuple(formats.read_consensus(consensus).head()) == (12.5, "ACGTT")
+    formats.write_json(mapping.limit(1), str(tmp_path / "j"))
+    formats.write_edges(mapping, str(tmp_path / "edges"))
+    formats.write_coverage(spark.createDataFrame([("s", "b", 1, "exact"), ("s", "a", 2, "UNMAPPED")], "scope string, canonical_path string, n long, status string"), str(tmp_path / "cov"))
+    assert spark.read.option("sep", "\t").option("header", True).csv(str(tmp_path / "cov")).count() == 2
 
 
 def test_formats(spark, tmp_path):

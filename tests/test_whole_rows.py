@@ -1,10 +1,10 @@
-"""Queries whose SQL reads a part of the rows, against plain versions over whole ones."""
+"""Queries that read whole texts and all rows, against plain versions."""
 
 import numpy as np
 import pytest
 
-from spanforge.operators import sequences
-from spanforge.plans import registry, registry_more  # noqa: F401
+from spanforge.operators import analysis, sequences
+from spanforge.plans import registry, registry_more, registry_rules  # noqa: F401
 
 DOC = "doc_id long, text string, lang string, source string, n_chars long"
 ALN = str.maketrans("abcdefghijklmnopqrstuvwxyz ", "acgtacgtaacgtacgtacgtacgan.")
@@ -108,11 +108,13 @@ def test_sequence_queries_read_whole_texts(spark, texts, folder):
 
 def test_tier_queries_read_all_orders_and_lines(spark, tmp_path):
     orders = [(k, k, 250000.0) for k in (2, 1999, 2002, 50002)]
-    lines = [(2, 7, 1, 50.0), (2, 8, 2, 25.0), (2002, 9, 2, 10.0), (50002, 14, 3, 40.0)]
+    lines = [(2, 17, 1, 50.0), (2, 18, 2, 25.0), (2002, 36, 2, 10.0), (50002, 34, 3, 40.0)]
     spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_totalprice double").write.parquet(f"{tmp_path}/orders.parquet")
     spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
     got = {r.seq: (r.n_dom, r.domains, r.best_cov) for r in registry.QUERIES["domain_summary"](spark, str(tmp_path)).collect()}
     assert got == {2: (2, "RVT_1;rve", 1.0), 2002: (1, "DDE_Tnp_4", 0.2), 50002: (1, "RVT_1", 0.8)}
     got = {(r.order_name, r.tier): (r.n, r.bp) for r in registry.QUERIES["tier_assign"](spark, str(tmp_path)).collect()}
-    assert got == {("LTR", "B"): (1, 5000), ("LINE", "D"): (1, 5000), ("RC", "A"): (2, 10000)}
-    assert [(r.place, r.seq, r.n_core) for r in registry.QUERIES["tier_rank"](spark, str(tmp_path)).orderBy("place").collect()] == [(1, 2, 2), (2, 50002, 1), (3, 2002, 1)]
+    thin, large, whole = (analysis.TIERS[x] for x in ("B thin", "D", "A"))
+    # that SINE's only domain covers a fifth of its profile
+    assert got == {("LTR", thin): (1, 5000), ("DIRS", large): (1, 5000), ("SINE", large): (1, 5000), ("PLE", whole): (1, 5000)}
+    assert [(r.place, r.seq, r.n_core) for r in registry.QUERIES["tier_rank"](spark, str(tmp_path)).orderBy("place").collect()] == [(1, 50002, 1)]
