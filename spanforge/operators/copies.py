@@ -31,7 +31,7 @@ def foreign_cover(probes: DataFrame, hits: DataFrame, row: str) -> DataFrame:
     others = hits.select("chrom", F.col("s").alias("s2"), F.col("e").alias("e2"), F.col("cluster").alias("other"))
     inside = overlap_join(probes.select(row, "cluster", "chrom", "s", "e").filter("e > s"), others, ["chrom"]).filter("cluster <> other")
     pieces = inside.select(row, F.greatest("s", "s2").alias("s"), F.least("e", "e2").alias("e"))
-    bp = islands(pieces, [row]).groupBy(row).agg(F.sum(F.col("e") - F.col("s")).alias("bp"))
+    bp = islands(pieces, [row], None).groupBy(row).agg(F.sum(F.col("e") - F.col("s")).alias("bp"))
     return probes.join(bp, row, "left").withColumn("covered", F.coalesce(F.try_divide(F.col("bp"), F.col("e") - F.col("s")), F.lit(0.0))).drop("bp")
 
 

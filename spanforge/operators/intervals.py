@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BIN = 1024
+#: Bases of the tiles that are painted and united on their own.
+TILE = 16_384
 
 
 def binned(df: DataFrame, s: str = "s", e: str = "e", width: int = BIN) -> DataFrame:
@@ -38,28 +40,55 @@ def clipped(df: DataFrame, sizes: DataFrame) -> DataFrame:
     return inside.filter("e > s").drop("size")
 
 
+def tiled(df: DataFrame, tile: int) -> DataFrame:
+    """df with a row for each tile it touches, cut at the tile's ends."""
+    rows = df.withColumn("tile", F.explode(F.sequence(F.expr(f"s div {tile}"), F.greatest(F.expr(f"s div {tile}"), F.expr(f"(e - 1) div {tile}")))))
+    return rows.withColumn("s", F.greatest("s", F.col("tile") * tile)).withColumn("e", F.least("e", (F.col("tile") + 1) * tile))
+
+
+def _stitched(pieces: DataFrame, keys: list[str], tile: int, value: str | None = None) -> DataFrame:
+    """Pieces with touching ones across a tile's edge as one, of one value if given. Only pieces at edges are ordered by keys alone."""
+    at_edge = (F.col("s") % tile == 0) | (F.col("e") % tile == 0)
+    by = Window.partitionBy(*keys).orderBy("s")
+    touches = F.lag("e").over(by) == F.col("s")
+    if value is not None:
+        touches &= F.lag(value).over(by).eqNullSafe(F.col(value))
+    edges = pieces.filter(at_edge).withColumn("new", F.when(touches, 0).otherwise(1))
+    edges = edges.withColumn("run", F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    kept = [] if value is None else [F.first(value).alias(value)]
+    joined = edges.groupBy(*keys, "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), *kept).drop("run")
+    return pieces.filter(~at_edge).select(joined.columns).unionByName(joined)
+
+
 def elementary(df: DataFrame, keys: list[str]) -> DataFrame:
     """The pieces between neighbouring ends of intervals, by keys: seg_s, seg_e."""
-    points = df.select(*keys, F.explode(F.array("s", "e")).alias("seg_s")).distinct()
+    points = df.select(*keys, F.explode(F.array("s", "e")).alias("seg_s"))
     order = Window.partitionBy(*keys).orderBy("seg_s")
-    return points.withColumn("seg_e", F.lead("seg_s").over(order)).filter("seg_e IS NOT NULL")
-
-
-def paint(df: DataFrame, keys: list[str], value: str, order: Column, width: int = BIN) -> DataFrame:
-    """Last-writer-wins paint: keys, s, e, value; of overlapping rows the one with the largest order owns a base."""
-    segments = elementary(df, keys).select(*keys, F.col("seg_s").alias("s"), F.col("seg_e").alias("e"))
-    rows = df.select(*keys, F.col("s").alias("s2"), F.col("e").alias("e2"), F.struct(order.alias("o"), F.col(value).alias("v")).alias("w"))
-    owned = overlap_join(segments, rows, keys, width).groupBy(*keys, "s", "e").agg(F.max("w").alias("w"))
-    painted = owned.select(*keys, "s", "e", F.col("w.v").alias(value))
+    # equal ends make pieces of no length
+    return points.withColumn("seg_e", F.lead("seg_s").over(order)).filter("seg_e > seg_s")
+
+
+def paint(df: DataFrame, keys: list[str], value: str, order: Column, tile: int = TILE) -> DataFrame:
+    """Last-writer-wins paint: keys, s, e, value; of overlapping rows the one with the largest order owns a base.
+
+    Chromosomes are cut into tiles. Ends, pieces, owners and runs of a tile are all dealt by (keys,
+    tile), so one shuffle of the rows and one of their ends serve every step, and no task sorts a
+    chromosome.
+    """
+    rows = tiled(df.select(*keys, "s", "e", F.struct(order.alias("o"), F.col(value).alias("v")).alias("w")).filter("e > s"), tile)
+    near = [*keys, "tile"]
+    segments = elementary(rows, near).select(*near, F.col("seg_s").alias("s"), F.col("seg_e").alias("e"))
+    inside = segments.join(rows.withColumnsRenamed({"s": "s2", "e": "e2"}), near).filter("s2 <= s AND e <= e2")
+    painted = inside.groupBy(*near, "s", "e").agg(F.max("w").alias("w")).select(*near, "s", "e", F.col("w.v").alias(value))
     # neighbours of one value are one segment
-    by = Window.partitionBy(*keys).orderBy("s")
+    by = Window.partitionBy(*near).orderBy("s")
     new = F.when((F.lag("e").over(by) == F.col("s")) & F.lag(value).over(by).eqNullSafe(F.col(value)), 0).otherwise(1)
     run = F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0))
-    return painted.withColumn("new", new).withColumn("run", run).groupBy(*keys, "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.first(value).alias(value)).drop("run")
+    pieces = painted.withColumn("new", new).withColumn("run", run).groupBy(*near, "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.first(value).alias(value)).drop("run", "tile")
+    return _stitched(pieces, keys, tile, value)
 
 
-def islands(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The union of intervals by keys as disjoint segments: s, e. Touching ones are one."""
+def _united(df: DataFrame, keys: list[str]) -> DataFrame:
     by = Window.partitionBy(*keys).orderBy("s", "e")
     reach = F.max("e").over(by.rowsBetween(Window.unboundedPreceding, -1))
     marked = df.select(*keys, "s", "e").withColumn("new", F.when(reach >= F.col("s"), 0).otherwise(1))
@@ -67,6 +96,13 @@ def islands(df: DataFrame, keys: list[str]) -> DataFrame:
     return marked.withColumn("run", run).groupBy(*keys, "run").agg(F.min("s").alias("s"), F.max("e").alias("e")).drop("run")
 
 
+def islands(df: DataFrame, keys: list[str], tile: int | None = TILE) -> DataFrame:
+    """The union of intervals by keys as disjoint segments: s, e. Touching ones are one. Without a tile the keys' groups are small."""
+    if tile is None:
+        return _united(df, keys)
+    return _stitched(_united(tiled(df.select(*keys, "s", "e").filter("e > s"), tile), [*keys, "tile"]).drop("tile"), keys, tile)
+
+
 def coverage_fraction(gaps: DataFrame, covers: DataFrame, keys: list[str], row: str) -> DataFrame:
     """gaps(row, keys, s, e) with covered: the share of its bases in the union of covers(keys, s, e); an empty gap has 0."""
     union = islands(covers, keys).select(*keys, F.col("s").alias("s2"), F.col("e").alias("e2"))

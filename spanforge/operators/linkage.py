@@ -90,8 +90,31 @@ def clusters(pairs: DataFrame) -> DataFrame:
     return grouped.withColumn("cluster_id", place.cast("int")).select("cluster_id", "cluster_key", F.size("list").alias("n_members"), F.explode("list").alias("member"))
 
 
+def last_bridge(members: set[str], links: list[tuple]) -> int:
+    """The place in rising links(weight, a, b) whose removal, with all before it, first parts the connected members: the weakest edge of a maximum spanning tree."""
+    root = {m: m for m in members}
+
+    def find(x: str) -> str:
+        while root[x] != x:
+            root[x] = root[root[x]]
+            x = root[x]
+        return x
+
+    left, at = len(members), len(links)
+    while left > 1:
+        at -= 1
+        a, b = find(links[at][1]), find(links[at][2])
+        if a != b:
+            root[a] = b
+            left -= 1
+    return at
+
+
 def density_split(nodes: pd.DataFrame, density: float, most_depth: int = 12) -> list[list[str]]:
-    """One component's edges (a, b, w_bp) as lists of members: weakest edges go until a sparse part falls apart."""
+    """One component's edges (a, b, w_bp) as lists of members: weakest edges go until a sparse part falls apart.
+
+    Where it does is found in one pass from the strongest edge on.
+    """
     every = sorted(set(map(tuple, nodes[["w_bp", "a", "b"]].itertuples(index=False))))
 
     def parts(members: set[str], links: list[tuple]) -> list[set[str]]:
@@ -122,11 +145,7 @@ def density_split(nodes: pd.DataFrame, density: float, most_depth: int = 12) ->
         if n == 2 or depth > most_depth or len(inside) / (n * (n - 1) / 2) >= density:
             done.append(sorted(members))
             continue
-        cut_ = next((p for i in range(1, len(inside) + 1) if len(p := parts(members, inside[i:])) > 1), None)
-        if cut_ is None:
-            done.append(sorted(members))
-        else:
-            todo += [(p, depth + 1) for p in cut_]
+        todo += [(p, depth + 1) for p in parts(members, inside[last_bridge(members, inside) + 1 :])]
     return sorted(done)
 
 

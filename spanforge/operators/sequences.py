@@ -50,12 +50,10 @@ def terminal_inverted_repeat(seqs: DataFrame, tolerances: tuple[int, ...] = (0,
     """seqs(id, seq): for each tolerance the longest prefix that meets its own reverse complement with so many mismatches at most."""
     n = F.least(F.lit(most), F.floor(F.char_length("seq") / 2)).cast("int")
     rows = seqs.withColumn("n", n).withColumn("head", F.expr("substring(seq, 1, n)")).withColumn("tail", F.expr("substring(reverse(translate(seq, '" + LETTERS + "', '" + OPPOSITE + "')), 1, n)"))
-    pairs = F.zip_with(F.split("head", ""), F.split("tail", ""), lambda a, b: (a != b).cast("int"))
-    long = rows.filter("n > 0").select("id", F.posexplode(F.slice(pairs, F.lit(1), F.col("n"))).alias("pos", "miss"))
-    running = F.sum("miss").over(Window.partitionBy("id").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0))
-    counted = long.withColumn("missed", running)
-    best = counted.groupBy("id").agg(*[F.coalesce(F.max(F.when(F.col("missed") <= t, F.col("pos") + 1)), F.lit(0)).alias(f"tir_{t}") for t in tolerances])
-    return seqs.select("id").join(best, "id", "left").select("id", *[F.coalesce(f"tir_{t}", F.lit(0)).alias(f"tir_{t}") for t in tolerances])
+    pairs = F.slice(F.zip_with(F.split("head", ""), F.split("tail", ""), lambda a, b: a != b), F.lit(1), F.col("n"))
+    # before the place of the first mismatch too many
+    missed = rows.withColumn("missed", F.filter(F.transform(pairs, lambda x, i: F.when(x, i)), lambda i: i.isNotNull()))
+    return missed.select("id", *[F.coalesce(F.get("missed", F.lit(t)), F.greatest("n", F.lit(0))).cast("int").alias(f"tir_{t}") for t in tolerances])
 
 
 def alignment_cells(rows: DataFrame) -> DataFrame:

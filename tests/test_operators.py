@@ -1,5 +1,6 @@
 """Operators on small hand-made rows."""
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -31,6 +32,29 @@ def test_paint_last_writer_wins(spark):
     assert [(r.s, r.e, r.family) for r in got] == [(0, 50, "x"), (50, 60, "y"), (60, 100, "x")]
 
 
+@pytest.mark.parametrize("tile", [7, 64, 16_384])
+def test_tiles_make_no_difference(spark, tile):
+    rng = np.random.default_rng(2)
+    rows = [("t", "c" + str(i % 2), int(s), int(s + n), "fgh"[i % 3], i) for i, (s, n) in enumerate(zip(rng.integers(0, 300, 60), rng.integers(1, 90, 60), strict=True))]
+    df = spark.createDataFrame(rows, "tool string, chrom string, s long, e long, family string, ord long")
+    owner = {}
+    for _, c, s, e, f, _ in rows:
+        owner.update({(c, x): f for x in range(s, e)})
+    got = intervals.paint(df, ["tool", "chrom"], "family", F.col("ord"), tile).collect()
+    assert {(r.chrom, x): r.family for r in got for x in range(r.s, r.e)} == owner and sum(r.e - r.s for r in got) == len(owner)
+    # runs are whole
+    assert not {(r.chrom, r.e, r.family) for r in got} & {(r.chrom, r.s, r.family) for r in got}
+    made = intervals.islands(df, ["chrom"], tile).collect()
+    assert {(r.chrom, x) for r in made for x in range(r.s, r.e)} == set(owner) and sum(r.e - r.s for r in made) == len(owner)
+    assert not {(r.chrom, r.e) for r in made} & {(r.chrom, r.s) for r in made}
+
+
+def test_paint_shuffles_rows_and_ends_once(spark):
+    df = spark.range(100).selectExpr("'t' AS tool", "'c' AS chrom", "id AS s", "id + 5 AS e", "'f' AS family", "id AS ord")
+    plan = intervals.paint(df, ["tool", "chrom"], "family", F.col("ord"))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") - plan.count("ReusedExchange") <= 6 and "CartesianProduct" not in plan
+
+
 def test_coverage_fraction(spark):
     gaps = spark.createDataFrame([(1, "c", 100, 200), (2, "c", 5, 5), (3, "z", 0, 10)], "row long, chrom string, s long, e long")
     covers = spark.createDataFrame([("c", 90, 120), ("c", 110, 150), ("c", 190, 300)], "chrom string, s long, e long")
