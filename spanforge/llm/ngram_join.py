@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.functions.graph import connected_components
+from spanforge.llm.spread import spread_join
 from spanforge.llm.words import DARK, Texts, Words, mix64, pieces, shingles
 from spanforge.session import cut
 
@@ -150,14 +151,19 @@ def _pairs(joined: DataFrame) -> DataFrame:
 
 def _first_pairs(posts: DataFrame, sizes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of short lists, and of long ones with their hubs; and the rows of long lists."""
-    lists = posts.groupBy("token").agg(F.count("*").alias("length"), _hubs().alias("hubs")).filter("length > 1")
-    rows = cut(posts.join(lists, "token"))
+    rows = cut(_listed(posts))
     long = rows.filter(F.col("length") > SHORT)
     short = rows.filter(F.col("length") <= SHORT).join(sizes.select("node", *BITS), "node").select("token", F.struct("node", "n", *BITS).alias("a"))
     near = short.join(short.withColumnRenamed("a", "b"), "token").filter(F.col("a.node") < F.col("b.node")).filter(_fits(percent))
     return cut(_pairs(near).unionByName(_star(long, sizes, percent)).distinct()), long.select("token", "node", "n")
 
 
+def _listed(posts: DataFrame) -> DataFrame:
+    """The posts with the length and hubs of their token's list, if others are in it; a long list is dealt over tasks."""
+    lists = cut(posts.groupBy("token").agg(F.count("*").alias("length"), _hubs().alias("hubs")).filter("length > 1"))
+    return spread_join(posts, lists, "token", "length")
+
+
 def _hubs():
     """Of a token's sets the one with most room, which has the fewest tokens of its own, and some by hash."""
     return F.array(F.max_by("node", F.struct("room", "node")), *[F.min_by("node", F.xxhash64("node", F.lit(i))) for i in range(1, HUBS)])
@@ -166,8 +172,9 @@ def _hubs():
 def _star(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Pairs of rows(node, hubs) with their hubs that fit."""
     ends = sizes.select(F.struct("node", "n", *BITS).alias("x"))
-    far = rows.select(F.col("node").alias("left"), F.explode("hubs").alias("right")).filter("left <> right").distinct()
-    far = far.join(ends.withColumnRenamed("x", "a"), F.col("left") == F.col("a.node")).join(ends.withColumnRenamed("x", "b"), F.col("right") == F.col("b.node"))
+    far = cut(rows.select(F.col("node").alias("left"), F.explode("hubs").alias("right")).filter("left <> right").distinct())
+    far = spread_join(far, ends.select(F.col("x.node").alias("right"), F.col("x").alias("b")), "right")
+    far = far.join(ends.select(F.col("x.node").alias("left"), F.col("x").alias("a")), "left")
     return _pairs(far.filter(_fits(percent)))
 
 
@@ -226,7 +233,7 @@ def _candidates(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs that share prefix tokens by rising and by falling hash too."""
     ends = {x: sets.select(F.col("node").alias(x), F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}")) for x in "ab"}
     shares = F.arrays_overlap("low_a", "low_b") & F.arrays_overlap("high_a", "high_b")
-    return pairs.join(ends["a"], "a").join(ends["b"], "b").filter(shares).select("a", "b")
+    return spread_join(spread_join(pairs, ends["a"], "a"), ends["b"], "b", counted=pairs).filter(shares).select("a", "b")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -242,8 +249,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
     near = cut(_candidates(pairs, sets))
-    first = near.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
-    return cut(first.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
+    first = spread_join(near, sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
+    return cut(spread_join(first, sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b", counted=near).select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
 def components(docs: DataFrame, k: int, percent: int, region: float | None = None) -> DataFrame:
@@ -272,9 +279,8 @@ def components(docs: DataFrame, k: int, percent: int, region: float | None = Non
         every = sets.join(again, "node").mapInArrow(_all_tokens, "node long, token long")
         own = sizes.join(again, "node").select("node", "n", F.col("n").alias("posted"))
         posts = cut(_prefixes(every, own, percent, 1.0))
-        lists = posts.groupBy("token").agg(F.count("*").alias("length"), _hubs().alias("hubs")).filter("length > 1")
         # first with hubs again, now by all tokens, so that few sets are left outside main components
-        star = _linked(cut(_star(posts.join(lists, "token"), sizes, percent).distinct()), sets, percent)
+        star = _linked(cut(_star(_listed(posts), sizes, percent).distinct()), sets, percent)
         links = links.unionByName(star)
         placed = connected_components(links)
         more = _linked(_late_pairs(posts, sizes, placed, percent), sets, percent)

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spanforge.llm import ann, chat, decontaminate, licenses, mixing, ngram_join, queries, substrings, tokens, toxicity, warc
+from spanforge.llm import ann, chat, decontaminate, licenses, mixing, ngram_join, queries, spread, substrings, tokens, toxicity, warc
 
 SF = "/root/testdata/sf0.001"
 TABLES = "documents embeddings pages benchmark labels conversations".split()
@@ -155,6 +155,7 @@ def brute_components(texts, k, percent):
 def test_jaccard_components(spark, monkeypatch, short, held, k, percent):
     monkeypatch.setattr(ngram_join, "SHORT", short)
     monkeypatch.setattr(ngram_join, "HELD_IDS", held)
+    monkeypatch.setattr(spread, "FEW", short)
     rng = np.random.default_rng(3)
     base = [f"v{i}" for i in rng.integers(0, 500, 120)]
     texts = {0: None, 1: "", 2: "a b", 3: "A  B"}
@@ -425,3 +426,16 @@ def test_pipeline_stages(spark):
     assert before.count() == before.select("doc_id").distinct().count()
     mixed = corpus_pipeline.STAGES[-1][1](spark, before, SF)
     assert mixed.count() > 0 and "copy" in mixed.columns
+
+
+@pytest.mark.parametrize("counted", [False, True])
+def test_spread_join_keeps_all_rows(spark, monkeypatch, counted):
+    monkeypatch.setattr(spread, "FEW", 3)
+    monkeypatch.setattr(spread, "HOT", 8)
+    rows = [(7, i % 50) for i in range(200)] + [(i, i) for i in range(20)] + [(None, i) for i in range(60)] + [(99, 1)]
+    values = [(i, f"v{i}") for i in range(20)] + [(None, "none")]
+    left, right = spark.createDataFrame(rows, "k long, x long"), spark.createDataFrame(values, "k long, v string")
+    lengths = right.join(left.groupBy("k").agg(F.count("*").alias("length")), "k")
+    got = spread.spread_join(left, right, "k", counted=left) if counted else spread.spread_join(left, lengths, "k", "length").drop("length")
+    assert sorted(got.select("k", "x", "v").collect()) == sorted((k, x, f"v{k}") for k, x in rows if k is not None and k < 20)
+    assert "__part" not in got.columns
