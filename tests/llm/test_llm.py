@@ -192,6 +192,69 @@ def test_substrings_found_after_insertions(spark):
     assert all(passage not in cut[i] for i in found)
 
 
+def plain_repeats(rows, rate=1 / 3, min_words=20, min_support=15):
+    """find_repeats by the letter, on ASCII texts without periodic passages: spans and keepers of each (doc_id, text)."""
+
+    def chunked(text):
+        data, words = text.encode(), list(re.finditer(r"[^\x20\x09-\x0D]+", text))
+        gear = [int(substrings.BYTE[b]) >> 13 & 0xFFFF for b in data]
+        hit = []
+        for w in words:
+            end = max(w.start() - 1, 0)
+            value = sum(gear[end - j] << j for j in range(substrings.WINDOW) if end >= j) & 0xFFFF
+            hit.append(value < int(rate * 65536) and w.start() >= substrings.WINDOW)
+        first = [i for i in range(len(words)) if i == 0 or (hit[i] and not hit[i - 1] and not (i > 1 and hit[i - 2]))]
+        out = []
+        for s, e in zip(first, [*first[1:], len(words)]):
+            out += [(i, tuple(w.group() for w in words[i : min(i + substrings.LONGEST, e)])) for i in range(s, e, substrings.LONGEST)]
+        return out
+
+    every = [(doc, text, chunked(text or "")) for doc, text in rows if doc is not None]
+    kept = {}
+    for doc, _, parts in every:
+        for _, words in parts:
+            kept[words] = min(doc, kept.get(words, doc))
+    out = []
+    for doc, _, parts in every:
+        seen, runs = set(), []
+        for at, words in parts:
+            if kept[words] < doc or words in seen:
+                if runs and runs[-1][-1][0] + len(runs[-1][-1][1]) == at:
+                    runs[-1].append((at, words))
+                else:
+                    runs.append([(at, words)])
+            seen.add(words)
+        spans, keepers = [], set()
+        for run in runs:
+            by = {}
+            for _, words in run:
+                by[kept[words]] = by.get(kept[words], 0) + len(words)
+            if sum(by.values()) >= min_words and max(by.values()) >= min_support:
+                spans.append((run[0][0], run[-1][0] + len(run[-1][1])))
+                keepers.add(max(by, key=by.get))
+        if spans:
+            out.append((doc, sum(e - s for s, e in spans), spans, sorted(keepers)))
+    return sorted(out)
+
+
+def test_substrings_against_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(spread, "FEW", 3)
+    rng = np.random.default_rng(9)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 10**6, n)]
+    passages = [word(n) for n in (8, 25, 55, 90, 300)]
+    rows = [(0, None), (1, ""), (2, "one"), (None, " ".join(passages[2]))]
+    for i in range(3, 60):
+        parts = [word(rng.integers(0, 60))]
+        for j in rng.integers(0, len(passages), rng.integers(0, 4)):
+            parts += [passages[j], word(rng.integers(0, 30))]
+        rows.append((i, ("  " if i % 3 else "\n").join(w for part in parts for w in part)))
+    rows += [(70, "the " + " ".join(passages[4])), (71, rows[10][1])]
+    got = substrings.find_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(7)).collect()
+    plain = plain_repeats(rows)
+    assert len(plain) > 20
+    assert sorted((r.doc_id, r.removed_words, [(s.start, s.end) for s in r.spans], r.kept_doc_ids) for r in got) == plain
+
+
 def test_substrings_found_in_periodic_passages(spark):
     rng = np.random.default_rng(6)
     other = lambda n: " ".join(f"d{x}" for x in rng.integers(0, 10**6, n))
