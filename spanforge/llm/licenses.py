@@ -1,9 +1,10 @@
 """License scans: phrases at their places, and templates found by an exact set-similarity join.
 
-A block is a line of a text or, for each template, a window of ``SPAN`` times its words, which goes on
-across line ends, so wrapped notices are found. Windows begin at each word of the template; no other
-window holds more of them. A template is found in a line or in one of its own windows that holds at
-least ``threshold`` of its distinct words. Words are ordered by how many documents have them, rarest first; with a
+A block of a template is a window of ``SPAN`` times its words, which goes on across line ends, so
+wrapped notices are found and words scattered more widely aren't. Windows begin at each word of the
+template; no other window holds more of them. A line of no more words than that is a block too, of
+all templates at once. A template is found in a block that holds at least ``threshold`` of its
+distinct words. Words are ordered by how many documents have them, rarest first; with a
 template of n words, of which a block must have at least m, any such block has one of the
 template's first n - m + 1 words among its own first words but m - 1 (prefix filter), has m words
 of the templates at least (length filter), and from the first common word on both still hold m
@@ -105,12 +106,12 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
             out = out | (F.size(F.array_intersect(tokens, F.array(*map(F.lit, words)))) >= m)
         return out
 
-    no_blocks = F.array().cast("array<struct<own:int,block:array<string>>>")
+    no_blocks = F.array().cast("array<struct<own:int,length:int,block:array<string>>>")
 
     def windows_of(t: int, parts: Column, own: Column) -> Column:
         def window(hits: Column, hit: Column, i: Column) -> Column:
             near = F.filter(F.slice(hits, i + 1, F.lit(spans[t])), lambda x: x["at"] < hit["at"] + spans[t])
-            return F.struct(F.lit(t).alias("own"), F.array_distinct(F.transform(near, lambda x: x["token"])).alias("block"))
+            return F.struct(F.lit(t).alias("own"), F.lit(0).alias("length"), F.array_distinct(F.transform(near, lambda x: x["token"])).alias("block"))
 
         placed = F.filter(F.transform(parts, lambda w, i: F.struct(i.alias("at"), w.alias("token"))), lambda x: F.array_contains(own, x["token"]))
         return let(placed, lambda hits: F.array_distinct(F.filter(F.transform(hits, lambda hit, i: window(hits, hit, i)), lambda b: F.size(b["block"]) >= need[t])))
@@ -123,11 +124,16 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
             out.append(F.when(F.size(F.array_intersect(tokens, own)) >= need[t], windows_of(t, parts, own)).otherwise(no_blocks))
         return F.concat(*out)
 
+    def line_block(line: Column) -> Column:
+        def inner(parts: Column) -> Column:
+            return F.struct(F.lit(-1).alias("own"), F.size(F.array_remove(parts, "")).alias("length"), F.array_intersect(parts, vocab).alias("block"))
+
+        return let(F.split(line, GAP), inner)
+
     def whole(text: Column) -> Column:
         def inner(found: Column) -> Column:
-            blocks = F.transform(F.split(text, "\n"), lambda line: F.array_intersect(F.split(line, GAP), vocab))
-            blocks = F.filter(blocks, lambda b: F.size(b) >= min(need))
-            lines = F.transform(blocks, lambda b: F.struct(F.lit(-1).alias("own"), b.alias("block")))
+            lines = F.transform(F.split(text, "\n"), line_block)
+            lines = F.filter(lines, lambda b: (F.size(b["block"]) >= min(need)) & (b["length"] <= max(spans)))
             every = F.concat(lines, let(F.split(text, GAP), lambda parts: windows(parts, found["tokens"])))
             return F.struct(found.alias("found"), F.when(enough(found["tokens"]), every).otherwise(no_blocks).alias("blocks"))
 
@@ -150,14 +156,14 @@ def scan(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, threshold: float
     prefixes = []
     for t, ((label, words), m) in enumerate(zip(sets, need, strict=True)):
         ranked = sorted(words, key=order.index)
-        prefixes += [(w, t, label, i, len(words), m, words) for i, w in enumerate(ranked[: len(words) - m + 1])]
+        prefixes += [(w, t, label, i, len(words), m, words, spans[t]) for i, w in enumerate(ranked[: len(words) - m + 1])]
     spark = docs.sparkSession
-    known = spark.createDataFrame(prefixes, "token string, template int, label string, t_pos int, t_size int, need int, t_words array<string>")
+    known = spark.createDataFrame(prefixes, "token string, template int, label string, t_pos int, t_size int, need int, t_words array<string>, t_span int")
 
     ranked = F.array_sort(F.transform("block", lambda w: F.struct(rank[w].alias("rank"), w.alias("token"))))
-    blocks = light.filter(F.size("blocks") > 0).select("row", F.inline("blocks")).select("row", "own", ranked.alias("ranked"), "block")
-    probes = blocks.select("row", "own", "block", F.posexplode("ranked").alias("b_pos", "x")).select("row", "own", "block", "b_pos", F.col("x.token").alias("token"))
-    pairs = probes.join(F.broadcast(known), "token").filter("own IN (-1, template)")
+    blocks = light.filter(F.size("blocks") > 0).select("row", F.inline("blocks")).select("row", "own", "length", ranked.alias("ranked"), "block")
+    probes = blocks.select("row", "own", "length", "block", F.posexplode("ranked").alias("b_pos", "x")).select("row", "own", "length", "block", "b_pos", F.col("x.token").alias("token"))
+    pairs = probes.join(F.broadcast(known), "token").filter("own = template OR (own = -1 AND length <= t_span)")
     size = F.size("block")
     pairs = pairs.filter((size >= F.col("need")) & (F.col("b_pos") <= size - F.col("need")))
     pairs = pairs.filter(F.least(F.col("t_size") - F.col("t_pos"), size - F.col("b_pos")) >= F.col("need"))

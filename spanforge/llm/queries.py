@@ -165,11 +165,12 @@ FROM marked GROUP BY conv_id
 
 
 def _op10_sql() -> str:
-    """Every block against every template: the plain form of the join."""
+    """Every window that begins with a word of a template, counted: the plain form of the join."""
     import math
 
     rows = ", ".join(
-        f"('{label}', [{', '.join(repr(w) for w in sorted(set(text.split())))}], {math.ceil(0.9 * len(set(text.split())) - 1e-9)})" for label, text in licenses.TEMPLATES
+        f"({t}, '{label}', {w!r}, {len(set(text.split()))}, {math.ceil(0.9 * len(set(text.split())) - 1e-9)}, {licenses.SPAN * len(text.split())})"
+        for t, (label, text) in enumerate(licenses.TEMPLATES) for w in sorted(set(text.split()))
     )
     places = " UNION ALL ".join(
         f"SELECT row, unnest(list_filter(range(0, len(words)), lambda i: {' AND '.join(f'words[i + {k + 1}] = {w!r}' for k, w in enumerate(phrase.split()))})) AS place, '{label}' AS label FROM cut"
@@ -180,12 +181,15 @@ WITH docs AS (SELECT row_number() OVER () AS row, doc_id, translate(coalesce(tex
 cut AS (SELECT row, doc_id, text, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM docs),
 places AS ({places}),
 base AS (SELECT row, count(*) AS n_base, min(place) AS first_word, max(place) AS last_word, list(DISTINCT label) AS base FROM places GROUP BY row),
-blocks AS (SELECT row, list_distinct(regexp_extract_all(unnest(string_split(text, chr(10))), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS block FROM docs
-           WHERE text LIKE '%licen%' OR text LIKE '%redistribution%' OR text LIKE '%dedicated%' OR text LIKE '%copyright%'),
-templates(label, words, need) AS (VALUES {rows}),
-found AS (
-  SELECT row, list(DISTINCT label) AS more, max(CAST(len(list_intersect(block, words)) AS DOUBLE) / len(words)) AS share
-  FROM blocks JOIN templates ON len(list_intersect(block, words)) >= need GROUP BY row)
+templates(template, label, word, size, need, span) AS (VALUES {rows}),
+hits AS (SELECT * FROM (SELECT row, unnest(words) AS word, unnest(range(len(words))) AS place FROM cut) JOIN templates USING (word)),
+rich AS (SELECT row, template FROM hits GROUP BY row, template HAVING count(DISTINCT word) >= min(need)),
+near AS (SELECT hits.* FROM hits JOIN rich USING (row, template)),
+windows AS (
+  SELECT a.row, a.template, a.place, any_value(a.label) AS label, any_value(a.size) AS size, any_value(a.need) AS need, count(DISTINCT b.word) AS n
+  FROM near a JOIN near b ON a.row = b.row AND a.template = b.template AND b.place >= a.place AND b.place < a.place + a.span
+  GROUP BY a.row, a.template, a.place),
+found AS (SELECT row, list(DISTINCT label) AS more, max(CAST(n AS DOUBLE) / size) AS share FROM windows WHERE n >= need GROUP BY row)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base,
        CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
        coalesce(array_to_string(list_sort(base), ','), '') AS base_labels,

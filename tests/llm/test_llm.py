@@ -316,9 +316,12 @@ def test_licenses_wrapped_over_lines(spark):
         (1, "intro\n# Licensed under the Apache License,\n# Version 2.0\nend"), (2, f"a b\n{' '.join(bsd[:8])}\n{' '.join(bsd[8:15])}\n\n{' '.join(bsd[15:])}"),
         (3, "Released under the terms\nof the MIT license"), (4, "released\nunder\nthe\n" + "other " * 20 + "\nmit\nlicense"), (5, "released under mit\nlicense"),
         (6, "Licensed under the Apache License,\n" + "x " * 5 + "Version 2.0"), (7, "the " * 5000 + "\nlicensed under the gnu lesser\ngeneral public license"),
+        # one line, the words scattered, and a long line with a notice in it
+        (8, f"released {'x ' * 3000} under {'x ' * 3000} the mit {'x ' * 3000} license"), (9, f"{'x ' * 3000} released under the MIT license {'x ' * 3000}"),
+        (10, "released a b c under the d e MIT license"), (11, "released a b c under the d e f MIT license"),
     ]
     got = {r.doc_id: (r.labels, r.score) for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == {1: ("apache", 1.0), 2: ("bsd", 1.0), 3: ("mit", 1.0), 4: ("", 0.0), 5: ("", 0.0), 6: ("apache", 1.0), 7: ("gpl,lgpl", 1.0)}
+    assert got == {1: ("apache", 1.0), 2: ("bsd", 1.0), 3: ("mit", 1.0), 4: ("", 0.0), 5: ("", 0.0), 6: ("apache", 1.0), 7: ("gpl,lgpl", 1.0), 8: ("", 0.0), 9: ("mit", 1.0), 10: ("mit", 1.0), 11: ("", 0.0)}
 
 
 def test_neighbours(spark):
