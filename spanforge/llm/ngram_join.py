@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.functions.graph import connected_components
-from spanforge.llm.spread import spread_join
+from spanforge.llm.spread import hot_keys, spread_join
 from spanforge.llm.words import DARK, Texts, Words, mix64, pieces, shingles
 from spanforge.session import cut
 
@@ -161,7 +161,7 @@ def _first_pairs(posts: DataFrame, sizes: DataFrame, percent: int) -> tuple[Data
 def _listed(posts: DataFrame) -> DataFrame:
     """The posts with the length and hubs of their token's list, if others are in it; a long list is dealt over tasks."""
     lists = cut(posts.groupBy("token").agg(F.count("*").alias("length"), _hubs().alias("hubs")).filter("length > 1"))
-    return spread_join(posts, lists, "token", "length")
+    return spread_join(posts, lists, "token", hot_keys(lists, "token", "length"))
 
 
 def _hubs():
@@ -173,7 +173,7 @@ def _star(rows: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Pairs of rows(node, hubs) with their hubs that fit."""
     ends = sizes.select(F.struct("node", "n", *BITS).alias("x"))
     far = cut(rows.select(F.col("node").alias("left"), F.explode("hubs").alias("right")).filter("left <> right").distinct())
-    far = spread_join(far, ends.select(F.col("x.node").alias("right"), F.col("x").alias("b")), "right")
+    far = spread_join(far, ends.select(F.col("x.node").alias("right"), F.col("x").alias("b")), "right", hot_keys(far, "right"))
     far = far.join(ends.select(F.col("x.node").alias("left"), F.col("x").alias("a")), "left")
     return _pairs(far.filter(_fits(percent)))
 
@@ -229,11 +229,11 @@ def _sets(docs: DataFrame, sizes: DataFrame, wanted: DataFrame, k: int, percent:
     return cut(found.select("node", "tokens", "low", "high").dropDuplicates(["node"]))
 
 
-def _candidates(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _candidates(pairs: DataFrame, sets: DataFrame, hot: dict) -> DataFrame:
     """The pairs that share prefix tokens by rising and by falling hash too."""
     ends = {x: sets.select(F.col("node").alias(x), F.col("low").alias(f"low_{x}"), F.col("high").alias(f"high_{x}")) for x in "ab"}
     shares = F.arrays_overlap("low_a", "low_b") & F.arrays_overlap("high_a", "high_b")
-    return spread_join(spread_join(pairs, ends["a"], "a"), ends["b"], "b", counted=pairs).filter(shares).select("a", "b")
+    return spread_join(spread_join(pairs, ends["a"], "a", hot), ends["b"], "b", hot, ["a", "b"]).filter(shares).select("a", "b")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -248,9 +248,10 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep[i] = 100 * both >= percent * (len(a) + len(b) - both)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
-    near = cut(_candidates(pairs, sets))
-    first = spread_join(near, sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a")
-    return cut(spread_join(first, sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b", counted=near).select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
+    hot = hot_keys(pairs.select(F.explode(F.array("a", "b")).alias("node")), "node")
+    near = cut(_candidates(pairs, sets, hot))
+    first = spread_join(near, sets.select(F.col("node").alias("a"), F.col("tokens").alias("x")), "a", hot)
+    return cut(spread_join(first, sets.select(F.col("node").alias("b"), F.col("tokens").alias("y")), "b", hot, ["a", "b"]).select("a", "b", "x", "y").mapInArrow(run, "a long, b long"))
 
 
 def components(docs: DataFrame, k: int, percent: int, region: float | None = None) -> DataFrame:

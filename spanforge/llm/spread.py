@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,23 +13,32 @@ HOT = 4096
 FEW = 256
 
 
-def spread_join(rows: DataFrame, values: DataFrame, key: str, length: str | None = None, counted: DataFrame | None = None) -> DataFrame:
-    """rows joined with values, of one row a key, by key (inner; null keys join with nothing).
+def hot_keys(rows: DataFrame, key: str, length: str | None = None) -> dict:
+    """The keys whose rows are dealt over tasks, at most HOT of them, with the number of parts of each.
+
+    length: a column that counts the rows of each key, where rows has one row a key. rows should be cut.
+    """
+    counts = rows.groupBy(key).agg(F.count("*").alias("n")) if length is None else rows.select(key, F.col(length).alias("n"))
+    # a key with more than one part in HOT of all rows is among the HOT most frequent
+    top = counts.filter((F.col("n") > FEW) & F.col(key).isNotNull()).orderBy(F.desc("n")).limit(HOT).collect()
+    if not top:
+        return {}
+    total = rows.count() if length is None else counts.agg(F.sum("n")).first()[0]
+    share = max(total / HOT, FEW)
+    return {k: math.ceil(n / share) for k, n in top if n > share}
+
+
+def spread_join(rows: DataFrame, values: DataFrame, key: str, hot: dict, by: list[str] | None = None) -> DataFrame:
+    """rows joined with values, which has one row a key, by key (inner; null keys join with nothing).
 
-    Rows of a hot key go to as many tasks as hold a share of 1 / HOT each, by a hash of the row, and
-    its value is sent to all of these: at most 2 * HOT values are repeated, whatever the input.
-    length: the column of values that counts the rows of each key; without it they are counted in
-    counted, a cut table of the same rows with fewer columns, or else in rows, which should be cut then.
+    Rows of a key of hot (``hot_keys``) go to as many tasks as hold a share of 1 / HOT each, by a hash
+    of the columns by (all by default), and its value is sent to all of these: at most 2 * HOT
+    values are repeated, whatever the input.
     """
-    counted = rows if counted is None else counted
-    counts = counted.groupBy(key).agg(F.count("*").alias("__n")) if length is None else values.select(key, F.col(length).alias("__n"))
-    share = max((counts.agg(F.sum("__n")).first()[0] or 0) / HOT, FEW)
-    # at most HOT rows
-    hot = counts.filter((F.col("__n") > share) & F.col(key).isNotNull()).select(key, F.ceil(F.col("__n") / share).cast("int").alias("__parts")).collect()
     if not hot:
         return rows.join(values, key)
-    known = F.broadcast(rows.sparkSession.createDataFrame(hot, f"{key} {values.schema[key].dataType.simpleString()}, __parts int"))
+    known = F.broadcast(rows.sparkSession.createDataFrame(list(hot.items()), f"{key} {values.schema[key].dataType.simpleString()}, __parts int"))
     parts = F.coalesce("__parts", F.lit(1))
-    dealt = rows.join(known, key, "left").withColumn("__part", F.pmod(F.xxhash64(*counted.columns), parts).cast("int")).drop("__parts")
+    dealt = rows.join(known, key, "left").withColumn("__part", F.pmod(F.xxhash64(*(by or rows.columns)), parts).cast("int")).drop("__parts")
     repeated = values.join(known, key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
     return dealt.join(repeated, [key, "__part"]).drop("__part")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.llm.spread import spread_join
+from spanforge.llm.spread import hot_keys, spread_join
 from spanforge.llm.words import BYTE, DARK, Texts, Words, mix64, pieces
 from spanforge.session import cut
 
@@ -163,7 +163,7 @@ def find_repeats(docs: DataFrame, rate: float = 1 / 3, min_words: int = 20, min_
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id IS NOT NULL").mapInArrow(_emit(rate), "digest long, doc_id long, at long")
     shared = rows.groupBy("digest").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last"), F.min("at").alias("least"), F.count("*").alias("length"))
     shared = cut(shared.filter("kept < last OR least < 0").select("digest", "kept", "length"))
-    repeats = spread_join(rows, shared, "digest", "length").filter("kept < doc_id OR at < 0")
+    repeats = spread_join(rows, shared, "digest", hot_keys(shared, "digest", "length")).filter("kept < doc_id OR at < 0")
     place = F.when(F.col("at") < 0, -F.col("at") - 1).otherwise(F.col("at"))
     tagged = repeats.select("doc_id", place.alias("at"), "kept").withColumn("tag", F.col("at").bitwiseAND(F.lit(65535)))
     grouped = tagged.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("at", "kept")).alias("found"))

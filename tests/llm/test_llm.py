@@ -502,6 +502,8 @@ def test_spread_join_keeps_all_rows(spark, monkeypatch, counted):
     values = [(i, f"v{i}") for i in range(20)] + [(None, "none")]
     left, right = spark.createDataFrame(rows, "k long, x long"), spark.createDataFrame(values, "k long, v string")
     lengths = right.join(left.groupBy("k").agg(F.count("*").alias("length")), "k")
-    got = spread.spread_join(left, right, "k", counted=left) if counted else spread.spread_join(left, lengths, "k", "length").drop("length")
+    hot = spread.hot_keys(left, "k") if counted else spread.hot_keys(lengths, "k", "length")
+    assert hot == {7: math.ceil(201 / (281 if counted else 220) * 8)}
+    got = spread.spread_join(left, right, "k", hot)
     assert sorted(got.select("k", "x", "v").collect()) == sorted((k, x, f"v{k}") for k, x in rows if k is not None and k < 20)
     assert "__part" not in got.columns
