@@ -27,10 +27,12 @@ def local_session(app: str = "spanforge", cores: str | int = "*", partitions: in
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only a session that names none (tests, single node) gets a folder of its own.
+    A local session that names none (tests, single node) gets a folder of its own; on a cluster it must be named.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         named = f"/tmp/checkpoints/{spark.sparkContext.applicationId}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named.rstrip("/")
