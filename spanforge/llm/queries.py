@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spanforge.llm import ann, chat, decontaminate, licenses, mixing, ngram_join, substrings, tokens, toxicity, warc
+from spanforge.llm import ann, chat, decontaminate, licenses, mixing, near_vectors, ngram_join, search, substrings, tokens, toxicity, warc
 from spanforge.session import table
 
 
@@ -64,6 +64,14 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_copies(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_substrings": op2_substrings,
@@ -75,6 +83,8 @@ QUERIES = {
     "op8_chat": op8_chat,
     "op9_ngram_join": op9_ngram_join,
     "op10_licenses": op10_licenses,
+    "op11_search": op11_search,
+    "op12_near_vectors": op12_near_vectors,
 }
 
 OP3_SQL = r"""
@@ -164,6 +174,32 @@ FROM marked GROUP BY conv_id
 """
 
 
+OP11_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+lengths AS (SELECT row, doc_id, CAST(len(words) AS BIGINT) AS n FROM docs WHERE len(words) > 0),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+postings AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(words) AS term FROM docs) GROUP BY row, term),
+asked AS (
+  SELECT item_id, term, count(*) AS qtf
+  FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+        FROM (SELECT DISTINCT item_id, text FROM benchmark))
+  GROUP BY item_id, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM postings, totals WHERE term IN (SELECT term FROM asked) GROUP BY term, docs),
+sizes AS (SELECT row, doc_id, 100 - 25 + (25 * n * docs) // terms AS m FROM lengths, totals),
+scores AS (
+  SELECT item_id, doc_id, row, CAST(sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN postings USING (term) JOIN sizes USING (row)
+  GROUP BY item_id, doc_id, row),
+ranked AS (SELECT item_id, doc_id, score, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
+"""
+
+
 def _op10_sql() -> str:
     """Every window that begins with a word of a template, counted: the plain form of the join."""
     import math
@@ -199,4 +235,4 @@ FROM cut LEFT JOIN base USING (row) LEFT JOIN found USING (row)
 """
 
 
-ORACLE_SQL = {"op3_mixing": OP3_SQL, "op4_decontaminate": OP4_SQL, "op5_warc": OP5_SQL, "op8_chat": OP8_SQL, "op10_licenses": _op10_sql()}
+ORACLE_SQL = {"op3_mixing": OP3_SQL, "op4_decontaminate": OP4_SQL, "op5_warc": OP5_SQL, "op8_chat": OP8_SQL, "op10_licenses": _op10_sql(), "op11_search": OP11_SQL}
