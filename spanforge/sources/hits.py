@@ -23,8 +23,11 @@ def read_annotations(spark: SparkSession, path: str) -> DataFrame:
 
 
 def demo_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hits_of(table(spark, sf_dir, "lineitem"))
+
+
+def hits_of(lines: DataFrame) -> DataFrame:
     """Order lines as hits of three tools: tool, family, chrom, s, e, strand, div, ord and consensus coordinates."""
-    lines = table(spark, sf_dir, "lineitem")
     s = F.expr("l_orderkey * 100 + l_partkey % 100")
     size = F.expr("CAST(floor(l_quantity * 10) AS BIGINT)")
     begin = F.expr("1 + l_partkey % 60")
