@@ -22,34 +22,39 @@ def _gaps(hits: DataFrame) -> DataFrame:
     return rows.withColumn("joins", F.coalesce(same & F.col("gap").between(0, MAX_GAP), F.lit(False)))
 
 
-def foreign_cover(probes: DataFrame, hits: DataFrame, row: str) -> DataFrame:
-    """probes(row, cluster, chrom, s, e) with covered: the share of its bases under hits(cluster, chrom, s, e) of any other cluster.
+def foreign_cover(gaps: DataFrame, hits: DataFrame) -> DataFrame:
+    """gaps(cluster, chrom, s, e) with covered: the share of its bases under hits(cluster, chrom, s, e) of any other cluster.
 
-    Each gap meets the hits in it, and their pieces are united gap by gap; no set of foreign hits
-    is made for each cluster.
+    A gap is told by its cluster and place, which is all that its cover depends on. Each gap meets
+    the hits in it, and their pieces are united gap by gap; no set of foreign hits is made for each
+    cluster. Gaps that nothing covers aren't returned.
     """
+    keys = ["cluster", "chrom", "gap_s", "gap_e"]
     others = hits.select("chrom", F.col("s").alias("s2"), F.col("e").alias("e2"), F.col("cluster").alias("other"))
-    inside = overlap_join(probes.select(row, "cluster", "chrom", "s", "e").filter("e > s"), others, ["chrom"]).filter("cluster <> other")
-    pieces = inside.select(row, F.greatest("s", "s2").alias("s"), F.least("e", "e2").alias("e"))
-    bp = islands(pieces, [row], None).groupBy(row).agg(F.sum(F.col("e") - F.col("s")).alias("bp"))
-    return probes.join(bp, row, "left").withColumn("covered", F.coalesce(F.try_divide(F.col("bp"), F.col("e") - F.col("s")), F.lit(0.0))).drop("bp")
+    inside = overlap_join(gaps.select("cluster", "chrom", "s", "e").filter("e > s").distinct(), others, ["chrom"]).filter("cluster <> other")
+    pieces = inside.select("cluster", "chrom", F.col("s").alias("gap_s"), F.col("e").alias("gap_e"), F.greatest("s", "s2").alias("s"), F.least("e", "e2").alias("e"))
+    bp = islands(pieces, keys, None).groupBy(*keys).agg(F.sum(F.col("e") - F.col("s")).alias("bp"))
+    return bp.select("cluster", "chrom", F.col("gap_s").alias("s"), F.col("gap_e").alias("e"), (F.col("bp") / (F.col("gap_e") - F.col("gap_s"))).alias("covered"))
 
 
 def merge_copies(hits: DataFrame, gap_aware: bool = False, veto: float = 0.5, cluster: Column | None = None) -> DataFrame:
     """Consecutive hits of a member on one chromosome and strand within MAX_GAP as one copy.
 
     A hit that overlaps or lies inside the one before doesn't join it; hits that share start and
-    ord go by end, then strand. gap_aware: a gap of which hits of families outside the member's
-    cluster, of its own tool too, cover more than ``veto`` stays open; only gaps that would close
-    are probed. cluster: each hit's; by default, and where it is null, a family is its own.
+    ord go by end, then strand. ord may repeat or be null. gap_aware: a gap of which hits of
+    families outside the member's cluster, of its own tool too, cover more than ``veto`` stays open;
+    only gaps that would close are probed. cluster: each hit's; by default, and where it is null, a
+    family is its own.
     """
     rows = _gaps(hits)
     if gap_aware:
         alone = F.concat_ws(":", *MEMBER)
         named = alone if cluster is None else F.coalesce(cluster.cast("string"), alone)
-        probes = rows.filter("joins AND gap > 0").select("ord", named.alias("cluster"), "chrom", F.col("before").alias("s"), F.col("s").alias("e"))
-        covered = foreign_cover(probes, hits.withColumn("cluster", named), "ord").filter(F.col("covered") > veto).select(F.col("ord"), F.lit(True).alias("vetoed"))
-        rows = rows.join(covered, "ord", "left").withColumn("joins", F.col("joins") & F.col("vetoed").isNull())
+        rows = rows.withColumn("gap_cluster", named)
+        gaps = rows.filter("joins AND gap > 0").select(F.col("gap_cluster").alias("cluster"), "chrom", F.col("before").alias("s"), F.col("s").alias("e"))
+        open_ = foreign_cover(gaps, hits.withColumn("cluster", named)).filter(F.col("covered") > veto)
+        open_ = open_.select(F.col("cluster").alias("gap_cluster"), "chrom", F.col("s").alias("before"), F.col("e").alias("s"), F.lit(True).alias("vetoed"))
+        rows = rows.join(open_, ["gap_cluster", "chrom", "before", "s"], "left").withColumn("joins", F.col("joins") & F.col("vetoed").isNull())
     by = Window.partitionBy(*MEMBER, "chrom").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("block", F.sum(F.when(F.col("joins"), 0).otherwise(1)).over(by))
     return _reduce(rows, "block").drop("block")

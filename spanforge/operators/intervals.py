@@ -6,6 +6,11 @@ pair is kept only in the later of its two first bins, so it comes once.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -60,32 +65,72 @@ def _stitched(pieces: DataFrame, keys: list[str], tile: int, value: str | None =
     return pieces.filter(~at_edge).select(joined.columns).unionByName(joined)
 
 
-def elementary(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The pieces between neighbouring ends of intervals, by keys: seg_s, seg_e."""
-    points = df.select(*keys, F.explode(F.array("s", "e")).alias("seg_s"))
-    order = Window.partitionBy(*keys).orderBy("seg_s")
-    # equal ends make pieces of no length
-    return points.withColumn("seg_e", F.lead("seg_s").over(order)).filter("seg_e > seg_s")
+def _sweep(rows: pa.Table, keys: list[str], value: str) -> pa.Table:
+    """The painted pieces of rows(keys, tile, s, e, value) in the order of painting, tile after tile.
+
+    All tiles lie on one line, a tile's ends apart from the next one's. A row takes the pieces
+    between its ends, so what it costs is bounded by the tile's bases and not by its neighbours.
+    """
+    group = tile_changes(rows, [*keys, "tile"]).cumsum()
+    s, e = rows.column("s").to_numpy(), rows.column("e").to_numpy()
+    low = np.minimum.reduceat(s, np.flatnonzero(np.diff(group, prepend=-1)))[group]
+    width = np.maximum.reduceat(e - low, np.flatnonzero(np.diff(group, prepend=-1))) + 1
+    base = np.concatenate([[0], np.cumsum(width)[:-1]])[group] - low
+    points, place = np.unique(np.concatenate([s + base, e + base]), return_inverse=True)
+    owner = np.full(len(points), -1, np.int64)
+    for row, (i, j) in enumerate(zip(place[: len(s)].tolist(), place[len(s) :].tolist(), strict=True)):
+        owner[i:j] = row
+    at = np.flatnonzero(owner >= 0)
+    owner = owner[at]
+    code = pc.fill_null(rows.column(value).combine_chunks().dictionary_encode().indices, -1).to_numpy()[owner]
+    # neighbours of one value are one piece
+    new = np.ones(len(at), bool)
+    new[1:] = (at[1:] != at[:-1] + 1) | (code[1:] != code[:-1]) | (group[owner[1:]] != group[owner[:-1]])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(at)) - 1
+    picked = rows.select([*keys, value]).take(owner[first])
+    ends = [pa.array(points[at[first]] - base[owner[first]]), pa.array(points[at[last] + 1] - base[owner[first]])]
+    return pa.table([*(picked.column(k) for k in keys), *ends, picked.column(value)], names=[*keys, "s", "e", value])
+
+
+def tile_changes(rows: pa.Table, keys: list[str]) -> np.ndarray:
+    """Where a row's keys differ from those of the row before; the first row's don't count."""
+    new = np.zeros(rows.num_rows, bool)
+    for k in keys:
+        code = pc.fill_null(rows.column(k).combine_chunks().dictionary_encode().indices, -1).to_numpy()
+        new[1:] |= code[1:] != code[:-1]
+    return new
 
 
 def paint(df: DataFrame, keys: list[str], value: str, order: Column, tile: int = TILE) -> DataFrame:
     """Last-writer-wins paint: keys, s, e, value; of overlapping rows the one with the largest order owns a base.
 
-    Chromosomes are cut into tiles. Ends, pieces, owners and runs of a tile are all dealt by (keys,
-    tile), so one shuffle of the rows and one of their ends serve every step, and no task sorts a
-    chromosome.
+    Chromosomes are cut into tiles, which are dealt by (keys, tile) and ordered by Spark in the
+    order of painting; a task sweeps the tiles that it gets one batch after the other. Of equal
+    orders the larger value wins. No task holds more than a batch and one tile.
     """
-    rows = tiled(df.select(*keys, "s", "e", F.struct(order.alias("o"), F.col(value).alias("v")).alias("w")).filter("e > s"), tile)
+    rows = tiled(df.select(*keys, "s", "e", order.alias("__order"), F.col(value).alias(value)).filter("e > s"), tile)
     near = [*keys, "tile"]
-    segments = elementary(rows, near).select(*near, F.col("seg_s").alias("s"), F.col("seg_e").alias("e"))
-    inside = segments.join(rows.withColumnsRenamed({"s": "s2", "e": "e2"}), near).filter("s2 <= s AND e <= e2")
-    painted = inside.groupBy(*near, "s", "e").agg(F.max("w").alias("w")).select(*near, "s", "e", F.col("w.v").alias(value))
-    # neighbours of one value are one segment
-    by = Window.partitionBy(*near).orderBy("s")
-    new = F.when((F.lag("e").over(by) == F.col("s")) & F.lag(value).over(by).eqNullSafe(F.col(value)), 0).otherwise(1)
-    run = F.sum("new").over(by.rowsBetween(Window.unboundedPreceding, 0))
-    pieces = painted.withColumn("new", new).withColumn("run", run).groupBy(*near, "run").agg(F.min("s").alias("s"), F.max("e").alias("e"), F.first(value).alias(value)).drop("run", "tile")
-    return _stitched(pieces, keys, tile, value)
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in (*keys, "s", "e", value))
+    columns = [*near, "s", "e", value]
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            joined = pa.concat_tables([held[-1].slice(held[-1].num_rows - 1), rows]) if held else rows
+            ends = np.flatnonzero(tile_changes(joined, near)) - (1 if held else 0)
+            if len(ends):
+                # the last tile of a batch may go on in the next one
+                yield from _sweep(pa.concat_tables([*held, rows.slice(0, int(ends[-1]))]), keys, value).to_batches()
+                held = [rows.slice(int(ends[-1]))]
+            elif batch.num_rows:
+                held.append(rows)
+        if held:
+            yield from _sweep(pa.concat_tables(held), keys, value).to_batches()
+
+    ordered = rows.repartition(*near).sortWithinPartitions(*near, "__order", value).select(columns)
+    return _stitched(ordered.mapInArrow(sweep, kinds), keys, tile, value)
 
 
 def _united(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -20,13 +20,19 @@ def footprints(painted: DataFrame) -> DataFrame:
     return painted.groupBy("tool", "family").agg(F.sum(F.col("e") - F.col("s")).cast("bigint").alias("footprint"))
 
 
+def _for_tools(rows: DataFrame, hits: DataFrame, tool: str, name: str, after: bool) -> DataFrame:
+    """rows once for each other tool of hits, as column ``name``: only later ones if ``after``. Tools are few."""
+    tools = F.array(*[F.lit(r["tool"]) for r in hits.select("tool").distinct().orderBy("tool").collect() if r["tool"] is not None]).cast("array<string>")
+    return rows.withColumn(name, F.explode(F.filter(tools, lambda t: t > F.col(tool) if after else t != F.col(tool))))
+
+
 def edges(hits: DataFrame, min_joint: int, min_reciprocal: float) -> DataFrame:
     """Pairs of families of different tools: a, b, joint_bp, w_bp = joint over the smaller footprint."""
     painted = paint(hits, ["tool", "chrom"], "family", F.col("ord"))
-    left = painted.select("chrom", "s", "e", F.col("tool").alias("tool_a"), F.col("family").alias("family_a"))
+    # the pair of tools is a key, so families of one tool never meet
+    left = _for_tools(painted.select("chrom", "s", "e", F.col("tool").alias("tool_a"), F.col("family").alias("family_a")), hits, "tool_a", "tool_b", True)
     right = painted.select("chrom", F.col("s").alias("s2"), F.col("e").alias("e2"), F.col("tool").alias("tool_b"), F.col("family").alias("family_b"))
-    joint = overlap_join(left, right, ["chrom"]).filter("tool_a < tool_b")
-    joint = joint.groupBy("tool_a", "family_a", "tool_b", "family_b").agg(F.sum(F.least("e", "e2") - F.greatest("s", "s2")).cast("bigint").alias("joint_bp"))
+    joint = overlap_join(left, right, ["chrom", "tool_b"]).groupBy("tool_a", "family_a", "tool_b", "family_b").agg(F.sum(F.least("e", "e2") - F.greatest("s", "s2")).cast("bigint").alias("joint_bp"))
     size = footprints(painted)
     for side in ("a", "b"):
         joint = joint.join(size.select(F.col("tool").alias(f"tool_{side}"), F.col("family").alias(f"family_{side}"), F.col("footprint").alias(f"size_{side}")), [f"tool_{side}", f"family_{side}"])
@@ -38,8 +44,8 @@ def edges(hits: DataFrame, min_joint: int, min_reciprocal: float) -> DataFrame:
 def coannotation(hits: DataFrame) -> DataFrame:
     """For each family and family of another tool: the share of its hits whose midpoint the other has painted."""
     painted = paint(hits, ["tool", "chrom"], "family", F.col("ord")).select("chrom", F.col("tool").alias("other_tool"), F.col("family").alias("other_family"), F.col("s").alias("s2"), F.col("e").alias("e2"))
-    middle = hits.select("tool", "family", "chrom", F.expr("(s + e) div 2").alias("mid"))
-    found = point_join(middle, painted, ["chrom"], "mid").filter("tool <> other_tool").groupBy("tool", "family", "other_tool", "other_family").agg(F.count("*").alias("n_inside"))
+    middle = _for_tools(hits.select("tool", "family", "chrom", F.expr("(s + e) div 2").alias("mid")), hits, "tool", "other_tool", False)
+    found = point_join(middle, painted, ["chrom", "other_tool"], "mid").groupBy("tool", "family", "other_tool", "other_family").agg(F.count("*").alias("n_inside"))
     total = hits.groupBy("tool", "family").agg(F.count("*").alias("n_copies"))
     return found.join(total, ["tool", "family"]).withColumn("fraction", F.col("n_inside") / F.col("n_copies"))
 

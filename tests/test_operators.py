@@ -245,6 +245,46 @@ def test_gap_veto_asks_for_the_cluster(spark):
         assert "CartesianProduct" not in plan and "NestedLoop" not in plan
 
 
+@pytest.mark.parametrize("ords", [(1, 2, 1, 2, 2), (None,) * 5, (1, 2, 3, 4, 5)])
+def test_gap_veto_with_shared_or_missing_ord(spark, ords):
+    """A gap is told by its place: hits of other members that share an ord don't open it, and no hit comes twice."""
+    rows = [("A", "F1", "c1", 0, 100), ("A", "F1", "c1", 200, 300), ("B", "G1", "c2", 0, 100), ("B", "G1", "c2", 200, 300), ("C", "H1", "c1", 100, 200)]
+    df = spark.createDataFrame([(t, f, c, s, e, "+", 1.0, o, None, None, None, None) for (t, f, c, s, e), o in zip(rows, ords, strict=True)], HIT)
+    got = sorted((r.tool, r.start, r.end, r.n_fragments) for r in copies.merge_copies(df, gap_aware=True).collect())
+    assert got == [("A", 0, 100, 1), ("A", 200, 300, 1), ("B", 0, 300, 2), ("C", 100, 200, 1)]
+
+
+@pytest.mark.parametrize("records", [1, 3, 1000])
+def test_paint_sweeps_tiles_over_batches(spark, records):
+    """Tiles that end within an Arrow batch, at its end, and take in several; null values, equal orders and a pile-up."""
+    rng = np.random.default_rng(4)
+    rows = [("tu"[i % 2], "c", int(s), int(s + n), [None, "f", "g", "h"][i % 4], i // 3) for i, (s, n) in enumerate(zip(rng.integers(0, 500, 200), rng.integers(0, 60, 200), strict=True))]
+    owner = {}
+    for t, _, s, e, f, _ in sorted(rows, key=lambda r: (r[5], r[4] is not None, r[4])):
+        owner.update({(t, x): f for x in range(s, e)})
+    df = spark.createDataFrame(rows, "tool string, chrom string, s long, e long, family string, ord long")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", records)
+    try:
+        got = intervals.paint(df, ["tool", "chrom"], "family", F.col("ord"), 64).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert {(r.tool, x): r.family for r in got for x in range(r.s, r.e)} == owner
+    assert sum(r.e - r.s for r in got) == len(owner)
+    ends = {(r.tool, r.e): r.family for r in got}
+    assert not any(ends.get((r.tool, r.s), "none") == r.family for r in got)
+
+
+def test_paint_of_a_pile_up(spark):
+    """Very many hits in one tile cost about as much each as few do: nothing is joined piece by row."""
+    df = spark.range(32_000).selectExpr("'t' AS tool", "'c' AS chrom", "pmod(xxhash64(id), 16000) AS s", "pmod(xxhash64(id), 16000) + 200 + id % 51 AS e", "'f' || (id % 7) AS family", "id AS ord")
+    painted = intervals.paint(df, ["tool", "chrom"], "family", F.col("ord"))
+    plan = painted._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan
+    covered = painted.agg(F.sum(F.col("e") - F.col("s"))).head()[0]
+    assert covered == intervals.islands(df, ["tool", "chrom"]).agg(F.sum(F.col("e") - F.col("s"))).head()[0]
+
+
 def test_hit_ids_over_chromosomes_and_members_without_any(spark):
     rows = [("t", "f", "c2", 5, 9, "+", 1.0, 1, None, None, None, "h"), ("t", "f", "c1", 2, 4, "-", 1.0, 2, None, None, None, "h"), ("t", "f", "c1", 7, 8, "+", 1.0, 3, None, None, None, None)]
     rows += [("u", "g", "c1", 0, 10, "+", 1.0, 4, None, None, None, None), ("u", "g", "c1", 20, 30, "+", 1.0, 5, None, None, None, None)]
