@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanforge.llm.spread import unused
 from spanforge.session import cut
 
 #: ASCII white space separates words.
@@ -103,19 +104,45 @@ def mix(
 
 
 def repetitions(docs: DataFrame, mixed: DataFrame) -> DataFrame:
-    """docs with a row for each repetition the mix takes: copy (from 1) and, in text, its words.
+    """docs with a row for each repetition the mix takes: copy (from 1; __copy if docs has a copy) and, in text, its words.
 
-    The last repetition of a boundary document is cut behind the words it gives. Rows that
-    share a doc_id are told apart by size; equal ones stand in for each other.
+    The last repetition of a boundary document is cut behind the words it gives. Rows that share a
+    doc_id and a size get one each of what the mix takes of such rows, so their sum is the mix's.
     """
-    wanted = mixed.filter("taken > 0").groupBy(F.col("doc_id").alias("__doc"), F.col("size").alias("__size"))
-    wanted = wanted.agg(F.ceil(F.sum("taken") / F.count("*")).alias("__taken"))
-    sized = docs.withColumn("__words", count_words(F.col("text")))
-    joined = sized.join(wanted, F.expr("doc_id <=> __doc AND __words = __size"))
-    joined = joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("__taken") / F.col("__size")).cast("int"))))
-    left = F.col("__taken") - (F.col("__copy") - 1) * F.col("__size")
+    key, taken, nth, number, row = (unused(docs, x) for x in ("__key", "__taken", "__nth", "__number", "__row"))
+    copy = "copy" if unused(docs, "copy") == "copy" else unused(docs, "__copy")
+    # as one value, in which null equals null
+    shares = mixed.filter("size > 0").select(F.struct("doc_id", "size").alias(key), F.col("taken").alias(taken))
+    wanted = cut(shares.groupBy(key).agg(F.sum(taken).alias(taken), F.count("*").alias(number)))
+    same = F.struct(F.col("doc_id"), count_words(F.col("text")).alias("size")) == F.col(key)
+    joined = docs.join(wanted.filter((F.col(number) == 1) & (F.col(taken) > 0)).drop(number), same)
+    shared = wanted.filter(F.col(number) > 1).select(key)
+    if not shared.isEmpty():
+        # checkpointed, so that a row keeps its number
+        several = cut(docs.join(shared, same).withColumn(row, F.monotonically_increasing_id()))
+        ranked = _numbered(several.select(row, key, F.xxhash64("text").alias(taken)), key, taken, row, nth).select(row, nth)
+        parts = cut(shares.join(shared, key, "left_semi").withColumn(row, F.monotonically_increasing_id()))
+        parts = _numbered(parts, key, taken, row, nth).select(key, nth, taken)
+        dealt = several.join(ranked, row).join(parts, [key, nth]).filter(F.col(taken) > 0)
+        joined = joined.unionByName(dealt.select(joined.columns))
+    size = F.col(key)["size"]
+    joined = joined.withColumn(nth, F.explode(F.sequence(F.lit(1), F.ceil(F.col(taken) / size).cast("int"))))
+    left = F.col(taken) - (F.col(nth) - 1) * size
     # a word with the white space before it
     words = F.regexp_extract_all("text", F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
     head = F.array_join(F.slice(words, 1, F.greatest(left, F.lit(1)).cast("int")), "")
-    joined = joined.withColumn("text", F.when(left >= F.col("__size"), F.col("text")).otherwise(head))
-    return joined.select(*docs.columns, F.col("__copy").alias("copy") if "copy" not in docs.columns else F.col("__copy"))
+    joined = joined.withColumn("text", F.when(left >= size, F.col("text")).otherwise(head))
+    return joined.select(*docs.columns, F.col(nth).alias(copy))
+
+
+def _numbered(rows: DataFrame, key: str, order: str, row: str, name: str, buckets: int = 1024) -> DataFrame:
+    """rows with their place, from 1, among those of their key: by hash buckets of ``order``, so that no task orders all of a key.
+
+    Rows that are alike in order are dealt over 64 buckets by their number.
+    """
+    bucket, start = f"{name}_bucket", f"{name}_start"
+    dealt = rows.withColumn(bucket, F.pmod(F.xxhash64(order), F.lit(buckets)) * 64 + F.pmod(F.col(row), F.lit(64)))
+    before = Window.partitionBy(key).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    starts = dealt.groupBy(key, bucket).agg(F.count("*").alias(start)).withColumn(start, F.coalesce(F.sum(start).over(before), F.lit(0)))
+    inside = F.row_number().over(Window.partitionBy(key, bucket).orderBy(order, row))
+    return dealt.join(starts, [key, bucket]).withColumn(name, F.col(start) + inside).drop(bucket, start)

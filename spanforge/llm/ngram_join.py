@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spanforge.functions.graph import connected_components
-from spanforge.llm.spread import hot_keys, spread_join
+from spanforge.llm.spread import hot_keys, spread_join, unused
 from spanforge.llm.words import DARK, Texts, Words, mix64, pieces, shingles
 from spanforge.session import cut
 
@@ -303,11 +303,12 @@ def keep_one(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """docs with one row of each component, and all rows without words."""
     rows = components(docs, k, percent).filter("n > 0")
     stays = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("text_hash") == F.col("least.text_hash"))
-    keys = cut(rows.groupBy(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), stays.alias("__stays")).agg((F.count("*") > 1).alias("__many")))
-    own = F.col("doc_id").cast("bigint").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__hash"))
-    left = docs.join(keys.filter("NOT __stays"), own, "left_anti")
-    repeated = keys.filter("__stays AND __many").select("__doc", "__hash")
+    doc, text, stay, many = (unused(docs, x) for x in ("__doc", "__hash", "__stays", "__many"))
+    keys = cut(rows.groupBy(F.col("doc_id").alias(doc), F.col("text_hash").alias(text), stays.alias(stay)).agg((F.count("*") > 1).alias(many)))
+    own = F.col("doc_id").cast("bigint").eqNullSafe(F.col(doc)) & (F.xxhash64("text") == F.col(text))
+    left = docs.join(keys.filter(~F.col(stay)), own, "left_anti")
+    repeated = keys.filter(F.col(stay) & F.col(many)).select(doc, text)
     if repeated.isEmpty():
         return left
-    once = left.join(repeated, own).dropDuplicates(["__doc", "__hash"]).select(docs.columns)
+    once = left.join(repeated, own).dropDuplicates([doc, text]).select(docs.columns)
     return left.join(repeated, own, "left_anti").unionByName(once)

@@ -13,6 +13,14 @@ HOT = 4096
 FEW = 256
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that df doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def hot_keys(rows: DataFrame, key: str, length: str | None = None) -> dict:
     """The keys whose rows are dealt over tasks, at most HOT of them, with the number of parts of each.
 

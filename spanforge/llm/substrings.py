@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.llm.spread import hot_keys, spread_join
+from spanforge.llm.spread import hot_keys, spread_join, unused
 from spanforge.llm.words import BYTE, DARK, Texts, Words, mix64, pieces
 from spanforge.session import cut
 
@@ -109,7 +109,7 @@ def _sums(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _chunked(part: pa.RecordBatch, rate: float) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words, and of each chunk: row, first word in the row, words, digest; of each row a tag."""
+    """Words, and of each chunk: row, first word in the row, words, digest; of each row the hash of its words."""
     words = Words(Texts(part.column("text")), DARK)
     hashes = words.hashes(lower=False)
     at, length = chunks(words, hashes, rate)
@@ -117,7 +117,7 @@ def _chunked(part: pa.RecordBatch, rate: float) -> tuple[Words, np.ndarray, np.n
     digest = mix64((total[at + length] - total[at]) * down[at] + length.astype(np.uint64))
     row = np.searchsorted(words.bounds, at, side="right") - 1
     whole = mix64((total[words.bounds[1:]] - total[words.bounds[:-1]]) * down[words.bounds[:-1]])
-    return words, row, at - words.bounds[row], length, digest, (whole & np.uint64(0xFFFF)).astype(np.int64)
+    return words, row, at - words.bounds[row], length, digest, whole.view(np.int64)
 
 
 def _emit(rate: float):
@@ -128,15 +128,15 @@ def _emit(rate: float):
             order = np.lexsort((first, digest, row))
             same = np.zeros(len(row), bool)
             same[order[1:]] = (digest[order[1:]] == digest[order[:-1]]) & (row[order[1:]] == row[order[:-1]])
-            at = first << 24 | length << 16 | tag[row]
-            yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), part.column("doc_id").take(pa.array(row)), pa.array(np.where(same, -at - 1, at))], names=["digest", "doc_id", "at"])
+            at = first << 8 | length
+            yield pa.RecordBatch.from_arrays([pa.array(digest.view(np.int64)), part.column("doc_id").take(pa.array(row)), pa.array(tag[row]), pa.array(np.where(same, -at - 1, at))], names=["digest", "doc_id", "tag", "at"])
 
     return run
 
 
 def _runs(found: list[dict], min_words: int, min_support: int) -> tuple[list[dict], list[int]]:
     spans, keepers = [], set()
-    places = sorted({(x["at"] >> 24, x["at"] >> 16 & 255, x["kept"]) for x in found})
+    places = sorted({(x["at"] >> 8, x["at"] & 255, x["kept"]) for x in found})
     i = 0
     while i < len(places):
         j = i
@@ -157,16 +157,15 @@ def _runs(found: list[dict], min_words: int, min_support: int) -> tuple[list[dic
 def find_repeats(docs: DataFrame, rate: float = 1 / 3, min_words: int = 20, min_support: int = 15) -> DataFrame:
     """docs(doc_id, text) as one row for each text that loses words.
 
-    doc_id, tag (of the text, among rows that share the doc_id), removed_words, spans (of words,
+    doc_id, tag (64-bit hash of the text's words, which tells rows that share the doc_id apart), removed_words, spans (of words,
     from 0, the end not included), kept_doc_ids (documents that keep the cut passages).
     """
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id IS NOT NULL").mapInArrow(_emit(rate), "digest long, doc_id long, at long")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").filter("doc_id IS NOT NULL").mapInArrow(_emit(rate), "digest long, doc_id long, tag long, at long")
     shared = rows.groupBy("digest").agg(F.min("doc_id").alias("kept"), F.max("doc_id").alias("last"), F.min("at").alias("least"), F.count("*").alias("length"))
     shared = cut(shared.filter("kept < last OR least < 0").select("digest", "kept", "length"))
     repeats = spread_join(rows, shared, "digest", hot_keys(shared, "digest", "length")).filter("kept < doc_id OR at < 0")
     place = F.when(F.col("at") < 0, -F.col("at") - 1).otherwise(F.col("at"))
-    tagged = repeats.select("doc_id", place.alias("at"), "kept").withColumn("tag", F.col("at").bitwiseAND(F.lit(65535)))
-    grouped = tagged.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("at", "kept")).alias("found"))
+    grouped = repeats.select("doc_id", "tag", place.alias("at"), "kept").groupBy("doc_id", "tag").agg(F.collect_list(F.struct("at", "kept")).alias("found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -185,13 +184,14 @@ def find_repeats(docs: DataFrame, rate: float = 1 / 3, min_words: int = 20, min_
 
 def remove(docs: DataFrame, repeats: DataFrame, rate: float = 1 / 3) -> DataFrame:
     """docs with the spans of ``find_repeats`` cut out of text."""
-    own = repeats.groupBy(F.col("doc_id").alias("__doc")).agg(F.collect_list(F.struct("tag", "spans")).alias("__cut"))
-    joined = docs.join(own, F.col("doc_id") == F.col("__doc"), "left").drop("__doc")
+    doc, cuts_name = unused(docs, "__doc"), unused(docs, "__cut")
+    own = repeats.groupBy(F.col("doc_id").alias(doc)).agg(F.collect_list(F.struct("tag", "spans")).alias(cuts_name))
+    joined = docs.join(own, F.col("doc_id") == F.col(doc), "left").drop(doc)
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
-            cuts = part.column("__cut").to_pylist()
+            cuts = part.column(cuts_name).to_pylist()
             if any(cuts):
                 words, _, _, _, _, tag = _chunked(part, rate)
                 texts = part.column("text").to_pylist()

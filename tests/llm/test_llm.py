@@ -63,6 +63,39 @@ def test_mix_meets_targets(spark):
     assert made.select(F.sum(mixing.count_words(F.col("text")))).head()[0] == sum(r.taken for r in got)
 
 
+def test_repetitions_sum_to_the_mix_with_shared_ids(spark):
+    """Rows of one doc_id and size, alike or not, with and without an id, under names the operator uses itself."""
+    rows = [(5, f"w{i % 7}", "en", "a", 0) for i in range(101)] + [(6, "one two three", "en", "a", 0), (None, "lost", "en", "a", 0), (None, "lost", "en", "a", 0), (7, None, "en", "b", 0), (7, "", "en", "b", 0), (8, "x y", "en", "b", 0)]
+    docs = spark.createDataFrame([(*r, 1, "k") for r in rows], DOC + ", copy int, __key string").repartition(3)
+    mixed = mixing.mix(docs)
+    source = F.when(F.col("doc_id").isin(7, 8), "b").otherwise("a").alias("source")
+    want = {r.source: r.taken for r in mixed.groupBy(source).agg(F.sum("taken").alias("taken")).collect()}
+    made = mixing.repetitions(docs, mixed)
+    assert made.columns == [*docs.columns, "__copy"]
+    got = {r.source: r.taken for r in made.groupBy("source").agg(F.sum(mixing.count_words(F.col("text"))).alias("taken")).collect()}
+    assert got == {k: v for k, v in want.items() if v} and sum(got.values()) > 100
+    # no text more than twice its rows
+    many = {r.text: r.n for r in made.groupBy("text").agg(F.count("*").alias("n")).collect()}
+    assert all(many[f"w{i}"] <= 2 * sum(r[1] == f"w{i}" for r in rows) for i in range(7) if f"w{i}" in many)
+
+
+def test_texts_of_one_id_lose_their_own_spans(spark):
+    """Sixty texts of one doc_id with a passage each that an earlier document holds at another place."""
+    word = lambda i: "w" + hashlib.md5(str(i).encode()).hexdigest()[:6]
+    passage = lambda i: " ".join(word(f"{i}p{j}") for j in range(60))
+    rows = [(1, " ".join(passage(i) for i in range(60)))] + [(2, " ".join(word(f"{i}x{j}") for j in range(10 + i)) + " " + passage(i)) for i in range(60)]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, __doc string, __cut int")
+    found = substrings.find_repeats(docs)
+    assert found.count() == 60 and found.select("tag").distinct().count() == 60
+    left = substrings.remove(docs, found)
+    assert left.columns == docs.columns
+    texts = sorted(r.text.strip() for r in left.filter("doc_id = 2").collect())
+    kept = sorted(" ".join(word(f"{i}x{j}") for j in range(10 + i)) for i in range(60))
+    # a chunk across the edge may leave a few words of a passage
+    assert sum(len(a.split()) for a in texts) <= sum(len(b.split()) for b in kept) + 60 * 16
+    assert all(any(t.startswith(k) for t in texts) for k in kept)
+
+
 def test_decontaminate_blocks_agree(spark):
     words = [f"w{i}" for i in range(60)]
     docs = spark.createDataFrame([(1, "x " + " ".join(words[:20]) + " y"), (2, " ".join(words[5:16])), (3, "Short ITEM here"), (4, "nothing")], "doc_id long, text string")
