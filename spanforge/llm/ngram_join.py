@@ -46,8 +46,10 @@ SHORT = 48
 HUBS = 3
 #: Parities of a set's tokens by 512 hash classes, as longs. Two sets differ in one token at least for each parity that differs.
 BITS = [f"b{i}" for i in range(8)]
-#: Ids in a set that tasks may hold: 8 bytes each.
-HELD_IDS = 1_000_000
+#: Bits of the filter by which tasks pass over texts that no candidate pair needs; 2 ** 27 are 16 MB.
+FILTER_BITS = 27
+#: Pairs under one token that a task compares.
+TASK_PAIRS = 1_000_000
 
 
 def token_sets(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,49 +186,56 @@ def _late_pairs(posts: DataFrame, sizes: DataFrame, components: DataFrame, perce
     counts = placed.groupBy("token", "component").agg(F.count("*").alias("c"))
     main = counts.groupBy("token").agg(F.max_by("component", "c").alias("main"), F.count("*").alias("parts")).filter("parts > 1").select("token", "main")
     placed = cut(placed.join(main, "token").join(sizes.select("node", *BITS), "node").select("token", "component", "main", F.struct("node", "n", *BITS).alias("a")))
-    left = placed.filter("component <> main").select("token", "a", F.col("component").alias("a_part"))
-    right = placed.select("token", F.col("a").alias("b"), F.col("component").alias("b_part"))
-    return cut(_pairs(left.join(right, "token").filter("a_part <> b_part").filter(_fits(percent))).distinct())
+    # the sets outside are dealt so that a task compares about TASK_PAIRS; all of the list goes to each of its parts
+    outside = F.count_if(F.col("component") != F.col("main"))
+    parts = placed.groupBy("token").agg(F.greatest(F.lit(1), F.least(outside, F.ceil(outside * F.count("*") / TASK_PAIRS))).cast("int").alias("parts"))
+    dealt = placed.join(parts, "token")
+    left = dealt.filter("component <> main").select("token", F.pmod(F.xxhash64("a.node"), F.col("parts")).cast("int").alias("part"), "a", F.col("component").alias("a_part"))
+    right = dealt.select("token", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("b"), F.col("component").alias("b_part"))
+    return cut(_pairs(left.join(right, ["token", "part"]).filter("a_part <> b_part").filter(_fits(percent))).distinct())
 
 
 def _sets(docs: DataFrame, sizes: DataFrame, wanted: DataFrame, k: int, percent: int) -> DataFrame:
     """node, tokens (bytes), low and high (the prefixes by rising and by falling hash) of the wanted nodes, from the text with each one's smallest doc_id.
 
-    Up to HELD_IDS nodes are named to the tasks; of more, their texts are found by a join.
+    Tasks get a filter of a fixed number of bits, which lets all wanted texts pass and the more of
+    the others the more are wanted; what passes is joined with the wanted nodes.
     """
-    named = wanted.select("node").distinct().join(sizes.select("node", "doc_id"), "node")
-    held = named.limit(HELD_IDS + 1).count() <= HELD_IDS
-    index = None
-    if held:
-        rows = named.toArrow()
-        node = rows.column("node").to_numpy()
-        order = np.argsort(node)
-        doc = rows.column("doc_id").fill_null(-(2**63)).to_numpy()
-        index = docs.sparkSession.sparkContext.broadcast((node[order], doc[order]))
-    else:
-        docs = docs.join(named.select(F.col("doc_id").alias("own")).distinct(), F.col("doc_id").eqNullSafe(F.col("own")), "left_semi")
+    width = FILTER_BITS
+    named = wanted.select("node").distinct().join(sizes.select("node", F.col("doc_id").alias("own")), "node")
+
+    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            slot = _slots(batch.column("node"), batch.column("own"), width)
+            yield pa.RecordBatch.from_arrays([pa.array((slot >> np.uint64(6)).astype(np.int64)), pa.array((np.uint64(1) << (slot & np.uint64(63))).view(np.int64))], names=["word", "bits"])
+
+    words = named.mapInArrow(bits, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    held = np.zeros(1 << width - 6, np.int64)
+    held[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    shared = docs.sparkSession.sparkContext.broadcast(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in pieces(batches):
             made, bounds, digest = token_sets(part, k)
-            node = digest.view(np.int64)
-            keep = np.diff(bounds) > 0
-            if index is not None:
-                nodes, docs_ = index.value
-                if not len(nodes):
-                    continue
-                at = np.minimum(np.searchsorted(nodes, node), len(nodes) - 1)
-                keep &= (nodes[at] == node) & (docs_[at] == part.column("doc_id").fill_null(-(2**63)).to_numpy())
-            for i in np.flatnonzero(keep):
+            slot = _slots(pa.array(digest.view(np.int64)), part.column("doc_id"), width)
+            passes = (shared.value[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)).astype(np.int64)) & 1
+            for i in np.flatnonzero((passes == 1) & (np.diff(bounds) > 0)):
                 own = made[bounds[i] : bounds[i + 1]]
                 p = prefix(len(own), percent)
                 ends = [pa.array([x.view(np.int64)], pa.list_(pa.int64())) for x in (own[:p], own[-p:])]
-                yield pa.RecordBatch.from_arrays([pa.array(node[i : i + 1]), part.column("doc_id").slice(i, 1), pa.array([own.tobytes()], pa.binary()), *ends], names=["node", "doc_id", "tokens", "low", "high"])
+                yield pa.RecordBatch.from_arrays([pa.array(digest[i : i + 1].view(np.int64)), part.column("doc_id").slice(i, 1), pa.array([own.tobytes()], pa.binary()), *ends], names=["node", "doc_id", "tokens", "low", "high"])
 
     found = docs.mapInArrow(run, "node long, doc_id long, tokens binary, low array<long>, high array<long>")
-    if not held:
-        found = found.join(named.select("node", F.col("doc_id").alias("own")), "node").filter(F.col("doc_id").eqNullSafe(F.col("own")))
-    return cut(found.select("node", "tokens", "low", "high").dropDuplicates(["node"]))
+    found = found.join(named, "node").filter(F.col("doc_id").eqNullSafe(F.col("own")))
+    sets = cut(found.select("node", "tokens", "low", "high").dropDuplicates(["node"]))
+    shared.destroy()
+    return sets
+
+
+def _slots(node: pa.Array, doc: pa.Array, width: int) -> np.ndarray:
+    """The filter's bit for a node's text under a doc_id."""
+    own = doc.fill_null(-(2**63)).to_numpy(zero_copy_only=False).view(np.uint64)
+    return mix64(node.to_numpy().view(np.uint64) ^ mix64(own)) >> np.uint64(64 - width)
 
 
 def _candidates(pairs: DataFrame, sets: DataFrame, hot: dict) -> DataFrame:

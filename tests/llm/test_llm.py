@@ -184,10 +184,11 @@ def brute_components(texts, k, percent):
     return {i: (len(sets[i]), part[i]) for i in texts}
 
 
-@pytest.mark.parametrize(("short", "held", "k", "percent"), [(2, 10**6, 4, 85), (48, 0, 4, 85), (2, 0, 5, 80)])
-def test_jaccard_components(spark, monkeypatch, short, held, k, percent):
+@pytest.mark.parametrize(("short", "bits", "k", "percent"), [(2, 27, 4, 85), (48, 6, 4, 85), (2, 9, 5, 80)])
+def test_jaccard_components(spark, monkeypatch, short, bits, k, percent):
     monkeypatch.setattr(ngram_join, "SHORT", short)
-    monkeypatch.setattr(ngram_join, "HELD_IDS", held)
+    monkeypatch.setattr(ngram_join, "FILTER_BITS", bits)
+    monkeypatch.setattr(ngram_join, "TASK_PAIRS", short)
     monkeypatch.setattr(spread, "FEW", short)
     rng = np.random.default_rng(3)
     base = [f"v{i}" for i in rng.integers(0, 500, 120)]
