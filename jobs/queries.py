@@ -6,6 +6,7 @@ from jobs import annotation_store, sequence_intake
 from spanforge.operators.sequences import LETTERS, OPPOSITE
 from spanforge.plans.registry import GAP_SQL, query
 from spanforge.session import scratch_path
+from spanforge.sources.hits import SEQUENCE_SQL
 
 _RC = f"reverse(translate(seq, '{LETTERS}', '{OPPOSITE}'))"
 
@@ -38,8 +39,7 @@ def job1_annotation_store(spark, sf_dir):
 
 @query(rf"""
 WITH seqs AS (
-  SELECT doc_id, source, lang, translate(regexp_replace(regexp_replace(coalesce(text, ''), '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g'), '[^\x00-\x7F]', 'z', 'g'),
-         '{sequence_intake.LETTERS}{sequence_intake.LETTERS.upper()}', '{2 * sequence_intake.BASES}') AS seq, row_number() OVER () AS row
+  SELECT doc_id, source, lang, {SEQUENCE_SQL} AS seq, row_number() OVER () AS row
   FROM documents),
 halves AS (SELECT *, least(120, length(seq) // 2) AS n, {_RC} AS rc FROM seqs),
 places AS (SELECT row, i, CASE WHEN seq[i] = rc[i] THEN 0 ELSE 1 END AS miss FROM (SELECT row, seq, rc, unnest(range(1, n + 1)) AS i FROM halves)),

@@ -19,22 +19,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanforge.operators.sequences import reverse_complement, terminal_inverted_repeat
+from spanforge.sources.hits import sequence_of
 from spanforge.sources.store import read_or_none
 
 log = logging.getLogger(__name__)
 
-#: Base for each letter of a text, in alphabetical order; all else beyond ASCII is N, as z.
-LETTERS = "abcdefghijklmnopqrstuvwxyz"
-BASES = "ACGTRACGTAACGTACGTACGTACGN"
 MEASURES = ["doc_id", "source", "lang", "length", "n_count", "gc_count", "digest", "tir_0", "tir_1", "tir_2", "tir_3"]
 
 
-def sequence_of(text: Column) -> Column:
-    """A text as a sequence: all its letters as bases; null is empty."""
-    letters = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x00-\x40\x5B-\x60\x7B-\x7F]", "")
-    return F.translate(F.regexp_replace(letters, r"[^\x00-\x7F]", "z"), LETTERS + LETTERS.upper(), 2 * BASES)
-
-
 def count_of(seq: str, letters: str) -> Column:
     return (F.char_length(seq) - F.char_length(F.translate(seq, letters, ""))).cast("bigint")
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spanforge.operators.sequences import extract
+from spanforge.operators.sequences import reverse_complement
+from spanforge.sources.indexed import BLOCK, fetch
 
 
 def flipped(strand: Column) -> Column:
@@ -41,17 +42,23 @@ def read_back(ids: DataFrame, copies: DataFrame) -> DataFrame:
     return both.select(*ids.columns, chrom.alias("chrom"), F.when(chrom.isNotNull(), start).alias("start"), F.when(chrom.isNotNull(), end).alias("end"), F.when(chrom.isNotNull(), strand).alias("strand"))
 
 
-def verify_rows(rows: DataFrame, genome: DataFrame) -> DataFrame:
-    """rows(row_id, chrom, start, end, strand, seq) with reason: null where the row without gaps is what the genome(chrom, sequence) has there.
+def verify_rows(rows: DataFrame, blocks: DataFrame, size: int = BLOCK) -> DataFrame:
+    """rows(row_id, chrom, start, end, strand, seq) with reason: null where the row without gaps is what the genome has there.
 
-    A chromosome that the genome lacks is a reason of its own. Each row reads the sequence of its
-    own chromosome; ``sources.formats.blocks`` and ``slices`` give the same for long ones.
+    blocks(chrom, block, seq): the genome in blocks of ``size``, of which a row reads those that it
+    touches. A chromosome that the genome lacks, and a row without a place, are reasons of their own.
     """
     clean = F.translate(F.upper(F.coalesce("seq", F.lit(""))), ".-", "")
-    there = genome.select("chrom", F.col("sequence").alias("__genome"))
-    ref = F.upper(extract(F.col("__genome"), F.col("start"), F.col("end"), F.col("strand")))
-    reason = F.when(F.col("__genome").isNull(), "chrom_absent").when(clean != ref, "sequence_mismatch")
-    return rows.join(there, "chrom", "left").withColumn("reason", reason).withColumn("row_len", F.char_length(clean)).withColumn("ref_len", F.char_length(ref)).drop("__genome")
+    given = rows.withColumn("__clean", clean).drop("seq")
+    found = fetch(given, blocks, size)
+    ref = F.upper(F.when(F.col("strand") == "-", reverse_complement(F.col("seq"))).otherwise(F.col("seq")))
+    reason = F.when(F.col("seq").isNull(), "chrom_absent").when(F.col("start").isNull() | F.col("end").isNull(), "no_place").when(F.col("__clean") != ref, "sequence_mismatch")
+    return found.withColumn("reason", reason).withColumn("row_len", F.char_length("__clean")).withColumn("ref_len", F.char_length(ref)).withColumn("seq", F.col("__clean")).drop("__clean")
+
+
+def failures(checked: DataFrame, most: int = 20) -> DataFrame:
+    """The first ``most`` rows of ``verify_rows`` that failed, by row_id, with both lengths."""
+    return checked.filter("reason IS NOT NULL").orderBy("row_id", "chrom", "start", "end").limit(most).select("row_id", "chrom", "start", "end", "strand", "reason", "row_len", "ref_len")
 
 
 def verification(checked: DataFrame) -> DataFrame:
@@ -79,21 +86,23 @@ def trim_columns(rows: DataFrame, low: Column, high: Column, least: int = 1) ->
     return joined.withColumn("seq", kept).select("aln_id", "row_id", "seq", "start", "end", "strand")
 
 
-def with_flanks(rows: DataFrame, genome: DataFrame, flank: int) -> DataFrame:
+def with_flanks(rows: DataFrame, blocks: DataFrame, sizes: DataFrame, flank: int, size: int = BLOCK) -> DataFrame:
     """rows(row, chrom, start, end, strand) as sequences with and without flanks, and the flanks that the genome has.
 
-    Flanks are added on the genome, before a minus row is turned. That the flanked length is the
-    row's and both flanks' is asserted.
+    blocks(chrom, block, seq), sizes(chrom, size): the genome in blocks and its lengths; rows of
+    other chromosomes go. Flanks are added on the genome, before a minus row is turned. That the
+    flanked length is the row's and both flanks' is asserted.
     """
-    joined = rows.join(genome.select("chrom", "sequence"), "chrom")
-    begin = F.greatest(F.col("start") - flank, F.lit(0))
-    seq = extract(F.col("sequence"), F.col("start"), F.col("end"), F.col("strand"))
-    flanked = extract(F.col("sequence"), begin, F.col("end") + flank, F.col("strand"))
-    before = F.col("start") - begin
-    after = F.least(F.char_length("sequence"), F.col("end") + flank) - F.col("end")
+    joined = rows.select("row", "chrom", "start", "end", "strand").join(sizes.select("chrom", F.col("size").alias("__size")), "chrom")
+    wide = joined.withColumn("__start", F.greatest(F.col("start") - flank, F.lit(0))).withColumn("__end", F.col("end") + flank)
+    found = fetch(wide.withColumnsRenamed({"start": "__s", "end": "__e", "__start": "start", "__end": "end"}), blocks, size)
+    before = F.col("__s") - F.col("start")
+    after = F.least("__size", "end") - F.col("__e")
     minus = F.col("strand") == "-"
-    out = joined.select(
-        "row", seq.alias("seq"), flanked.alias("flanked"), F.when(minus, after).otherwise(before).cast("bigint").alias("flank_left"), F.when(minus, before).otherwise(after).cast("bigint").alias("flank_right"), (F.col("end") - F.col("start")).alias("element_bp"),
+    turned = lambda x: F.when(minus, reverse_complement(x)).otherwise(x)
+    inner = F.substring(F.col("seq"), (before + 1).cast("int"), (F.col("__e") - F.col("__s")).cast("int"))
+    out = found.select(
+        "row", turned(inner).alias("seq"), turned(F.col("seq")).alias("flanked"), F.when(minus, after).otherwise(before).cast("bigint").alias("flank_left"), F.when(minus, before).otherwise(after).cast("bigint").alias("flank_right"), (F.col("__e") - F.col("__s")).alias("element_bp"),
     )
     right = F.char_length("flanked") == F.char_length("seq") + F.col("flank_left") + F.col("flank_right")
     n = F.char_length("flanked") - F.char_length(F.replace(F.upper("flanked"), F.lit("N"), F.lit("")))

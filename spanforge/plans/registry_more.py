@@ -8,15 +8,14 @@ from pyspark.sql import functions as F
 from spanforge.operators import analysis, copies, sequences
 from spanforge.plans.registry import DEMO_SQL, query
 from spanforge.session import table
-from spanforge.sources.hits import demo_hits
+from spanforge.sources.hits import LETTERS, SEQUENCE_SQL, demo_hits, sequence_of
 
-SEQ_SQL = """seqs AS (SELECT doc_id AS id, translate(regexp_replace(text, '[^a-z]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz', 'ACGTRACGTAACGTACGTACGTACGN') AS seq FROM documents)"""
+SEQ_SQL = f"seqs AS (SELECT doc_id AS id, {SEQUENCE_SQL} AS seq FROM documents)"
 
 
 def _seqs(spark, sf_dir):
-    """Whole texts of all documents; letters beyond a-z are dropped."""
-    letters = F.regexp_replace("text", "[^a-z]", "")
-    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.translate(letters, "abcdefghijklmnopqrstuvwxyz", "ACGTRACGTAACGTACGTACGTACGN").alias("seq"))
+    """Whole texts of all documents, all letters as bases."""
+    return table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), sequence_of(F.col("text")).alias("seq"))
 
 
 RC = "reverse(translate({0}, '" + sequences.LETTERS + "', '" + sequences.OPPOSITE + "'))"
@@ -54,7 +53,7 @@ def tir_scan(spark, sf_dir):
 
 ALN_SQL = """rows AS (
   SELECT source AS aln_id, CAST(doc_id AS VARCHAR) AS row_id,
-         repeat('-', CAST(doc_id % 4 AS INTEGER)) || translate(regexp_replace(text, '[^a-z ]', '', 'g'), 'abcdefghijklmnopqrstuvwxyz ', 'acgtacgtaacgtacgtacgtacgan.') AS seq
+         repeat('-', CAST(doc_id % 4 AS INTEGER)) || translate(regexp_replace(regexp_replace(text, '[^\x00-\x7F]', 'z', 'g'), '[^A-Za-z ]', '', 'g'), 'abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ ', 'acgtacgtaacgtacgtacgtacganacgtacgtaacgtacgtacgtacgan.') AS seq
   FROM documents),
 cells AS (SELECT aln_id, row_id, i - 1 AS col, translate(upper(seq[i]), '._~', '---') AS base FROM (SELECT *, unnest(range(1, length(seq) + 1)) AS i FROM rows)),
 spans AS (SELECT aln_id, row_id, min(col) AS lo, max(col) AS hi FROM cells WHERE base <> '-' GROUP BY ALL),
@@ -70,8 +69,9 @@ calls AS (
 
 
 def _alignment(spark, sf_dir):
-    """Whole texts of all documents, by source; letters beyond a-z and space are dropped."""
-    letters = F.translate(F.regexp_replace("text", "[^a-z ]", ""), "abcdefghijklmnopqrstuvwxyz ", "acgtacgtaacgtacgtacgtacgan.")
+    """Whole texts of all documents, by source, all letters as bases and spaces as gaps."""
+    plain = F.regexp_replace(F.regexp_replace("text", r"[^\x00-\x7F]", "z"), "[^A-Za-z ]", "")
+    letters = F.translate(plain, LETTERS + LETTERS.upper() + " ", 2 * "acgtacgtaacgtacgtacgtacgan" + ".")
     rows = table(spark, sf_dir, "documents")
     return rows.select(F.col("source").alias("aln_id"), F.col("doc_id").cast("string").alias("row_id"), F.concat(F.expr("repeat('-', CAST(doc_id % 4 AS INT))"), letters).alias("seq"), "doc_id")
 

@@ -8,7 +8,8 @@ from spanforge.operators import copies, intervals, linkage, overassembly, readba
 from spanforge.operators.sequences import extract
 from spanforge.plans.registry import DEMO_SQL, LENGTHS, MODE_SQL, _lengths, query
 from spanforge.plans.registry_more import RC, SEQ_SQL, _seqs
-from spanforge.session import table
+from spanforge.session import scratch_path, table
+from spanforge.sources import formats, indexed
 from spanforge.sources.hits import demo_hits
 
 # Over-assembly -----------------------------------------------------------------------------------
@@ -237,38 +238,61 @@ def read_back_ids(spark, sf_dir):
 
 
 ROWS_SQL = """WITH {seqs},
-rows AS (SELECT id, 'd' || CASE WHEN id % 11 = 0 THEN -id ELSE id END AS chrom, id % 40 AS s, id % 40 + 80 AS e, CASE WHEN id % 2 = 0 THEN '-' ELSE '+' END AS strand, seq AS sequence FROM seqs WHERE length(seq) > 200),
+rows AS (SELECT id, 'd' || CASE WHEN id % 11 = 0 THEN -id ELSE id END AS chrom, id % 40 AS s, id % 40 + 80 AS e, CASE WHEN id % 2 = 0 THEN '-' ELSE '+' END AS strand, seq AS sequence FROM seqs),
 cut AS (SELECT *, substr(sequence, s + 1, e - s) AS piece FROM rows),
 turned AS (SELECT *, CASE WHEN strand = '-' THEN {rc} ELSE piece END AS ref FROM cut),
-given AS (SELECT *, CASE WHEN id % 7 = 0 THEN 'A' || substr(ref, 2) ELSE substr(ref, 1, 10) || '-.' || lower(substr(ref, 11)) END AS seq FROM turned)"""
+given AS (SELECT *, CASE WHEN id % 7 = 0 THEN 'A' || substr(ref, 2) ELSE substr(ref, 1, 10) || '-.' || lower(substr(ref, 11)) END AS seq FROM turned),
+checked AS (SELECT *, CASE WHEN id % 11 = 0 THEN 'chrom_absent' WHEN replace(replace(upper(seq), '-', ''), '.', '') <> ref THEN 'sequence_mismatch' END AS reason FROM given)"""
 ROWS_SQL = ROWS_SQL.replace("{seqs}", SEQ_SQL).replace("{rc}", RC.format("piece"))
 
 
-@query(ROWS_SQL + """,
-checked AS (SELECT CASE WHEN id % 11 = 0 THEN 'chrom_absent' WHEN replace(replace(upper(seq), '-', ''), '.', '') <> ref THEN 'sequence_mismatch' END AS reason FROM given)
-SELECT coalesce(reason, 'verified') AS reason, count(*) AS n FROM checked GROUP BY ALL""")
-def verify_rows(spark, sf_dir):
-    long = _seqs(spark, sf_dir).filter("length(seq) > 200")
-    rows = long.select("id", F.concat(F.lit("d"), F.expr("CASE WHEN id % 11 = 0 THEN -id ELSE id END").cast("string")).alias("chrom"), F.expr("id % 40").alias("start"), F.expr("id % 40 + 80").alias("end"), F.expr("CASE WHEN id % 2 = 0 THEN '-' ELSE '+' END").alias("strand"), F.col("seq").alias("sequence"))
+def _checked(spark, sf_dir):
+    """Slices of all texts, some altered, some of chromosomes that the genome lacks; the genome in blocks of 512."""
+    texts = _seqs(spark, sf_dir)
+    rows = texts.select("id", F.concat(F.lit("d"), F.expr("CASE WHEN id % 11 = 0 THEN -id ELSE id END").cast("string")).alias("chrom"), F.expr("id % 40").alias("start"), F.expr("id % 40 + 80").alias("end"), F.expr("CASE WHEN id % 2 = 0 THEN '-' ELSE '+' END").alias("strand"), F.col("seq").alias("sequence"))
     ref = rows.withColumn("ref", extract(F.col("sequence"), F.col("start"), F.col("end"), F.col("strand")))
     seq = F.expr("CASE WHEN id % 7 = 0 THEN 'A' || substr(ref, 2) ELSE substr(ref, 1, 10) || '-.' || lower(substr(ref, 11)) END")
     given = ref.select(F.col("id").alias("row_id"), "chrom", "start", "end", "strand", seq.alias("seq"))
-    genome = long.select(F.concat(F.lit("d"), F.col("id").cast("string")).alias("chrom"), F.col("seq").alias("sequence")).filter("chrom <> 'd0'")
-    checked = readback.verify_rows(given, genome)
-    return checked.groupBy(F.coalesce("reason", F.lit("verified")).alias("reason")).agg(F.count("*").alias("n"))
+    genome = texts.select(F.concat(F.lit("d"), F.col("id").cast("string")).alias("chrom"), "seq").filter("chrom <> 'd0'")
+    return readback.verify_rows(given, indexed.cut_blocks(genome, 512), 512)
+
+
+@query(ROWS_SQL + " SELECT coalesce(reason, 'verified') AS reason, count(*) AS n FROM checked GROUP BY ALL")
+def verify_rows(spark, sf_dir):
+    return _checked(spark, sf_dir).groupBy(F.coalesce("reason", F.lit("verified")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+@query(ROWS_SQL + """
+SELECT id AS row_id, chrom, s AS "start", e AS "end", strand, reason, CAST(length(replace(replace(seq, '-', ''), '.', '')) AS INTEGER) AS row_len, CASE WHEN reason <> 'chrom_absent' THEN CAST(length(ref) AS INTEGER) END AS ref_len
+FROM checked WHERE reason IS NOT NULL ORDER BY id LIMIT 20""")
+def verify_failures(spark, sf_dir):
+    return readback.failures(_checked(spark, sf_dir))
 
 
 @query("WITH " + SEQ_SQL + """,
-rows AS (SELECT id, seq AS sequence, id % 90 AS s, id % 90 + 50 AS e, CASE WHEN id % 2 = 0 THEN '-' ELSE '+' END AS strand, length(seq) AS n FROM seqs WHERE length(seq) > 160),
+rows AS (SELECT id, seq AS sequence, least(id % 90, length(seq)) AS s, least(id % 90 + 50, length(seq)) AS e, CASE WHEN id % 2 = 0 THEN '-' ELSE '+' END AS strand, length(seq) AS n FROM seqs),
 ends AS (SELECT *, s - greatest(s - 30, 0) AS before, least(n, e + 30) - e AS after FROM rows)
 SELECT id AS row, CASE WHEN strand = '-' THEN after ELSE before END AS flank_left, CASE WHEN strand = '-' THEN before ELSE after END AS flank_right, e - s AS element_bp, CAST(e - s + before + after AS INTEGER) AS length,
        CAST(length(piece) - length(replace(piece, 'N', '')) AS INTEGER) AS n_bases
 FROM (SELECT *, substr(sequence, greatest(s - 30, 0) + 1, e + 30 - greatest(s - 30, 0)) AS piece FROM ends)""")
 def flank_accounting(spark, sf_dir):
-    long = _seqs(spark, sf_dir).filter("length(seq) > 160")
-    rows = long.select(F.col("id").alias("row"), F.col("id").cast("string").alias("chrom"), F.expr("id % 90").alias("start"), F.expr("id % 90 + 50").alias("end"), F.expr("CASE WHEN id % 2 = 0 THEN '-' ELSE '+' END").alias("strand"))
-    genome = long.select(F.col("id").cast("string").alias("chrom"), F.col("seq").alias("sequence"))
-    return readback.with_flanks(rows, genome, 30).select("row", "flank_left", "flank_right", "element_bp", "length", "n_bases")
+    texts = _seqs(spark, sf_dir).withColumn("chrom", F.col("id").cast("string"))
+    n = F.char_length("seq").cast("bigint")
+    rows = texts.select(F.col("id").alias("row"), "chrom", F.least(F.expr("id % 90"), n).alias("start"), F.least(F.expr("id % 90 + 50"), n).alias("end"), F.expr("CASE WHEN id % 2 = 0 THEN '-' ELSE '+' END").alias("strand"))
+    return readback.with_flanks(rows, indexed.cut_blocks(texts, 512), texts.select("chrom", n.alias("size")), 30, 512).select("row", "flank_left", "flank_right", "element_bp", "length", "n_bases")
+
+
+@query("WITH " + SEQ_SQL + """,
+wanted AS (SELECT id, seq, id % 3000 - 20 AS s, id % 3000 + 700 AS e FROM seqs)
+SELECT 't' || id AS chrom, s AS "start", e AS "end", substr(seq, greatest(s, 0) + 1, greatest(e - greatest(s, 0), 0)) AS seq FROM wanted""")
+def fasta_fetch(spark, sf_dir):
+    """All texts written as FASTA, indexed, and intervals of them fetched from blocks read by byte ranges."""
+    texts = _seqs(spark, sf_dir).withColumn("name", F.concat(F.lit("t"), F.col("id").cast("string")))
+    place = scratch_path(spark, "fasta")
+    formats.write_fasta(texts.select(F.col("name").alias("id"), "seq"), place)
+    index = indexed.write_index(indexed.fasta_index(spark, place), scratch_path(spark, "fasta-index"))
+    wanted = texts.select(F.col("name").alias("chrom"), F.expr("id % 3000 - 20").alias("start"), F.expr("id % 3000 + 700").alias("end"))
+    return indexed.fetch(wanted, indexed.read_blocks(spark, index, block=1024), 1024)
 
 
 # Alignments of consensi ----------------------------------------------------------------------------------

@@ -27,26 +27,6 @@ def write_fasta(seqs: DataFrame, path: str, width: int = 60) -> None:
     seqs.select(F.concat(F.lit(">"), "id", F.lit("\n"), wrapped).alias("value")).write.mode("overwrite").text(path)
 
 
-def blocks(seqs: DataFrame, size: int = 65_536) -> DataFrame:
-    """Sequences as rows of fixed blocks: id, block, seq. A slice reads the blocks it touches and no more."""
-    n = F.greatest(F.lit(1), F.ceil(F.char_length("seq") / size)).cast("int")
-    cut = seqs.withColumn("block", F.explode(F.sequence(F.lit(0), n - 1)))
-    return cut.select("id", "block", F.expr(f"substring(seq, block * {size} + 1, {size})").alias("seq"))
-
-
-def slices(wanted: DataFrame, blocks_: DataFrame, size: int = 65_536) -> DataFrame:
-    """wanted(row, id, start, end) with seq, clamped to the sequence; what lies outside is empty."""
-    need = wanted.filter("end > start AND end > 0").withColumn("low", F.greatest("start", F.lit(0)))
-    need = need.withColumn("block", F.explode(F.expr(f"sequence(low div {size}, (end - 1) div {size})")))
-    parts = need.join(blocks_, ["id", "block"])
-    first = F.greatest(F.col("low") - F.col("block") * size, F.lit(0))
-    last = F.least(F.col("end") - F.col("block") * size, F.lit(size))
-    piece = F.substring("seq", (first + 1).cast("int"), (last - first).cast("int"))
-    joined = parts.groupBy("row").agg(F.array_sort(F.collect_list(F.struct("block", piece.alias("p")))).alias("ps"))
-    text = F.array_join(F.transform("ps", lambda x: x["p"]), "")
-    return wanted.join(joined.select("row", text.alias("seq")), "row", "left").withColumn("seq", F.coalesce("seq", F.lit("")))
-
-
 def read_stockholm(spark: SparkSession, path: str) -> DataFrame:
     """row_id and seq of every alignment row; comments, ends and empty lines aside."""
     lines = spark.read.text(path).filter("value <> '' AND NOT startswith(value, '#') AND NOT startswith(value, '//')")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spanforge.session import table
@@ -22,6 +22,21 @@ def read_annotations(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(*[F.when(~empty(c), F.col(c).try_cast(t)).alias(c) for c, t in kinds])
 
 
+#: Base for each letter of a text, in alphabetical order; anything beyond ASCII is taken as z, an N.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+BASES = "ACGTRACGTAACGTACGTACGTACGN"
+
+
+def sequence_of(text: Column) -> Column:
+    """A text as a sequence: all its letters as bases; null is empty."""
+    letters = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x00-\x40\x5B-\x60\x7B-\x7F]", "")
+    return F.translate(F.regexp_replace(letters, r"[^\x00-\x7F]", "z"), LETTERS + LETTERS.upper(), 2 * BASES)
+
+
+#: The same in SQL, of a column text.
+SEQUENCE_SQL = rf"translate(regexp_replace(regexp_replace(coalesce(text, ''), '[\x00-\x40\x5B-\x60\x7B-\x7F]', '', 'g'), '[^\x00-\x7F]', 'z', 'g'), '{LETTERS}{LETTERS.upper()}', '{2 * BASES}')"
+
+
 def demo_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits_of(table(spark, sf_dir, "lineitem"))
 

@@ -416,8 +416,6 @@ def test_formats(spark, tmp_path):
     assert {r.id: r.seq for r in seqs.collect()} == {"one": "ACGTAC", "two": "GGG"}
     formats.write_fasta(seqs, str(tmp_path / "out"), 4)
     assert {r.id: r.seq for r in formats.read_fasta(spark, str(tmp_path / "out")).collect()} == {"one": "ACGTAC", "two": "GGG"}
-    wanted = spark.createDataFrame([(1, "one", 1, 5), (2, "one", 4, 99), (3, "two", 3, 3), (4, "no", 0, 2)], "row long, id string, start long, end long")
-    assert {r.row: r.seq for r in formats.slices(wanted, formats.blocks(seqs, 2), 2).collect()} == {1: "CGTA", 2: "AC", 3: "", 4: ""}
     rows = spark.createDataFrame([("a", "r1", "AC-"), ("a", "long", "ACG")], "aln_id string, row_id string, seq string")
     tags = spark.createDataFrame([("a", 1, "ID", "fam"), ("a", 2, "RF", "AC.")], "aln_id string, place int, tag string, value string")
     record = formats.stockholm(rows, tags).head().record
