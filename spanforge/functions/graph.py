@@ -43,3 +43,40 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     for path in old:
         remove_table(edges.sparkSession, path)
     return labels
+
+
+def spanning_forest(edges: DataFrame) -> DataFrame:
+    """The maximum spanning forest of edges(a, b, w): of all edges ordered by (w, a, b) those that no path of larger ones joins already.
+
+    In each round every component takes its largest edge to another one, which the forest always
+    has, and components that such edges join become one. As no two edges are equal, the choices
+    form trees with one pair of components each that chose the same edge: the smaller is the root.
+    Rounds are written tables; components at least halve in each.
+    """
+    spark = edges.sparkSession
+    old: list[str] = []
+
+    def step(df: DataFrame, name: str) -> DataFrame:
+        out, path = written(df, name)
+        old.append(path)
+        return out
+
+    rows = edges.filter("a <> b").select(F.struct("w", "a", "b").alias("edge"), F.col("a").alias("x"), F.col("b").alias("y"))
+    rows = step(rows.distinct(), "forest-edges")
+    forest = rows.select("edge").limit(0)
+    while not rows.isEmpty():
+        both = rows.unionByName(rows.select("edge", F.col("y").alias("x"), F.col("x").alias("y")))
+        best = step(both.groupBy("x").agg(F.max(F.struct("edge", "y")).alias("best")).select("x", "best.edge", F.col("best.y").alias("to")), "forest-best")
+        forest = step(forest.unionByName(best.select("edge").distinct()), "forest")
+        back = best.select(F.col("x").alias("to"), F.col("to").alias("back"))
+        to = step(best.join(back, "to").select("x", F.when((F.col("back") == F.col("x")) & (F.col("x") < F.col("to")), F.col("x")).otherwise(F.col("to")).alias("to"), F.lit(True).alias("moved")), "forest-roots")
+        while not to.filter("moved").isEmpty():
+            onward = to.select(F.col("x").alias("to"), F.col("to").alias("next"))
+            to = step(to.join(onward, "to").select("x", F.col("next").alias("to"), (F.col("next") != F.col("to")).alias("moved")), "forest-roots")
+        ends = [to.select(F.col("x").alias(c), F.col("to").alias(f"root_{c}")) for c in ("x", "y")]
+        moved = rows.join(ends[0], "x").join(ends[1], "y").select("edge", F.col("root_x").alias("x"), F.col("root_y").alias("y"))
+        rows = step(moved.filter("x <> y"), "forest-edges")
+    out = cut(forest.select("edge.a", "edge.b", "edge.w"))
+    for path in old:
+        remove_table(spark, path)
+    return out

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from spanforge.operators.permutation import average_ranks, correlation
+
 #: Core profiles by kind, the first kind of which a pattern is found in the name (fixed values).
 DOMAIN_KINDS = {
     "RT": (r"RVT_\d+$", r"RVT_N$", r"Pao_retrotransp$", r"RT_RNaseH", r"Exo_endo_phos", r"TERT$", r"RVP", r"Peptidase_A17$"),
@@ -108,40 +108,20 @@ def round_robin(rows: DataFrame, want: int, stratum: list[str], draw: Column, ke
     return rows.withColumn("number", number).filter(F.col("number") <= want).orderBy("number", *stratum).limit(want)
 
 
-def average_rank(value: str, by: list[str]) -> Column:
-    """Rank from 1 in which ties share their mean."""
-    part = Window.partitionBy(*by)
-    return F.rank().over(part.orderBy(value)) + (F.count("*").over(part.orderBy(value).rangeBetween(0, 0)) - 1) / 2
-
-
 def spearman(rows: DataFrame, by: list[str], x: str, y: str) -> DataFrame:
-    ranked = rows.filter(F.col(x).isNotNull() & F.col(y).isNotNull()).withColumn("rx", average_rank(x, by)).withColumn("ry", average_rank(y, by))
-    return ranked.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.corr("rx", "ry"), 6).alias("rho"))
+    known = rows.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    ranked = average_ranks(average_ranks(known, by, x, "rx"), by, y, "ry")
+    return ranked.groupBy(*by).agg(F.count("*").alias("n"), F.round(correlation(F.col("rx"), F.col("ry")), 6).alias("rho"))
 
 
 def mann_whitney(rows: DataFrame, by: list[str], group: str, value: str) -> DataFrame:
     """U of group 1 against 0, and the rank-biserial effect."""
-    ranked = rows.withColumn("r", average_rank(value, by))
+    ranked = average_ranks(rows, by, value, "r")
     sums = ranked.groupBy(*by).agg(F.count_if(F.col(group) == 1).alias("n1"), F.count_if(F.col(group) == 0).alias("n0"), F.sum(F.when(F.col(group) == 1, F.col("r"))).alias("r1"))
     u = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2
     return sums.filter("n1 > 0 AND n0 > 0").select(*by, "n1", "n0", u.alias("u"), F.round(2 * u / (F.col("n1") * F.col("n0")) - 1, 6).alias("effect"))
 
 
-def permutation_p(rows: DataFrame, by: str, x: str, y: str, rounds: int = 200, seed: int = 1) -> DataFrame:
-    """Share of shuffles whose rank correlation is as far from 0: (hits + 1) / (rounds + 1). A group is one sample of bounded size."""
-
-    def one(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        a, b = pdf[x].rank().to_numpy(), pdf[y].rank().to_numpy()
-        order = np.lexsort((b, a))
-        a, b = a[order] - a.mean(), b[order] - b.mean()
-        scale = np.sqrt((a**2).sum() * (b**2).sum()) or 1.0
-        rng = np.random.default_rng(seed)
-        seen = np.array([(a * rng.permutation(b)).sum() for _ in range(rounds)]) / scale
-        return pd.DataFrame({by: [key[0]], "rho": [(a * b).sum() / scale], "p": [(np.sum(np.abs(seen) >= abs((a * b).sum() / scale) - 1e-12) + 1) / (rounds + 1)]})
-
-    return rows.select(by, x, y).dropna().groupBy(by).applyInPandas(one, f"{by} {dict(rows.dtypes)[by]}, rho double, p double")
-
-
 def vocabulary_check(mapping: DataFrame, vocabulary: DataFrame, used: DataFrame) -> DataFrame:
     """Each path as mapped, accepted, used, and its status; a name that only begins like an accepted one isn't accepted."""
     flag = lambda df, name: df.select("path").filter("path IS NOT NULL").distinct().withColumn(name, F.lit(True))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -82,53 +84,81 @@ def _reduce(rows: DataFrame, block: str, keys: tuple[str, ...] = ("chrom",)) ->
 
 
 def split_widest(starts: list[int], ends: list[int], cap: float) -> list[tuple[int, int]]:
-    """Index ranges of a block cut at its widest gap again and again until each spans ``cap`` at most; the first of equal gaps counts."""
-    done, todo = [], [(0, len(starts))]
+    """Index ranges of a block cut at its widest gap again and again until each spans ``cap`` at most; the first of equal gaps counts.
+
+    The cuts form a tree of gaps with the widest on top, which one pass with a stack builds; the
+    largest end of every range comes from the ranges below it.
+    """
+    n = len(starts)
+    left, right, stack = [-1] * n, [-1] * n, []
+    for i in range(1, n):
+        gap, below = starts[i] - ends[i - 1], -1
+        while stack and starts[stack[-1]] - ends[stack[-1] - 1] < gap:
+            below = stack.pop()
+        left[i] = below
+        if stack:
+            right[stack[-1]] = i
+        stack.append(i)
+    # every cut before those under it, with the range that it parts
+    order = [(stack[0], 0, n)] if stack else []
+    for at, i, j in order:
+        order += [(x, a, b) for x, a, b in ((left[at], i, at), (right[at], at, j)) if x >= 0]
+    reach = [0] * n
+    for at, i, j in reversed(order):
+        reach[at] = max(reach[left[at]] if left[at] >= 0 else ends[i], reach[right[at]] if right[at] >= 0 else ends[j - 1])
+    done, todo = [], [(stack[0] if stack else -1, 0, n)]
     while todo:
-        i, j = todo.pop()
-        if j - i < 2 or max(ends[i:j]) - starts[i] <= cap:
+        at, i, j = todo.pop()
+        if at < 0 or reach[at] - starts[i] <= cap:
             done.append((i, j))
-            continue
-        gaps = [starts[x] - ends[x - 1] for x in range(i + 1, j)]
-        at = i + 1 + gaps.index(max(gaps))
-        todo += [(i, at), (at, j)]
-    return sorted(done)
+        else:
+            todo += [(right[at], at, j), (left[at], i, at)]
+    return done
+
+
+def split_greedy(starts: list[int], ends: list[int], cap: float) -> list[tuple[int, int]]:
+    """Index ranges of a block from left to right: one closes before the fragment that would take it beyond ``cap``."""
+    cuts = [0]
+    for i in range(1, len(starts)):
+        if ends[i] - starts[cuts[-1]] > cap:
+            cuts.append(i)
+    return list(zip(cuts, [*cuts[1:], len(starts)], strict=True))
+
+
+def _split(copies: DataFrame, cap: Column, how: Callable[[list[int], list[int], float], list[tuple[int, int]]]) -> DataFrame:
+    """copies with fragments as the pieces that ``how`` cuts them into: member, chrom, start, end, n_fragments. Without a cap they stay whole."""
+    names = [*MEMBER, "chrom", "start", "end", "n_fragments"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, start, end, count = [], [], [], []
+            caps, lists = batch.column("cap").to_pylist(), batch.column("fragments")
+            for r, most in enumerate(caps):
+                fragments = lists[r].values
+                starts, ends = fragments.field("start").to_pylist(), fragments.field("end").to_pylist()
+                for i, j in how(starts, ends, float("inf") if most is None else most):
+                    row.append(r)
+                    start.append(starts[i])
+                    end.append(max(ends[i:j]))
+                    count.append(j - i)
+            kept = [batch.column(c).take(pa.array(row, pa.int64())) for c in names[:3]]
+            yield pa.RecordBatch.from_arrays([*kept, *(pa.array(x, pa.int64()) for x in (start, end, count))], names=names)
+
+    rows = copies.filter(F.size("fragments") > 0).select(*names[:3], cap.cast("double").alias("cap"), "fragments")
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names[:3])
+    return rows.mapInArrow(run, kinds + ", start long, end long, n_fragments long")
 
 
 def cap_widest_gap(copies: DataFrame, ratio: float = 1.5) -> DataFrame:
     """Copies that span more than ratio * cons_len split at their widest gaps; others as they are."""
     columns = [*MEMBER, "chrom", "start", "end", "n_fragments"]
-    long = F.col("cons_len").isNotNull() & (F.col("end") - F.col("start") > ratio * F.col("cons_len")) & (F.col("n_fragments") > 1)
-
-    def cut(batches):
-        for pdf in batches:
-            out = []
-            for r in pdf.itertuples(index=False):
-                starts, ends = [f["start"] for f in r.fragments], [f["end"] for f in r.fragments]
-                out += [(r.tool, r.family, r.chrom, starts[i], max(ends[i:j]), j - i) for i, j in split_widest(starts, ends, ratio * r.cons_len)]
-            yield pd.DataFrame(out, columns=columns)
-
-    split = copies.filter(long).select(*MEMBER, "chrom", "cons_len", "fragments").mapInPandas(cut, "tool string, family string, chrom string, start long, end long, n_fragments long")
-    return copies.filter(~long).select(columns).unionByName(split)
+    long = F.coalesce((F.col("end") - F.col("start") > ratio * F.col("cons_len")) & (F.col("n_fragments") > 1), F.lit(False))
+    return copies.filter(~long).select(columns).unionByName(_split(copies.filter(long), ratio * F.col("cons_len"), split_widest))
 
 
 def cap_greedy(copies: DataFrame, length: Column, ratio: float = 1.5) -> DataFrame:
     """Copies re-cut from left to right: a piece closes before the fragment that would take it beyond ratio * length."""
-    kind = "struct<start:bigint,end:bigint,n:bigint>"
-    # closed pieces apart from the open one, so a fragment that fits copies no list
-    empty = F.expr(f"named_struct('closed', CAST(array() AS array<{kind}>), 'open', CAST(NULL AS {kind}))")
-
-    def step(acc: Column, x: Column) -> Column:
-        last = acc["open"]
-        fits = F.coalesce(x["end"] - last["start"] <= F.col("cap"), F.lit(False))
-        grown = F.struct(last["start"].alias("start"), F.greatest(last["end"], x["end"]).alias("end"), (last["n"] + 1).alias("n"))
-        fresh = F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(1).cast("bigint").alias("n"))
-        closed = F.when(fits | last.isNull(), acc["closed"]).otherwise(F.concat(acc["closed"], F.array(last)))
-        return F.struct(closed.alias("closed"), F.when(fits, grown).otherwise(fresh).alias("open"))
-
-    every = F.aggregate("fragments", empty, step, lambda acc: F.concat(acc["closed"], F.array(acc["open"])))
-    pieces = copies.withColumn("cap", ratio * length).filter(F.size("fragments") > 0).withColumn("piece", F.explode(every))
-    return pieces.select(*MEMBER, "chrom", F.col("piece.start").alias("start"), F.col("piece.end").alias("end"), F.col("piece.n").alias("n_fragments"))
+    return _split(copies, ratio * length, split_greedy)
 
 
 def inherited_lengths(bare: DataFrame, hits: DataFrame, lengths: DataFrame, row: str) -> DataFrame:

@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanforge.functions.graph import connected_components
+from spanforge.functions.graph import connected_components, spanning_forest
 from spanforge.operators.intervals import overlap_join, paint, point_join
+from spanforge.session import cut
 
 
 #: Classification paths that don't vote (fixed values).
@@ -96,75 +94,35 @@ def clusters(pairs: DataFrame) -> DataFrame:
     return grouped.withColumn("cluster_id", place.cast("int")).select("cluster_id", "cluster_key", F.size("list").alias("n_members"), F.explode("list").alias("member"))
 
 
-def last_bridge(members: set[str], links: list[tuple]) -> int:
-    """The place in rising links(weight, a, b) whose removal, with all before it, first parts the connected members: the weakest edge of a maximum spanning tree."""
-    root = {m: m for m in members}
-
-    def find(x: str) -> str:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    left, at = len(members), len(links)
-    while left > 1:
-        at -= 1
-        a, b = find(links[at][1]), find(links[at][2])
-        if a != b:
-            root[a] = b
-            left -= 1
-    return at
-
-
-def density_split(nodes: pd.DataFrame, density: float, most_depth: int = 12) -> list[list[str]]:
-    """One component's edges (a, b, w_bp) as lists of members: weakest edges go until a sparse part falls apart.
+def lenient_clusters(edges_: DataFrame, density: float = 0.5, most_depth: int = 12) -> DataFrame:
+    """Components whose weakest edges go until a sparse part falls apart: cluster_key, n_members, member.
 
-    Where it does is found in one pass from the strongest edge on.
+    A part of more than two members whose share of possible edges is under ``density`` loses its
+    weakest edges, by (w_bp, a, b), until it is disconnected; edges that lie inside a half come back,
+    and halves are judged again, up to ``most_depth`` times. What first disconnects a part is the
+    weakest edge of its maximum spanning tree, and the halves' trees are what is left of it, so the
+    forest is made once and each level takes one edge off each sparse part's tree. Single members go.
     """
-    every = sorted(set(map(tuple, nodes[["w_bp", "a", "b"]].itertuples(index=False))))
-
-    def parts(members: set[str], links: list[tuple]) -> list[set[str]]:
-        near: dict[str, set[str]] = {m: set() for m in members}
-        for _, a, b in links:
-            near[a].add(b)
-            near[b].add(a)
-        out, left = [], set(members)
-        while left:
-            stack, seen = [min(left)], set()
-            while stack:
-                x = stack.pop()
-                if x not in seen:
-                    seen.add(x)
-                    stack += near[x] - seen
-            out.append(seen)
-            left -= seen
-        return out
-
-    done: list[list[str]] = []
-    todo = [({x for e in every for x in e[1:]}, 0)]
-    while todo:
-        members, depth = todo.pop()
-        inside = [e for e in every if e[1] in members and e[2] in members]
-        n = len(members)
-        if n < 2:
-            continue
-        if n == 2 or depth > most_depth or len(inside) / (n * (n - 1) / 2) >= density:
-            done.append(sorted(members))
-            continue
-        todo += [(p, depth + 1) for p in parts(members, inside[last_bridge(members, inside) + 1 :])]
-    return sorted(done)
-
-
-def lenient_clusters(edges_: DataFrame, density: float = 0.5) -> DataFrame:
-    """Components split by density, one component at a time in a grouped function: cluster_key, n_members, member."""
-    nodes = connected_components(edges_)
-    rows = edges_.join(nodes.select(F.col("node").alias("a"), "component"), "a").select("component", "a", "b", "w_bp")
-
-    def split(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([(i, m) for i, part in enumerate(density_split(pdf, density)) for m in part], columns=["part", "member"])
-
-    made = rows.groupBy("component").applyInPandas(lambda key, pdf: split(pdf).assign(component=key[0]), "part int, member string, component string")
-    listed = made.groupBy("component", "part").agg(F.array_sort(F.collect_set("member")).alias("list"))
+    edges_ = cut(edges_.select("a", "b", "w_bp").filter("a <> b").distinct())
+    tree = spanning_forest(edges_.withColumnRenamed("w_bp", "w"))
+    labels = connected_components(edges_).select("node", F.col("component").alias("part"))
+    done = None
+    for depth in range(most_depth + 2):
+        near = edges_.join(labels.select(F.col("node").alias("a"), "part"), "a").join(labels.select(F.col("node").alias("b"), F.col("part").alias("other")), "b").filter("part = other")
+        size = labels.groupBy("part").agg(F.count("*").alias("n")).join(near.groupBy("part").agg(F.count("*").alias("m")), "part", "left").filter("n > 1")
+        whole = (F.col("n") == 2) | (F.lit(depth) > most_depth) | (F.col("m") / (F.col("n") * (F.col("n") - 1) / 2) >= density)
+        judged = cut(size.select("part", whole.alias("whole")))
+        found = labels.join(judged.filter("whole").select("part"), "part").select("node", "part")
+        done = found if done is None else done.unionByName(found)
+        open_ = judged.filter("NOT whole").select("part")
+        if open_.isEmpty():
+            break
+        owned = tree.join(labels.select(F.col("node").alias("a"), "part"), "a").join(open_, "part")
+        weakest = owned.groupBy("part").agg(F.min(F.struct("w", "a", "b")).alias("weakest"))
+        tree = cut(owned.join(weakest, "part").filter(F.struct("w", "a", "b") != F.col("weakest")).select("a", "b", "w"))
+        halves = connected_components(tree).select("node", F.col("component"))
+        labels = cut(labels.join(open_, "part").join(halves, "node", "left").select("node", F.coalesce("component", "node").alias("part")))
+    listed = done.groupBy("part").agg(F.array_sort(F.collect_set("node")).alias("list"))
     return listed.select(cluster_key(F.col("list")).alias("cluster_key"), F.size("list").alias("n_members"), F.explode("list").alias("member"))
 
 

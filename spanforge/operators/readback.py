@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from spanforge.operators.sequences import reverse_complement
+from spanforge.sources.drops import split
 from spanforge.sources.indexed import BLOCK, fetch
 
 
@@ -42,6 +43,13 @@ def read_back(ids: DataFrame, copies: DataFrame) -> DataFrame:
     return both.select(*ids.columns, chrom.alias("chrom"), F.when(chrom.isNotNull(), start).alias("start"), F.when(chrom.isNotNull(), end).alias("end"), F.when(chrom.isNotNull(), strand).alias("strand"))
 
 
+def read_back_known(ids: DataFrame, copies: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows of ``read_back`` that have a place, and a count of those dropped: unreadable without a copy of their name and no range in it, unknown with a range of no known copy."""
+    ranged = F.regexp_replace("row_id", "^_R_", "").rlike(r"^.+:\d+-\d+_[+-]$")
+    lost = F.col("chrom").isNull()
+    return split(read_back(ids, copies), {"unreadable": lost & ~F.coalesce(ranged, F.lit(False)), "unknown_copy": lost})
+
+
 def verify_rows(rows: DataFrame, blocks: DataFrame, size: int = BLOCK) -> DataFrame:
     """rows(row_id, chrom, start, end, strand, seq) with reason: null where the row without gaps is what the genome has there.
 

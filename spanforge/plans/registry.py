@@ -271,7 +271,19 @@ def hit_id_group(spark, sf_dir):
     return copies.hit_id_copies(demo_hits(spark, sf_dir)).select("tool", "family", "chrom", "hit_id", "start", "end", "strand", "n_fragments")
 
 
-@query()
+@query("WITH RECURSIVE " + GAP_SQL + REDUCE_SQL + """,
+numbered AS (SELECT *, row_number() OVER () AS id, coalesce("end" - "start" > 1.5 * cons_len AND n_fragments > 1, false) AS long FROM copies),
+long AS (SELECT id, starts, ends, 1.5 * cons_len AS cap, list_transform(range(1, len(starts) + 1), lambda i: CASE WHEN i > 1 THEN starts[i] - ends[i - 1] END) AS gaps FROM numbered WHERE long),
+walk AS (
+  SELECT id, CAST(1 AS BIGINT) AS i, CAST(len(starts) AS BIGINT) AS j FROM long
+  UNION ALL
+  SELECT id, piece.i, piece.j
+  FROM (
+    SELECT id, unnest([{'i': i, 'j': i + list_position(gaps[i + 1:j], list_max(gaps[i + 1:j])) - 1}, {'i': i + list_position(gaps[i + 1:j], list_max(gaps[i + 1:j])), 'j': j}]) AS piece
+    FROM walk JOIN long USING (id) WHERE j > i AND list_max(ends[i:j]) - starts[i] > cap)),
+pieces AS (SELECT id, starts[i] AS "start", list_max(ends[i:j]) AS "end", j - i + 1 AS n_fragments FROM walk JOIN long USING (id) WHERE j = i OR list_max(ends[i:j]) - starts[i] <= cap)
+SELECT tool, family, chrom, "start", "end", n_fragments FROM numbered WHERE NOT long
+UNION ALL SELECT tool, family, chrom, p."start", p."end", p.n_fragments FROM pieces p JOIN numbered USING (id)""")
 def cap_widest_gap(spark, sf_dir):
     return copies.cap_widest_gap(copies.merge_copies(demo_hits(spark, sf_dir)))
 

@@ -9,7 +9,7 @@ from spanforge.operators.sequences import extract
 from spanforge.plans.registry import DEMO_SQL, LENGTHS, MODE_SQL, _lengths, query
 from spanforge.plans.registry_more import RC, SEQ_SQL, _seqs
 from spanforge.session import scratch_path, table
-from spanforge.sources import formats, indexed
+from spanforge.sources import drops, formats, indexed
 from spanforge.sources.hits import demo_hits
 
 # Over-assembly -----------------------------------------------------------------------------------
@@ -237,6 +237,23 @@ def read_back_ids(spark, sf_dir):
     return readback.read_back(ids, known).drop("row_id")
 
 
+@query("WITH " + DEMO_SQL + """,
+named AS (SELECT ord, 'asm1:' || chrom || ':' || (s + 1) || '-' || e || '_' || strand AS id FROM hits),
+given AS (SELECT CASE ord % 5 WHEN 0 THEN '_R_' || id WHEN 1 THEN id || ':5-20_+' WHEN 2 THEN 'zz' || id || ':5-20_-' WHEN 3 THEN id || '?' ELSE id END AS row_id, ord % 5 AS k FROM named)
+SELECT CASE k WHEN 2 THEN 'unknown_copy' WHEN 3 THEN CASE WHEN regexp_matches(row_id, '^.+:[0-9]+-[0-9]+_[+-]$') THEN 'unknown_copy' ELSE 'unreadable' END ELSE 'kept' END AS reason, count(*) AS n FROM given GROUP BY ALL""")
+def read_back_drops(spark, sf_dir):
+    """Rows of all hits that are read back, and those that can't be, counted in one pass."""
+    hits = demo_hits(spark, sf_dir)
+    name = F.concat(F.lit("asm1:"), "chrom", F.lit(":"), (F.col("s") + 1).cast("string"), F.lit("-"), F.col("e").cast("string"), F.lit("_"), "strand")
+    given = hits.withColumn("seq_id", name)
+    kind = F.col("ord") % 5
+    row = F.when(kind == 0, F.concat(F.lit("_R_"), "seq_id")).when(kind == 1, F.concat("seq_id", F.lit(":5-20_+"))).when(kind == 2, F.concat(F.lit("zz"), "seq_id", F.lit(":5-20_-"))).when(kind == 3, F.concat("seq_id", F.lit("?"))).otherwise(F.col("seq_id"))
+    known = given.select("seq_id", "chrom", F.col("s").alias("start"), F.col("e").alias("end"), "strand").dropDuplicates(["seq_id"])
+    kept, seen = readback.read_back_known(given.select(row.alias("row_id")), known)
+    kept.write.parquet(scratch_path(spark, "read-back"))
+    return drops.counts(spark, seen)
+
+
 ROWS_SQL = """WITH {seqs},
 rows AS (SELECT id, 'd' || CASE WHEN id % 11 = 0 THEN -id ELSE id END AS chrom, id % 40 AS s, id % 40 + 80 AS e, CASE WHEN id % 2 = 0 THEN '-' ELSE '+' END AS strand, seq AS sequence FROM seqs),
 cut AS (SELECT *, substr(sequence, s + 1, e - s) AS piece FROM rows),

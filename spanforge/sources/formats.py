@@ -28,10 +28,28 @@ def write_fasta(seqs: DataFrame, path: str, width: int = 60) -> None:
 
 
 def read_stockholm(spark: SparkSession, path: str) -> DataFrame:
-    """row_id and seq of every alignment row; comments, ends and empty lines aside."""
-    lines = spark.read.text(path).filter("value <> '' AND NOT startswith(value, '#') AND NOT startswith(value, '//')")
-    parts = F.split(F.trim("value"), r"\s+", 2)
-    return lines.select(parts[0].alias("row_id"), parts[1].alias("seq"))
+    """aln_id (of the ID or AC tag, else none), row_id and seq of the rows of all records under path; a row that goes on in later lines is joined.
+
+    Files are split where a record ends, so a record is one row of text, as it is when written.
+    """
+    records = spark.read.option("lineSep", "\n//").text(path).select(F.monotonically_increasing_id().alias("record"), F.regexp_replace("value", "\r", "").alias("value"))
+    name = F.coalesce(F.nullif(F.regexp_extract("value", r"(?m)^#=GF\s+ID\s+(\S+)", 1), F.lit("")), F.nullif(F.regexp_extract("value", r"(?m)^#=GF\s+AC\s+(\S+)", 1), F.lit("")))
+    lines = records.select("record", name.alias("aln_id"), F.posexplode(F.split("value", "\n")).alias("at", "line")).filter("trim(line) <> '' AND NOT startswith(line, '#') AND NOT startswith(line, '//')")
+    parts = F.split(F.trim("line"), r"\s+", 2)
+    rows = lines.select("record", "aln_id", "at", parts[0].alias("row_id"), F.replace(parts[1], F.lit(" "), F.lit("")).alias("part"))
+    joined = rows.groupBy("record", "aln_id", "row_id").agg(F.array_sort(F.collect_list(F.struct("at", "part"))).alias("parts"))
+    return joined.select("aln_id", "row_id", F.array_join("parts.part", "").alias("seq"))
+
+
+def read_aligned_fasta(spark: SparkSession, path: str) -> DataFrame:
+    """row_id, turned and seq of an aligned FASTA: names without the _R_ that says a row was reverse-complemented, gaps as -."""
+    rows = read_fasta(spark, path)
+    return rows.select(F.regexp_replace("id", "^_R_", "").alias("row_id"), F.col("id").startswith("_R_").alias("turned"), F.translate(F.upper("seq"), "._~", "---").alias("seq"))
+
+
+def write_records(records: DataFrame, path: str) -> None:
+    """Stockholm records(aln_id, record) as text, partitioned by nothing and each whole in one file; an earlier output is replaced."""
+    records.select(F.regexp_replace("record", "\n$", "").alias("value")).write.mode("overwrite").text(path)
 
 
 def stockholm(rows: DataFrame, tags: DataFrame) -> DataFrame:

@@ -1,13 +1,15 @@
 """Operators on small hand-made rows."""
 
+import time
+
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from spanforge.functions import graph
 from spanforge.functions.graph import connected_components
 from spanforge.operators import analysis, copies, intervals, linkage, overassembly, readback, reports, selection, sequences
-from spanforge.sources import formats
+from spanforge.sources import drops, formats
 from spanforge.sources.hits import read_annotations
 
 HIT = "tool string, family string, chrom string, s long, e long, strand string, div double, ord long, cons_start long, cons_end long, cons_len long, hit_id string"
@@ -102,6 +104,41 @@ def test_widest_gap_split(spark):
     assert copies.cap_widest_gap(made).count() == 3
 
 
+def plain_widest(starts, ends, cap):
+    todo, done = [(0, len(starts))], []
+    while todo:
+        i, j = todo.pop()
+        gaps = [starts[x] - ends[x - 1] for x in range(i + 1, j)]
+        if not gaps or max(ends[i:j]) - starts[i] <= cap:
+            done.append((i, j))
+        else:
+            at = i + 1 + gaps.index(max(gaps))
+            todo += [(i, at), (at, j)]
+    return sorted(done)
+
+
+def test_widest_gap_tree_is_the_plain_split():
+    rng = np.random.default_rng(6)
+    for n in range(1, 60):
+        starts = np.sort(rng.integers(0, 40 * n, n)).tolist()
+        ends = [s + int(x) for s, x in zip(starts, rng.integers(1, 60, n), strict=True)]
+        for cap in (0, 50, 300, 10**6):
+            assert copies.split_widest(starts, ends, cap) == plain_widest(starts, ends, cap)
+
+
+@pytest.mark.parametrize("gaps", ["rising", "equal", "random"])
+def test_caps_are_linear(gaps):
+    """200,000 fragments of one copy, also where each cut takes off one fragment only."""
+    n = 200_000
+    gap = {"rising": np.arange(n), "equal": np.full(n, 5), "random": np.random.default_rng(1).integers(1, 1000, n)}[gaps]
+    starts = (np.cumsum(gap) + 10 * np.arange(n)).tolist()
+    ends = [s + 10 for s in starts]
+    began = time.process_time()
+    assert len(copies.split_widest(starts, ends, 5)) == n
+    assert len(copies.split_greedy(starts, ends, 5)) == n
+    assert time.process_time() - began < 10
+
+
 def test_greedy_cap(spark):
     made = copies.merge_copies(hits(spark, [("c", 0, 100, "+"), ("c", 110, 140, "+"), ("c", 160, 200, "+")], 100))
     assert sorted((r.start, r.end, r.n_fragments) for r in copies.cap_greedy(made, F.col("cons_len")).collect()) == [(0, 140, 2), (160, 200, 1)]
@@ -141,10 +178,65 @@ def test_length_modes_and_nearest(spark):
     assert got == {420: 0, 850: 0, 1700: 0, 1800: 1, 7400: 1, 12000: 1, 5: 0}
 
 
-def test_density_split_brings_edges_back():
-    square = pd.DataFrame([("a", "b", 0.9), ("b", "c", 0.9), ("a", "c", 0.9), ("c", "d", 0.1), ("d", "e", 0.8), ("e", "f", 0.8), ("d", "f", 0.8)], columns=["a", "b", "w_bp"])
-    assert linkage.density_split(square, 0.9) == [["a", "b", "c"], ["d", "e", "f"]]
-    assert linkage.density_split(square, 0.1) == [list("abcdef")]
+def test_density_split_brings_edges_back(spark):
+    square = spark.createDataFrame([("a", "b", 0.9), ("b", "c", 0.9), ("a", "c", 0.9), ("c", "d", 0.1), ("d", "e", 0.8), ("e", "f", 0.8), ("d", "f", 0.8)], "a string, b string, w_bp double")
+    parts = lambda density: sorted("".join(sorted(r[1])) for r in linkage.lenient_clusters(square, density).groupBy("cluster_key").agg(F.collect_list("member")).collect())
+    assert parts(0.9) == ["abc", "def"] and parts(0.1) == ["abcdef"]
+
+
+def plain_lenient(edges, density, most_depth):
+    """Edges deleted one by one until a part falls apart; all edges come back inside the halves."""
+    every, out = sorted({(w, a, b) for a, b, w in edges}), []
+
+    def parts(members, links):
+        near = {m: {m} for m in members}
+        for _, a, b in links:
+            joined = near[a] | near[b]
+            for m in joined:
+                near[m] = joined
+        return {frozenset(x) for x in near.values()}
+
+    def split(members, depth):
+        inside = [e for e in every if e[1] in members and e[2] in members]
+        n = len(members)
+        if n == 2 or depth > most_depth or len(inside) / (n * (n - 1) / 2) >= density:
+            return out.append("".join(sorted(members)))
+        for i in range(1, len(inside) + 1):
+            found = parts(members, inside[i:])
+            if len(found) > 1:
+                for p in found:
+                    if len(p) > 1:
+                        split(p, depth + 1)
+                return None
+
+    for p in parts({x for e in every for x in e[1:]}, every):
+        split(p, 0)
+    return sorted(out)
+
+
+@pytest.mark.parametrize(("seed", "density", "depth"), [(1, 0.5, 12), (2, 0.8, 12), (3, 0.9, 1)])
+def test_lenient_clusters_are_those_of_deleting_edges(spark, seed, density, depth):
+    rng = np.random.default_rng(seed)
+    # few weights, so that ties are many
+    edges = [(chr(97 + i), chr(97 + j), float(rng.integers(1, 6)) / 10) for i in range(20) for j in range(i + 1, 20) if rng.random() < 0.2]
+    df = spark.createDataFrame([*edges, edges[0]], "a string, b string, w_bp double")
+    got = linkage.lenient_clusters(df, density, depth).groupBy("cluster_key").agg(F.collect_list("member").alias("m"), F.first("n_members").alias("n")).collect()
+    assert all(len(r.m) == r.n for r in got)
+    assert sorted("".join(sorted(r.m)) for r in got) == plain_lenient(edges, density, depth)
+    assert linkage.lenient_clusters(df.limit(0), density).count() == 0
+
+
+def test_spanning_forest_is_kruskals(spark):
+    rng = np.random.default_rng(8)
+    edges = [(int(i), int(j), float(rng.integers(0, 4))) for i, j in rng.integers(0, 40, (90, 2))]
+    root = list(range(40))
+    find = lambda x: x if root[x] == x else find(root[x])
+    want = set()
+    for w, a, b in sorted({(w, a, b) for a, b, w in edges}, reverse=True):
+        if find(a) != find(b):
+            root[find(a)] = find(b)
+            want.add((a, b, w))
+    assert {tuple(r) for r in graph.spanning_forest(spark.createDataFrame(edges, "a long, b long, w double")).collect()} == want
 
 
 def test_cluster_key_ignores_order(spark):
@@ -424,6 +516,27 @@ def test_formats(spark, tmp_path):
     assert {r.row_id: r.seq for r in formats.read_stockholm(spark, str(tmp_path / "x.stk")).collect()} == {"r1": "AC-", "long": "ACG"}
 
 
+def test_stockholm_of_many_records(spark, tmp_path):
+    """A hundred packets written and read back, rows of one alignment apart from those of others, interleaved ones joined."""
+    rows = [(f"p{i:03d}", f"r{j}", "ACGT-."[: 3 + i % 3] if j else "NNN---"[: 3 + i % 3]) for i in range(100) for j in range(3)]
+    tags = [(f"p{i:03d}", 1, "ID", f"p{i:03d}") for i in range(100)]
+    records = formats.stockholm(spark.createDataFrame(rows, "aln_id string, row_id string, seq string"), spark.createDataFrame(tags, "aln_id string, place int, tag string, value string"))
+    for _ in range(2):
+        formats.write_records(records.repartition(4), str(tmp_path / "seeds"))
+    assert sorted(map(tuple, formats.read_stockholm(spark, str(tmp_path / "seeds")).collect())) == sorted(rows)
+    (tmp_path / "two.stk").write_text("# STOCKHOLM 1.0\n#=GF ID one\nr1 AC\nr2 GG\n\nr1 GT\nr2 TT\n//\n# STOCKHOLM 1.0\nr1 A-\n//\n")
+    assert sorted(map(tuple, formats.read_stockholm(spark, str(tmp_path / "two.stk")).collect()), key=str) == [("one", "r1", "ACGT"), ("one", "r2", "GGTT"), (None, "r1", "A-")]
+    (tmp_path / "rows.fa").write_text(">_R_c1:5-9_+ x\nac~g\nt.\n>plain\nA_C\n")
+    assert sorted(map(tuple, formats.read_aligned_fasta(spark, str(tmp_path / "rows.fa")).collect())) == [("c1:5-9_+", True, "AC-GT-"), ("plain", False, "A-C")]
+
+
+def test_drops_are_counted_in_the_pass_that_reads(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, None), (3, "bad"), (-4, "bad"), (-5, "b")], "x long, y string")
+    kept, seen = drops.split(rows, {"negative": F.col("x") < 0, "no_name": F.col("y").isNull(), "bad_name": F.col("y") == "bad"})
+    assert [r.x for r in kept.collect()] == [1] and kept.columns == rows.columns
+    assert {r.reason: r.n for r in drops.counts(spark, seen).collect()} == {"bad_name": 1, "kept": 1, "negative": 2, "no_name": 1}
+
+
 def test_annotation_reader(spark, tmp_path):
     (tmp_path / "x.bed").write_text("\t".join("abcdefghijklmnop") + "\n" + "\t".join(["c1", "10", "20", "fam", "0", "+", "1", "2.5", "0", "0", "-", "repeat:TE", "NA", ".", "5", "h1"]) + "\n")
     r = read_annotations(spark, str(tmp_path / "x.bed")).head()
