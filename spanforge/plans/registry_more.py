@@ -222,7 +222,7 @@ placed AS (SELECT *, row_number() OVER (PARTITION BY g, round ORDER BY draw, id)
 dealt AS (SELECT d.g, d.round, f.x, d.y FROM placed d JOIN placed f ON f.g = d.g AND f.place = d.place AND f.round = 0 WHERE d.round > 0),
 nulls AS (SELECT g, round, {statistic} AS value FROM dealt GROUP BY g, round),
 observed AS (SELECT g, count(*) AS n, {statistic} AS observed FROM pairs GROUP BY g)
-SELECT o.g, o.n, round(observed, 6) AS observed, CASE WHEN observed IS NOT NULL THEN (count(*) FILTER (abs(value) >= abs(observed) * (1 - 1e-9) - 1e-9) + 1) / ({rounds} + 1) END AS p
+SELECT o.g, o.n, round(observed, 6) + CAST(0 AS DOUBLE) AS observed, CASE WHEN observed IS NOT NULL THEN (count(*) FILTER (abs(value) >= abs(observed) * (1 - 1e-9) - 1e-9) + 1) / ({rounds} + 1) END AS p
 FROM observed o LEFT JOIN nulls USING (g) GROUP BY o.g, o.n, observed"""
 CORRELATION_SQL = "CASE WHEN var_pop(x) > 0 AND var_pop(y) > 0 THEN corr(x, y) END"
 EXCESS_SQL = """CASE WHEN count(*) FILTER (x = 1) > 0 AND count(*) FILTER (x = 0) > 0 THEN
@@ -234,14 +234,14 @@ pairs AS (SELECT g, id, CAST({RANK.format(by='g', x='v')} AS DOUBLE) AS x, CAST(
 def permutation_test(spark, sf_dir):
     rows = table(spark, sf_dir, "supplier").selectExpr("CAST(s_nationkey AS STRING) AS g", "s_suppkey AS id", "s_acctbal AS v", "s_suppkey % 17 AS w")
     ranked = permutation.average_ranks(permutation.average_ranks(rows, ["g"], "v", "x"), ["g"], "w", "y")
-    return permutation.permutation_p(ranked, ["g"], "id", "x", "y").withColumn("observed", F.round("observed", 6))
+    return permutation.permutation_p(ranked, ["g"], "id", "x", "y").withColumn("observed", F.round("observed", 6) + F.lit(0.0))
 
 
 @query(f"""WITH pairs AS (SELECT g, id, side AS x, CAST({RANK.format(by='g', x='v')} AS DOUBLE) AS y FROM (SELECT lang AS g, doc_id AS id, toxic AS side, n_chars AS v FROM documents JOIN labels USING (doc_id)))""" + NULL_SQL.format(rounds=100, statistic=EXCESS_SQL))
 def mann_whitney_p(spark, sf_dir):
     rows = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id").selectExpr("lang AS g", "doc_id AS id", "toxic AS side", "n_chars AS v")
     ranked = permutation.average_ranks(rows, ["g"], "v", "r")
-    return permutation.permutation_p(ranked, ["g"], "id", "side", "r", permutation.rank_sum_excess, 100).withColumn("observed", F.round("observed", 6))
+    return permutation.permutation_p(ranked, ["g"], "id", "side", "r", permutation.rank_sum_excess, 100).withColumn("observed", F.round("observed", 6) + F.lit(0.0))
 
 
 @query("""WITH mapping AS (SELECT DISTINCT 'p' || (p_size % 30) AS path FROM part), vocabulary AS (SELECT DISTINCT 'p' || (s_suppkey % 25) AS path FROM supplier), used AS (SELECT DISTINCT 'p' || (c_custkey % 40) AS path FROM customer),
