@@ -39,14 +39,14 @@ def foreign_cover(gaps: DataFrame, hits: DataFrame) -> DataFrame:
     return bp.select("cluster", "chrom", F.col("gap_s").alias("s"), F.col("gap_e").alias("e"), (F.col("bp") / (F.col("gap_e") - F.col("gap_s"))).alias("covered"))
 
 
-def merge_copies(hits: DataFrame, gap_aware: bool = False, veto: float = 0.5, cluster: Column | None = None) -> DataFrame:
+def merge_copies(hits: DataFrame, gap_aware: bool = False, veto: float = 0.5, cluster: Column | None = None, every: DataFrame | None = None) -> DataFrame:
     """Consecutive hits of a member on one chromosome and strand within MAX_GAP as one copy.
 
     A hit that overlaps or lies inside the one before doesn't join it; hits that share start and
     ord go by end, then strand. ord may repeat or be null. gap_aware: a gap of which hits of
     families outside the member's cluster, of its own tool too, cover more than ``veto`` stays open;
     only gaps that would close are probed. cluster: each hit's; by default, and where it is null, a
-    family is its own.
+    family is its own. every: all hits that may cover gaps, if hits are some of them.
     """
     rows = _gaps(hits)
     if gap_aware:
@@ -54,7 +54,7 @@ def merge_copies(hits: DataFrame, gap_aware: bool = False, veto: float = 0.5, cl
         named = alone if cluster is None else F.coalesce(cluster.cast("string"), alone)
         rows = rows.withColumn("gap_cluster", named)
         gaps = rows.filter("joins AND gap > 0").select(F.col("gap_cluster").alias("cluster"), "chrom", F.col("before").alias("s"), F.col("s").alias("e"))
-        open_ = foreign_cover(gaps, hits.withColumn("cluster", named)).filter(F.col("covered") > veto)
+        open_ = foreign_cover(gaps, (hits if every is None else every).withColumn("cluster", named)).filter(F.col("covered") > veto)
         open_ = open_.select(F.col("cluster").alias("gap_cluster"), "chrom", F.col("s").alias("before"), F.col("e").alias("s"), F.lit(True).alias("vetoed"))
         rows = rows.join(open_, ["gap_cluster", "chrom", "before", "s"], "left").withColumn("joins", F.col("joins") & F.col("vetoed").isNull())
     by = Window.partitionBy(*MEMBER, "chrom").orderBy(*ORDER).rowsBetween(Window.unboundedPreceding, 0)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from spanforge.functions.graph import connected_components, spanning_forest
 from spanforge.operators.intervals import overlap_join, paint, point_join
 from spanforge.session import cut
+from spanforge.settings import DEFAULT, Settings
 
 
 #: Classification paths that don't vote (fixed values).
@@ -149,21 +150,34 @@ def weighted_vote(members: DataFrame, abstain: list[str]) -> DataFrame:
     return members.select("cluster_key").distinct().join(won, "cluster_key", "left")
 
 
-def gates(members: DataFrame, votes: DataFrame) -> DataFrame:
+def class_paths(rows: DataFrame, label: str, class_map: DataFrame) -> DataFrame:
+    """rows(tool, label) with path: that of class_map(label, tool, path) for the label and tool, or else for the label under no tool, or null.
+
+    Labels are compared in lower case. Of several entries the smallest path counts.
+    """
+    entries = class_map.groupBy(F.lower("label").alias("__label"), F.nullif("tool", F.lit("")).alias("__tool")).agg(F.min("path").alias("path"))
+    own = entries.filter("__tool IS NOT NULL").withColumnRenamed("path", "__own")
+    general = entries.filter("__tool IS NULL").select(F.col("__label"), F.col("path").alias("__general"))
+    named = rows.withColumn("__label", F.lower(label)).withColumn("__tool", F.col("tool"))
+    found = named.join(own, ["__label", "__tool"], "left").join(general, "__label", "left")
+    return found.withColumn("path", F.coalesce("__own", "__general")).drop("__label", "__tool", "__own", "__general")
+
+
+def gates(members: DataFrame, votes: DataFrame, settings: Settings = DEFAULT) -> DataFrame:
     """Six gates on each cluster; a missing figure fails the gates on figures. evidence columns may be null.
 
     The tandem share is that of all bases: a member without a fraction adds bases and no tandem ones.
     """
     figures = members.groupBy("cluster_key").agg(
-        F.coalesce(F.sum("n_full_len"), F.lit(0.0)).alias("pooled_full_len"), F.coalesce(F.bool_or(F.col("cov") >= 0.999), F.lit(False)).alias("deep"),
+        F.coalesce(F.sum("n_full_len"), F.lit(0.0)).alias("pooled_full_len"), F.coalesce(F.bool_or(F.col("cov") >= settings.min_deep), F.lit(False)).alias("deep"),
         F.when(F.sum("genomic_bp") > 0, F.coalesce(F.sum(F.col("frac_tandem") * F.col("genomic_bp")), F.lit(0.0)) / F.sum("genomic_bp")).alias("tandem"),
         F.median("div_median").alias("div"), F.count_distinct("tool").alias("n_tools"), F.count("*").alias("n_members"),
     )
     rows = figures.join(votes, "cluster_key", "left")
     tests = {
-        "g1": F.col("pooled_full_len") >= 5, "g2": F.col("deep"), "g3": F.col("share") >= 0.667,
-        "g4": F.col("tandem") <= 0.30, "g5": F.col("div") <= 25, "g6": F.col("n_tools") >= 2,
+        "g1": F.col("pooled_full_len") >= settings.min_full, "g2": F.col("deep"), "g3": F.col("share") >= settings.min_coherence,
+        "g4": F.col("tandem") <= settings.max_tandem, "g5": F.col("div") <= settings.max_divergence, "g6": F.col("n_tools") >= settings.min_tools,
     }
     tests = {k: F.coalesce(v, F.lit(False)) for k, v in tests.items()}
     passed = sum((v.cast("int") for v in list(tests.values())[1:]), tests["g1"].cast("int"))
-    return rows.select("cluster_key", "n_members", "n_tools", "winner", F.round("share", 6).alias("share"), F.round("tandem", 6).alias("tandem"), F.round("div", 6).alias("div"), *[v.alias(k) for k, v in tests.items()], passed.alias("n_gates"), (passed == 6).alias("candidate"))
+    return rows.select("cluster_key", "n_members", "n_tools", "winner", F.round("share", 6).alias("share"), F.round("tandem", 6).alias("tandem"), F.round("div", 6).alias("div"), *[v.alias(k) for k, v in tests.items()], passed.alias("n_gates"), (passed >= settings.min_gates).alias("candidate"))

@@ -6,9 +6,11 @@ from pyspark.sql import functions as F
 
 from spanforge.operators import copies, intervals, linkage, overassembly, readback, reports, selection
 from spanforge.operators.sequences import extract
-from spanforge.plans.registry import DEMO_SQL, LENGTHS, MODE_SQL, _lengths, query
+from spanforge.plans import stages
+from spanforge.plans.registry import BEST_SQL, CLUSTER, DEMO_SQL, GAP_SQL, LENGTHS, MODE_SQL, REDUCE_SQL, SHARED_SQL, VETO_SQL, _lengths, query
 from spanforge.plans.registry_more import RC, SEQ_SQL, _seqs
 from spanforge.session import scratch_path, table
+from spanforge.settings import Settings
 from spanforge.sources import drops, formats, indexed
 from spanforge.sources.hits import demo_hits
 
@@ -446,3 +448,42 @@ def evidence_join(spark, sf_dir):
     hits = demo_hits(spark, sf_dir).withColumn("member", F.concat_ws(":", "tool", "family"))
     evidence = hits.filter("family <> 'F4'").groupBy("member").agg(F.count_if(F.expr("e - s >= 490")).alias("n_full"))
     return linkage.with_evidence(hits.select("member").distinct(), evidence)
+
+
+# Stages ------------------------------------------------------------------------------------------------
+
+OWN_SQL = BEST_SQL + """,
+owned AS (SELECT h.*, coalesce(x.cluster_key, h.tool || ':' || h.family) AS cluster FROM hits h LEFT JOIN clusters x ON x.member = h.tool || ':' || h.family),
+lengths AS (SELECT tool, family, cons_len AS modal_len FROM (SELECT tool, family, cons_len, row_number() OVER (PARTITION BY tool, family ORDER BY count(*) DESC, cons_len) AS r FROM hits WHERE cons_len IS NOT NULL GROUP BY tool, family, cons_len) WHERE r = 1)"""
+STAGE_SELECT = """
+SELECT x.cluster_key, '{mode}' AS mode, k.tool, k.family, k.chrom, k."start", k."end", k.strand, k.n_fragments,
+       coalesce(cons_start <= 20 AND cons_end >= modal_len - 20 AND (cons_end - cons_start) / modal_len >= 0.8, false) AS is_full
+FROM copies k JOIN clusters x ON x.member = k.tool || ':' || k.family LEFT JOIN lengths l ON l.tool = k.tool AND l.family = k.family"""
+STAGE_SQL = [
+    "WITH RECURSIVE " + OWN_SQL + merged.replace("FROM hits", "FROM owned").replace(CLUSTER.replace("family", "g.family"), "g.cluster").replace(CLUSTER, "cluster").replace("cluster AS cluster", "cluster") + REDUCE_SQL + STAGE_SELECT.replace("{mode}", mode)
+    for mode, merged in (("merge_always", GAP_SQL.removeprefix(DEMO_SQL)), ("gap_aware", VETO_SQL.removeprefix(SHARED_SQL)))
+]
+
+
+@query(f"SELECT * FROM ({STAGE_SQL[0]}) UNION ALL SELECT * FROM ({STAGE_SQL[1]})")
+def staged_copies(spark, sf_dir):
+    """Stage 0, and stage 1 for all clusters in two runs, the second of which takes those that the first was not asked for."""
+    hits, work = demo_hits(spark, sf_dir), scratch_path(spark, "stages")
+    settings = Settings(min_joint=100, min_reciprocal=0.03, min_gates=0)
+    candidates = stages.stage0(spark, hits, work, settings=settings)
+    stages.stage1(spark, hits, work, stages.chosen(candidates, top=2), settings)
+    return stages.stage1(spark, hits, work, stages.chosen(candidates), settings, skip_existing=True, batch=2)
+
+
+CLASS_SQL = """paths AS (SELECT p_type AS label, CASE WHEN p_size % 3 > 0 THEN 't' || (p_size % 4) END AS tool, 'repeat:TE:' || p_brand AS path FROM part WHERE p_size % 2 = 0),
+entries AS (SELECT lower(label) AS label, tool, min(path) AS path FROM paths GROUP BY ALL),
+families AS (SELECT p_partkey AS id, upper(p_type) AS family, 't' || (p_partkey % 5) AS tool FROM part)"""
+
+
+@query("WITH " + CLASS_SQL + """
+SELECT id, family, f.tool, coalesce(o.path, g.path) AS path FROM families f LEFT JOIN entries o ON o.label = lower(family) AND o.tool = f.tool LEFT JOIN entries g ON g.label = lower(family) AND g.tool IS NULL""")
+def class_lookup(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    mapped = part.filter("p_size % 2 = 0").selectExpr("p_type AS label", "CASE WHEN p_size % 3 > 0 THEN 't' || (p_size % 4) END AS tool", "'repeat:TE:' || p_brand AS path")
+    families = part.selectExpr("p_partkey AS id", "upper(p_type) AS family", "'t' || (p_partkey % 5) AS tool")
+    return linkage.class_paths(families, "family", mapped)
