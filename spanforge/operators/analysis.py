@@ -101,6 +101,17 @@ def triage(codes: DataFrame) -> DataFrame:
     return codes.groupBy("severity", "code").agg(F.count_distinct("packet").alias("packets"), F.count("*").alias("total"))
 
 
+def with_errors(codes: DataFrame) -> DataFrame:
+    """n_packets, n_with_errors: distinct packets, and those of which a code is an ERROR."""
+    return codes.agg(F.count_distinct("packet").alias("n_packets"), F.count_distinct(F.when(F.col("severity") == "ERROR", F.col("packet"))).alias("n_with_errors"))
+
+
+def tier_crosstab(tiers: DataFrame) -> DataFrame:
+    """order_name with the number of models in each tier, A to F, 0 where there are none; tiers(order_name, tier)."""
+    letter = F.substring("tier", 1, 1)
+    return tiers.groupBy("order_name").agg(*[F.count_if(letter == x).alias(x.lower()) for x in "ABCDEF"], F.count("*").alias("total"))
+
+
 def round_robin(rows: DataFrame, want: int, stratum: list[str], draw: Column, key: str) -> DataFrame:
     """``want`` rows dealt from strata in turn: each stratum numbered by draw, then by (number, stratum)."""
     number = F.row_number().over(Window.partitionBy(*stratum).orderBy(draw, key))

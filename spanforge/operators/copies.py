@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanforge.functions.graph import connected_components
-from spanforge.operators.intervals import islands, modal_over_span, overlap_join, paint
+from spanforge.operators.intervals import islands, modal_over_span, overlap_join, overlap_links, paint
 
 MAX_GAP = 20_000
 MEMBER = ["tool", "family"]
@@ -205,10 +205,8 @@ def deconvolve(lengths: DataFrame, ratio: float = 1.8, near: float = 1.3) -> Dat
 
 def loci(copies: DataFrame, share: float = 0.5) -> DataFrame:
     """copies(copy_id, chrom, start, end, ...) with locus_id: copies that overlap by ``share`` of the shorter, directly or through others."""
-    a = copies.select("chrom", F.col("start").alias("s"), F.col("end").alias("e"), F.col("copy_id").alias("a"))
-    b = copies.select("chrom", F.col("start").alias("s2"), F.col("end").alias("e2"), F.col("copy_id").alias("b"))
-    pairs = overlap_join(a, b, ["chrom"]).filter("a < b").filter(F.least("e", "e2") - F.greatest("s", "s2") >= share * F.least(F.col("e") - F.col("s"), F.col("e2") - F.col("s2")))
-    parts = connected_components(pairs.select("a", "b"))
+    rows = copies.select("chrom", F.col("start").alias("s"), F.col("end").alias("e"), "copy_id").filter("e > s")
+    parts = connected_components(overlap_links(rows, "chrom", "copy_id", share))
     return copies.join(parts.withColumnRenamed("node", "copy_id"), "copy_id", "left").withColumn("locus_id", F.coalesce("component", "copy_id")).drop("component")
 
 
@@ -251,17 +249,17 @@ def stratified_sample(rows: DataFrame, key: str, cap: int, floor: int, full_shar
     mid = F.try_divide((F.col("cons_start") + F.col("cons_end")) / 2, F.col("cons_len"))
     band = F.when(mid.isNull(), -1).when(mid <= 0.2, 0).when(mid <= 0.4, 1).when(mid <= 0.6, 2).when(mid <= 0.8, 3).otherwise(4)
     whole = Window.partitionBy(key)
-    r = rows.withColumn("draw", draw).withColumn("band", band)
-    r = r.withColumn("n", F.count("*").over(whole)).withColumn("n_full", F.sum(F.col("is_full").cast("int")).over(whole))
-    r = r.withColumn("take", F.least(F.lit(cap), F.col("n"))).withColumn("full_quota", F.least(F.bround(F.col("take") * full_share).cast("long"), F.col("n_full"))).withColumn("part_quota", F.col("take") - F.col("full_quota"))
-    r = r.withColumn("bands", F.size(F.collect_set(F.when(~F.col("is_full"), F.col("band"))).over(whole)))
-    r = r.withColumn("per", F.greatest(F.lit(1), F.floor(F.try_divide(F.col("part_quota"), F.col("bands")))))
-    r = r.withColumn("in_band", F.row_number().over(Window.partitionBy(key, "is_full", "band").orderBy("draw", "row")))
-    r = r.withColumn("first_round", ~F.col("is_full") & (F.col("in_band") <= F.col("per")))
-    order = [F.col("first_round").desc(), F.when(F.col("first_round"), F.col("band")).otherwise(99), "draw", "row"]
-    r = r.withColumn("place", F.row_number().over(Window.partitionBy(key, "is_full").orderBy(*order)))
+    r = rows.withColumn("__draw", draw).withColumn("__band", band)
+    r = r.withColumn("__n", F.count("*").over(whole)).withColumn("__n_full", F.sum(F.col("is_full").cast("int")).over(whole))
+    r = r.withColumn("__take", F.least(F.lit(cap), F.col("__n"))).withColumn("__full_quota", F.least(F.bround(F.col("__take") * full_share).cast("long"), F.col("__n_full"))).withColumn("__part_quota", F.col("__take") - F.col("__full_quota"))
+    r = r.withColumn("__bands", F.size(F.collect_set(F.when(~F.col("is_full"), F.col("__band"))).over(whole)))
+    r = r.withColumn("__per", F.greatest(F.lit(1), F.floor(F.try_divide(F.col("__part_quota"), F.col("__bands")))))
+    r = r.withColumn("__in_band", F.row_number().over(Window.partitionBy(key, "is_full", "__band").orderBy("__draw", "row")))
+    r = r.withColumn("__first_round", ~F.col("is_full") & (F.col("__in_band") <= F.col("__per")))
+    order = [F.col("__first_round").desc(), F.when(F.col("__first_round"), F.col("__band")).otherwise(99), "__draw", "row"]
+    r = r.withColumn("__place", F.row_number().over(Window.partitionBy(key, "is_full").orderBy(*order)))
     # partial ones that are missing are replaced by full ones
-    r = r.withColumn("n_part", F.col("n") - F.col("n_full")).withColumn("spare", F.greatest(F.lit(0), F.col("part_quota") - F.col("n_part")))
-    chosen = F.when(F.col("n") <= F.greatest(F.lit(floor), F.lit(1)), True).when(F.col("is_full"), F.col("place") <= F.col("full_quota") + F.col("spare")).otherwise(F.col("place") <= F.col("part_quota"))
-    small = F.col("n") <= F.greatest(F.lit(floor), F.lit(1))
-    return r.filter(chosen).withColumn("cov_band", F.when(small | F.col("is_full"), -1).otherwise(F.col("band"))).select(*rows.columns, "cov_band")
+    r = r.withColumn("__n_part", F.col("__n") - F.col("__n_full")).withColumn("__spare", F.greatest(F.lit(0), F.col("__part_quota") - F.col("__n_part")))
+    chosen = F.when(F.col("__n") <= F.greatest(F.lit(floor), F.lit(1)), True).when(F.col("is_full"), F.col("__place") <= F.col("__full_quota") + F.col("__spare")).otherwise(F.col("__place") <= F.col("__part_quota"))
+    small = F.col("__n") <= F.greatest(F.lit(floor), F.lit(1))
+    return r.filter(chosen).withColumn("cov_band", F.when(small | F.col("is_full"), -1).otherwise(F.col("__band"))).select(*rows.columns, "cov_band")

@@ -6,7 +6,7 @@ pair is kept only in the later of its two first bins, so it comes once.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -93,6 +93,64 @@ def _sweep(rows: pa.Table, keys: list[str], value: str) -> pa.Table:
     return pa.table([*(picked.column(k) for k in keys), *ends, picked.column(value)], names=[*keys, "s", "e", value])
 
 
+def in_tiles(rows: DataFrame, near: list[str], order: list[str], columns: list[str], work: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
+    """``work`` on rows in the order of near (the tile's keys) and order, some whole tiles at a time: no task holds more than a batch and one tile."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            joined = pa.concat_tables([held[-1].slice(held[-1].num_rows - 1), part]) if held else part
+            ends = np.flatnonzero(tile_changes(joined, near)) - (1 if held else 0)
+            if len(ends):
+                # the last tile of a batch may go on in the next one
+                yield from work(pa.concat_tables([*held, part.slice(0, int(ends[-1]))])).to_batches()
+                held = [part.slice(int(ends[-1]))]
+            elif batch.num_rows:
+                held.append(part)
+        if held:
+            yield from work(pa.concat_tables(held)).to_batches()
+
+    return rows.repartition(*near).sortWithinPartitions(*near, *order).select(columns).mapInArrow(run, schema)
+
+
+def overlap_links(rows: DataFrame, key: str, row: str, share: float, tile: int = TILE) -> DataFrame:
+    """a, b of rows(key, s, e, row): links between intervals of one key that overlap by ``share`` of the shorter, as few as give the same components.
+
+    Intervals go to every tile that they touch, and any two that overlap meet in the one where the
+    later begins. A tile's are swept from left to right, each that begins there against those still
+    open, and each group that links there gives one link for each of its members but one, however
+    many pairs it has.
+    """
+    span = F.sequence(F.expr(f"s div {tile}"), F.greatest(F.expr(f"s div {tile}"), F.expr(f"(e - 1) div {tile}")))
+    dealt = rows.select(key, "s", "e", row).withColumn("tile", F.explode(span))
+    kind = rows.schema[row].dataType.simpleString()
+
+    def work(part: pa.Table) -> pa.Table:
+        group = tile_changes(part, [key, "tile"]).cumsum()
+        s, e = part.column("s").to_numpy(), part.column("e").to_numpy()
+        begins = s // tile == part.column("tile").to_numpy()
+        root = np.arange(len(s))
+        bounds = np.append(np.flatnonzero(np.diff(group, prepend=-1)), len(s))
+        for low, up in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            open_ = np.zeros(0, np.int64)
+            for i in range(low, up) if up - low > 1 else ():
+                open_ = open_[e[open_] > s[i]]
+                meets = open_[np.minimum(e[open_], e[i]) - s[i] >= share * np.minimum(e[open_] - s[open_], e[i] - s[i])] if begins[i] else open_[:0]
+                if len(meets):
+                    joined = np.unique(root[meets])
+                    root[i] = joined[0]
+                    if len(joined) > 1:
+                        own = root[low:i]
+                        own[np.isin(own, joined)] = joined[0]
+                open_ = np.append(open_, i)
+        linked = np.flatnonzero(root != np.arange(len(s)))
+        name = part.column(row)
+        return pa.table([name.take(pa.array(root[linked])), name.take(pa.array(linked))], names=["a", "b"])
+
+    return in_tiles(dealt, [key, "tile"], ["s", "e", row], [key, "tile", "s", "e", row], work, f"a {kind}, b {kind}")
+
+
 def tile_changes(rows: pa.Table, keys: list[str]) -> np.ndarray:
     """Where a row's keys differ from those of the row before; the first row's don't count."""
     new = np.zeros(rows.num_rows, bool)
@@ -106,31 +164,15 @@ def paint(df: DataFrame, keys: list[str], value: str, order: Column, tile: int =
     """Last-writer-wins paint: keys, s, e, value; of overlapping rows the one with the largest order owns a base.
 
     Chromosomes are cut into tiles, which are dealt by (keys, tile) and ordered by Spark in the
-    order of painting; a task sweeps the tiles that it gets one batch after the other. Of equal
-    orders the larger value wins. No task holds more than a batch and one tile.
+    order of painting; a task sweeps the tiles that it gets. Of equal orders the larger value wins.
     """
     rows = tiled(df.select(*keys, "s", "e", order.alias("__order"), F.col(value).alias(value)).filter("e > s"), tile)
     near = [*keys, "tile"]
     kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in (*keys, "s", "e", value))
     columns = [*near, "s", "e", value]
 
-    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.Table] = []
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            joined = pa.concat_tables([held[-1].slice(held[-1].num_rows - 1), rows]) if held else rows
-            ends = np.flatnonzero(tile_changes(joined, near)) - (1 if held else 0)
-            if len(ends):
-                # the last tile of a batch may go on in the next one
-                yield from _sweep(pa.concat_tables([*held, rows.slice(0, int(ends[-1]))]), keys, value).to_batches()
-                held = [rows.slice(int(ends[-1]))]
-            elif batch.num_rows:
-                held.append(rows)
-        if held:
-            yield from _sweep(pa.concat_tables(held), keys, value).to_batches()
-
-    ordered = rows.repartition(*near).sortWithinPartitions(*near, "__order", value).select(columns)
-    return _stitched(ordered.mapInArrow(sweep, kinds), keys, tile, value)
+    pieces = in_tiles(rows, near, ["__order", value], columns, lambda part: _sweep(part, keys, value), kinds)
+    return _stitched(pieces, keys, tile, value)
 
 
 def _united(df: DataFrame, keys: list[str]) -> DataFrame:

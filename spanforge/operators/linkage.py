@@ -15,6 +15,34 @@ from spanforge.settings import DEFAULT, Settings
 VAGUE_PATHS = ["", "repeat", "repeat:TE"]
 
 
+#: Paths of families that aren't interspersed repeats begin with one of these (fixed values).
+OTHER_PATHS = ("repeat:tandem", "repeat:multigene", "repeat:artefact")
+#: Scopes of tools whose families are clustered (fixed values).
+SCOPES = ("general_homology", "structural_te", "ltr_only")
+
+
+def repeat_families(rows: DataFrame, path: str = "path", name: str = "family") -> DataFrame:
+    """rows whose path is none of OTHER_PATHS and whose name is no simple repeat's, which begins with a bracket; a null path stays."""
+    other = F.coalesce(F.col(path), F.lit(""))
+    out = F.lit(False)
+    for prefix in OTHER_PATHS:
+        out |= other.startswith(prefix)
+    return rows.filter(~out & ~F.coalesce(F.col(name).startswith("("), F.lit(False)))
+
+
+def tool_status(hits: DataFrame) -> DataFrame:
+    """hits(tool, family, cons_start) as a row a tool: counts, share with consensus coordinates, whether it names each copy or hardly names any."""
+    rows = hits.groupBy("tool").agg(F.count("*").alias("n_hits"), F.count_distinct("family").alias("n_names"), F.avg(F.col("cons_start").isNotNull().cast("double")).alias("coord_fraction"))
+    return rows.withColumn("per_copy_ids", F.expr("n_names = n_hits AND n_hits > 100")).withColumn("mask_only", F.expr("n_names <= 3 AND n_hits > 1000"))
+
+
+def eligible_tools(manifest: DataFrame, status: DataFrame) -> DataFrame:
+    """manifest(tool, scope) with its tools' status, ran (whether it has hits) and clusterable: it ran, names families and has a scope of SCOPES."""
+    rows = manifest.join(status.withColumn("ran", F.lit(True)), "tool", "left").withColumn("ran", F.coalesce("ran", F.lit(False)))
+    named = F.coalesce(~F.col("per_copy_ids") & ~F.col("mask_only"), F.lit(False))
+    return rows.withColumn("clusterable", F.col("ran") & named & F.coalesce(F.col("scope").isin(*SCOPES), F.lit(False)))
+
+
 def footprints(painted: DataFrame) -> DataFrame:
     return painted.groupBy("tool", "family").agg(F.sum(F.col("e") - F.col("s")).cast("bigint").alias("footprint"))
 

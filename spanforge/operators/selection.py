@@ -14,20 +14,21 @@ def path_depth(path: Column) -> Column:
 def quota_select(rows: DataFrame, want: int, draw: Column, share_of_four: float = 0.45) -> DataFrame:
     """``want`` rows by depth of majority_path: all of depth 3, a share of depth 4, the rest from all others.
 
-    rows(cluster_id, majority_path, n_tools, majority_order). Within a depth rows are dealt in turn
-    from numbers of tools and orders; draw orders the rows of one of these.
+    rows(cluster_id, majority_path, n_tools, majority_order, candidate); only candidates are taken.
+    Within a depth rows are dealt in turn from numbers of tools and orders; draw orders the rows of
+    one of these.
     """
     depth = path_depth(F.col("majority_path"))
-    r = rows.withColumn("path_depth", depth).withColumn("part", F.when(depth.isin(3, 4), depth).otherwise(5))
+    r = rows.filter("candidate").withColumn("path_depth", depth).withColumn("__part", F.when(depth.isin(3, 4), depth).otherwise(5))
     # no row beyond the number wanted of its own stratum is ever dealt
-    number = F.row_number().over(Window.partitionBy("part", "n_tools", "majority_order").orderBy(draw, "cluster_id"))
-    sizes = r.agg(F.count_if(F.col("part") == 3).alias("n3"), F.count_if(F.col("part") == 4).alias("n4"))
+    number = F.row_number().over(Window.partitionBy("__part", "n_tools", "majority_order").orderBy(draw, "cluster_id"))
+    sizes = r.agg(F.count_if(F.col("__part") == 3).alias("n3"), F.count_if(F.col("__part") == 4).alias("n4"))
     three = F.least(F.col("n3"), F.lit(want))
     four = F.least(F.bround(F.col("n4") * share_of_four).cast("bigint"), F.lit(want) - three)
-    quotas = sizes.select(F.explode(F.array(*[F.struct(F.lit(i).alias("part"), q.alias("quota")) for i, q in ((3, three), (4, four), (5, F.lit(want) - three - four))])).alias("q")).select("q.*")
-    dealt = r.withColumn("number", number).filter(F.col("number") <= want)
-    place = F.row_number().over(Window.partitionBy("part").orderBy("number", "n_tools", "majority_order"))
-    return dealt.withColumn("place", place).join(F.broadcast(quotas), "part").filter("place <= quota").select(*rows.columns, "path_depth")
+    quotas = sizes.select(F.explode(F.array(*[F.struct(F.lit(i).alias("__part"), q.alias("__quota")) for i, q in ((3, three), (4, four), (5, F.lit(want) - three - four))])).alias("q")).select("q.*")
+    dealt = r.withColumn("__number", number).filter(F.col("__number") <= want)
+    place = F.row_number().over(Window.partitionBy("__part").orderBy("__number", "n_tools", "majority_order"))
+    return dealt.withColumn("__place", place).join(F.broadcast(quotas), "__part").filter("__place <= __quota").select(*rows.columns, "path_depth")
 
 
 def measured_or_all(rows: DataFrame, key: str, measured: Column) -> DataFrame:
@@ -42,6 +43,13 @@ def member_medians(loci: DataFrame, key: str) -> DataFrame:
     return measured_or_all(known, key, F.col("cons_len_source") == "bed16").groupBy(key, "member").agg(F.median("cons_len").alias("cons_len"))
 
 
+def over_length(rows: DataFrame, ratio: float = 1.5) -> DataFrame:
+    """rows(member, mode_index, span, reference) longer than ratio times their reference, counted by member and by mode: scope, name, n, n_over."""
+    over = F.count_if(F.coalesce(F.col("span") > ratio * F.col("reference"), F.lit(False)))
+    by = rows.select("span", "reference", F.explode(F.array(F.struct(F.lit("member").alias("scope"), F.col("member").alias("name")), F.struct(F.lit("mode").alias("scope"), F.col("mode_index").cast("string").alias("name")))).alias("x"))
+    return by.groupBy("x.scope", "x.name").agg(F.count("*").alias("n"), over.alias("n_over"))
+
+
 def models(modes: DataFrame, key: str) -> DataFrame:
     """The length modes that get a model, numbered from 0 by centre: credible ones, or else the one with most members, the first on ties."""
     by = Window.partitionBy(key)

@@ -115,28 +115,36 @@ def midpoint_coannotation(spark, sf_dir):
     return linkage.coannotation(demo_hits(spark, sf_dir)).withColumn("fraction", F.round("fraction", 6))
 
 
-@query("WITH " + DEMO_SQL + """
-SELECT tool, count(*) AS n_hits, count(DISTINCT family) AS n_names, round(avg(CASE WHEN cons_start IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS coord_fraction,
-       count(DISTINCT family) = count(*) AND count(*) > 100 AS per_copy_ids, count(DISTINCT family) <= 3 AND count(*) > 1000 AS mask_only,
-       NOT (count(DISTINCT family) = count(*) AND count(*) > 100) AND NOT (count(DISTINCT family) <= 3 AND count(*) > 1000) AND tool IN ('A', 'N') AS clusterable
-FROM hits GROUP BY tool""")
+#: Tools by scope; one of them has no hits, and one no scope that is clustered.
+MANIFEST = [("A", "general_homology"), ("N", "ltr_only"), ("R", "masking"), ("Z", "structural_te")]
+
+
+@query("WITH " + DEMO_SQL + f""",
+manifest(tool, scope) AS (VALUES {", ".join(map(str, MANIFEST))}),
+status AS (
+  SELECT tool, count(*) AS n_hits, count(DISTINCT family) AS n_names, round(avg(CASE WHEN cons_start IS NOT NULL THEN 1.0 ELSE 0.0 END), 6) AS coord_fraction,
+         count(DISTINCT family) = count(*) AND count(*) > 100 AS per_copy_ids, count(DISTINCT family) <= 3 AND count(*) > 1000 AS mask_only FROM hits GROUP BY tool)
+SELECT m.tool, scope, n_hits, n_names, coord_fraction, per_copy_ids, mask_only, n_hits IS NOT NULL AS ran,
+       coalesce(n_hits > 0 AND NOT per_copy_ids AND NOT mask_only AND scope IN ('general_homology', 'structural_te', 'ltr_only'), false) AS clusterable
+FROM manifest m LEFT JOIN status s ON s.tool = m.tool""")
 def tool_eligibility(spark, sf_dir):
-    rows = demo_hits(spark, sf_dir).groupBy("tool").agg(F.count("*").alias("n_hits"), F.count_distinct("family").alias("n_names"), F.round(F.avg(F.col("cons_start").isNotNull().cast("double")), 6).alias("coord_fraction"))
-    rows = rows.withColumn("per_copy_ids", F.expr("n_names = n_hits AND n_hits > 100")).withColumn("mask_only", F.expr("n_names <= 3 AND n_hits > 1000"))
-    return rows.withColumn("clusterable", F.expr("NOT per_copy_ids AND NOT mask_only AND tool IN ('A', 'N')"))
+    manifest = spark.createDataFrame(MANIFEST, "tool string, scope string")
+    return linkage.eligible_tools(manifest, linkage.tool_status(demo_hits(spark, sf_dir))).withColumn("coord_fraction", F.round("coord_fraction", 6))
+
+
+PATH_CASE = "CASE WHEN p_size % 9 = 0 THEN 'repeat:tandem' WHEN p_size % 9 = 4 THEN 'repeat:multigene:' || lower(p_type) WHEN p_size % 9 = 7 THEN 'repeat:artefact' WHEN p_size % 50 = 1 THEN NULL ELSE 'repeat:TE:' || lower(p_type) || CASE WHEN p_size % 2 = 0 THEN ':o' || (p_size % 4) ELSE '' END END"
+FAMILY_CASE = "CASE WHEN p_partkey % 13 = 0 THEN '(' || p_brand || ')n' ELSE p_brand END"
 
 
-@query("""
-WITH paths AS (SELECT p_brand AS family, CASE WHEN p_size % 9 = 0 THEN 'repeat:tandem' ELSE 'repeat:TE:' || lower(p_type) || CASE WHEN p_size % 2 = 0 THEN ':o' || (p_size % 4) ELSE '' END END AS path FROM part),
-kept AS (SELECT * FROM paths WHERE NOT starts_with(path, 'repeat:tandem') AND NOT starts_with(family, '(')),
-counted AS (SELECT family, path, count(*) AS n FROM kept GROUP BY ALL),
+@query(f"""
+WITH paths AS (SELECT {FAMILY_CASE} AS family, {PATH_CASE} AS path FROM part),
+kept AS (SELECT * FROM paths WHERE NOT regexp_matches(coalesce(path, ''), '^repeat:(tandem|multigene|artefact)') AND NOT starts_with(family, '(')),
+counted AS (SELECT family, path, count(*) AS n FROM kept WHERE path IS NOT NULL GROUP BY ALL),
 modal AS (SELECT family, path FROM (SELECT *, row_number() OVER (PARTITION BY family ORDER BY n DESC, path) AS r FROM counted) WHERE r = 1)
 SELECT family, path, coalesce(string_split(path, ':')[4], string_split(path, ':')[2], 'repeat') AS order_name, CAST(len(string_split(path, ':')) AS INTEGER) AS depth FROM modal""")
 def modal_class(spark, sf_dir):
-    path = F.when(F.expr("p_size % 9 = 0"), "repeat:tandem").otherwise(F.expr("'repeat:TE:' || lower(p_type) || CASE WHEN p_size % 2 = 0 THEN ':o' || (p_size % 4) ELSE '' END"))
-    rows = table(spark, sf_dir, "part").select(F.col("p_brand").alias("family"), path.alias("path"))
-    kept = rows.filter(~F.col("path").startswith("repeat:tandem") & ~F.col("family").startswith("("))
-    modal = kept.groupBy("family").agg(F.mode("path", True).alias("path"))
+    rows = table(spark, sf_dir, "part").selectExpr(f"{FAMILY_CASE} AS family", f"{PATH_CASE} AS path")
+    modal = linkage.repeat_families(rows).groupBy("family").agg(F.mode("path", True).alias("path")).filter("path IS NOT NULL")
     return modal.withColumn("order_name", analysis.path_order(F.col("path"))).withColumn("depth", F.size(F.split("path", ":")))
 
 

@@ -177,6 +177,17 @@ def lint_triage(spark, sf_dir):
     return analysis.triage(rows)
 
 
+@query("WITH codes AS (SELECT user_id AS packet, CASE event_type WHEN 'error' THEN 'ERROR' ELSE 'INFO' END AS severity FROM events) SELECT count(DISTINCT packet) AS n_packets, count(DISTINCT packet) FILTER (severity = 'ERROR') AS n_with_errors FROM codes")
+def lint_error_packets(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").selectExpr("user_id AS packet", "CASE event_type WHEN 'error' THEN 'ERROR' ELSE 'INFO' END AS severity")
+    return analysis.with_errors(rows)
+
+
+@query("WITH " + DOMAIN_SQL + " SELECT order_name, " + ", ".join(f"count(*) FILTER (tier LIKE '{x}%') AS {x.lower()}" for x in "ABCDEF") + ", count(*) AS total FROM tiers GROUP BY order_name")
+def tier_crosstab(spark, sf_dir):
+    return analysis.tier_crosstab(_tiers(spark, sf_dir))
+
+
 @query("""WITH pool AS (SELECT p_partkey AS id, p_size % 4 AS n_tools, p_type AS order_name, (p_partkey * 7919 + 104729) % 1000003 AS draw FROM part),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY n_tools, order_name ORDER BY draw, id) AS number FROM pool)
 SELECT id, n_tools, order_name, CAST(number AS INTEGER) AS number FROM numbered ORDER BY number, n_tools, order_name LIMIT 100""")

@@ -12,7 +12,7 @@ from spanforge.plans.registry_more import RC, SEQ_SQL, _seqs
 from spanforge.session import scratch_path, table
 from spanforge.settings import Settings
 from spanforge.sources import drops, formats, indexed
-from spanforge.sources.hits import demo_hits
+from spanforge.sources.hits import ANNOTATION, demo_hits, read_annotations
 
 # Over-assembly -----------------------------------------------------------------------------------
 #
@@ -162,11 +162,11 @@ def clip_to_sizes(spark, sf_dir):
     return intervals.clipped(hits.select("ord", "chrom", "s", "e"), sizes)
 
 
-POOL = "SELECT p_partkey AS cluster_id, CASE p_size % 5 WHEN 0 THEN 'a:b:c' WHEN 1 THEN 'a:b:c:d' WHEN 2 THEN 'a:b:c:d:e' WHEN 3 THEN 'a:b' END AS majority_path, 2 + p_size % 4 AS n_tools, p_type AS majority_order, p_size, p_retailprice, (p_partkey * 7919 + 104729) % 1000003 AS draw FROM part"
+POOL = "SELECT p_partkey AS cluster_id, CASE p_size % 5 WHEN 0 THEN 'a:b:c' WHEN 1 THEN 'a:b:c:d' WHEN 2 THEN 'a:b:c:d:e' WHEN 3 THEN 'a:b' END AS majority_path, 2 + p_size % 4 AS n_tools, p_type AS majority_order, p_size, p_size % 7 > 0 AS candidate, p_retailprice, (p_partkey * 7919 + 104729) % 1000003 AS draw FROM part"
 
 
 @query(f"WITH pool AS ({POOL})" + """,
-deep AS (SELECT *, CASE WHEN majority_path IS NULL THEN 0 ELSE len(string_split(majority_path, ':')) END AS depth FROM pool),
+deep AS (SELECT *, CASE WHEN majority_path IS NULL THEN 0 ELSE len(string_split(majority_path, ':')) END AS depth FROM pool WHERE candidate),
 parts AS (SELECT *, CASE WHEN depth IN (3, 4) THEN depth ELSE 5 END AS part FROM deep),
 quotas AS (SELECT least(n3, 900) AS q3, least(round_even(n4 * 0.45::DOUBLE, 0), 900 - least(n3, 900)) AS q4 FROM (SELECT count(*) FILTER (part = 3) AS n3, count(*) FILTER (part = 4) AS n4 FROM parts)),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY part, n_tools, majority_order ORDER BY draw, cluster_id) AS number FROM parts),
@@ -450,6 +450,38 @@ def evidence_join(spark, sf_dir):
     return linkage.with_evidence(hits.select("member").distinct(), evidence)
 
 
+@query("WITH " + DEMO_SQL + """,
+spans AS (SELECT tool || ':' || family AS member, ord % 3 AS mode_index, e - s AS span, cons_len AS reference FROM hits),
+every AS (SELECT 'member' AS scope, member AS name, * FROM spans UNION ALL SELECT 'mode', CAST(mode_index AS VARCHAR), * FROM spans)
+SELECT scope, name, count(*) AS n, count(*) FILTER (span > 1.5 * reference) AS n_over FROM every GROUP BY scope, name""")
+def over_length_by_member(spark, sf_dir):
+    rows = demo_hits(spark, sf_dir).select(F.concat_ws(":", "tool", "family").alias("member"), F.expr("ord % 3").alias("mode_index"), F.expr("e - s").alias("span"), F.col("cons_len").alias("reference"))
+    return selection.over_length(rows)
+
+
+@query("WITH " + DEMO_SQL + """,
+written AS (SELECT tool, family, chrom, s, e, strand, CASE WHEN ord % 7 = 0 THEN NULL ELSE div END AS div, cons_start, cons_end FROM hits)
+SELECT tool, count(*) AS n, count(div) AS n_div, count(cons_start) AS n_coords, CAST(sum(e - s) AS BIGINT) AS bp, CAST(sum(cons_end) AS BIGINT) AS ends, round(sum(div), 3) AS total_div, count(DISTINCT family) AS n_names FROM written GROUP BY tool""")
+def annotation_files(spark, sf_dir):
+    """All hits written as annotation files by tool, with NA, a dot or nothing for what is missing, and read back."""
+    hits = demo_hits(spark, sf_dir)
+    div = F.coalesce(F.when(F.expr("ord % 7 > 0"), F.col("div").cast("string")), F.when(F.expr("ord % 2 = 0"), "NA").otherwise("."))
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("NA"))
+    own = {"chrom": F.col("chrom"), "chrom_start": F.col("s"), "chrom_end": F.col("e"), "name": F.col("family"), "strand": F.col("strand"), "perc_div": div, "repeat_start": text("cons_start"), "repeat_end": text("cons_end")}
+    names = [c.split()[0] for c in ANNOTATION.split(", ")]
+    place = scratch_path(spark, "annotations")
+    hits.select("tool", *[own.get(c, F.lit(".")).alias(c) for c in names]).write.partitionBy("tool").option("sep", "\t").option("header", True).csv(place)
+    tools = [r["tool"] for r in hits.select("tool").distinct().collect()]
+    read = [read_annotations(spark, f"{place}/tool={t}").withColumn("tool", F.lit(t)) for t in tools]
+    rows = read[0]
+    for more in read[1:]:
+        rows = rows.unionByName(more)
+    return rows.groupBy("tool").agg(
+        F.count("*").alias("n"), F.count("perc_div").alias("n_div"), F.count("repeat_start").alias("n_coords"), F.sum(F.col("chrom_end") - F.col("chrom_start")).alias("bp"),
+        F.sum("repeat_end").alias("ends"), F.round(F.sum("perc_div"), 3).alias("total_div"), F.count_distinct("name").alias("n_names"),
+    )
+
+
 # Stages ------------------------------------------------------------------------------------------------
 
 OWN_SQL = BEST_SQL + """,

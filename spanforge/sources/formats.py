@@ -133,6 +133,12 @@ def read_packets(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def file_digests(spark: SparkSession, path: str) -> DataFrame:
+    """path, length and sha256 (lower-case hex) of each file under a path that isn't empty; a file is a value, so of up to 2 GB."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+
+
 def write_edges(edges: DataFrame, path: str) -> None:
     edges.write.mode("overwrite").parquet(path)
 

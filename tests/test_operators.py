@@ -433,9 +433,9 @@ def test_overassembly_reasons_and_verdicts(spark):
 def test_quotas_by_depth(spark):
     rows = [(i, "a:b:c" if i < 5 else "a:b:c:d" if i < 25 else "a", i % 3, "o") for i in range(60)]
     df = spark.createDataFrame(rows, "cluster_id long, majority_path string, n_tools long, majority_order string")
-    got = selection.quota_select(df, 30, F.col("cluster_id")).groupBy("path_depth").count().collect()
+    got = selection.quota_select(df.withColumn("candidate", F.lit(True)).unionByName(df.withColumn("candidate", F.lit(False)).withColumn("cluster_id", -F.col("cluster_id"))), 30, F.col("cluster_id")).groupBy("path_depth").count().collect()
     assert {r.path_depth: r["count"] for r in got} == {3: 5, 4: 9, 1: 16}
-    assert selection.quota_select(df, 3, F.col("cluster_id")).count() == 3
+    assert selection.quota_select(df.withColumn("candidate", F.lit(True)), 3, F.col("cluster_id")).count() == 3
 
 
 def test_models_fall_back_and_need_loci(spark):
@@ -537,6 +537,53 @@ def test_drops_are_counted_in_the_pass_that_reads(spark):
     assert {r.reason: r.n for r in drops.counts(spark, seen).collect()} == {"bad_name": 1, "kept": 1, "negative": 2, "no_name": 1}
 
 
+@pytest.mark.parametrize("tile", [16, 100, 16_384])
+def test_overlap_links_give_the_components_of_all_pairs(spark, tile):
+    rng = np.random.default_rng(11)
+    rows = [("c" + str(i % 2), int(s), int(s + n), i) for i, (s, n) in enumerate(zip(rng.integers(0, 900, 150), rng.integers(1, 80, 150), strict=True))]
+    label = list(range(len(rows)))
+    for i, (c, s, e, _) in enumerate(rows):
+        for j, (d, s2, e2, _) in enumerate(rows[:i]):
+            if c == d and min(e, e2) - max(s, s2) >= 0.5 * min(e - s, e2 - s2):
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    links = intervals.overlap_links(spark.createDataFrame(rows, "chrom string, s long, e long, row long"), "chrom", "row", 0.5, tile)
+    got = {r["node"]: r["component"] for r in connected_components(links).collect()}
+    assert [got.get(i, i) for i in range(len(rows))] == label
+
+
+def test_a_pile_up_of_copies_makes_no_pairs(spark):
+    df = spark.range(3000).selectExpr("'c' AS chrom", "id % 50 AS s", "2000 + id % 50 AS e", "id AS row")
+    links = intervals.overlap_links(df, "chrom", "row", 0.5)
+    assert links.count() == 2999 and "Join" not in links._jdf.queryExecution().executedPlan().toString()
+
+
+def test_eligible_tools_and_families(spark):
+    hits_ = spark.createDataFrame([("names", f"f{i}", 1) for i in range(101)] + [("masks", "m", None)] * 1001 + [("good", f"f{i % 5}", i % 2 or None) for i in range(50)], "tool string, family string, cons_start int")
+    manifest = spark.createDataFrame([("names", "general_homology"), ("masks", "ltr_only"), ("good", "structural_te"), ("none", "ltr_only"), ("odd", None)], "tool string, scope string")
+    got = {r.tool: (r.ran, r.clusterable) for r in linkage.eligible_tools(manifest, linkage.tool_status(hits_)).collect()}
+    assert got == {"names": (True, False), "masks": (True, False), "good": (True, True), "none": (False, False), "odd": (False, False)}
+    rows = spark.createDataFrame([("a", "repeat:TE:LTR"), ("b", "repeat:tandem:x"), ("c", "repeat:multigene"), ("d", "repeat:artefact"), ("(AT)n", "repeat:TE"), ("e", None), (None, "repeat")], "family string, path string")
+    assert sorted(str(r.family) for r in linkage.repeat_families(rows).collect()) == ["None", "a", "e"]
+
+
+def test_counts_over_length_and_working_columns(spark):
+    rows = spark.createDataFrame([("a", 0, 151, 100), ("a", 1, 150, 100), ("b", 0, 500, None)], "member string, mode_index int, span long, reference long")
+    assert {(r.scope, r.name): (r.n, r.n_over) for r in selection.over_length(rows).collect()} == {("member", "a"): (2, 1), ("member", "b"): (1, 0), ("mode", "0"): (2, 1), ("mode", "1"): (1, 0)}
+    given = spark.createDataFrame([("k", i, i % 2 == 0, 1, 50, 100, f"own{i}", i * 7) for i in range(40)], "key string, row long, is_full boolean, cons_start long, cons_end long, cons_len long, take string, draw long")
+    made = copies.stratified_sample(given, "key", 10, 2, 0.5, F.col("row"))
+    assert made.columns == [*given.columns, "cov_band"] and made.count() == 10 and all(r.take == f"own{r.row}" and r.draw == r.row * 7 for r in made.collect())
+
+
+def test_file_digests(spark, tmp_path):
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "deep" / "a.tsv").write_bytes(b"abc")
+    (tmp_path / "b.tsv").write_bytes(b"")
+    got = {r.path.rsplit("/", 1)[1]: (r.length, r.sha256) for r in formats.file_digests(spark, str(tmp_path)).collect()}
+    # an empty file is no row
+    assert got == {"a.tsv": (3, "ba7816bf8f01cfea414140de5dae2223b00361a396177a9cb410ff61f20015ad")}
+
+
 def test_annotation_reader(spark, tmp_path):
     (tmp_path / "x.bed").write_text("\t".join("abcdefghijklmnop") + "\n" + "\t".join(["c1", "10", "20", "fam", "0", "+", "1", "2.5", "0", "0", "-", "repeat:TE", "NA", ".", "5", "h1"]) + "\n")
     r = read_annotations(spark, str(tmp_path / "x.bed")).head()
