@@ -528,6 +528,74 @@ def test_pipeline_stages(spark):
     assert mixed.count() > 0 and "copy" in mixed.columns
 
 
+def plain_pipeline(rows, toxic, bench):
+    """(doc_id, source, text) after each of the first four stages, by comparing everything; toxic: ids that the models reject."""
+    kept = [r for r in rows if r[0] not in toxic]
+    stages = [kept]
+    linked = brute_components({i: t for i, _, t in kept}, 5, 80)
+    kept = [r for r in kept if linked[r[0]][0] == 0 or linked[r[0]][1] == r[0]]
+    stages.append(kept)
+    spans = {doc: found for doc, _, found, _ in plain_repeats([(i, t) for i, _, t in kept])}
+    cut = []
+    for i, source, text in kept:
+        at = [w.start() for w in re.finditer(r"[^\x20\x09-\x0D]+", text)] + [len(text)]
+        left, out = 0, ""
+        for a, b in spans.get(i, []):
+            out, left = out + text[left : at[a]], at[b]
+        cut.append((i, source, out + text[left:]))
+    stages.append(cut)
+    lower = lambda t: "".join(c.lower() if c.isascii() else c for c in t)
+    scans = {i: plain_scan(lower(t), [(n, lower(b)) for n, b in bench]) for i, _, t in cut}
+    stages.append([r for r in cut if not (scans[r[0]][1] > 0 and 20 * scans[r[0]][1] >= scans[r[0]][0])])
+    return stages
+
+
+def test_pipeline_is_the_plain_one(spark, tmp_path):
+    """300 documents with toxic ones, near copies, passages that repeat and benchmark items, stage by stage and as a whole."""
+    rng = np.random.default_rng(17)
+    words = [f"w{hashlib.md5(str(i).encode()).hexdigest()[:5]}" for i in range(3000)]
+    make = lambda n: list(rng.choice(words, n))
+    passages, bench = [make(70) for _ in range(4)], [(n, " ".join(make(30))) for n in range(5)]
+    texts = {}
+    for i in range(300):
+        text = make(int(rng.integers(30, 90)))
+        if i % 5 == 1:
+            text = list(texts[i - 1])
+            text[int(rng.integers(0, len(text)))] = "changed"
+        elif i % 5 == 2:
+            text += passages[i % 4] + make(25)
+        elif i % 10 == 3:
+            text += bench[i % 5][1].split()
+        elif i % 10 == 9:
+            text = [w if rng.random() < 0.4 else "vile" + str(rng.integers(0, 9)) for w in text]
+        texts[i] = text
+    rows = [(i, "abc"[i % 3], " ".join(t)) for i, t in texts.items()] + [(300, "a", ""), (301, "b", "few words")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, s, t in rows], DOC)
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    labels = spark.createDataFrame([(i, 1, int(i % 10 == 9)) for i in range(300)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    spark.createDataFrame(bench, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    toxic = {r.doc_id for r in toxicity.score(docs, labels).filter("predicted = 1").collect()}
+    assert sum(i % 10 == 9 for i in toxic) >= 25 and sum(i % 10 != 9 for i in toxic) <= 5
+    want, before = plain_pipeline(rows, toxic, bench), docs
+    for (name, stage), plain in zip(corpus_pipeline.STAGES[:-1], want, strict=True):
+        before = stage(spark, before, str(tmp_path)).cache()
+        assert sorted((r.doc_id, r.source, r.text) for r in before.collect()) == sorted(plain), name
+        assert before.filter(F.col("n_chars") != F.char_length("text")).count() == 0
+    assert len({len(x) for x in want}) >= 3
+    con = duckdb.connect()
+    con.sql("CREATE TABLE documents (doc_id BIGINT, source VARCHAR, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?, ?)", want[-1])
+    taken = {r[0]: r[1] for r in con.sql(f"SELECT doc_id, taken FROM ({queries.OP3_SQL})").fetchall()}
+    mixed = []
+    for i, _, text in want[-1]:
+        own = [m.group() for m in re.finditer(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+", text)]
+        for copy in range(1, -(-taken[i] // max(len(own), 1)) + 1):
+            left = taken[i] - (copy - 1) * len(own)
+            mixed.append((i, copy, text if left >= len(own) else "".join(own[:left])))
+    assert sorted((r.doc_id, r["copy"], r.text) for r in corpus_pipeline.run(spark, str(tmp_path)).collect()) == sorted(mixed)
+
+
 @pytest.mark.parametrize("counted", [False, True])
 def test_spread_join_keeps_all_rows(spark, monkeypatch, counted):
     monkeypatch.setattr(spread, "FEW", 3)
