@@ -18,6 +18,7 @@ def local_session(app: str = "spanforge", cores: str | int = "*", partitions: in
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("SPANFORGE_DRIVER_MEMORY", "8g"))
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -44,7 +45,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint; its files go when nothing refers to them."""
+    """Cut lineage with a reliable checkpoint.
+
+    Its files go when nothing refers to them, if the session has spark.cleaner.referenceTracking.cleanCheckpoints; ``local_session`` has.
+    """
     spark = df.sparkSession
     folder = shared_dir(spark)
     if spark.sparkContext.getCheckpointDir() is None:
