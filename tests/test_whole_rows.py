@@ -24,10 +24,15 @@ def folder(spark, texts, tmp_path_factory):
     return path
 
 
+def letters(text):
+    """All letters in lower case, those beyond ASCII as z; spaces and what else there is as they are."""
+    return "".join(c.lower() if c.isascii() else "z" for c in text)
+
+
 def aligned(texts):
     rows = {}
     for i, text, _, source, _ in texts:
-        rows.setdefault(source, []).append((i, "-" * (i % 4) + "".join(c for c in text if c == " " or "a" <= c <= "z").translate(ALN).upper().replace(".", "-")))
+        rows.setdefault(source, []).append((i, "-" * (i % 4) + "".join(c for c in letters(text) if c == " " or "a" <= c <= "z").translate(ALN).upper().replace(".", "-")))
     return rows
 
 
@@ -95,7 +100,7 @@ AGAINST = str.maketrans("ACGTRN", "TGCAYN")
 def test_sequence_queries_read_whole_texts(spark, texts, folder):
     repeats, pieces = {}, {}
     for i, text, *_ in texts:
-        seq = "".join(c for c in text if "a" <= c <= "z").translate(SEQ)
+        seq = "".join(c for c in letters(text) if "a" <= c <= "z").translate(SEQ)
         rc = seq.translate(AGAINST)[::-1]
         n = min(120, len(seq) // 2)
         missed = np.cumsum([a != b for a, b in zip(seq[:n], rc[:n], strict=True)])
