@@ -76,8 +76,8 @@ def cluster_copies(hits: DataFrame, clusters: DataFrame, evidence: DataFrame, wa
     return rows.withColumn("is_full", copies.near_full(F.col("modal_len"), settings.full_edge, settings.full_share)).select(COPIES)
 
 
-def stage1(spark: SparkSession, hits: DataFrame, work: str, wanted: DataFrame, settings: Settings = DEFAULT, skip_existing: bool = False, batch: int = 64) -> DataFrame | None:
-    """Copies of the wanted candidates written by cluster under work, batch by batch; all copies there are."""
+def stage1(spark: SparkSession, hits: DataFrame, work: str, wanted: DataFrame, settings: Settings = DEFAULT, skip_existing: bool = False, batch: int = 64) -> DataFrame:
+    """Copies of the wanted candidates written by cluster under work, batch by batch; all copies there are, an empty table where no cluster was taken yet."""
     clusters, evidence = spark.read.parquet(f"{work}/clusters"), spark.read.parquet(f"{work}/evidence")
     finished = read_or_none(spark, f"{work}/finished", "cluster_key string, n_copies bigint")
     if skip_existing and finished is not None:
@@ -95,11 +95,11 @@ def stage1(spark: SparkSession, hits: DataFrame, work: str, wanted: DataFrame, s
     return _copies(spark, work)
 
 
-def _copies(spark: SparkSession, work: str) -> DataFrame | None:
+def _copies(spark: SparkSession, work: str) -> DataFrame:
     # keys of digits only would be read as numbers
     schema = "mode string, tool string, family string, chrom string, start bigint, end bigint, strand string, n_fragments bigint, is_full boolean, cluster_key string"
     found = read_or_none(spark, f"{work}/copies", schema)
-    return None if found is None else found.select(COPIES)
+    return (spark.createDataFrame([], schema) if found is None else found).select(COPIES)
 
 
 def main(argv: list[str] | None = None) -> None:
