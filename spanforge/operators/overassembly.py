@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spanforge.session import cut
+
 KEY = ["tool", "family"]
 
 
@@ -40,9 +42,15 @@ REJECTED = ("too_few_hits_with_cons_coords", "consensus_too_short", "consensus_l
 def consensus_lengths(hits: DataFrame) -> DataFrame:
     """tool, family, cons_len, conslen_frac: the modal implied length, the smallest on ties, and the share of hits within 1 % or 1 of it; null if not positive."""
     implied = hits.select(*KEY, (F.col("repeat_end") + F.col("repeat_left")).alias("implied")).filter("implied IS NOT NULL")
-    modal = implied.groupBy(*KEY).agg(F.mode(F.bround("implied").cast("bigint"), True).cast("double").alias("cons_len"))
+    return _modal(implied.groupBy(*KEY, "implied").agg(F.count("*").alias("times")))
+
+
+def _modal(counted: DataFrame) -> DataFrame:
+    """``consensus_lengths`` of counted(tool, family, implied, times)."""
+    rounded = counted.groupBy(*KEY, F.bround("implied").cast("bigint").alias("length")).agg(F.sum("times").alias("times"))
+    modal = rounded.groupBy(*KEY).agg((-F.max(F.struct("times", (-F.col("length")).alias("low")))["low"]).cast("double").alias("cons_len"))
     near = F.abs(F.col("implied") - F.col("cons_len")) <= F.greatest(F.lit(1.0), 0.01 * F.col("cons_len"))
-    rows = implied.join(modal, KEY).groupBy(*KEY).agg(F.first("cons_len").alias("cons_len"), F.avg(near.cast("double")).alias("conslen_frac"))
+    rows = counted.join(modal, KEY).groupBy(*KEY).agg(F.first("cons_len").alias("cons_len"), (F.sum(F.when(near, F.col("times")).otherwise(0)) / F.sum("times")).alias("conslen_frac"))
     good = F.col("cons_len") > 0
     return rows.select(*KEY, F.when(good, F.col("cons_len")).alias("cons_len"), F.when(good, F.col("conslen_frac")).alias("conslen_frac"))
 
@@ -54,11 +62,17 @@ def internal_endpoints(hits: DataFrame, p: Params = PARAMS) -> DataFrame:
     return rows.filter("x > edge AND x < cons_len - edge").drop("edge")
 
 
+def _counted(ends: DataFrame) -> DataFrame:
+    """ends with times, how often each stands there: no more rows a family than its consensus has places."""
+    return ends if "times" in ends.columns else ends.groupBy(*KEY, "x", "cons_len").agg(F.count("*").alias("times"))
+
+
 def phases(ends: DataFrame, factors: tuple[float, ...], p: Params = PARAMS) -> DataFrame:
     """ends(tool, family, x, cons_len) by factor k: n, hits of the phase bin around multiples of cons_len / k, enrichment over an even spread, z."""
-    laid = ends.withColumn("k", F.explode(F.array(*map(F.lit, factors)))).withColumn("period", F.col("cons_len") / F.col("k"))
+    laid = _counted(ends).withColumn("k", F.explode(F.array(*map(F.lit, factors)))).withColumn("period", F.col("cons_len") / F.col("k"))
     phase = F.pmod(F.pmod(F.col("x"), F.col("period")) / F.col("period") + 0.5 / p.bins, F.lit(1.0))
-    counted = laid.withColumn("first", (F.floor(phase * p.bins) == 0).cast("int")).groupBy(*KEY, "k").agg(F.count("*").alias("n"), F.sum("first").alias("hits"))
+    first = F.when(F.floor(phase * p.bins) == 0, F.col("times")).otherwise(0)
+    counted = laid.withColumn("first", first).groupBy(*KEY, "k").agg(F.sum("times").alias("n"), F.sum("first").alias("hits"))
     even = F.col("n") / p.bins
     return counted.withColumn("enrichment", F.col("hits") / even).withColumn("z", (F.col("hits") - even) / F.sqrt(even * (1 - 1 / p.bins)))
 
@@ -66,11 +80,28 @@ def phases(ends: DataFrame, factors: tuple[float, ...], p: Params = PARAMS) -> D
 def boundary_occupancy(ends: DataFrame, factors: tuple[float, ...] = PARAMS.factors, half_width: float = 0.05) -> DataFrame:
     """ends by whole factor k and boundary j inside (1 to k - 1): the share of ends within half_width periods of it, to three digits."""
     whole = [k for k in factors if float(k).is_integer()]
-    n = F.count("*")
-    laid = ends.withColumn("k", F.explode(F.array(*map(F.lit, whole)))).withColumn("period", F.col("cons_len") / F.col("k"))
+    laid = _counted(ends).withColumn("k", F.explode(F.array(*map(F.lit, whole)))).withColumn("period", F.col("cons_len") / F.col("k"))
     laid = laid.withColumn("j", F.explode(F.sequence(F.lit(1), F.col("k").cast("int") - 1)))
     near = F.abs(F.col("x") - F.col("j") * F.col("period")) <= half_width * F.col("period")
-    return laid.groupBy(*KEY, "k", "j").agg((F.sum(near.cast("int")) / n).alias("share")).withColumn("occupancy", F.bround("share", 3)).drop("share")
+    return laid.groupBy(*KEY, "k", "j").agg((F.sum(F.when(near, F.col("times")).otherwise(0)) / F.sum("times")).alias("share")).withColumn("occupancy", F.bround("share", 3)).drop("share")
+
+
+def measured(hits: DataFrame, p: Params = PARAMS) -> DataFrame:
+    """hits(tool, family, repeat_start, repeat_end, repeat_left, hit_len) as counts of values: tool, family, kind, v, w, times.
+
+    All that ``family_records`` needs in one pass. kind: what v is. length: of a hit, w is 1 where its
+    consensus coordinates are complete; of the complete ones implied: the consensus length, end: a
+    start or end, head: a start within full_slop, w its end. Values are places and lengths on a
+    consensus, so a family's rows are bounded by its consensus, however many its hits.
+    """
+    complete = F.col("repeat_start").isNotNull() & F.col("repeat_end").isNotNull() & F.col("repeat_left").isNotNull()
+    row = lambda kind, v, w=None: F.struct(F.lit(kind).alias("kind"), v.cast("double").alias("v"), (F.lit(None) if w is None else w).cast("double").alias("w"))
+    start, end = F.col("repeat_start"), F.col("repeat_end")
+    values = F.array(
+        row("length", F.col("hit_len"), complete.cast("int")), F.when(complete, row("implied", end + F.col("repeat_left"))), F.when(complete, row("end", start)), F.when(complete, row("end", end)),
+        F.when(complete & (start <= p.full_slop), row("head", start, end)),
+    )
+    return cut(hits.select(*KEY, F.explode(F.array_compact(values)).alias("x")).groupBy(*KEY, "x.kind", "x.v", "x.w").agg(F.count("*").alias("times")))
 
 
 def family_records(hits: DataFrame, factors: tuple[float, ...] | None = None, p: Params = PARAMS) -> DataFrame:
@@ -79,16 +110,27 @@ def family_records(hits: DataFrame, factors: tuple[float, ...] | None = None, p:
     Of the factors that meet all conditions the one with the largest (enrichment, k) is taken.
     Families that a guard rejects have the reason alone, in the guards' order.
     """
+    return records(measured(hits, p), factors, p)
+
+
+def records(counts: DataFrame, factors: tuple[float, ...] | None = None, p: Params = PARAMS) -> DataFrame:
+    """``family_records`` from the counts of ``measured``."""
     factors = p.factors if factors is None else factors
-    complete = "repeat_start IS NOT NULL AND repeat_end IS NOT NULL AND repeat_left IS NOT NULL"
-    every = hits.groupBy(*KEY).agg(F.count("*").alias("n_hits"), F.count_if(F.expr(complete)).alias("n_hits_conscoord"), F.median("hit_len").alias("all_median"), F.percentile("hit_len", 0.9).alias("all_p90"))
-    known = hits.filter(complete)
-    lengths = consensus_lengths(known)
-    with_length = known.join(lengths, KEY)
-    span = F.try_divide(F.col("repeat_end") - F.col("repeat_start"), F.col("cons_len"))
-    full = (F.col("repeat_start") <= p.full_slop) & (F.col("repeat_end") >= F.col("cons_len") - p.full_slop) & (span >= p.full_share)
-    figures = with_length.groupBy(*KEY).agg(F.median("hit_len").alias("own_median"), F.percentile("hit_len", 0.9).alias("own_p90"), F.bround(F.avg(full.cast("double")), 4).alias("full_span_frac"))
-    ends = internal_endpoints(with_length, p)
+    kind = lambda name: counts.filter(F.col("kind") == name)
+    own = lambda x: F.when(F.col("w") == 1, F.col(x))
+    every = kind("length").groupBy(*KEY).agg(
+        F.sum("times").alias("n_hits"), F.coalesce(F.sum(own("times")), F.lit(0)).alias("n_hits_conscoord"), F.percentile("v", 0.5, F.col("times")).alias("all_median"), F.percentile("v", 0.9, F.col("times")).alias("all_p90"),
+    )
+    lengths = _modal(kind("implied").select(*KEY, F.col("v").alias("implied"), "times"))
+    span = F.try_divide(F.col("w") - F.col("v"), F.col("cons_len"))
+    full = (F.col("w") >= F.col("cons_len") - p.full_slop) & (span >= p.full_share)
+    # a share among the hits whose fullness is known, which all are where there is a length
+    whole = kind("head").join(lengths, KEY).groupBy(*KEY).agg(F.sum(F.when(full, F.col("times")).otherwise(0)).alias("n_full"))
+    own_lengths = kind("length").filter("w = 1").groupBy(*KEY).agg(F.percentile("v", 0.5, F.col("times")).alias("own_median"), F.percentile("v", 0.9, F.col("times")).alias("own_p90"), F.sum("times").alias("n_own"))
+    share = F.when(F.col("cons_len").isNotNull(), F.bround(F.coalesce("n_full", F.lit(0)) / F.col("n_own"), 4))
+    figures = own_lengths.join(lengths, KEY).join(whole, KEY, "left").select(*KEY, "own_median", "own_p90", share.alias("full_span_frac"))
+    edge = F.greatest(F.lit(p.end_bp), p.end_share * F.col("cons_len"))
+    ends = kind("end").join(lengths, KEY).filter((F.col("v") > edge) & (F.col("v") < F.col("cons_len") - edge)).select(*KEY, F.col("v").alias("x"), "cons_len", "times")
     by_factor = phases(ends, factors, p).join(figures.select(*KEY, "own_median", "full_span_frac"), KEY).join(lengths, KEY)
     ratio = F.col("own_median") * F.col("k") / F.col("cons_len")
     passes = ratio.between(p.low_ratio, p.high_ratio) & (F.col("enrichment") >= p.min_enrichment) & (F.col("z") >= p.min_z) & (F.col("full_span_frac") < p.most_full)
