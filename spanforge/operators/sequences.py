@@ -79,57 +79,93 @@ def _clean(rows: DataFrame) -> DataFrame:
     return rows.withColumn("seq", F.translate(F.upper(F.coalesce("seq", F.lit(""))), "._~", "---"))
 
 
-def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of a partition's clean rows(aln_id, seq), by column: bases, and the steps of the rows' spans. Column -1 has the number of rows."""
-    held: dict[str | None, np.ndarray] = {}
-    number: Counter = Counter()
-    for batch in batches:
-        for aln, seq in zip(batch.column("aln_id").to_pylist(), batch.column("seq").to_pylist(), strict=True):
-            number[aln] += 1
-            own = held.get(aln)
-            if own is None or own.shape[1] <= len(seq):
-                wider = np.zeros((6, 2 * len(seq) + 2), np.int64)
-                if own is not None:
-                    wider[:, : own.shape[1]] = own
-                own = held[aln] = wider
-            letters = np.frombuffer(seq.encode("utf-32-le"), np.uint32)
-            n, filled = len(letters), letters != ord("-")
-            for i, base in enumerate("ACGT"):
-                own[i, :n] += letters == ord(base)
-            own[4, :n] += filled
-            at = np.flatnonzero(filled)
-            if len(at):
-                own[5, at[0]] += 1
-                own[5, at[-1] + 1] -= 1
-    for aln, own in held.items():
-        at = np.flatnonzero(own.any(axis=0))
-        columns = [np.append(at, -1).astype(np.int32), *(np.append(x[at], number[aln] if i == 4 else 0) for i, x in enumerate(own))]
-        for k in range(0, len(at) + 1, 10_000):
-            part = [x[k : k + 10_000] for x in columns]
-            yield pa.RecordBatch.from_arrays([pa.array([aln] * len(part[0]), pa.string()), *map(pa.array, part)], names=["aln_id", "col", *"acgt", "bases", "step"])
+#: All gap letters as -, others in upper case, by byte.
+_PLAIN = bytes(ord("-") if chr(i) in "._~" else ord(chr(i).upper()) if i < 128 else i for i in range(256))
+
+
+def _letters(seq: str) -> np.ndarray:
+    """The code of each letter in upper case, all gap letters as -."""
+    if seq.isascii():
+        return np.frombuffer(seq.encode("ascii").translate(_PLAIN), np.uint8)
+    return np.frombuffer(seq.upper().translate({ord(x): "-" for x in "._~"}).encode("utf-32-le"), np.uint32)
+
+
+def _tally(spans: bool):
+    """Of a partition's rows(aln_id, row_id, seq), by column: bases, and the steps of the rows' spans. Column -1 has the number of rows as bases, and their width as a.
+
+    spans: in place of steps a row of column -2 for each with bases, whose ends are a and c.
+    """
+    names = ["aln_id", "row_id", "col", *"acgt", "bases", "step"]
+
+    def rows_of(aln: list, row: list, columns: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for k in range(0, len(aln), 10_000):
+            part = [pa.array(x[k : k + 10_000], pa.string()) for x in (aln, row)]
+            yield pa.RecordBatch.from_arrays([*part, *(pa.array(x[k : k + 10_000], pa.int32() if i == 0 else pa.int64()) for i, x in enumerate(columns))], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str | None, np.ndarray] = {}
+        number: Counter = Counter()
+        width: Counter = Counter()
+        for part in (batch.slice(k, 256) for batch in batches for k in range(0, batch.num_rows, 256)):
+            ends: list[tuple] = []
+            for aln, name, seq in zip(*(part.column(c).to_pylist() for c in ("aln_id", "row_id", "seq")), strict=True):
+                number[aln] += 1
+                letters = _letters(seq or "")
+                n, filled = len(letters), letters != ord("-")
+                width[aln] = max(width[aln], n)
+                own = held.get(aln)
+                if own is None or own.shape[1] <= n:
+                    wider = np.zeros((6, n + n // 4 + 2), np.int32)
+                    if own is not None:
+                        wider[:, : own.shape[1]] = own
+                    own = held[aln] = wider
+                for i, base in enumerate("ACGT"):
+                    own[i, :n] += letters == ord(base)
+                own[4, :n] += filled
+                at = np.flatnonzero(filled)
+                if len(at) and spans:
+                    ends.append((aln, name, at[0], at[-1]))
+                elif len(at):
+                    own[5, at[0]] += 1
+                    own[5, at[-1] + 1] -= 1
+            if ends:
+                alns, rows, low, high = zip(*ends, strict=True)
+                none = np.zeros(len(ends), np.int64)
+                yield from rows_of(list(alns), list(rows), [none - 2, np.array(low), np.array(high), none, none, none, none])
+        for aln, own in held.items():
+            at = np.flatnonzero(own.any(axis=0))
+            more = {0: width[aln], 4: number[aln]}
+            yield from rows_of([aln] * (len(at) + 1), [None] * (len(at) + 1), [np.append(at, -1), *(np.append(x[at], more.get(i, 0)) for i, x in enumerate(own))])
+
+    return run
+
+
+def _parts(rows: DataFrame, spans: bool) -> DataFrame:
+    named = rows.select(*[F.col(c).cast("string").alias(c) for c in ("aln_id", "row_id")], "seq")
+    return named.mapInArrow(_tally(spans), "aln_id string, row_id string, col int, a long, c long, g long, t long, bases long, step long")
 
 
 def _tallied(clean: DataFrame) -> DataFrame:
     """aln_id, col, a, c, g, t, bases, step over all rows; column -1 has the number of rows as bases."""
-    parts = clean.select(F.col("aln_id").cast("string").alias("aln_id"), "seq").mapInArrow(_tally, "aln_id string, col int, a long, c long, g long, t long, bases long, step long")
-    return parts.groupBy("aln_id", "col").agg(*[F.sum(x).alias(x) for x in (*"acgt", "bases", "step")])
+    return _parts(clean, False).groupBy("aln_id", "col").agg(*[F.sum(x).alias(x) for x in (*"acgt", "bases", "step")])
 
 
 def row_occupancy(rows: DataFrame) -> DataFrame:
-    """``occupancy`` of ``alignment_cells(rows)``, counted by whole rows; no cell becomes a row of its own."""
-    clean = _clean(rows.select("aln_id", "row_id", "seq"))
-    counts = _tallied(clean).filter("col >= 0").drop("step")
-    lo = (F.char_length("seq") - F.char_length(F.ltrim("seq", F.lit("-")))).alias("lo")
-    hi = (F.char_length(F.rtrim("seq", F.lit("-"))) - 1).alias("hi")
-    spans = clean.select("aln_id", "row_id", lo, hi).filter("hi >= lo").groupBy("aln_id", "row_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    """``occupancy`` of ``alignment_cells(rows)``, counted by whole rows, each read once; no cell becomes a row of its own."""
+    kind = rows.schema["aln_id"].dataType
+    parts = cut(_parts(rows, True))
+    none = [F.lit(0).cast("bigint").alias(x) for x in (*"acgt", "bases")]
+    counts = parts.filter("col >= 0").select("aln_id", "col", *"acgt", "bases", F.lit(0).alias("d"), F.lit(False).alias("own"))
+    spans = parts.filter("col = -2").groupBy("aln_id", "row_id").agg(F.min("a").cast("int").alias("lo"), F.max("c").cast("int").alias("hi"))
     ends = spans.select("aln_id", F.explode(F.array(F.struct(F.col("lo").alias("col"), F.lit(1).alias("d")), F.struct((F.col("hi") + 1).alias("col"), F.lit(-1).alias("d")))).alias("x"))
-    steps = ends.groupBy("aln_id", "x.col").agg(F.sum("x.d").alias("d"))
+    steps = ends.groupBy("aln_id", "x.col").agg(F.sum("x.d").cast("int").alias("d")).select("aln_id", "col", *none, "d", F.lit(False).alias("own"))
     # columns of gaps alone have counts of 0
-    width = clean.groupBy("aln_id").agg(F.max(F.char_length("seq")).alias("width")).filter("width > 0")
-    every = width.select("aln_id", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("col"))
-    both = every.join(counts, ["aln_id", "col"], "left").join(steps, ["aln_id", "col"], "left").na.fill(0, [*"acgt", "bases", "d"])
+    width = parts.filter("col = -1").groupBy("aln_id").agg(F.max("a").cast("int").alias("width")).filter("width > 0")
+    every = width.select("aln_id", F.explode(F.sequence(F.lit(0), F.col("width") - 1)).alias("col"), *none, F.lit(0).alias("d"), F.lit(True).alias("own"))
+    both = counts.unionByName(steps).unionByName(every).groupBy("aln_id", "col").agg(*[F.sum(x).alias(x) for x in (*"acgt", "bases", "d")], F.max("own").alias("own")).filter("own").drop("own")
     cover = F.sum("d").over(Window.partitionBy("aln_id").orderBy("col").rowsBetween(Window.unboundedPreceding, 0))
-    return both.withColumn("cover", cover).drop("d").withColumn("occ", F.coalesce(F.try_divide("bases", "cover"), F.lit(0.0)))
+    out = both.withColumn("cover", cover).drop("d").withColumn("occ", F.coalesce(F.try_divide("bases", "cover"), F.lit(0.0)))
+    return out.withColumn("aln_id", F.col("aln_id").cast(kind))
 
 
 def called(columns: DataFrame, n_rows: DataFrame, min_occ: float = 0.5, min_rows: int = 3) -> DataFrame:

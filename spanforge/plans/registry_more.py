@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from spanforge.operators import analysis, copies, permutation, sequences
 from spanforge.plans.registry import DEMO_SQL, query
 from spanforge.session import table
-from spanforge.sources.hits import LETTERS, SEQUENCE_SQL, demo_hits, sequence_of
+from spanforge.sources.hits import LETTERS, SEQUENCE_SQL, demo_hits, letters_of, sequence_of
 
 SEQ_SQL = f"seqs AS (SELECT doc_id AS id, {SEQUENCE_SQL} AS seq FROM documents)"
 
@@ -70,8 +70,7 @@ calls AS (
 
 def _alignment(spark, sf_dir):
     """Whole texts of all documents, by source, all letters as bases and spaces as gaps."""
-    plain = F.regexp_replace(F.regexp_replace("text", r"[^\x00-\x7F]", "z"), "[^A-Za-z ]", "")
-    letters = F.translate(plain, LETTERS + LETTERS.upper() + " ", 2 * "acgtacgtaacgtacgtacgtacgan" + ".")
+    letters = letters_of(F.col("text"), dict(zip(LETTERS + LETTERS.upper() + " ", 2 * "acgtacgtaacgtacgtacgtacgan" + ".", strict=True)))
     rows = table(spark, sf_dir, "documents")
     return rows.select(F.col("source").alias("aln_id"), F.col("doc_id").cast("string").alias("row_id"), F.concat(F.expr("repeat('-', CAST(doc_id % 4 AS INT))"), letters).alias("seq"), "doc_id")
 
