@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanforge.functions.graph import connected_components, spanning_forest
-from spanforge.operators.intervals import overlap_join, paint, point_join
+from spanforge.operators.intervals import TILE, in_tiles, paint, point_join, sweep, tiled
 from spanforge.session import cut
 from spanforge.settings import DEFAULT, Settings
 
@@ -53,16 +56,70 @@ def _for_tools(rows: DataFrame, hits: DataFrame, tool: str, name: str, after: bo
     return rows.withColumn(name, F.explode(F.filter(tools, lambda t: t > F.col(tool) if after else t != F.col(tool))))
 
 
+def joint_bases(hits: DataFrame) -> DataFrame:
+    """tool_a, family_a, tool_b, family_b, bp: bases that a family of one tool and a family of a later one own both, as the last to be painted there; without tool_b, all that a family owns.
+
+    A tile of a chromosome holds the hits of all tools, so each tool is painted there and the
+    pieces are laid over each other at once: no pieces are joined, and only sums leave the tile.
+    """
+    rows = tiled(hits.filter("tool IS NOT NULL AND e > s").select("chrom", "tool", "family", "s", "e", "ord"), TILE)
+    columns = ["chrom", "tile", "tool", "s", "e", "family"]
+    made = in_tiles(rows, ["chrom", "tile"], ["tool", "ord", "family"], columns, _joint, "tool_a string, family_a string, tool_b string, family_b string, bp long")
+    return made.groupBy("tool_a", "family_a", "tool_b", "family_b").agg(F.sum("bp").alias("bp"))
+
+
+def _joint(part: pa.Table) -> pa.Table:
+    """``joint_bases`` of whole tiles; chromosomes without a name share no bases."""
+    painted = sweep(part, ["chrom", "tool"], "family")
+    chrom, tool, family = (painted.column(c).combine_chunks().dictionary_encode() for c in ("chrom", "tool", "family"))
+    named, families = chrom.is_valid().to_numpy(False), len(family.dictionary) + 1
+    at, code = pc.fill_null(tool.indices, 0).to_numpy().astype(np.int64), pc.fill_null(family.indices, families - 1).to_numpy().astype(np.int64)
+    s, e = painted.column("s").to_numpy(), painted.column("e").to_numpy()
+    out: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+    for x in range(len(tool.dictionary)):
+        out.append((x, -1, code[at == x], (e - s)[at == x]))
+    # all chromosomes on one line, of which each point begins a segment
+    base = pc.fill_null(chrom.indices, 0).to_numpy().astype(np.int64) * ((e.max() if len(e) else 0) - min(s.min() if len(s) else 0, 0) + 1)
+    points = np.unique(np.concatenate([s + base, e + base]))
+    width = np.append(np.diff(points), 0)
+    owners = []
+    for x in range(len(tool.dictionary)):
+        mine = np.flatnonzero((at == x) & named)
+        mine = mine[np.argsort(s[mine] + base[mine])]
+        owner = np.full(len(points), -1, np.int64)
+        if len(mine):
+            last = np.searchsorted(s[mine] + base[mine], points, "right") - 1
+            inside = (last >= 0) & ((e[mine] + base[mine])[last] > points)
+            owner[inside] = code[mine[last[inside]]]
+        owners.append(owner)
+    order = sorted(range(len(owners)), key=lambda x: tool.dictionary[x].as_py())
+    for i, x in enumerate(order):
+        for y in order[i + 1 :]:
+            both = np.flatnonzero((owners[x] >= 0) & (owners[y] >= 0))
+            out.append((x, y, owners[x][both] * families + owners[y][both], width[both]))
+    columns: dict[str, list] = {c: [] for c in ("tool_a", "family_a", "tool_b", "family_b", "bp")}
+    names = [*family.dictionary.to_pylist(), None]
+    for x, y, pair, bp in out:
+        kinds, place = np.unique(pair, return_inverse=True)
+        total = np.zeros(len(kinds), np.int64)
+        np.add.at(total, place, bp)
+        one, other = (kinds, None) if y < 0 else (kinds // families, kinds % families)
+        columns["tool_a"] += [tool.dictionary[x].as_py()] * len(kinds)
+        columns["family_a"] += [names[k] for k in one.tolist()]
+        columns["tool_b"] += [None if y < 0 else tool.dictionary[y].as_py()] * len(kinds)
+        columns["family_b"] += [None] * len(kinds) if other is None else [names[k] for k in other.tolist()]
+        columns["bp"] += total.tolist()
+    kinds = [pa.string()] * 4 + [pa.int64()]
+    return pa.table([pa.array(v, k) for v, k in zip(columns.values(), kinds, strict=True)], names=list(columns))
+
+
 def edges(hits: DataFrame, min_joint: int, min_reciprocal: float) -> DataFrame:
     """Pairs of families of different tools: a, b, joint_bp, w_bp = joint over the smaller footprint."""
-    painted = paint(hits, ["tool", "chrom"], "family", F.col("ord"))
-    # the pair of tools is a key, so families of one tool never meet
-    left = _for_tools(painted.select("chrom", "s", "e", F.col("tool").alias("tool_a"), F.col("family").alias("family_a")), hits, "tool_a", "tool_b", True)
-    right = painted.select("chrom", F.col("s").alias("s2"), F.col("e").alias("e2"), F.col("tool").alias("tool_b"), F.col("family").alias("family_b"))
-    joint = overlap_join(left, right, ["chrom", "tool_b"]).groupBy("tool_a", "family_a", "tool_b", "family_b").agg(F.sum(F.least("e", "e2") - F.greatest("s", "s2")).cast("bigint").alias("joint_bp"))
-    size = footprints(painted)
+    bases = cut(joint_bases(hits))
+    joint = bases.filter("tool_b IS NOT NULL").withColumnRenamed("bp", "joint_bp")
+    size = bases.filter("tool_b IS NULL")
     for side in ("a", "b"):
-        joint = joint.join(size.select(F.col("tool").alias(f"tool_{side}"), F.col("family").alias(f"family_{side}"), F.col("footprint").alias(f"size_{side}")), [f"tool_{side}", f"family_{side}"])
+        joint = joint.join(size.select(F.col("tool_a").alias(f"tool_{side}"), F.col("family_a").alias(f"family_{side}"), F.col("bp").alias(f"size_{side}")), [f"tool_{side}", f"family_{side}"])
     least = F.least("size_a", "size_b")
     kept = joint.filter((F.col("joint_bp") >= min_joint) & (F.col("joint_bp") >= min_reciprocal * least))
     return kept.select(F.expr("tool_a || ':' || family_a").alias("a"), F.expr("tool_b || ':' || family_b").alias("b"), "joint_bp", (F.col("joint_bp") / least).alias("w_bp"))

@@ -5,7 +5,7 @@ from random import Random
 from pyspark.sql import functions as F
 
 from spanforge.functions.graph import connected_components
-from spanforge.operators import copies, intervals
+from spanforge.operators import copies, intervals, linkage
 
 HIT = "tool string, family string, chrom string, s long, e long, strand string, div double, ord long, cons_start long, cons_end long, cons_len long"
 
@@ -36,3 +36,21 @@ def test_loci_across_tiles_are_those_of_all_links(spark):
     rows = hits.select(F.col("ord").alias("copy_id"), "chrom", F.col("s").alias("start"), F.col("e").alias("end"))
     want = {r.node: r.component for r in connected_components(intervals.overlap_links(hits.filter("e > s").select("chrom", "s", "e", F.col("ord").alias("row")), "chrom", "row", 0.5)).collect()}
     assert {r.copy_id: r.locus_id for r in copies.loci(rows).collect()} == {i: want.get(i, i) for i in range(1500)}
+
+
+def test_joint_bases_are_those_of_painted_pieces(spark):
+    hits = _hits(spark)
+    painted = intervals.paint(hits, ["tool", "chrom"], "family", F.col("ord"))
+    want = {(r.tool, r.family): r.footprint for r in linkage.footprints(painted).collect()}
+    pieces, joint = painted.filter("chrom IS NOT NULL AND family IS NOT NULL").collect(), {}
+    for a in pieces:
+        for b in pieces:
+            bp = min(a.e, b.e) - max(a.s, b.s)
+            if a.tool < b.tool and a.chrom == b.chrom and bp > 0:
+                key = (a.tool, a.family, b.tool, b.family)
+                joint[key] = joint.get(key, 0) + bp
+    bases = linkage.joint_bases(hits)
+    assert "Join" not in bases._jdf.queryExecution().optimizedPlan().toString()
+    got = bases.collect()
+    assert {(r.tool_a, r.family_a): r.bp for r in got if r.tool_b is None} == want
+    assert {(r.tool_a, r.family_a, r.tool_b, r.family_b): r.bp for r in got if r.tool_b and r.family_a and r.family_b} == joint
