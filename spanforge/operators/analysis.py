@@ -63,12 +63,16 @@ def path_order(path: Column) -> Column:
 
 def domain_summary(hits: DataFrame, min_coverage: float = MIN_COVERAGE) -> DataFrame:
     """hits(seq, profile, hmm_cov): profiles by number and name, core ones that cover enough of their profile, best coverage."""
-    rows = hits.withColumn("kind", F.when(F.col("hmm_cov") >= min_coverage, domain_kind(F.col("profile"))))
-    core = F.when(F.col("kind").isNotNull(), F.col("profile"))
-    names = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ";")
-    return rows.groupBy("seq").agg(
-        F.count_distinct("profile").alias("n_dom"), F.array_join(F.slice(F.array_sort(F.collect_set("profile")), 1, 12), ";").alias("domains"),
-        F.count_distinct(core).alias("n_core"), names("kind").alias("core_kinds"), names(core).alias("core_domains"), F.max("hmm_cov").alias("best_cov"),
+    kind = F.when(F.col("hmm_cov") >= min_coverage, domain_kind(F.col("profile")))
+    # one set a sequence, of which all else is told: sets of their own would each be shuffled, distinct counts each with all rows
+    found = F.when(F.col("profile").isNotNull(), F.struct("profile", kind.alias("kind")))
+    sets = hits.groupBy("seq").agg(F.collect_set(found).alias("found"), F.max("hmm_cov").alias("best_cov"))
+    names = lambda x, c: F.array_sort(F.array_distinct(F.transform(x, lambda y: y[c])))
+    core = F.filter("found", lambda x: x["kind"].isNotNull())
+    rows = sets.select("seq", names("found", "profile").alias("all"), names(core, "kind").alias("kinds"), names(core, "profile").alias("core"), "best_cov")
+    return rows.select(
+        "seq", F.size("all").cast("bigint").alias("n_dom"), F.array_join(F.slice("all", 1, 12), ";").alias("domains"), F.size("core").cast("bigint").alias("n_core"),
+        F.array_join("kinds", ";").alias("core_kinds"), F.array_join("core", ";").alias("core_domains"), "best_cov",
     )
 
 

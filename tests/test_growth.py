@@ -5,7 +5,7 @@ from random import Random
 from pyspark.sql import functions as F
 
 from spanforge.functions.graph import connected_components
-from spanforge.operators import copies, intervals, linkage
+from spanforge.operators import analysis, copies, intervals, linkage
 
 HIT = "tool string, family string, chrom string, s long, e long, strand string, div double, ord long, cons_start long, cons_end long, cons_len long"
 
@@ -54,3 +54,11 @@ def test_joint_bases_are_those_of_painted_pieces(spark):
     got = bases.collect()
     assert {(r.tool_a, r.family_a): r.bp for r in got if r.tool_b is None} == want
     assert {(r.tool_a, r.family_a, r.tool_b, r.family_b): r.bp for r in got if r.tool_b and r.family_a and r.family_b} == joint
+
+
+def test_domains_are_not_multiplied_for_distinct_counts(spark):
+    rows = [("a", "Transposase_1", 0.9), ("a", "Transposase_1", 0.1), ("a", "other", 0.9), ("a", None, 1.0), ("b", None, None)]
+    made = analysis.domain_summary(spark.createDataFrame(rows, "seq string, profile string, hmm_cov double"))
+    assert "Expand" not in made._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.seq: (r.n_dom, r.domains, r.n_core, r.core_domains, r.best_cov) for r in made.collect()}
+    assert got == {"a": (2, "Transposase_1;other", 1, "Transposase_1", 1.0), "b": (0, "", 0, "", None)}
