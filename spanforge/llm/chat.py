@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from spanforge.session import cut, let
 
 OPEN, MIDDLE, CLOSE = "[INST]", "[/INST]", "</s>"
+#: Doublings whose joins are planned together.
+STEPS = 2
 #: Strings that a tokenizer or a template may take for control.
 CONTROL = r"<(/?s>|</?SYS>>|\|[a-z_]+\|>)|\[(/?INST\])"
 
@@ -84,6 +86,9 @@ def best_paths(messages: DataFrame, paths: int | None = 1) -> DataFrame:
         above = F.struct(F.col("up").alias("to"), F.lit(2**k).cast("bigint").alias("by"))
         both = F.filter(F.array(here, above), lambda x: x["to"].isNotNull())
         members = members.join(step, ["tree", "node_id"], "left").withColumn("step", F.explode(both)).select("tree", "path", F.col("step.to").alias("node_id"), (F.col("from_leaf") + F.col("step.by")).alias("from_leaf"), "path_score")
+        if k % STEPS == 0:
+            # the driver holds the plan of some steps at a time, however long the paths are
+            members = cut(members)
     return members
 
 
