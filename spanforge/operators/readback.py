@@ -32,8 +32,10 @@ def read_back(ids: DataFrame, copies: DataFrame) -> DataFrame:
     known = copies.select("seq_id", "chrom", F.col("start").alias("s0"), F.col("end").alias("e0"), F.col("strand").alias("strand0"))
     rows = ids.withColumn("seq_id", name).withColumn("head", part(1)).withColumn("a", part(2).try_cast("bigint")).withColumn("b", part(3).try_cast("bigint")).withColumn("sign", part(4)).withColumn("turned", turned)
     whole = rows.join(known, "seq_id", "left")
-    inner = known.select(F.col("seq_id").alias("head"), *[F.col(c).alias(f"{c}_") for c in ("chrom", "s0", "e0", "strand0")])
-    both = whole.join(inner, "head", "left")
+    inner = known.select(F.col("seq_id").alias("other"), *[F.col(c).alias(f"{c}_") for c in ("chrom", "s0", "e0", "strand0")])
+    # a row that needs no second look keeps its own name: what would be left of it, a chromosome or nothing, is the same for very many
+    found = F.col("s0").isNotNull() & F.col("chrom").isNotNull()
+    both = whole.withColumn("other", F.when(found | (F.col("head") == ""), F.col("seq_id")).otherwise(F.col("head"))).join(inner, "other", "left")
     plus = F.col("strand0_") == "+"
     start = F.when(F.col("s0").isNotNull(), F.col("s0")).when(plus, F.col("s0_") + F.col("a") - 1).otherwise(F.col("e0_") - F.col("b"))
     end = F.when(F.col("s0").isNotNull(), F.col("e0")).when(plus, F.col("s0_") + F.col("b")).otherwise(F.col("e0_") - F.col("a") + 1)

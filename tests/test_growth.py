@@ -5,7 +5,7 @@ from random import Random
 from pyspark.sql import functions as F
 
 from spanforge.functions.graph import connected_components
-from spanforge.operators import analysis, copies, intervals, linkage
+from spanforge.operators import analysis, copies, intervals, linkage, readback
 
 HIT = "tool string, family string, chrom string, s long, e long, strand string, div double, ord long, cons_start long, cons_end long, cons_len long"
 
@@ -62,3 +62,11 @@ def test_domains_are_not_multiplied_for_distinct_counts(spark):
     assert "Expand" not in made._jdf.queryExecution().optimizedPlan().toString()
     got = {r.seq: (r.n_dom, r.domains, r.n_core, r.core_domains, r.best_cov) for r in made.collect()}
     assert got == {"a": (2, "Transposase_1;other", 1, "Transposase_1", 1.0), "b": (0, "", 0, "", None)}
+
+
+def test_rows_that_are_found_share_no_key_of_the_second_look(spark):
+    known = spark.createDataFrame([(f"a:c:{i}-{i + 9}_+", "c", i - 1, i + 9, "+") for i in range(1, 41)], "seq_id string, chrom string, start long, end long, strand string")
+    ids = known.select(F.col("seq_id").alias("row_id")).unionByName(known.select(F.concat("seq_id", F.lit("?")).alias("row_id"))).unionByName(known.select(F.concat("seq_id", F.lit(":2-3_-")).alias("row_id")))
+    made = readback.read_back(ids, known)
+    keys = made._jdf.queryExecution().analyzed().toString()
+    assert "other" in keys and sorted((r.chrom or "", r.end or 0) for r in made.collect()) == sorted([("c", i + 9) for i in range(1, 41)] + [("", 0)] * 40 + [("c", i + 2) for i in range(1, 41)])
