@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from spanforge.operators.copies import MEMBER, merge_copies, near_full
+from spanforge.operators.copies import MEMBER, copy_counts, near_full
 from spanforge.operators.intervals import islands
 
 
@@ -32,7 +32,7 @@ def family_evidence(hits: DataFrame) -> DataFrame:
     """
     length = F.mode("cons_len", True)
     figures = hits.groupBy(*MEMBER).agg(F.count("*").alias("n_hits"), F.count_if(near_full(F.col("cons_len"))).alias("n_full_len"), length.alias("modal_len"), F.round(F.median("div"), 6).alias("div_median"))
-    merged = merge_copies(hits).groupBy(*MEMBER).agg(F.count("*").alias("n_copies"))
+    merged = copy_counts(hits)
     union = islands(hits, [*MEMBER, "chrom"]).groupBy(*MEMBER).agg(F.sum(F.col("e") - F.col("s")).alias("genomic_bp"))
     lengths = figures.filter("modal_len > 0").select(*MEMBER, F.col("modal_len").alias("length"))
     both = figures.join(merged, MEMBER).join(union, MEMBER, "left").join(consensus_depth(hits, lengths), MEMBER, "left")

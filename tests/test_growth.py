@@ -5,7 +5,7 @@ from random import Random
 from pyspark.sql import functions as F
 
 from spanforge.functions.graph import connected_components
-from spanforge.operators import analysis, copies, intervals, linkage, readback
+from spanforge.operators import analysis, copies, evidence, intervals, linkage, readback
 
 HIT = "tool string, family string, chrom string, s long, e long, strand string, div double, ord long, cons_start long, cons_end long, cons_len long"
 
@@ -70,3 +70,11 @@ def test_rows_that_are_found_share_no_key_of_the_second_look(spark):
     made = readback.read_back(ids, known)
     keys = made._jdf.queryExecution().analyzed().toString()
     assert "other" in keys and sorted((r.chrom or "", r.end or 0) for r in made.collect()) == sorted([("c", i + 9) for i in range(1, 41)] + [("", 0)] * 40 + [("c", i + 2) for i in range(1, 41)])
+
+
+def test_evidence_counts_copies_without_their_fragments(spark):
+    hits = _hits(spark)
+    made = evidence.family_evidence(hits)
+    assert "collect_list" not in made._jdf.queryExecution().optimizedPlan().toString()
+    merged = copies.merge_copies(hits).groupBy("tool", "family").count()
+    assert {(r.tool, r.family): r.n_copies for r in copies.copy_counts(hits).collect()} == {(r.tool, r.family): r["count"] for r in merged.collect()}
