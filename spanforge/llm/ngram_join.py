@@ -33,13 +33,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from spanforge.functions.graph import connected_components
 from spanforge.llm.spread import hot_keys, spread_join, unused
 from spanforge.llm.words import DARK, Texts, Words, mix64, pieces, shingles
-from spanforge.session import cut
+from spanforge.session import cut, remove_table, written
 
 #: One row of a posting list pairs with all others up to this length, beyond it with hubs.
 SHORT = 48
@@ -129,12 +129,15 @@ def _prefixes(tokens: DataFrame, sizes: DataFrame, percent: int, region: float)
 
     tokens(node, token): the posted ones; sizes(node, n, posted). Tokens below region come first,
     of these the lone ones, then by texts, then by hash. Lone ones only take up room.
+
+    The tokens are made and shuffled once, and counted where they lie by a window, which spills; a token has a row a text at most.
     """
-    shared = tokens.groupBy("token").agg(F.count("*").alias("texts"), F.min("node").alias("low"), F.max("node").alias("high")).filter("low <> high").select("token", "texts")
+    same = Window.partitionBy("token")
+    shared = tokens.select("node", "token", F.count("*").over(same).alias("texts"), F.min("node").over(same).alias("low"), F.max("node").over(same).alias("high")).filter("low <> high")
     rising = F.col("token").bitwiseXOR(F.lit(-(2**63)))  # as signed numbers in the order of the unsigned ones
     outside = rising >= F.lit(int(region * 2**64) - 2**63 if region < 1 else 2**63 - 1)
     place = F.struct(outside.alias("outside"), F.when(outside, F.lit(0)).otherwise(F.col("texts")).alias("texts"), rising.alias("rising"), "token")
-    ranked = tokens.join(shared, "token").groupBy("node").agg(F.array_sort(F.collect_set(place)).alias("shared")).join(sizes, "node")
+    ranked = shared.groupBy("node").agg(F.array_sort(F.collect_set(place)).alias("shared")).join(sizes, "node")
     room = (F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1 - (F.col("posted") - F.size("shared"))).cast("int")
     live = ranked.withColumn("room", room).filter("room > 0")
     return live.select("node", "n", "room", F.explode(F.slice("shared", F.lit(1), F.col("room"))).alias("x")).select("node", "n", "room", F.col("x.token").alias("token"))
@@ -195,14 +198,15 @@ def _late_pairs(posts: DataFrame, sizes: DataFrame, components: DataFrame, perce
     return cut(_pairs(left.join(right, ["token", "part"]).filter("a_part <> b_part").filter(_fits(percent))).distinct())
 
 
-def _sets(docs: DataFrame, sizes: DataFrame, wanted: DataFrame, k: int, percent: int) -> DataFrame:
-    """node, tokens (bytes), low and high (the prefixes by rising and by falling hash) of the wanted nodes, from the text with each one's smallest doc_id.
+def _sets(docs: DataFrame, sizes: DataFrame, wanted: DataFrame, k: int, percent: int) -> tuple[DataFrame, str]:
+    """node, tokens (bytes), low and high (the prefixes by rising and by falling hash) of the wanted nodes, from the text with each one's smallest doc_id; and where this is written.
 
-    Tasks get a filter of a fixed number of bits, which lets all wanted texts pass and the more of
-    the others the more are wanted; what passes is joined with the wanted nodes.
+    Tasks get a filter of a bounded number of bits, 64 a wanted node below that, which lets all
+    wanted texts pass and the more of the others the more are wanted; what passes is joined with
+    the wanted nodes. Texts of one node have the same set, so any of them will do.
     """
-    width = FILTER_BITS
-    named = wanted.select("node").distinct().join(sizes.select("node", F.col("doc_id").alias("own")), "node")
+    named = cut(wanted.select("node").distinct().join(sizes.select("node", F.col("doc_id").alias("own")), "node"))
+    width = min(FILTER_BITS, max(6, (64 * named.count()).bit_length()))
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,13 +227,13 @@ def _sets(docs: DataFrame, sizes: DataFrame, wanted: DataFrame, k: int, percent:
                 own = made[bounds[i] : bounds[i + 1]]
                 p = prefix(len(own), percent)
                 ends = [pa.array([x.view(np.int64)], pa.list_(pa.int64())) for x in (own[:p], own[-p:])]
-                yield pa.RecordBatch.from_arrays([pa.array(digest[i : i + 1].view(np.int64)), part.column("doc_id").slice(i, 1), pa.array([own.tobytes()], pa.binary()), *ends], names=["node", "doc_id", "tokens", "low", "high"])
+                yield pa.RecordBatch.from_arrays([pa.array(digest[i : i + 1].view(np.int64)), pa.array([own.tobytes()], pa.binary()), *ends], names=["node", "tokens", "low", "high"])
 
-    found = docs.mapInArrow(run, "node long, doc_id long, tokens binary, low array<long>, high array<long>")
-    found = found.join(named, "node").filter(F.col("doc_id").eqNullSafe(F.col("own")))
-    sets = cut(found.select("node", "tokens", "low", "high").dropDuplicates(["node"]))
+    found = docs.mapInArrow(run, "node long, tokens binary, low array<long>, high array<long>")
+    # written, so that joins read the columns they need and one exchange serves both ends of a pair
+    sets, path = written(found.join(named.select("node"), "node").dropDuplicates(["node"]), "token-sets")
     shared.destroy()
-    return sets
+    return sets, path
 
 
 def _slots(node: pa.Array, doc: pa.Array, width: int) -> np.ndarray:
@@ -278,7 +282,7 @@ def components(docs: DataFrame, k: int, percent: int, region: float | None = Non
     posts = cut(_prefixes(tokens, sizes.select("node", "n", "posted"), percent, region))
     pairs, long = _first_pairs(posts, sizes, percent)
     named = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(long.select("node"))
-    sets = _sets(light.drop("text_hash"), sizes, named, k, percent)
+    sets, path = _sets(light.drop("text_hash"), sizes, named, k, percent)
     links = _linked(pairs, sets, percent)
     placed = connected_components(links)
 
@@ -296,6 +300,7 @@ def components(docs: DataFrame, k: int, percent: int, region: float | None = Non
         more = _linked(_late_pairs(posts, sizes, placed, percent), sets, percent)
         if not more.isEmpty():
             placed = connected_components(links.unionByName(more))
+    remove_table(docs.sparkSession, path)
 
     joined = sizes.select("node", "first").join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = joined.join(joined.groupBy("component").agg(F.min("first").alias("least")), "component").select("node", "least")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +46,7 @@ def spread_join(rows: DataFrame, values: DataFrame, key: str, hot: dict, by: lis
     """
     if not hot:
         return rows.join(values, key)
-    known = F.broadcast(rows.sparkSession.createDataFrame(list(hot.items()), f"{key} {values.schema[key].dataType.simpleString()}, __parts int"))
+    known = F.broadcast(rows.sparkSession.createDataFrame(pa.table({key: list(hot), "__parts": list(hot.values())}), f"{key} {values.schema[key].dataType.simpleString()}, __parts int"))
     parts = F.coalesce("__parts", F.lit(1))
     dealt = rows.join(known, key, "left").withColumn("__part", F.pmod(F.xxhash64(*(by or rows.columns)), parts).cast("int")).drop("__parts")
     repeated = values.join(known, key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
