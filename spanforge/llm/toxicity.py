@@ -301,7 +301,8 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 4_000, keep_back:
     prior = float(chosen.toxic.mean()) if len(chosen) else 0.0
     if chosen[chosen.part > 0].toxic.nunique() < 2:
         return Scorer(None, None, prior)
-    sampled = spark.createDataFrame(chosen.rename(columns={"doc_id": "own_id"}), "own_id long, toxic int, part long")
+    # by way of Arrow; plain rows would start Python workers of another kind, which stay on the executors
+    sampled = spark.createDataFrame(pa.table({"own_id": chosen.doc_id.to_numpy(), "toxic": chosen.toxic.to_numpy(), "part": chosen.part.to_numpy()}), "own_id long, toxic int, part long")
     texts = docs.select(F.col("doc_id").cast("bigint").alias("own_id"), "text")
     shared = spark.sparkContext.broadcast(fit_models(texts, sampled))
     names = [f"f{i}" for i in range(FEATURES)]

@@ -1,6 +1,6 @@
 """What the n-gram join's plans do once, and by which way small rows come in."""
 
-from spanforge.llm import ngram_join, spread
+from spanforge.llm import ngram_join, spread, toxicity
 
 
 def plan(df):
@@ -36,3 +36,14 @@ def test_hot_keys_need_no_python_worker(spark):
     joined = spread.spread_join(rows, values, "k", {1: 3})
     assert "ExistingRDD" not in plan(joined)
     assert sorted((r.k, r.v, r.w) for r in joined.collect()) == [(k, v, 10 * k) for k in (0, 1) for v in range(k, 20, 2)]
+
+
+def test_training_sample_needs_no_python_worker(spark, monkeypatch):
+    def refuse(*_, **__):
+        raise AssertionError("rows by way of Python workers")
+
+    docs = spark.range(60).selectExpr("id AS doc_id", "concat(IF(id % 2 = 0, 'vile awful ', 'kind gentle '), 'word ', id) AS text")
+    labels = spark.range(60).selectExpr("id AS doc_id", "CAST(id % 2 = 0 AS INT) AS toxic")
+    monkeypatch.setattr(type(spark.sparkContext), "parallelize", refuse)
+    rows = toxicity.score(docs, labels).collect()
+    assert len(rows) == 60
