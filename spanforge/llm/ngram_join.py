@@ -15,7 +15,10 @@ are used: tokens by how many texts have them, tokens by hash upwards, and by has
    few hubs, so that a group of n copies makes a multiple of n pairs. Pairs whose sizes and
    token parities fit get the prefixes of both sets under the second and third order by join; those
    that share a token under each are verified on whole sets.
-4. Where a long list still holds several components, its sets post again under a first order of
+4. Where a long list still holds several components, its sets post again under an order of which
+   the tokens that step 2 counted away come first and then a further slice of the hash range, so
+   each makes only that slice; they pair as in step 3.
+5. Where a long list of these holds several components yet, its sets post under a first order of
    all their tokens, pair with hubs of that order, and then each set outside a list's main
    component pairs with all of it that is in another component.
 Components are those of the verified links; copies follow their set.
@@ -124,6 +127,29 @@ def _all_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from _rows(np.full(len(token), node, np.int64), token)
 
 
+def _next_tokens(percent: int, region: float, width: float):
+    """Of rows node, room, posted, tokens of a first posting below region, with room left: the tokens that follow.
+
+    slice: tokens by their distance above region, round the hash's range: those nearer than width,
+    and as many as the room at least. posted: their number and that of the lone ones before, so
+    that it stands for a posting of both. These aren't relied on where a set has posted beyond
+    region, as others needn't have then, or hasn't tokens enough above: it fills its prefix anew.
+    """
+    start, near = np.uint64(min(int(region * 2**64), 2**64 - 1)), np.uint64(min(int(width * 2**64), 2**64 - 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, room, before, tokens in zip(*(batch.column(x).to_pylist() for x in ("node", "room", "posted")), batch.column("tokens"), strict=True):
+                own = np.sort(np.frombuffer(tokens.as_py(), np.uint64) - start)
+                n = len(own)
+                most = int(prefix(n, percent))
+                lone = most - room if before > most and n - before >= room else 0
+                own = own[: max(int(np.searchsorted(own, near)), most - lone)]
+                yield pa.RecordBatch.from_arrays([pa.array([node], pa.int64()), pa.array([n], pa.int64()), pa.array([lone + len(own)], pa.int64()), pa.array([own.view(np.int64)], pa.list_(pa.int64()))], names=["node", "n", "posted", "slice"])
+
+    return run
+
+
 def _prefixes(tokens: DataFrame, sizes: DataFrame, percent: int, region: float) -> DataFrame:
     """node, n, room, token: the tokens of each set's prefix under the first order that another set has too.
 
@@ -155,12 +181,19 @@ def _pairs(joined: DataFrame) -> DataFrame:
 
 
 def _first_pairs(posts: DataFrame, sizes: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Pairs of short lists, and of long ones with their hubs; and the rows of long lists."""
+    """Pairs of short lists, and of long ones with their hubs; and the rows token, node, room of long lists."""
     rows = cut(_listed(posts))
     long = rows.filter(F.col("length") > SHORT)
     short = rows.filter(F.col("length") <= SHORT).join(sizes.select("node", *BITS), "node").select("token", F.struct("node", "n", *BITS).alias("a"))
     near = short.join(short.withColumnRenamed("a", "b"), "token").filter(F.col("a.node") < F.col("b.node")).filter(_fits(percent))
-    return cut(_pairs(near).unionByName(_star(long, sizes, percent)).distinct()), long.select("token", "node", "n")
+    return cut(_pairs(near).unionByName(_star(long, sizes, percent)).distinct()), long.select("token", "node", "room")
+
+
+def _undecided(long: DataFrame, placed: DataFrame) -> DataFrame:
+    """node, room of the sets in long lists that hold several components."""
+    mixed = long.join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    mixed = mixed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
+    return cut(long.join(mixed.select("token"), "token").select("node", "room").distinct())
 
 
 def _listed(posts: DataFrame) -> DataFrame:
@@ -286,10 +319,19 @@ def components(docs: DataFrame, k: int, percent: int, region: float | None = Non
     links = _linked(pairs, sets, percent)
     placed = connected_components(links)
 
-    mixed = long.join(placed, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = mixed.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-    again = cut(long.join(mixed.select("token"), "token").select("node").distinct())
+    again = _undecided(long, placed)
+    if not again.isEmpty():
+        # a slice as wide as a prefix: most sets have enough tokens of their own in it
+        width = (100 - percent) / 100
+        more = sets.select("node", "tokens").join(again.join(sizes.select("node", "posted"), "node"), "node").select("node", "room", "posted", "tokens")
+        more = cut(more.mapInArrow(_next_tokens(percent, region, width), "node long, n long, posted long, slice array<long>"))
+        posts = cut(_prefixes(more.select("node", F.explode("slice").alias("token")), more.drop("slice"), percent, width))
+        pairs, long = _first_pairs(posts, sizes, percent)
+        links = links.unionByName(_linked(pairs, sets, percent))
+        placed = connected_components(links)
+        again = _undecided(long, placed)
     if not again.isEmpty():
+        again = again.select("node")
         every = sets.join(again, "node").mapInArrow(_all_tokens, "node long, token long")
         own = sizes.join(again, "node").select("node", "n", F.col("n").alias("posted"))
         posts = cut(_prefixes(every, own, percent, 1.0))

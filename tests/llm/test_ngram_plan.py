@@ -1,5 +1,8 @@
 """What the n-gram join's plans do once, and by which way small rows come in."""
 
+import numpy as np
+import pytest
+
 from spanforge.llm import ngram_join, spread, toxicity
 
 
@@ -47,3 +50,48 @@ def test_training_sample_needs_no_python_worker(spark, monkeypatch):
     monkeypatch.setattr(type(spark.sparkContext), "parallelize", refuse)
     rows = toxicity.score(docs, labels).collect()
     assert len(rows) == 60
+
+
+def test_sets_with_tokens_of_their_own_are_not_posted_whole(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    draw = lambda n: [str(x) for x in rng.integers(0, 10**9, n)]
+    common = draw(30)
+    texts = [draw(75) + common for _ in range(150)]
+    texts += [[*texts[0][:40], "other", *texts[0][41:]], [*texts[1], "more"], [*common, *draw(3)], [*common, *draw(3)]]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    made, real = [], ngram_join._prefixes
+
+    def counted(tokens, *more):
+        made.append(tokens.count())
+        return real(tokens, *more)
+
+    monkeypatch.setattr(ngram_join, "_prefixes", counted)
+    rows = ngram_join.jaccard_components(docs).collect()
+    assert {r.doc_id: r.component_id for r in rows if r.component_id != r.doc_id} == {150: 0, 151: 1}
+    # one long list of the common words: its sets once made all of their tokens again
+    assert len(made) > 1 and sum(made[1:]) < 0.4 * sum(r.n_shingles for r in rows)
+
+
+@pytest.mark.parametrize(("k", "percent", "region"), [(1, 80, None), (2, 60, None), (3, 85, 0.02), (1, 50, 1.5), (2, 100, None), (2, 80, 0.9)])
+def test_no_link_is_lost_by_slices(spark, monkeypatch, k, percent, region):
+    monkeypatch.setattr(ngram_join, "SHORT", 2)
+    monkeypatch.setattr(ngram_join, "HUBS", 1)
+    rng = np.random.default_rng(percent)
+    texts = []
+    for i in range(150):
+        w = [f"c{x}" for x in range(rng.integers(1, 14))] + [f"o{x}" for x in rng.integers(0, 400, rng.integers(0, 25))]
+        if i % 3 == 0 and texts:
+            w = list(texts[rng.integers(0, len(texts))])
+            for j in rng.integers(0, len(w), rng.integers(0, 3)):
+                w[j] = f"e{rng.integers(0, 60)}"
+        texts.append(w)
+    sets = [{tuple(w[j : j + k]) for j in range(max(1, len(w) - k + 1))} for w in texts]
+    part = list(range(len(texts)))
+    for a in range(len(texts)):
+        for b in range(a):
+            if 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]) and part[a] != part[b]:
+                low, high = sorted((part[a], part[b]))
+                part = [low if x == high else x for x in part]
+    docs = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.jaccard_components(docs, k, percent, region).collect()}
+    assert got == {i: (len(s), part[i]) for i, s in enumerate(sets)}
